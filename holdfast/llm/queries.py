@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard
+from . import jaccard, language_model
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.train_and_score(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
