@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, language_model
+from . import jaccard, language_model, packing
 from .common import table
 
+#: Where the public vocabulary files lie on driver and workers, if not at the installed package's place.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def tokenizer_path(name: str) -> str:
+    return f"{TOKENIZERS}/{name}"
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,6 +24,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.train_and_score(table(spark, sf_dir, "documents"))
 

@@ -18,21 +18,26 @@ _BASE = 0xD1342543DE82EF95
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+_LOWERED = LOWER.astype(np.uint64) + np.uint64(1)
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
-_powers = np.ones(1, dtype=np.uint64)
+_powers = _inverse = np.ones(1, dtype=np.uint64)
 
 
-def powers(n: int) -> np.ndarray:
-    """The first ``n`` powers of an odd 64-bit base."""
-    global _powers
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of an odd 64-bit base, and of its inverse modulo 2**64."""
+    global _powers, _inverse
     if len(_powers) < n:
         size = 1 << max(12, int(n - 1).bit_length())
-        base = np.full(size, np.uint64(_BASE))
-        base[0] = np.uint64(1)
-        _powers = np.cumprod(base, dtype=np.uint64)
-    return _powers[:n]
+
+        def table(base: int) -> np.ndarray:
+            out = np.full(size, np.uint64(base))
+            out[0] = np.uint64(1)
+            return np.cumprod(out, dtype=np.uint64)
+
+        _powers, _inverse = table(_BASE), table(pow(_BASE, -1, 1 << 64))
+    return _powers[:n], _inverse[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -60,11 +65,10 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
 
 
 def split_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """White-space separated words of each text: (lowered bytes, starts, ends, first word of each text and the total)."""
-    low = LOWER[raw]
+    """White-space separated words of each text: (solid bytes, starts, ends, first word of each text and the total)."""
     if not len(raw):
         none = np.zeros(0, np.int64)
-        return low, none, none, np.zeros(len(offsets), np.int64)
+        return none.astype(bool), none, none, np.zeros(len(offsets), np.int64)
     solid = ~IS_SPACE[raw]
     begin = solid.copy()
     begin[1:] &= ~solid[:-1]
@@ -75,28 +79,24 @@ def split_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     begin[inner] = solid[inner]
     end[inner - 1] = solid[inner - 1]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    return low, starts, ends, np.searchsorted(starts, offsets)
+    return solid, starts, ends, np.searchsorted(starts, offsets)
 
 
-def hash_spans(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each non-empty, non-overlapping span."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lens = ends - starts
-    first = np.cumsum(lens) - lens
-    total = int(first[-1] + lens[-1])
-    every = np.arange(total)
-    place = every - np.repeat(first, lens)
-    values = low[every + np.repeat(starts - first, lens)].astype(np.uint64)
-    values += np.uint64(1)
-    values *= powers(int(lens.max()))[place]
-    return mix(np.add.reduceat(values, first) + lens.astype(np.uint64) * _MULT)
+def hash_from(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans that begin at ``starts``; ``values`` is one more than each byte, or 0 outside all spans.
+
+    A span's polynomial is taken at its place in the whole and then moved to the front by an inverse power.
+    """
+    power, inverse = powers(len(values))
+    return mix(np.add.reduceat(values * power, starts) * inverse[starts] + lens.astype(np.uint64) * _MULT)
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each text and the total)."""
-    low, starts, ends, firsts = split_words(raw, offsets)
-    return hash_spans(low, starts, ends), firsts
+    """(hash of each word with A-Z lowered, first word of each text and the total)."""
+    solid, starts, ends, firsts = split_words(raw, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), firsts
+    return hash_from(_LOWERED[raw] * solid, starts, ends - starts), firsts
 
 
 def text_hash(word: str) -> int:
