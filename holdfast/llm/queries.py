@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, language_model, packing
+from . import jaccard, language, language_model, packing
 from .common import table
 
 #: Where the public vocabulary files lie on driver and workers, if not at the installed package's place.
@@ -32,6 +32,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.train_and_score(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.train_and_predict(table(spark, sf_dir, "documents")).drop("accepted")
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 

@@ -64,12 +64,12 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
-def split_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """White-space separated words of each text: (solid bytes, starts, ends, first word of each text and the total)."""
+def split_words(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text, between bytes that ``gap`` marks: (solid bytes, starts, ends, first word of each text and the total)."""
     if not len(raw):
         none = np.zeros(0, np.int64)
         return none.astype(bool), none, none, np.zeros(len(offsets), np.int64)
-    solid = ~IS_SPACE[raw]
+    solid = ~gap[raw]
     begin = solid.copy()
     begin[1:] &= ~solid[:-1]
     end = solid.copy()
