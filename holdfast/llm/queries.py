@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard, language, language_model, packing
+from . import jaccard, language, language_model, packing, toxicity
 from .common import table
 
 #: Where the public vocabulary files lie on driver and workers, if not at the installed package's place.
@@ -32,6 +33,11 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.train_and_score(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumn("n_passages", F.size("passages")).drop("passages")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.train_and_predict(table(spark, sf_dir, "documents")).drop("accepted")
 
