@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, language_model, packing, toxicity
+from . import jaccard, language, language_model, line_dedup, packing, toxicity
 from .common import table
 
 #: Where the public vocabulary files lie on driver and workers, if not at the installed package's place.
@@ -21,6 +21,11 @@ def tokenizer_path(name: str) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_frequent_lines(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
@@ -46,5 +51,19 @@ def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+#: Translates A-Z only, unlike lower().
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, i, lines[i] AS line, {_LOWER.format("trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key
+      FROM d, unnest(range(1, len(lines) + 1)) AS u(i)),
+frequent AS (SELECT key FROM l WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (f.key IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN frequent f ON l.key = f.key GROUP BY r, doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": OP2_SQL}
