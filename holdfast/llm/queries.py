@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, language_model, line_dedup, packing, toxicity
+from . import fingerprint, jaccard, language, language_model, line_dedup, packing, toxicity, url_filter
 from .common import table
 
 #: Where the public vocabulary files lie on driver and workers, if not at the installed package's place.
@@ -21,6 +21,19 @@ def tokenizer_path(name: str) -> str:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+RULES = [
+    url_filter.Rule("block", "com", "/en/"),
+    url_filter.Rule("allow", "example.com", "/en/7"),
+    url_filter.Rule("allow", "net", "/de/"),
+    url_filter.Rule("block", "example.net", "/de/8"),
+    url_filter.Rule("block", "org", "/es/"),
+]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_frequent_lines(table(spark, sf_dir, "documents"))
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -38,6 +51,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.train_and_score(table(spark, sf_dir, "documents"))
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.withColumn("n_passages", F.size("passages")).drop("passages")
@@ -54,6 +71,17 @@ def queries() -> dict[str, Query]:
 #: Translates A-Z only, unlike lower().
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP1_SQL = f"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS url FROM pages),
+q AS (SELECT r, page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM p),
+s AS (SELECT r, page_id, coalesce({_LOWER.format("regexp_extract(rest, '^[^/?#]*')")}, '') AS host,
+             coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM q),
+rules(action, host, path) AS (VALUES {", ".join(f"('{x.action}', '{x.host}', '{x.path}')" for x in RULES)}),
+fit AS (SELECT s.r, x.action, x.host || x.path AS rule, row_number() OVER (PARTITION BY s.r ORDER BY length(x.host) + length(x.path) DESC, length(x.host) DESC) AS k
+        FROM s JOIN rules x ON (s.host = x.host OR ends_with(s.host, '.' || x.host)) AND starts_with(s.path, x.path))
+SELECT s.page_id, s.host, s.path, fit.rule, coalesce(fit.action, 'allow') AS verdict FROM s LEFT JOIN fit ON s.r = fit.r AND fit.k = 1
+"""
+
 OP2_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT r, doc_id, i, lines[i] AS line, {_LOWER.format("trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key
@@ -66,4 +94,4 @@ FROM l LEFT JOIN frequent f ON l.key = f.key GROUP BY r, doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL}
+    return {"op1_url_filters": OP1_SQL, "op2_line_dedup": OP2_SQL}
