@@ -103,6 +103,44 @@ def _crosses(text_start: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+class HashIndex:
+    """A table of 64-bit keys other than 0, of bounded size: a slot for each key, found for whole arrays at once."""
+
+    def __init__(self, bits: int):
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.held = 0
+
+    def clear(self) -> None:
+        self.keys[:] = 0
+        self.held = 0
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slot that holds each key, or the free slot where it would go; and whether it is held."""
+        mask = np.uint64(len(self.keys) - 1)
+        slot = (keys & mask).astype(np.int64)
+        held = self.keys[slot]
+        found = held == keys
+        left = np.flatnonzero(~found & (held != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & int(mask)
+            held = self.keys[slot[left]]
+            found[left] = held == keys[left]
+            left = left[(held != keys[left]) & (held != 0)]
+        return slot, found
+
+    def insert(self, keys: np.ndarray) -> np.ndarray:
+        """The slots of new, distinct keys. Of keys that want one slot, one gets it and the others look on."""
+        out, todo = np.empty(len(keys), np.int64), np.arange(len(keys))
+        while len(todo):
+            slot, _ = self.find(keys[todo])
+            _, winner = np.unique(slot, return_index=True)
+            out[todo[winner]] = slot[winner]
+            self.keys[slot[winner]] = keys[todo[winner]]
+            todo = np.delete(todo, winner)
+        self.held += len(keys)
+        return out
+
+
 class Encoder:
     """Ids of batches of texts by one tokenizer file, with the pieces met so far."""
 
@@ -113,28 +151,14 @@ class Encoder:
         self.special = [s.content for s in self.tokenizer.get_added_tokens_decoder().values()]
         self.has_special = re.compile("|".join(map(re.escape, self.special)).encode()) if self.special else None
         self.letters = dict(enumerate(byte_letters()))
-        self.bits = bits
+        self.index = HashIndex(bits)
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.first = np.zeros(1 << self.bits, np.int64)
-        self.size = np.zeros(1 << self.bits, np.int32)
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.used, self.held = 0, 0
-
-    def _slots(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The slot that holds each key, or the free slot where it would go; and whether it is held."""
-        mask = np.uint64((1 << self.bits) - 1)
-        slot = (keys & mask).astype(np.int64)
-        found = self.keys[slot] == keys
-        left = np.flatnonzero(~found & (self.keys[slot] != 0))
-        while len(left):
-            slot[left] = (slot[left] + 1) & int(mask)
-            held = self.keys[slot[left]]
-            found[left] = held == keys[left]
-            left = left[(held != keys[left]) & (held != 0)]
-        return slot, found
+        self.index.clear()
+        self.first = np.zeros(len(self.index.keys), np.int64)
+        self.size = np.zeros(len(self.index.keys), np.int32)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         model, letters = self.tokenizer.model, self.letters
@@ -144,16 +168,9 @@ class Encoder:
         if self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(flat)), np.uint32)])
         self.pool[self.used : self.used + len(flat)] = flat
-        firsts = self.used + np.cumsum(sizes) - sizes
+        slots = self.index.insert(keys)
+        self.first[slots], self.size[slots] = self.used + np.cumsum(sizes) - sizes, sizes
         self.used += len(flat)
-        todo = np.arange(len(keys))
-        while len(todo):  # two new keys may want one slot: one of them gets it, the other looks on
-            slot, _ = self._slots(keys[todo])
-            _, winner = np.unique(slot, return_index=True)
-            at, who = slot[winner], todo[winner]
-            self.keys[at], self.first[at], self.size[at] = keys[who], firsts[who], sizes[who]
-            todo = np.delete(todo, winner)
-        self.held += len(keys)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's begin and the total)."""
@@ -165,18 +182,18 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         ends = np.append(starts[1:], len(raw))
         keys = hash_pieces(raw, starts, ends)
-        slot, found = self._slots(keys)
+        slot, found = self.index.find(keys)
         if not found.all():
             new, where = np.unique(keys[~found], return_index=True)
             where = np.flatnonzero(~found)[where]
-            if self.held + len(new) > (1 << self.bits) // 2:
+            if self.index.held + len(new) > len(self.index.keys) // 2:
                 self.clear()
                 new, where = np.unique(keys, return_index=True)
-                if len(new) > (1 << self.bits) // 2:
+                if len(new) > len(self.index.keys) // 2:
                     return self._plainly(raw.tobytes(), offsets)
             raw_bytes = data or raw.tobytes()
             self._learn(new, [raw_bytes[a:b].decode("latin-1") for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)])
-            slot, _ = self._slots(keys)
+            slot, _ = self.index.find(keys)
         size = self.size[slot].astype(np.int64)
         total = np.concatenate([[0], np.cumsum(size)])
         ids = self.pool[np.arange(total[-1]) + np.repeat(self.first[slot] - total[:-1], size)]
