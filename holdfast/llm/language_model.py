@@ -173,12 +173,7 @@ def _merge_pairs(folder: str, word_shards: int):
         large = np.flatnonzero(n > 255)
         # small counts take a byte; the others follow with their places
         _put(folder, f"pairs-{shard}", np.array([len(n), len(large)], "<u8"), pair, large.astype("<u8"), n[large].astype("<u8"), np.minimum(n, 255).astype(np.uint8))
-        keys = np.concatenate([first, second])
-        stats = np.zeros((len(keys), _FIELDS), np.int64)
-        k = len(n)
-        stats[:k, 0], stats[:k, 1], stats[:k, 2], stats[:k, 3] = n, n == 1, n == 2, n > 2
-        stats[k:, 4], stats[k:, 5] = n, 1
-        keys, stats = _added(keys, stats)
+        keys, stats = _by_word(first, second, n)
         to = (keys % np.uint64(word_shards)).astype(np.int64)
         order = np.argsort(to, kind="stable")
         to, keys, stats = to[order], keys[order], stats[order]
@@ -191,6 +186,23 @@ def _merge_pairs(folder: str, word_shards: int):
     return run
 
 
+def _by_word(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, [keys, fields]): what distinct pairs and their counts say of each word."""
+    sides = []
+    for words, columns in ((first, (n, n == 1, n == 2, n > 2)), (second, (n, None))):
+        order = np.argsort(words)
+        at = _runs(words[order])
+        sums = [np.diff(np.append(at, len(words))) if c is None else np.add.reduceat(c[order].astype(np.int64), at) for c in columns]
+        sides.append((words[order[at]], sums))
+    keys = np.union1d(sides[0][0], sides[1][0])
+    stats = np.zeros((len(keys), _FIELDS), np.int64)
+    for offset, (own, sums) in zip((0, 4), sides, strict=True):
+        at = np.searchsorted(keys, own)
+        for j, x in enumerate(sums):
+            stats[at, offset + j] = x
+    return keys, stats
+
+
 def _added(keys: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     keys = keys[order]
@@ -323,7 +335,7 @@ def _exists(folder: str, name: str) -> bool:
     return store.get_file_info(path).type == fs.FileType.File
 
 
-def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = 16 << 20, chunk: int = 4 << 20) -> Model:
+def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = 8 << 20, chunk: int = 1 << 20) -> Model:
     """Count all of ``docs``. The number of shards follows from the bytes of text; a task holds ``chunk`` tokens."""
     rows = pick(docs, text=text_col)
     spark = docs.sparkSession
@@ -370,7 +382,7 @@ def _score(model: Model, chunk: int):
     return run
 
 
-def score(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text", chunk: int = 1 << 20) -> DataFrame:
+def score(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc_id", text_col: str = "text", chunk: int = 1 << 19) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Perplexity: 10 ** (-score / n_tokens)."""
     rows = pick(docs, id=id_col, text=text_col).withColumn("held_out", held_out)
     kind = dict(docs.dtypes)[id_col]
