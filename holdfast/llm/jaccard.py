@@ -12,9 +12,11 @@ The method is a prefix-filtered set join:
 3. Each class sends its prefix, the rarest ``n - ceil(t * n) + 1`` n-grams. Linked classes share at least one.
 4. First the classes of each n-gram are compared with its two lead classes only, so large groups of near copies
    come together with a number of pairs in proportion to their size. Connected components follow.
-5. Then every pair of classes that shares a prefix n-gram and lies in *different* components is a candidate.
-   Pairs inside a component need no look: they can't change the result. Length, positional and suffix filters
-   thin the candidates, and each pair left is verified once against the full sets.
+5. A second round compares neighbours in a random order of each n-gram's classes, where components still differ.
+6. Then every pair of classes that shares a prefix n-gram and lies in *different* components is a candidate.
+   Pairs inside a component need no look: they can't change the result. Length and positional filters and a filter
+   on the whole sets' parities thin the candidates before they are made; those left are counted by shared prefix
+   n-grams, and each is verified once: a suffix filter on bands of hashes comes before the full comparison.
 
 Defined cases: null or blank texts have no set, link with nothing and are their own component; rows that repeat
 a document id count as one document; a null id takes part in links, and is nobody's smallest id.
@@ -35,6 +37,9 @@ from .common import materialise, pick
 from .components import connected
 
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Columns of 64 parities each: a bit tells whether an odd number of a set's n-grams fall to it. Two sets differ in as
+#: many n-grams as their parities do, at least.
+SIGNS = [f"sign{i}" for i in range(8)]
 
 
 def sets_of(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -67,22 +72,34 @@ def _profile(n: int, bits: int):
     def run(batches):
         counts = np.zeros(1 << bits, np.int64)
         for batch in batches:
-            ids, sizes, digests = batch.column("id"), [], []
+            ids, sizes, digests, signs, places = batch.column("id"), [], [], [], []
             for _, flat, at in sets_of(batch.column("text"), n):
-                counts += np.bincount((flat >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                places.append((flat >> np.uint64(64 - bits)).astype(np.int32))
+                signs.append(_parities(flat, at))
                 sizes += np.diff(at).tolist()
                 data = flat.tobytes()
                 digests += [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], ["id", "size", "digest", "block", "counts"])
+            if places:
+                counts += np.bincount(np.concatenate(places), minlength=1 << bits)
+            signs = np.concatenate(signs) if signs else np.zeros((0, len(SIGNS)), np.int64)
+            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *(pa.array(signs[:, i].copy()) for i in range(len(SIGNS))), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], ["id", "size", "digest", *SIGNS, "block", "counts"])
         blocks = counts.reshape(-1, 1 << min(bits, 14)).astype("<i8")
         full = [i for i in range(len(blocks)) if blocks[i].any()]
         if full:
             k = len(full)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(full, pa.int32()), pa.array([_packed(blocks[i]) for i in full], pa.binary())], ["id", "size", "digest", "block", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), *[pa.nulls(k, pa.int64())] * len(SIGNS), pa.array(full, pa.int32()), pa.array([_packed(blocks[i]) for i in full], pa.binary())], ["id", "size", "digest", *SIGNS, "block", "counts"])
 
     return run
 
 
+def _parities(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    bits = 64 * len(SIGNS)
+    size = np.diff(at)
+    place = np.repeat(np.arange(len(size)), size) * bits + (flat % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(place, minlength=bits * len(size)) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8").reshape(len(size), len(SIGNS))
+
+
 def _packed(counts: np.ndarray) -> bytes:
     """Counts as the smallest of four integer types, named by the first byte."""
     kind = next(k for k, top in ((1, 1 << 8), (2, 1 << 16), (4, 1 << 32), (8, 1 << 63)) if counts.max() < top)
@@ -210,21 +227,27 @@ class _Join:
         rest = F.least(c(x, "place"), c(y, "place")) + 1 + F.least(c(x, "size") - c(x, "place"), c(y, "size") - c(y, "place")) - 1
         return (self.den * c(x, "size") >= self.num * c(y, "size")) & (self.den * c(y, "size") >= self.num * c(x, "size")) & (rest >= need)
 
+    def alike(self, x: str, y: str):
+        """Whether the parities of the whole sets allow a link."""
+        differ = sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in SIGNS), F.lit(0))
+        both = F.col(f"{x}.size").cast("long") + F.col(f"{y}.size")
+        return differ <= both - 2 * F.ceil(self.num * both / (self.num + self.den))
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 20, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000) -> DataFrame:
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) of each row; ``num / den`` is the least similarity.
 
-    ``bits``: log2 of the table of counts, which alone is sent to the driver and broadcast (8 MB at 20).
+    ``bits``: log2 of the table of counts, which alone is sent to the driver and broadcast (16 MB at 22).
     ``hot``: counted occurrences of an n-gram per group of its postings. ``small_ids``: most ids to broadcast (16 MB).
     """
     spark = docs.sparkSession
     rows = pick(docs, id=id_col, text=text_col)
-    profile = materialise(rows.mapInArrow(_profile(n, bits), "id long, size long, digest binary, block int, counts binary"), "jaccard-profile")
+    profile = materialise(rows.mapInArrow(_profile(n, bits), f"id long, size long, digest binary, {', '.join(f'{x} long' for x in SIGNS)}, block int, counts binary"), "jaccard-profile")
     counts = gram_counts(profile, bits)
-    of_row = profile.where("block is null").select("id", "size", "digest")
+    of_row = profile.where("block is null").select("id", "size", "digest", *SIGNS)
     # a class is named by its smallest id; without any, by its digest, below zero
     named = F.coalesce(F.min("id"), -F.abs(F.xxhash64("digest")) - 1)
-    classes = materialise(of_row.where("size > 0").groupBy("digest").agg(named.alias("node"), F.min("size").alias("size"), F.min("id").alias("first")), "jaccard-classes")
+    classes = materialise(of_row.where("size > 0").groupBy("digest").agg(named.alias("node"), F.min("size").alias("size"), F.min("id").alias("first"), *(F.first(x).alias(x) for x in SIGNS)), "jaccard-classes")
     firsts = classes.where("first is not null").select(F.col("first").alias("id"))
     if firsts.count() <= small_ids:
         firsts = F.broadcast(firsts)
@@ -247,19 +270,27 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pair = lambda df, x, y: df.select(F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(f"{x}.node", f"{y}.node").alias("b")).distinct()
     stars = pair(stars.where(F.col("x.node") != F.col("y.node")).where(join.possible("x", "y")), "x", "y")
     links = materialise(join.verified(stars), "jaccard-links")
-    parts = connected(links)
+    posts = posts.select("gram", "salt", "node", "size", "place").join(classes.select("node", *SIGNS), "node")
+
+    # once more, neighbours in a random order, where components still differ
+    placed = materialise(posts.join(connected(links), "node", "left").withColumn("part", F.coalesce("part", "node")), "jaccard-placed")
+    kept = F.struct("size", "node", "place", "part", *SIGNS)
+    near = placed.select(kept.alias("x"), F.lag(kept).over(Window.partitionBy("gram", "salt").orderBy(F.xxhash64("node"), "node")).alias("y"))
+    near = pair(near.where("x.part <> y.part").where(join.possible("x", "y") & join.alike("x", "y")), "x", "y")
+    links = materialise(links.unionByName(join.verified(near)), "jaccard-links")
 
     # candidates between components, by the components of each n-gram
-    placed = posts.select("gram", "node", "size", "place").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    placed = materialise(placed, "jaccard-placed")
-    by_part = placed.groupBy("gram", "part").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    placed = materialise(posts.join(connected(links), "node", "left").withColumn("part", F.coalesce("part", "node")), "jaccard-placed")
+    alone = lambda c: F.when(F.count("*") == 1, F.min(c)).alias(c)
+    by_part = placed.groupBy("gram", "part").agg(F.min("size").alias("least"), F.max("size").alias("most"), *map(alone, ["size", "place", *SIGNS]))
     split = by_part.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram")
-    by_part = by_part.join(split, "gram", "left_semi")
+    by_part = materialise(by_part.join(split, "gram", "left_semi"), "jaccard-parts")
     x, y = by_part.alias("x"), by_part.alias("y")
     near = (F.col("x.part") < F.col("y.part")) & (den * F.col("x.most") >= num * F.col("y.least")) & (den * F.col("y.most") >= num * F.col("x.least"))
-    crossing = x.join(y, F.col("x.gram").eqNullSafe(F.col("y.gram")) & near).select(F.col("x.gram").alias("gram"), F.col("x.part").alias("x_part"), F.col("y.part").alias("y_part"))
-    post = lambda s: placed.select("gram", F.col("part").alias(f"{s}_part"), F.struct("node", "size", "place").alias(s))
-    shared = crossing.join(post("x"), ["gram", "x_part"]).join(post("y"), ["gram", "y_part"]).where(join.possible("x", "y"))
+    near &= F.coalesce(join.possible("x", "y") & join.alike("x", "y"), F.lit(True))
+    crossing = x.join(y, (F.col("x.gram") == F.col("y.gram")) & near).select(F.col("x.gram").alias("gram"), F.col("x.part").alias("x_part"), F.col("y.part").alias("y_part"))
+    post = lambda s: placed.select("gram", F.col("part").alias(f"{s}_part"), F.struct("node", "size", "place", *SIGNS).alias(s))
+    shared = crossing.join(post("x"), ["gram", "x_part"]).join(post("y"), ["gram", "y_part"]).where(join.possible("x", "y") & join.alike("x", "y"))
     # all shared n-grams beyond those of both prefixes lie behind the prefix of the class that ends first
     met = shared.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.col("x.size").cast("long").alias("x_size"), F.col("y.size").cast("long").alias("y_size"))
     met = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.min(F.least("x_size", "y_size")).alias("x_size"), F.min(F.greatest("x_size", "y_size")).alias("y_size"), F.max(F.greatest("x_size", "y_size")).alias("most_size"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, jaccard, language, language_model, line_dedup, packing, segmentation, toxicity, url_filter
+from . import fingerprint, jaccard, language, language_model, line_dedup, neighbours, packing, segmentation, toxicity, url_filter
 from .common import table
 
 #: Where the public vocabulary files lie on driver and workers, if not at the installed package's place.
@@ -55,6 +55,10 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_edits(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentation.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
