@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,8 +54,16 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[df[c].alias(k) for k, c in cols.items()])
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def keep_rows(docs: DataFrame, text: Column, mask: Callable[[pa.RecordBatch], np.ndarray], **extra: Column) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, for which ``mask`` of a batch (text and ``extra``) holds."""
+    importable(docs.sparkSession)
+    whole = docs.select(F.struct("*").alias("row"), text.alias("text"), *[c.alias(k) for k, c in extra.items()])
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("row")], ["row"]).filter(pa.array(mask(batch), pa.bool_()))
+
+    return whole.mapInArrow(run, f"row {whole.schema['row'].dataType.simpleString()}").select("row.*")
 
 
 def fold(doc_id: Column, folds: int) -> Column:

@@ -316,8 +316,9 @@ def _with_digests(n: int):
     return run
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` without those whose group has another document of smaller id."""
-    groups = similar_groups(docs, id_col, text_col, **how)
-    drop = groups.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(drop, docs[id_col] == drop["doc_id"], "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", small_ids: int = 2_000_000, **how) -> DataFrame:
+    """The rows of ``docs`` but those whose group has a document of smaller id. Rows without an id stay."""
+    groups = similar_groups(docs, id_col, text_col, small_ids=small_ids, **how)
+    drop = materialise(groups.where("component_id < doc_id").select(F.col("doc_id").alias("_dropped")).distinct(), "jaccard-dropped")
+    side = F.broadcast(drop) if drop.count() <= small_ids else drop
+    return docs.join(side, docs[id_col] == side["_dropped"], "left_anti")

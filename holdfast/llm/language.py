@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import fold, pick
+from .common import fold, keep_rows, pick
 from .sampling import bounded
 
 UNKNOWN = "und"
@@ -127,35 +127,45 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_l
     return _train(rows, bits, size, epochs, rate, seed) if rows else None
 
 
+def _judge(model: Model | None, texts: pa.Array, lettered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(best language's number or -1, its probability, whether accepted) of each text."""
+    n = len(texts)
+    if model is None:
+        return np.full(n, -1), np.zeros(n), np.zeros(n, bool)
+    z, sizes = np.zeros((n, len(model.languages))), np.zeros(n)
+    for lo, hi, raw, offsets in T.slices(texts):
+        for bucket, firsts in _subwords(raw, offsets, model.bits):
+            z[lo:hi] += np.add.reduceat(model.logits[bucket], firsts[:-1], axis=0, dtype=np.float64)
+            sizes[lo:hi] += np.add.reduceat((bucket < 1 << model.bits).astype(np.int64), firsts[:-1])
+    prob = _softmax((z / np.maximum(sizes, 1)[:, None] + model.bias) / model.temperature)
+    best, p = np.where(lettered, prob.argmax(axis=1), -1), np.where(lettered, prob.max(axis=1), 0)
+    return best, p, (best >= 0) & (p >= model.least)
+
+
 def _predict(model: Model | None):
+    names = [*(model.languages if model else ()), UNKNOWN]
+
     def run(batches):
         for batch in batches:
-            n = len(batch)
-            lettered = np.asarray(batch.column("lettered"))
-            if model is None:
-                best, p = np.full(n, -1), np.zeros(n)
-            else:
-                z = np.zeros((n, len(model.languages)))
-                sizes = np.zeros(n)
-                for lo, hi, raw, offsets in T.slices(batch.column("text")):
-                    for bucket, firsts in _subwords(raw, offsets, model.bits):
-                        z[lo:hi] += np.add.reduceat(model.logits[bucket], firsts[:-1], axis=0, dtype=np.float64)
-                        sizes[lo:hi] += np.add.reduceat((bucket < 1 << model.bits).astype(np.int64), firsts[:-1])
-                prob = _softmax((z / np.maximum(sizes, 1)[:, None] + model.bias) / model.temperature)
-                best, p = prob.argmax(axis=1), prob.max(axis=1)
-                best = np.where(lettered, best, -1)
-                p = np.where(lettered, p, 0)
-            names = [*(model.languages if model else ()), UNKNOWN]
-            accepted = (best >= 0) & (p >= (model.least if model else 1))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array([names[k] for k in best]), pa.array(p), pa.array(accepted)], ["doc_id", "held_out", "lang_pred", "score", "accepted"])
+            best, p, accepted = _judge(model, batch.column("text"), np.asarray(batch.column("lettered")))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array([names[k] for k in best]), pa.array(p, pa.float64()), pa.array(accepted)], ["doc_id", "held_out", "lang_pred", "score", "accepted"])
 
     return run
 
 
+def _lettered(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
+def keep_accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is told surely enough."""
+    return keep_rows(docs, docs[text_col], lambda b: _judge(model, b.column("text"), np.asarray(b.column("lettered")))[2], lettered=_lettered(docs[text_col]))
+
+
 def predict(docs: DataFrame, model: Model | None, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score (its calibrated probability), accepted (sure enough)."""
     rows = pick(docs, id=id_col, text=text_col)
-    rows = rows.withColumn("held_out", F.lit(False) if held_out is None else held_out).withColumn("lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    rows = rows.withColumn("held_out", F.lit(False) if held_out is None else held_out).withColumn("lettered", _lettered(F.col("text")))
     return rows.mapInArrow(_predict(model), f"doc_id {dict(docs.dtypes)[id_col]}, held_out boolean, lang_pred string, score double, accepted boolean")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import fold, pick
+from .common import fold, keep_rows, pick
 from .sampling import bounded
 
 #: Bytes that aren't part of words: ASCII but letters.
@@ -70,7 +70,7 @@ def _words(raw: np.ndarray, offsets: np.ndarray):
         stop = ends if size is None else np.minimum(starts + size, ends)
         cuts = np.column_stack([starts, stop]).ravel()
         h = np.add.reduceat(values, cuts)[::2] * inverse[starts]
-        h = T.mix(h + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15))
+        h = T.mix(h + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
         out.append(h if size is None else np.where(lens >= size, h, np.uint64(0)))
     return starts, ends, firsts, np.array(out)
 
@@ -234,6 +234,17 @@ def score(docs: DataFrame, model: Model | None, held_out: Column | None = None,
     return out.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "passages")
 
 
+def keep_clean(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``."""
+
+    def mask(batch: pa.RecordBatch) -> np.ndarray:
+        if model is None:
+            return np.ones(len(batch), bool)
+        return model.probability(np.array([min(x[0], 100.0) for x in _scan(model, batch.column("text"))])) < threshold
+
+    return keep_rows(docs, docs[text_col], mask)
+
+
 def train_and_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held: int = 2) -> DataFrame:
     """Learn from labels of the rows whose fold isn't ``held``, score all rows."""
     model = train(docs, labels.where(fold(labels[id_col], folds) != held), id_col, text_col)
