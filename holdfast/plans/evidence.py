@@ -1 +1,189 @@
-"""Queries."""
+"""Queries of holdings routing, evidence, text, metric eligibility and unions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from holdfast.functions import scalars as S
+from holdfast.operators import graph, holdings, metrics, quality, textsearch
+from holdfast.operators import query as Q
+from holdfast.plans.catalog import query
+
+c = F.col
+
+
+# holdings ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 49)")
+def document_reject(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return quality.reject_documents(rows, "l_orderkey", c("l_quantity") > 49).drop("l_quantity")
+
+
+@query("SELECT CASE WHEN l_partkey % 10 = 0 THEN 'unresolved' WHEN l_quantity > 45 THEN 'quantity' WHEN l_discount = 0 THEN 'weight' END AS reason, count(*) AS n FROM lineitem GROUP BY 1")
+def reject_reason_first_match(t):
+    reason = quality.first_reason((c("l_partkey") % 10 == 0, "unresolved"), (c("l_quantity") > 45, "quantity"), (c("l_discount") == 0, "weight"))
+    return t.lineitem.withColumn("reason", reason).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, round(CASE WHEN count(*) FILTER (v IS NULL) OVER w = 0 THEN l_extendedprice / sum(v) OVER w END, 6) AS weight FROM (SELECT *, CASE WHEN l_quantity < 49 THEN l_extendedprice END AS v FROM lineitem) WINDOW w AS (PARTITION BY l_orderkey)")
+def weights_strict_total(t):
+    rows = t.lineitem.withColumn("v", F.when(c("l_quantity") < 49, c("l_extendedprice")))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.round(c("l_extendedprice") / quality.document_total(c("v"), "l_orderkey", strict=True), 6).alias("weight"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, round(v / sum(CASE WHEN v > 0 THEN v END) OVER (PARTITION BY l_orderkey), 6) AS weight FROM (SELECT *, CASE WHEN l_quantity > 45 THEN -l_extendedprice ELSE l_extendedprice END AS v FROM lineitem)")
+def weights_positive_total(t):
+    rows = t.lineitem.withColumn("v", F.when(c("l_quantity") > 45, -c("l_extendedprice")).otherwise(c("l_extendedprice")))
+    total = quality.with_document_total(rows, "l_orderkey", "v", strict=False)
+    return total.select("l_orderkey", "l_linenumber", "l_partkey", F.round(c("v") / c("document_total"), 6).alias("weight"))
+
+
+def _records(t):
+    """Lines as holdings records; every eleventh breaks a rule."""
+    line = t.lineitem.where("l_orderkey % 5 = 0")
+    isin = lambda k, p: F.concat(F.lit(p), F.lpad(k.cast("string"), 9, "0"), F.lit("0"))
+    return line.select(
+        isin(c("l_orderkey"), "KR").alias("fund_isin"), isin(c("l_partkey"), "US").alias("constituent_isin"), F.lit("n").alias("constituent_name"),
+        F.when(c("l_partkey") % 11 == 0, c("l_discount") + 2).otherwise(c("l_discount")).alias("weight"), c("l_shipdate").cast("date").alias("as_of"), c("l_quantity").alias("source_quantity"), c("l_extendedprice").alias("source_market_value"),
+        F.lit("USD").alias("source_currency"), F.lit("source_published").alias("weight_source"), F.when(c("l_partkey") % 22 == 0, "guess").otherwise("source_isin").alias("identifier_method"), F.lit(None).cast("timestamp").alias("published_at"),
+        c("l_orderkey").cast("string").alias("source_document_id"), F.lit("u").alias("source_url"), F.lit("regulatory_filing").alias("evidence_basis"), F.concat_ws("-", "l_linenumber", "l_suppkey").alias("source_row_id"), "l_orderkey", "l_linenumber", "l_partkey",
+    )
+
+
+@query("SELECT CASE WHEN l_partkey % 22 = 0 THEN 'weight,identifier_method' WHEN l_partkey % 11 = 0 THEN 'weight' ELSE '' END AS broken, count(*) AS n FROM lineitem WHERE l_orderkey % 5 = 0 GROUP BY 1")
+def contract_violations(t):
+    return _records(t).select(F.array_join(holdings.contract(_records(t)), ",").alias("broken")).groupBy("broken").agg(F.count("*").alias("n"))
+
+
+@query("""WITH r AS (SELECT l_orderkey AS f, l_partkey AS p, CAST(l_shipdate AS DATE) AS d, l_linenumber || '-' || l_suppkey AS rid FROM lineitem WHERE l_orderkey % 5 = 0)
+SELECT 'HAS_SNAPSHOT' AS rel, count(*) AS n FROM (SELECT DISTINCT f, d FROM r) UNION ALL SELECT 'HAS_POSITION', count(*) FROM (SELECT DISTINCT f, p, d, rid FROM r)
+UNION ALL SELECT 'OF_SECURITY', count(*) FROM (SELECT DISTINCT f, p, d, rid FROM r) UNION ALL SELECT 'HOLDS', count(*) FROM (SELECT DISTINCT f, p FROM r)""")
+def holdings_to_graph(t):
+    return holdings.to_graph(_records(t))["edges"].groupBy("rel").agg(F.count("*").alias("n"))
+
+
+# evidence ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT p_partkey, coalesce(n, 0) AS n_evidence, CASE WHEN n IS NULL THEN 'insufficient_evidence' ELSE 'ok' END AS outcome FROM part LEFT JOIN (SELECT l_partkey, count(DISTINCT l_orderkey) AS n FROM lineitem WHERE l_quantity > 49 GROUP BY 1) ON l_partkey = p_partkey")
+def evidence_summary(t):
+    e = t.lineitem.where("l_quantity > 49").withColumnRenamed("l_partkey", "p_partkey")
+    return Q.evidence_summary(t.part.select("p_partkey"), e, "p_partkey", "l_orderkey")
+
+
+@query("SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 49 AND l_discount > 0.08) THEN 'ok' ELSE 'insufficient_evidence' END AS outcome FROM part) GROUP BY outcome")
+def evidence_required(t):
+    e = t.lineitem.where("l_quantity > 49 and l_discount > 0.08").withColumnRenamed("l_partkey", "p_partkey")
+    return Q.evidence_summary(t.part.select("p_partkey"), e, "p_partkey", "l_orderkey").groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_partkey, l_orderkey, l_linenumber FROM (SELECT l_partkey, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS k FROM lineitem) WHERE k <= 3")
+def evidence_rows_capped(t):
+    return Q.evidence_rows(t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber"), "l_partkey", ["l_orderkey", "l_linenumber"], 3)
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 'partial' WHEN o_orderstatus = 'F' THEN 'answered' WHEN o_orderstatus = 'O' THEN 'empty' ELSE 'unsupported' END AS outcome FROM orders")
+def outcome_mapping(t):
+    status = F.when(c("o_orderstatus") == "F", "ok").when(c("o_orderstatus") == "O", "empty").otherwise("unsupported")
+    return t.orders.select("o_orderkey", metrics.outcome(status, c("o_orderkey") % 2 == 0).alias("outcome"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE event_type = 'click' AND json_extract(props, '$.k') IS NOT NULL")
+def raw_field_access(t):
+    raw = F.from_json("props", "map<string,string>")
+    rows = t.events.where("event_type = 'click'").select("event_id", textsearch.raw_field(raw, "k").alias("k"))
+    return rows.where("k is not null")
+
+
+# text -------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT c_custkey FROM customer WHERE lower(trim(c_name)) = 'customer#000000007'")
+def text_exact(t):
+    return t.customer.where(textsearch.exact(c("c_name"), " CUSTOMER#000000007 ")).select("c_custkey")
+
+
+@query("SELECT p_partkey FROM part WHERE contains(lower(p_name), 're')")
+def text_contains(t):
+    return t.part.where(textsearch.contains(c("p_name"), "RE")).select("p_partkey")
+
+
+@query("""WITH n AS (SELECT count(*) AS n FROM part), w AS (SELECT DISTINCT p_partkey, unnest(string_split_regex(lower(p_name || ' ' || p_type), '[^\\p{L}\\p{N}]+')) AS term FROM part),
+f AS (SELECT * FROM w WHERE term IN (SELECT DISTINCT unnest(string_split_regex(lower(min(p_name) || ' ' || min(p_type)), '[^\\p{L}\\p{N}]+')) FROM part) AND term <> ''),
+i AS (SELECT term, ln(1 + any_value(n.n) / count(*)) AS idf FROM f, n GROUP BY term)
+SELECT p_partkey, round(sum(idf), 6) AS score FROM f JOIN i USING (term) GROUP BY p_partkey ORDER BY sum(idf) DESC, p_partkey LIMIT 20""")
+def text_fulltext(t):
+    rows = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("text"))
+    q = t.part.agg(F.concat_ws(" ", F.min("p_name"), F.min("p_type"))).first()[0]
+    return textsearch.fulltext(rows, "p_partkey", "text", q, 20).select("p_partkey", F.round("score", 6).alias("score"))
+
+
+@query("SELECT DISTINCT p_brand AS name, levenshtein(lower(p_brand), 'brand#1x') AS distance, true AS is_suggestion FROM part WHERE levenshtein(lower(p_brand), 'brand#1x') <= 1")
+def near_match_suggestions(t):
+    return textsearch.near_matches(t.part, "p_brand", "Brand#1x", 1)
+
+
+@query("""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents), p AS (SELECT doc_id, i - 1 AS passage, parts[i] AS passage_text, coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x) + 1)), 0) AS start FROM d, unnest(range(1, len(parts) + 1)) AS u(i))
+SELECT doc_id, passage, start, length(passage_text) AS n, sha256(passage_text) AS sha FROM p WHERE passage_text <> ''""")
+def document_passages(t):
+    p = textsearch.passages(t.documents.select("doc_id", "text"), "doc_id", "text")
+    return p.select("doc_id", "passage", "start", F.length("passage_text").alias("n"), F.sha2(c("passage_text").cast("binary"), 256).alias("sha"))
+
+
+# metrics and unions -----------------------------------------------------------------------------------------------
+
+
+def _values(t):
+    a = t.customer.select(F.lit("customer").alias("family"), F.lit("balance").alias("metric"), c("c_custkey").alias("id"), F.when(c("c_custkey") % 9 != 0, c("c_acctbal")).alias("value"), c("c_mktsegment").alias("currency"))
+    b = t.supplier.select(F.lit("supplier").alias("family"), F.lit("balance").alias("metric"), c("s_suppkey").alias("id"), c("s_acctbal").alias("value"), F.lit("S").alias("currency"))
+    p = t.part.select(F.lit("part").alias("family"), F.lit("balance").alias("metric"), c("p_partkey").alias("id"), c("p_retailprice").alias("value"), F.lit("P").alias("currency"))
+    return a.unionByName(b).unionByName(p)
+
+
+def _judged(t):
+    registry = t.spark.createDataFrame([("customer", "balance", True, True, True, None), ("supplier", "balance", True, True, True, None), ("part", "balance", False, False, False, None)], metrics.REGISTRY)
+    return metrics.eligibility(_values(t), registry.drop("currency"))
+
+
+VALUES = """v AS (SELECT 'customer' AS family, c_custkey AS id, CASE WHEN c_custkey % 9 <> 0 THEN c_acctbal END AS value, c_mktsegment AS currency FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_acctbal, 'S' FROM supplier UNION ALL SELECT 'part', p_partkey, p_retailprice, 'P' FROM part),
+j AS (SELECT *, CASE WHEN family = 'part' THEN 'unsupported' WHEN value IS NULL THEN 'missing' WHEN value = 0 THEN 'zero' WHEN value < 0 THEN 'negative' END AS exclusion FROM v)"""
+
+
+@query(f"WITH {VALUES} SELECT family, id, exclusion FROM j")
+def metric_eligibility(t):
+    return _judged(t).select("family", "id", "exclusion")
+
+
+@query(f"WITH {VALUES} SELECT family, 'balance' AS metric, count(*) AS total, count(value) AS populated, count(*) FILTER (exclusion IS NULL) AS n_eligible, count(*) FILTER (exclusion IS NOT NULL) AS excluded FROM j GROUP BY family")
+def cohort_denominators(t):
+    return metrics.denominators(_judged(t))
+
+
+@query(f"WITH {VALUES} SELECT family, coalesce(exclusion, 'none') AS exclusion, count(*) AS n FROM j GROUP BY ALL")
+def metric_registry(t):
+    return _judged(t).groupBy("family", F.coalesce("exclusion", F.lit("none")).alias("exclusion")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {VALUES} SELECT currency, id, rank FROM (SELECT currency, id, row_number() OVER (PARTITION BY currency ORDER BY value DESC, id) AS rank FROM j WHERE exclusion IS NULL) WHERE rank <= 5")
+def rank_metric_topk(t):
+    return metrics.ranked(_judged(t), "id", 5, ["metric", "currency"]).select("currency", "id", "rank")
+
+
+@query(f"WITH {VALUES} SELECT family, id, round(value, 6) AS value FROM (SELECT *, row_number() OVER (ORDER BY value DESC, id) AS rank FROM j WHERE exclusion IS NULL) WHERE rank <= 50")
+def cross_family_rank(t):
+    return _judged(t).where("eligible").orderBy(F.desc("value"), "id").limit(50).select("family", "id", F.round("value", 6).alias("value"))
+
+
+@query("SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN true WHEN '2-HIGH' THEN true WHEN '3-MEDIUM' THEN false END AS meets FROM orders")
+def scale_comparison(t):
+    scale = t.spark.createDataFrame([("1-URGENT", 3), ("2-HIGH", 2), ("3-MEDIUM", 1)], "code string, place int")
+    return metrics.scaled(t.orders.select("o_orderkey", "o_orderpriority"), scale, "o_orderpriority", "2-HIGH").select("o_orderkey", "meets")
+
+
+@query("SELECT 'customer' AS kind, c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier UNION ALL SELECT 'part', p_partkey, p_name FROM part")
+def entity_union(t):
+    one = lambda df, kind, k, n: df.select(F.lit(kind).alias("kind"), c(k).alias("id"), c(n).alias("name"))
+    return one(t.customer, "customer", "c_custkey", "c_name").unionByName(one(t.supplier, "supplier", "s_suppkey", "s_name")).unionByName(one(t.part, "part", "p_partkey", "p_name"))
