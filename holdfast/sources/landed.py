@@ -10,8 +10,8 @@ from holdfast.functions import scalars as S
 HOLDINGS = "fund_isin string, constituent_isin string, constituent_name string, weight double, as_of date, source_quantity double, source_currency string, source_market_value double, weight_source string, identifier_method string, published_at timestamp, source_document_id string, source_url string, evidence_basis string, source_row_id string"
 CROSSWALK = "entity_kind string, local_key_type string, local_key string, local_name string, standard_id_type string, standard_id string, standard_name string, source_url string, reviewed_by string, reviewed_at string"
 MANIFEST = "run_id string, source string, phase string, window_date date, batch_id string, status string, document_id string, target string, sha256 string, n_records long, published_at timestamp, message string"
-POSITION = "name string, title string, cusip string, balance string, units string, curCd string, valUSD string, pctVal string, isin string, identifiers struct<isin: struct<_value: string>>, currencyConditional struct<_curCd: string>"
-FILING = f"formData struct<genInfo: struct<reportDate: string, periodOfReport: string, repPdDate: string>, fundInfo: struct<invstOrSecs: struct<invstOrSec: array<struct<{POSITION.replace(' string', ': string').replace(' struct<', ': struct<')}>>>>>"
+POSITION = "name: string, title: string, cusip: string, balance: string, units: string, curCd: string, valUSD: string, pctVal: string, isin: string, identifiers: struct<isin: struct<_value: string>>, currencyConditional: struct<_curCd: string>"
+FILING = f"formData struct<genInfo: struct<reportDate: string, periodOfReport: string, repPdDate: string>, fundInfo: struct<invstOrSecs: struct<invstOrSec: array<struct<{POSITION}>>>>>"
 
 # Headers of baskets, as they are compared, and what they mean
 BASKET_HEADERS = {
@@ -56,9 +56,11 @@ def strict_json(lines: DataFrame, value: str, schema: str, keys: list[str]) -> D
 def basket_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """(document, row_number, the eight columns as text) of baskets under any known headers; others are left out.
 
-    One header is read for each file, so files of different headers may lie together. Row numbers start at 2.
+    One header is read for each file, so files of different headers may lie together. Row numbers start at 2. For
+    ``MS949`` the session needs spark.sql.legacy.javaCharsets.
     """
-    lines = spark.read.option("encoding", encoding).option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("document"), F.split(F.regexp_replace("value", "^﻿", ""), "\r?\n").alias("lines"))
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("document"), F.decode("content", encoding).alias("value"))
+    lines = files.select("document", F.split(F.regexp_replace("value", "^\ufeff", ""), "\r?\n").alias("lines"))
     rows = lines.select("document", F.posexplode(F.filter("lines", lambda x: F.trim(x) != "")).alias("i", "line"))
     cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), F.col("line")), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1)), lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"')))
     rows = rows.withColumn("cells", cells)
