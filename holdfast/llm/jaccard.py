@@ -270,27 +270,36 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pair = lambda df, x, y: df.select(F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(f"{x}.node", f"{y}.node").alias("b")).distinct()
     stars = pair(stars.where(F.col("x.node") != F.col("y.node")).where(join.possible("x", "y")), "x", "y")
     links = materialise(join.verified(stars), "jaccard-links")
-    posts = posts.select("gram", "salt", "node", "size", "place").join(classes.select("node", *SIGNS), "node")
+    signs = classes.select("node", *SIGNS)
+
+    def between(postings: DataFrame, parts: DataFrame, name: str) -> DataFrame:
+        """The postings, with their components, of the n-grams that more than one component has."""
+        at = postings.drop("part").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+        at = materialise(at, name)
+        split = at.groupBy("gram").agg(F.min("part").alias("_least"), F.max("part").alias("_most")).where("_least < _most").select("gram")
+        return at.join(split, "gram", "left_semi")
 
     # once more, neighbours in a random order, where components still differ
-    placed = materialise(posts.join(connected(links), "node", "left").withColumn("part", F.coalesce("part", "node")), "jaccard-placed")
-    kept = F.struct("size", "node", "place", "part", *SIGNS)
-    near = placed.select(kept.alias("x"), F.lag(kept).over(Window.partitionBy("gram", "salt").orderBy(F.xxhash64("node"), "node")).alias("y"))
+    placed = between(posts.select("gram", "salt", "node", "size", "place"), connected(links), "jaccard-placed")
+    whole = placed.join(signs, "node").select("gram", "salt", F.struct("size", "node", "place", "part", *SIGNS).alias("x"))
+    near = whole.withColumn("y", F.lag("x").over(Window.partitionBy("gram", "salt").orderBy(F.xxhash64("x.node"), "x.node")))
     near = pair(near.where("x.part <> y.part").where(join.possible("x", "y") & join.alike("x", "y")), "x", "y")
     links = materialise(links.unionByName(join.verified(near)), "jaccard-links")
 
-    # candidates between components, by the components of each n-gram
-    placed = materialise(posts.join(connected(links), "node", "left").withColumn("part", F.coalesce("part", "node")), "jaccard-placed")
+    # candidates between components, by the components of each n-gram; a component's only posting is known at once
+    placed = materialise(between(placed, connected(links), "jaccard-placed").join(signs, "node"), "jaccard-between")
     alone = lambda c: F.when(F.count("*") == 1, F.min(c)).alias(c)
     by_part = placed.groupBy("gram", "part").agg(F.min("size").alias("least"), F.max("size").alias("most"), *map(alone, ["size", "place", *SIGNS]))
-    split = by_part.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram")
-    by_part = materialise(by_part.join(split, "gram", "left_semi"), "jaccard-parts")
+    by_part = materialise(by_part, "jaccard-parts")
     x, y = by_part.alias("x"), by_part.alias("y")
+    allowed = lambda a, b: F.coalesce(join.possible(a, b) & join.alike(a, b), F.lit(True))
     near = (F.col("x.part") < F.col("y.part")) & (den * F.col("x.most") >= num * F.col("y.least")) & (den * F.col("y.most") >= num * F.col("x.least"))
-    near &= F.coalesce(join.possible("x", "y") & join.alike("x", "y"), F.lit(True))
-    crossing = x.join(y, (F.col("x.gram") == F.col("y.gram")) & near).select(F.col("x.gram").alias("gram"), F.col("x.part").alias("x_part"), F.col("y.part").alias("y_part"))
-    post = lambda s: placed.select("gram", F.col("part").alias(f"{s}_part"), F.struct("node", "size", "place", *SIGNS).alias(s))
-    shared = crossing.join(post("x"), ["gram", "x_part"]).join(post("y"), ["gram", "y_part"]).where(join.possible("x", "y") & join.alike("x", "y"))
+    only = lambda s: F.struct(*[f"{s}.{c}" for c in ("size", "place", *SIGNS)]).alias(f"{s}_only")
+    crossing = x.join(y, (F.col("x.gram") == F.col("y.gram")) & near & allowed("x", "y")).select(F.col("x.gram").alias("gram"), F.col("x.part").alias("x_part"), F.col("y.part").alias("y_part"), only("y"))
+    post = lambda s: placed.select(F.col("gram").alias(f"{s}_gram"), F.col("part").alias(f"{s}_at"), F.struct("node", "size", "place", *SIGNS).alias(s))
+    same = lambda s: (F.col("gram") == F.col(f"{s}_gram")) & (F.col(f"{s}_part") == F.col(f"{s}_at"))
+    shared = crossing.join(post("x"), same("x") & allowed("x", "y_only")).select("gram", "y_part", "x")
+    shared = shared.join(post("y"), same("y") & join.possible("x", "y") & join.alike("x", "y"))
     # all shared n-grams beyond those of both prefixes lie behind the prefix of the class that ends first
     met = shared.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.col("x.size").cast("long").alias("x_size"), F.col("y.size").cast("long").alias("y_size"))
     met = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.min(F.least("x_size", "y_size")).alias("x_size"), F.min(F.greatest("x_size", "y_size")).alias("y_size"), F.max(F.greatest("x_size", "y_size")).alias("most_size"))

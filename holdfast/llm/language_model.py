@@ -69,8 +69,8 @@ def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def _pair_shard(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
-    """A first word's pairs go to 16 shards at most, by the second word's upper bits."""
-    return (T.mix(first ^ (second >> np.uint64(60))) % np.uint64(shards)).astype(np.int64)
+    """A first word's pairs go to 8 shards at most, by the second word's upper bits."""
+    return (T.mix(first ^ (second >> np.uint64(61))) % np.uint64(shards)).astype(np.int64)
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -81,35 +81,52 @@ def _runs(keys: np.ndarray) -> np.ndarray:
 def _count_pairs(shards: int, chunk: int):
     """One row for each chunk and shard: the packed pairs (first words, second words, counts)."""
 
-    def flush(held):
-        first, second = (np.concatenate(x) for x in zip(*held, strict=True))
+    def flush(first, second):
         key = _pair_hash(first, second)
         order = np.argsort(key)
         at = _runs(key[order])
         n = np.diff(np.append(at, len(key))).astype("<u4")
-        first, second = first[order[at]], second[order[at]]
+        order = order[at]
+        first, second = first[order], second[order]
         shard = _pair_shard(first, second, shards)
         order = np.argsort((shard.astype(np.uint64) << np.uint64(40)) | (first >> np.uint64(24)))
         first, second, n, shard = first[order], second[order], n[order], shard[order]
         cuts = np.append(_runs(shard), len(shard))
-        packed = [first[a:b].tobytes() + second[a:b].tobytes() + n[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        packed = [_pack(first[a:b], second[a:b], n[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]].astype(np.int32)), pa.array(packed, pa.binary())], ["shard", "block"])
 
     def run(batches):
-        held, size = [], 0
+        first, second, size = np.empty(chunk, np.uint64), np.empty(chunk, np.uint64), 0
         for batch in batches:
             for _, tokens, at in tokens_of(batch.column("text")):
-                held.append((before(tokens, at), tokens))
-                size += len(tokens)
-                if size >= chunk:
-                    yield flush(held)
-                    held, size = [], 0
-        if held:
-            yield flush(held)
+                prior = before(tokens, at)
+                for a in range(0, len(tokens), chunk):  # a very long text may exceed a chunk by itself
+                    k = min(chunk, len(tokens) - a)
+                    if size + k > chunk:
+                        yield flush(first[:size], second[:size])
+                        size = 0
+                    first[size : size + k], second[size : size + k] = prior[a : a + k], tokens[a : a + k]
+                    size += k
+        if size:
+            yield flush(first[:size], second[:size])
 
     return run
 
 
+def _pack(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> bytes:
+    """Pairs in order of their first words, each of which stands once with the length of its run."""
+    at = _runs(first)
+    sizes = np.diff(np.append(at, len(first)))
+    return np.array([len(first), len(at)], "<u8").tobytes() + first[at].tobytes() + second.tobytes() + sizes.astype("<u4").tobytes() + n.tobytes()
+
+
+def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    k, m = np.frombuffer(block, "<u8", 2).tolist()
+    first, second = np.frombuffer(block, "<u8", m, 16), np.frombuffer(block, "<u8", k, 16 + 8 * m)
+    sizes, n = np.frombuffer(block, "<u4", m, 16 + 8 * (m + k)), np.frombuffer(block, "<u4", k, 16 + 8 * (m + k) + 4 * m)
+    return np.repeat(first, sizes), second, n
+
+
 def _put(folder: str, name: str, *arrays: np.ndarray) -> None:
     """Write arrays one behind the other; a repeated task replaces the file by an equal one."""
     url = urlparse(folder)
@@ -157,13 +174,8 @@ def _merge_pairs(folder: str, word_shards: int):
 
     def run(key, data):
         shard = key[0].as_py()
-        first, second, n = [], [], []
-        for block in data.column("block").to_pylist():
-            k = len(block) // 20
-            first.append(np.frombuffer(block, "<u8", k))
-            second.append(np.frombuffer(block, "<u8", k, 8 * k))
-            n.append(np.frombuffer(block, "<u4", k, 16 * k))
-        first, second, n = np.concatenate(first), np.concatenate(second), np.concatenate(n).astype(np.int64)
+        first, second, n = (np.concatenate(x) for x in zip(*(_unpack(b.as_buffer()) for b in data.column("block")), strict=True))
+        n = n.astype(np.int64)
         pair = _pair_hash(first, second)
         order = np.argsort(pair)
         at = _runs(pair[order])
@@ -335,7 +347,7 @@ def _exists(folder: str, name: str) -> bool:
     return store.get_file_info(path).type == fs.FileType.File
 
 
-def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = 8 << 20, chunk: int = 1 << 20) -> Model:
+def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = 8 << 20, chunk: int = 5 << 19) -> Model:
     """Count all of ``docs``. The number of shards follows from the bytes of text; a task holds ``chunk`` tokens."""
     rows = pick(docs, text=text_col)
     spark = docs.sparkSession
