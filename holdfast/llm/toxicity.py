@@ -160,8 +160,11 @@ def _evidence(model: Model):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 10_000, prior: float = 500.0, least_z: float = 4.0, most_features: int = 100_000, drift: float = 0.5) -> Model | None:
-    """Fit on at most ``per_class`` labelled rows of each class; ``most_features`` and two numbers a row come to the driver."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 10_000, prior: float = 0.3, least_z: float = 3.5, most_features: int = 100_000, drift: float = 0.5) -> Model | None:
+    """Fit on at most ``per_class`` labelled rows of each class; ``most_features`` and two numbers a row come to the driver.
+
+    ``prior`` is the prior's weight as a share of the smaller class.
+    """
     spark = docs.sparkSession
     named = pick(labels, id=id_col, toxic=label_col).where("id is not null and toxic in (0, 1)").distinct()
     chosen, counts = bounded(named, "toxic", F.col("id"), per_class)
@@ -175,6 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return None
     # texts stand for the words' totals: presence in n texts of either class
     nt, nc = float(n[1]), float(n[0])
+    prior = max(1.0, prior * min(nt, nc))
     a = (F.col("t") / nt + F.col("c") / nc) / 2 * prior + 0.01
     t, c = F.col("t") + a, F.col("c") + a
     odds = F.log(t / (nt + prior - t + 1)) - F.log(c / (nc + prior - c + 1))
