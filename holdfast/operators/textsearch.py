@@ -52,3 +52,12 @@ def passages(docs: DataFrame, key: str, text: str, separator: str = "\n") -> Dat
 def raw_field(raw: Column, name: str) -> Column:
     """A raw field by its case-sensitive name."""
     return F.try_element_at(raw, F.lit(name))
+
+
+def vector_topk(rows: DataFrame, key: str, vector: str, given: list[float], k: int) -> DataFrame:
+    """(key, similarity): the k rows of largest cosine similarity to one given vector; ties by key. Zero and null vectors have none."""
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    q = F.array(*[F.lit(float(x)) for x in given])
+    own = F.sqrt(dot(F.col(vector), F.col(vector)))
+    scored = rows.where(F.size(vector) == len(given)).select(key, F.try_divide(dot(F.col(vector), q), own * F.sqrt(dot(q, q))).alias("similarity"))
+    return scored.where("similarity is not null").orderBy(F.desc("similarity"), key).limit(k)

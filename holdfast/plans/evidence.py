@@ -132,6 +132,12 @@ def document_passages(t):
     return p.select("doc_id", "passage", "start", F.length("passage_text").alias("n"), F.sha2(c("passage_text").cast("binary"), 256).alias("sha"))
 
 
+@query("WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings ORDER BY vec_id LIMIT 1) SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 6) AS similarity FROM embeddings, q ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) DESC, vec_id LIMIT 20")
+def vector_topk(t):
+    given = t.embeddings.orderBy("vec_id").select("embedding").first()[0]
+    return textsearch.vector_topk(t.embeddings, "vec_id", "embedding", given, 20).select("vec_id", F.round("similarity", 6).alias("similarity"))
+
+
 # metrics and unions -----------------------------------------------------------------------------------------------
 
 
