@@ -269,6 +269,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stars = posts.select(me.alias("x"), F.explode(F.array("lead", "prev")).alias("y")).unionByName(leads.join(top, "gram").select(F.col("lead").alias("x"), F.col("top").alias("y")))
     pair = lambda df, x, y: df.select(F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(f"{x}.node", f"{y}.node").alias("b")).distinct()
     stars = pair(stars.where(F.col("x.node") != F.col("y.node")).where(join.possible("x", "y")), "x", "y")
+    sign = lambda s, x: classes.select(F.col("node").alias(s), F.struct("size", *SIGNS).alias(x))
+    stars = stars.join(sign("a", "x"), "a").join(sign("b", "y"), "b").where(join.alike("x", "y")).select("a", "b").distinct()
     links = materialise(join.verified(stars), "jaccard-links")
     signs = classes.select("node", *SIGNS)
 
