@@ -36,8 +36,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a Python task gets at once, where the session has Spark's default of 10,000: texts are long.
+BATCH_ROWS = 1000
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers look for this package where the driver found it, if nothing else tells them."""
+    """Let Python workers look for this package where the driver found it, and get batches fit for long texts."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     home, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if home not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, home]))

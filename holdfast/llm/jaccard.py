@@ -136,23 +136,19 @@ def _prefixes(n: int, num: int, den: int, bits: int, counts, usual: int, hot: in
         table = counts.value
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            grams, owners, sizes, places, salts = [], [], [], [], []
             for lo, flat, at in sets_of(batch.column("text"), n):
                 often = table[(flat >> np.uint64(64 - bits)).astype(np.int64)]
                 size = np.diff(at)
                 doc = np.repeat(np.arange(len(size)), size)
                 order = np.lexsort((flat, often, doc))
-                keep = np.arange(len(flat)) - np.repeat(at[:-1], size) < np.repeat(size - -(-num * size // den) + 1, size)
+                place = np.arange(len(flat)) - np.repeat(at[:-1], size)
+                keep = place < np.repeat(size - -(-num * size // den) + 1, size)
                 chosen = order[keep]
-                grams.append(flat[chosen])
-                owners.append(ids[lo + doc[chosen]])
-                sizes.append(size[doc[chosen]])
-                places.append((np.arange(len(flat)) - np.repeat(at[:-1], size))[keep])
+                owner = ids[lo + doc[chosen]]
                 deal = np.maximum(0, often[chosen] - usual) // hot
-                salts.append(np.where(deal > 0, (T.mix(owners[-1].astype(np.uint64)) % (1 + deal).astype(np.uint64)).astype(np.int64), -1))
-            if grams:
+                salt = np.where(deal > 0, (T.mix(owner.astype(np.uint64)) % (1 + deal).astype(np.uint64)).astype(np.int64), -1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(owners), pa.int64()), pa.array(np.concatenate(sizes), pa.int32()), pa.array(np.concatenate(places), pa.int32()), pa.array(np.concatenate(salts).astype(np.int32))],
+                    [pa.array(flat[chosen].view(np.int64)), pa.array(owner, pa.int64()), pa.array(size[doc[chosen]], pa.int32()), pa.array(place[keep], pa.int32()), pa.array(salt.astype(np.int32))],
                     ["gram", "node", "size", "place", "salt"],
                 )
 
