@@ -37,6 +37,8 @@ from .common import materialise, pick
 from .components import connected
 
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Words of 64 parities that pairs are compared by before whole sets are.
+_WIDE = 64
 #: Columns of 64 parities each: a bit tells whether an odd number of a set's n-grams fall to it. Two sets differ in as
 #: many n-grams as their parities do, at least.
 SIGNS = [f"sign{i}" for i in range(8)]
@@ -92,12 +94,12 @@ def _profile(n: int, bits: int):
     return run
 
 
-def _parities(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    bits = 64 * len(SIGNS)
+def _parities(flat: np.ndarray, at: np.ndarray, words: int = len(SIGNS)) -> np.ndarray:
+    bits = 64 * words
     size = np.diff(at)
     place = np.repeat(np.arange(len(size)), size) * bits + (flat % np.uint64(bits)).astype(np.int64)
     odd = (np.bincount(place, minlength=bits * len(size)) & 1).astype(np.uint8)
-    return np.packbits(odd).view("<i8").reshape(len(size), len(SIGNS))
+    return np.packbits(odd).view("<i8").reshape(len(size), words)
 
 
 def _packed(counts: np.ndarray) -> bytes:
@@ -158,10 +160,11 @@ def _prefixes(n: int, num: int, den: int, bits: int, counts, usual: int, hot: in
 def _full_sets(n: int, bands: int):
     def run(batches):
         for batch in batches:
-            flats, at_all, hists = [], [np.zeros(1, np.int64)], []
+            flats, at_all, hists, wide = [], [np.zeros(1, np.int64)], [], []
             for _, flat, at in sets_of(batch.column("text"), n):
                 flats.append(flat)
                 at_all.append(at[1:] + at_all[-1][-1])
+                wide += [x.tobytes() for x in _parities(flat, at, _WIDE)]
                 size = np.diff(at)
                 doc = np.repeat(np.arange(len(size)), size)
                 hists.append(np.bincount(doc * bands + (flat % np.uint64(bands)).astype(np.int64), minlength=bands * len(size)).reshape(-1, bands))
@@ -170,18 +173,33 @@ def _full_sets(n: int, bands: int):
             rows = len(batch)
             hist = np.concatenate(hists).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate(at_all), pa.int32()), pa.array(np.concatenate(flats).view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * bands, pa.int32()), pa.array(hist.ravel()))],
-                ["node", "grams", "bands"],
+                [batch.column("id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate(at_all), pa.int32()), pa.array(np.concatenate(flats).view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * bands, pa.int32()), pa.array(hist.ravel())), pa.array(np.diff(np.concatenate(at_all))), pa.array(wide, pa.binary())],
+                ["node", "grams", "bands", "size", "wide"],
             )
 
     return run
 
 
+def _near(num: int, den: int):
+    """The pairs that their sets' wide parities allow."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), _WIDE) for c in ("a_wide", "b_wide"))
+            differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+            both = batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(differ <= both - 2 * -(-num * both // (num + den)), pa.bool_()))
+
+    return run
+
+
 def _verify(num: int, den: int):
     """Exact comparison; what the bands of the hashes rule out is not intersected (suffix filter)."""
 
     def run(batches):
         for batch in batches:
+            if not len(batch):
+                continue
             left, right = batch.column("a_grams"), batch.column("b_grams")
             a_at, b_at = left.offsets.to_numpy(), right.offsets.to_numpy()
             a_all, b_all = left.values.to_numpy().view(np.uint64), right.values.to_numpy().view(np.uint64)
@@ -211,8 +229,11 @@ class _Join:
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         if pairs.count() * 2 <= self.small:
             nodes = F.broadcast(nodes)
-        sets = self.classes.join(nodes, "node", "left_semi").select(F.col("node").alias("id"), "text").mapInArrow(_full_sets(self.n, self.bands), "node long, grams array<long>, bands array<int>")
+        sets = self.classes.join(nodes, "node", "left_semi").select(F.col("node").alias("id"), "text").mapInArrow(_full_sets(self.n, self.bands), "node long, grams array<long>, bands array<int>, size long, wide binary")
         sets = materialise(sets, "jaccard-sets")
+        # long sets are told apart by more parities, before whole sets are sent to their pairs
+        thin = lambda s: sets.select(F.col("node").alias(s), F.col("size").alias(f"{s}_size"), F.col("wide").alias(f"{s}_wide"))
+        pairs = pairs.join(thin("a"), "a").join(thin("b"), "b").mapInArrow(_near(self.num, self.den), "a long, b long").distinct()
         side = lambda s: sets.select(F.col("node").alias(s), F.col("grams").alias(f"{s}_grams"), F.col("bands").alias(f"{s}_bands"))
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(self.num, self.den), "a long, b long")
 
