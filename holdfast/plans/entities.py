@@ -194,16 +194,36 @@ def optional_projection(t):
     return t.customer.join(t.orders.where("o_orderpriority = '1-URGENT'"), c("c_custkey") == c("o_custkey"), "left").select("c_custkey", "o_orderkey")
 
 
+def _asof(t, events):
+    last = observe.at_or_before(t.orders, "o_custkey", "o_orderdate", "o_orderkey", F.lit("1998-01-01").cast("timestamp_ntz"))
+    return events.select("event_id", "user_id").distinct().join(last, c("user_id") == c("o_custkey")).select("event_id", "o_orderkey")
+
+
+def _holders(t, lines):
+    held = lines.join(t.orders, c("l_orderkey") == c("o_orderkey"))
+    return held.groupBy(c("l_partkey").alias("security"), c("o_custkey").alias("fund"), c("o_orderdate").cast("date").alias("as_of")).agg(F.round(F.sum("l_extendedprice"), 4).alias("exposure"))
+
+
 @query("SELECT e.event_id, o.o_orderkey FROM (SELECT DISTINCT event_id, user_id FROM events WHERE event_id % 10 = 0) e JOIN (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS k FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01') o ON e.user_id = o.o_custkey AND k = 1")
 def asof_holdings_aum(t):
-    last = observe.at_or_before(t.orders, "o_custkey", "o_orderdate", "o_orderkey", F.lit("1998-01-01").cast("timestamp_ntz"))
-    return t.events.where("event_id % 10 = 0").select("event_id", "user_id").distinct().join(last, c("user_id") == c("o_custkey")).select("event_id", "o_orderkey")
+    """Of every tenth event; asof_holdings_aum_all has all of them."""
+    return _asof(t, t.events.where("event_id % 10 = 0"))
+
+
+@query("SELECT e.event_id, o.o_orderkey FROM (SELECT DISTINCT event_id, user_id FROM events) e JOIN (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS k FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01') o ON e.user_id = o.o_custkey AND k = 1")
+def asof_holdings_aum_all(t):
+    return _asof(t, t.events)
 
 
 @query("SELECT l_partkey AS security, o_custkey AS fund, CAST(o_orderdate AS DATE) AS as_of, round(sum(l_extendedprice), 4) AS exposure FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 50 = 1 GROUP BY ALL")
 def holders_of_security(t):
-    held = t.lineitem.where("l_partkey % 50 = 1").join(t.orders, c("l_orderkey") == c("o_orderkey"))
-    return held.groupBy(c("l_partkey").alias("security"), c("o_custkey").alias("fund"), c("o_orderdate").cast("date").alias("as_of")).agg(F.round(F.sum("l_extendedprice"), 4).alias("exposure"))
+    """Of every fiftieth security; holders_of_security_all has all of them."""
+    return _holders(t, t.lineitem.where("l_partkey % 50 = 1"))
+
+
+@query("SELECT l_partkey AS security, o_custkey AS fund, CAST(o_orderdate AS DATE) AS as_of, round(sum(l_extendedprice), 4) AS exposure FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
+def holders_of_security_all(t):
+    return _holders(t, t.lineitem)
 
 
 @query("""WITH h AS (SELECT DISTINCT o_custkey AS fund, o_orderpriority AS item, year(o_orderdate) AS snap FROM orders),
