@@ -17,6 +17,9 @@ The method is a prefix-filtered set join:
    Pairs inside a component need no look: they can't change the result. Length and positional filters and a filter
    on the whole sets' parities thin the candidates before they are made; those left are counted by shared prefix
    n-grams, and each is verified once: a suffix filter on bands of hashes comes before the full comparison.
+7. Where links are asked for, all pairs of classes inside each component are compared, exactly. A component's classes
+   are split by size and hash into blocks of bounded size; a task compares two blocks at a time. Linked classes are always
+   of one component and of the same or neighbouring size groups, so no link is lost.
 
 Defined cases: null or blank texts have no set, link with nothing and are their own component; rows that repeat
 a document id count as one document; a null id takes part in links, and is nobody's smallest id.
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -251,12 +255,15 @@ class _Join:
         return differ <= both - 2 * F.ceil(self.num * both / (self.num + self.den))
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) of each row; ``num / den`` is the least similarity.
+class _Groups(NamedTuple):
+    rows: DataFrame  #: id, size, digest of each row
+    classes: DataFrame  #: digest, node, size
+    members: DataFrame  #: node, text
+    parts: DataFrame  #: node, part of the classes that have a link, but those that name their part
+    components: DataFrame  #: digest, node, component
 
-    ``bits``: log2 of the table of counts, which alone is sent to the driver and broadcast (16 MB at 22).
-    ``hot``: counted occurrences of an n-gram per group of its postings. ``small_ids``: most ids to broadcast (16 MB).
-    """
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, bits: int, bands: int, hot: int, small_ids: int) -> _Groups:
     spark = docs.sparkSession
     rows = pick(docs, id=id_col, text=text_col)
     profile = materialise(rows.mapInArrow(_profile(n, bits), f"id long, size long, digest binary, {', '.join(f'{x} long' for x in SIGNS)}, block int, counts binary"), "jaccard-profile")
@@ -329,7 +336,183 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of_class = classes.join(parts, "node", "left").select("digest", "node", "first", F.coalesce("part", "node").alias("part"))
     smallest = of_class.groupBy("part").agg(F.min("first").alias("component"))
     of_class = materialise(of_class.join(smallest, "part").select("digest", "node", "component"), "jaccard-components")
-    return of_row.join(of_class, "digest", "left").select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"), F.coalesce("node", "id").alias("class_id"))
+    return _Groups(of_row, classes, members, parts, of_class)
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_id) of each row; ``num / den`` is the least similarity.
+
+    ``bits``: log2 of the table of counts, which alone is sent to the driver and broadcast (16 MB at 22).
+    ``hot``: counted occurrences of an n-gram per group of its postings. ``small_ids``: most ids to broadcast (16 MB).
+    """
+    groups = _grouped(docs, id_col, text_col, n, num, den, bits, bands, hot, small_ids)
+    return groups.rows.join(groups.components, "digest", "left").select(*_columns())
+
+
+def _columns() -> list:
+    return [F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"), F.coalesce("node", "id").alias("class_id")]
+
+
+def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000, block: int = 1024) -> DataFrame:
+    """The columns of similar_groups and ``n_links``: with how many other documents each one links, of its own class too.
+
+    Rows without an id count one by one; an id with several texts counts once for each. ``block``: classes of a component that are compared at a time.
+    """
+    groups = _grouped(docs, id_col, text_col, n, num, den, bits, bands, hot, small_ids)
+    weights = materialise(groups.rows.where("size > 0").groupBy("digest").agg((F.count_distinct("id") + F.count_if(F.col("id").isNull())).alias("weight")), "jaccard-weights")
+    two, more = _linked(groups, weights, n, num, den, block, small_ids, False)
+    counts = two.select(F.explode(F.array(F.struct("lo.digest", F.col("hi.weight").alias("n")), F.struct("hi.digest", F.col("lo.weight").alias("n")))).alias("x")).select("x.*").unionByName(more)
+    others = weights.join(counts.groupBy("digest").agg(F.sum("n").alias("n")), "digest", "left").select("digest", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("others"))
+    out = groups.rows.join(groups.components, "digest", "left").join(others, "digest", "left")
+    return out.select(*_columns(), F.coalesce("others", F.lit(0)).cast("long").alias("n_links"))
+
+
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000, block: int = 1024) -> DataFrame:
+    """(class_a, class_b): all links between different texts, by the class_id of similar_groups, the smaller first.
+
+    Documents of one class link with each other and share their class's links, so these pairs and class_id hold every link.
+    """
+    groups = _grouped(docs, id_col, text_col, n, num, den, bits, bands, hot, small_ids)
+    weights = groups.classes.select("digest", F.lit(1).cast("long").alias("weight"))
+    two, more = _linked(groups, weights, n, num, den, block, small_ids, True)
+    two = two.select(F.least("lo.node", "hi.node").alias("a"), F.greatest("lo.node", "hi.node").alias("b"))
+    return two.unionByName(more).distinct().select(F.col("a").alias("class_a"), F.col("b").alias("class_b"))
+
+
+def _linked(groups: _Groups, weights: DataFrame, n: int, num: int, den: int, block: int, small_ids: int, as_pairs: bool) -> tuple[DataFrame, DataFrame]:
+    """(lo, hi) of components of two classes, which are known to link; and of larger ones all pairs (a, b), or each class's sums (digest, n) of linked weights."""
+    # sizes of linked classes differ by den / num at most, so they fall to the same or neighbouring buckets
+    bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num * (1 + 1e-9)))).alias("bucket")
+    parts = groups.parts.union(groups.parts.select(F.col("part").alias("node"), "part").distinct())
+    at = parts.join(groups.classes.select("node", "digest", "size"), "node").join(weights, "digest").select("part", "node", "digest", "size", "weight", bucket)
+    at = materialise(at, "jaccard-linked")
+    one = F.struct("digest", "node", "weight")
+    by_part = at.groupBy("part").agg(F.count("*").alias("k"), F.min(one).alias("lo"), F.max(one).alias("hi"))
+    at = at.join(by_part.where("k > 2").select("part"), "part", "left_semi")
+    blocks = materialise(at.groupBy("part", "bucket").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / (block << 10))).alias("k")), "jaccard-blocks")
+    beside = lambda step, k: blocks.select("part", (F.col("bucket") - step).alias("bucket"), F.col("k").alias(k))
+    at = at.join(blocks, ["part", "bucket"]).join(beside(1, "above"), ["part", "bucket"], "left").join(beside(-1, "below"), ["part", "bucket"], "left")
+    own, mine = F.col("bucket"), F.pmod(F.xxhash64("digest"), F.col("k"))
+    to = lambda low, i, high, j, right: F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), right.alias("right"))
+    each = lambda k, f: F.when(F.col(k).isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col(k) - 1), f)).otherwise(F.array())
+    tasks = F.concat(
+        each("k", lambda j: to(own, F.least(mine, j), own, F.greatest(mine, j), mine > j)),
+        each("above", lambda j: to(own, mine, own + 1, j, F.lit(False))),
+        each("below", lambda j: to(own - 1, j, own, mine, F.lit(True))),
+    )
+    nodes = at.select("node").distinct()
+    nodes = F.broadcast(nodes) if groups.parts.count() <= small_ids else nodes
+    sets = groups.members.join(nodes, "node", "left_semi").select("text").mapInArrow(_marked_sets(n), "digest binary, grams array<long>, signs binary")
+    key = ["part", "low", "i", "high", "j"]
+    sent = at.select("part", "digest", "node", "weight", tasks.alias("tasks")).join(sets, "digest").select("part", "digest", "node", "weight", "grams", "signs", F.explode("tasks").alias("task")).select("part", "task.*", "digest", "node", "weight", "grams", "signs")
+    out = sent.repartition(*key).sortWithinPartitions(*key).mapInArrow(_inside(num, den, as_pairs), "a long, b long" if as_pairs else "digest binary, n long")
+    return by_part.where("k = 2").select("lo", "hi"), out
+
+
+def _marked_sets(n: int):
+    def run(batches):
+        for batch in batches:
+            for _, flat, at in sets_of(batch.column("text"), n):
+                data = flat.tobytes()
+                digests = [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
+                signs = [x.tobytes() for x in _parities(flat, at)]
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat.view(np.int64))), pa.array(signs, pa.binary())], ["digest", "grams", "signs"])
+
+    return run
+
+
+def _inside(num: int, den: int, as_pairs: bool):
+    """Of runs of rows with one key, two blocks of classes each: the pairs that link, or the sums of linked weights."""
+
+    def run(batches):
+        held, key = [], None
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "low", "i", "high", "j")], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            done = []
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if key is not None and tuple(keys[lo]) != key:
+                    done.append(_block_links(held, num, den, as_pairs))
+                    held = []
+                key = tuple(keys[lo])
+                held.append(batch.slice(lo, hi - lo))
+            yield from pa.Table.from_batches(done).combine_chunks().to_batches() if done else []
+        if held:
+            yield _block_links(held, num, den, as_pairs)
+
+    return run
+
+
+def _block_links(held: list, num: int, den: int, as_pairs: bool) -> pa.RecordBatch:
+    rows = {}  # a class once, however many rows its text has
+    for batch in held:
+        grams = batch.column("grams")
+        at, flat = grams.offsets.to_numpy(), grams.values.to_numpy().view(np.uint64)
+        cols = [batch.column(c).to_pylist() for c in ("digest", "node", "weight", "signs", "right")]
+        for k, (digest, node, weight, signs, right) in enumerate(zip(*cols, strict=True)):
+            rows.setdefault(digest, (right, node, weight, signs, flat[at[k] : at[k + 1]]))
+    same = batch.column("low")[0] == batch.column("high")[0] and batch.column("i")[0] == batch.column("j")[0]
+    left = [d for d, x in rows.items() if not x[0]]
+    right = left if same else [d for d, x in rows.items() if x[0]]
+    x, y = _linked_pairs([rows[d][1:] for d in left], [rows[d][1:] for d in right], same, num, den)
+    if as_pairs:
+        a, b = (np.array([rows[d][1] for d in side], np.int64)[k] for side, k in ((left, x), (right, y)))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+    wx, wy = (np.array([rows[d][2] for d in side], np.int64) for side in (left, right))
+    sums = [np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)]
+    np.add.at(sums[0], x, wy[y])
+    np.add.at(sums[1], y, wx[x])
+    return pa.RecordBatch.from_arrays([pa.array(left + right, pa.binary()), pa.array(np.concatenate(sums))], ["digest", "n"])
+
+
+def _linked_pairs(left: list, right: list, same: bool, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``left`` and ``right`` (node, weight, signs, grams) of the pairs that link; within one block each pair once."""
+    if not left or not right:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    nodes, sizes, signs = ([np.array([f(r) for r in side]) for side in (left, right)] for f in (lambda r: r[0], lambda r: len(r[3]), lambda r: np.frombuffer(r[2], np.uint64)))
+    xs, ys = [], []
+    for lo in range(0, len(left), 64):  # the parities of all pairs first
+        differ = np.bitwise_count(signs[0][lo : lo + 64, None] ^ signs[1][None]).sum(axis=2, dtype=np.int64)
+        both = sizes[0][lo : lo + 64, None] + sizes[1][None]
+        fit = (differ <= both - 2 * -(-num * both // (num + den))) & (nodes[0][lo : lo + 64, None] != nodes[1][None])
+        x, y = np.nonzero(np.triu(fit, lo + 1) if same else fit)
+        xs.append(x + lo)
+        ys.append(y)
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    if len(x) <= 4 * (len(left) + len(right)):
+        shared = np.array([len(np.intersect1d(left[a][3], right[b][3], assume_unique=True)) for a, b in zip(x, y, strict=True)], np.int64)
+    else:
+        shared = _overlaps([r[3] for r in left], [r[3] for r in right], same)[x, y]
+    keep = den * shared >= num * (sizes[0][x] + sizes[1][y] - shared)
+    return x[keep], y[keep]
+
+
+def _overlaps(left: list, right: list, same: bool, width: int = 4096) -> np.ndarray:
+    """The number of shared n-grams of each pair, by products of matrices over the n-grams that can be shared."""
+    if same:
+        grams, count = np.unique(np.concatenate(left), return_counts=True)
+        grams = grams[count > 1]
+    else:
+        grams = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    found = []
+    for side in (left,) if same else (left, right):
+        flat, row = np.concatenate(side), np.repeat(np.arange(len(side)), [len(g) for g in side])
+        place = np.searchsorted(grams, flat)
+        hit = (place < len(grams)) & (grams[np.minimum(place, len(grams) - 1)] == flat) if len(grams) else np.zeros(len(flat), bool)
+        order = np.argsort(place[hit], kind="stable")
+        found.append((place[hit][order], row[hit][order], len(side)))
+    out = np.zeros((len(left), len(right)), np.int64)
+    for lo in range(0, len(grams), width):
+        dense = []
+        for place, row, k in found:
+            a, b = np.searchsorted(place, (lo, lo + width))
+            m = np.zeros((k, min(width, len(grams) - lo)), np.float32)
+            m[row[a:b], place[a:b] - lo] = 1
+            dense.append(m)
+        out += (dense[0] @ dense[-1].T).astype(np.int64)  # exact: a product counts up to ``width``
+    return out
 
 
 def _with_digests(n: int):

@@ -40,7 +40,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+    return jaccard.with_links(table(spark, sf_dir, "documents"))
+
+
+def op3_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.links(table(spark, sf_dir, "documents"))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
