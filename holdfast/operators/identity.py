@@ -55,3 +55,9 @@ def name_only_pairs(rows: DataFrame, name: str, standard: str) -> DataFrame:
     named = rows.select(F.lower(name).alias("name"), F.col(standard).alias("id")).distinct()
     a, b = named.withColumnRenamed("id", "id_a"), named.withColumnRenamed("id", "id_b")
     return a.join(b, "name").where("id_a < id_b")
+
+
+def name_groups(rows: DataFrame, name: str, standard: str) -> DataFrame:
+    """(name, id, n_ids): the members of each name that several identifiers have, whatever its case; any two of them are a pair of name_only_pairs."""
+    named = rows.select(F.lower(name).alias("name"), F.col(standard).alias("id")).where("id is not null").distinct()
+    return named.join(named.groupBy("name").agg(F.count("*").alias("n_ids")).where("n_ids > 1"), "name").select("name", "id", "n_ids")

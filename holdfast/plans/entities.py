@@ -164,6 +164,12 @@ def name_only_merge(t):
     return identity.name_only_pairs(scoped, "scope", "p_partkey").select(F.substring_index("name", "\x00", 1).alias("name"), "id_a", "id_b")
 
 
+@query("SELECT name, id, n_ids FROM (SELECT name, id, count(*) OVER (PARTITION BY name) AS n_ids FROM (SELECT DISTINCT lower(p_name) AS name, p_partkey AS id FROM part WHERE p_name IS NOT NULL AND p_partkey IS NOT NULL)) WHERE n_ids > 1")
+def name_only_groups(t):
+    """All ids under one name, over all brands and sizes: membership, which holds every pair and grows with the table."""
+    return identity.name_groups(t.part, "p_name", "p_partkey")
+
+
 # joins ------------------------------------------------------------------------------------------------------------
 
 

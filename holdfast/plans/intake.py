@@ -47,6 +47,14 @@ def compute_missing(t):
     return I.missing(expected, log, ["target", "day"])
 
 
+@query(f"WITH {LOG}, g AS (SELECT DISTINCT target FROM log), d AS (SELECT DISTINCT day FROM log) SELECT g.target, d.day FROM g CROSS JOIN d WHERE NOT EXISTS (SELECT 1 FROM log x WHERE x.target = g.target AND x.day = d.day)")
+def compute_missing_all(t):
+    """Gaps on every day of the log; compute_missing looks at its first three days only."""
+    log = _log(t)
+    expected = log.select("target").distinct().crossJoin(F.broadcast(log.select("day").distinct()))
+    return I.missing(expected, log, ["target", "day"])
+
+
 @query(f"WITH {LOG}, r AS (SELECT DISTINCT target FROM log WHERE phase = 'READY' AND seq % 3 = 0), a AS (SELECT DISTINCT target, target % 5 AS source FROM log) SELECT a.source, count(*) AS n_targets, count(*) FILTER (r.target IS NULL) AS n_missing, coalesce(string_agg(CAST(CASE WHEN r.target IS NULL THEN a.target END AS VARCHAR), ',' ORDER BY a.target), '') AS missing FROM a LEFT JOIN r ON a.target = r.target GROUP BY a.source")
 def catch_up_report(t):
     log = _log(t)
