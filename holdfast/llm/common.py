@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable
 from pathlib import Path
 
@@ -14,26 +15,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: list[str] = []
+_PLACES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where the setting is absent (a local session, as in tests) a temporary folder stands in for it.
+    Only in a local session without the setting, as in tests, a temporary folder stands in for it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _OWN_DIR:
             _OWN_DIR.append(tempfile.mkdtemp(prefix="holdfast-"))
         base = f"file://{_OWN_DIR[0]}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PLACES[out] = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing still to be computed reads."""
+    for df in tables:
+        if (path := _PLACES.pop(df, None)) is not None:
+            remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 #: Rows that a Python task gets at once, where the session has Spark's default of 10,000: texts are long.

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 
 
-def connected(links: DataFrame, max_rounds: int = 40) -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """(node, part) for the nodes of ``links`` (a, b): part is the smallest node reachable.
 
     Each round is two aggregations over the remaining edges, written to the shared folder; the number of rounds
@@ -17,7 +17,7 @@ def connected(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     edges = materialise(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     if edges.isEmpty():
         return edges.select(F.col("u").alias("node"), F.col("v").alias("part"))
-    for _ in range(max_rounds):
+    while True:
         # large star: larger neighbours of u go to the smallest neighbour
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -28,7 +28,8 @@ def connected(links: DataFrame, max_rounds: int = 40) -> DataFrame:
         after = materialise(small, "stars")
         # settled when every node points at one node that points at none
         unsettled = after.groupBy("u").agg(F.count("*").alias("k")).where("k > 1").select("u").union(after.join(after.select(F.col("u").alias("v")).distinct(), "v", "left_semi").select("u"))
+        settled = unsettled.isEmpty()
+        release(edges)
         edges = after
-        if unsettled.isEmpty():
+        if settled:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("part"))
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

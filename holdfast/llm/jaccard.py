@@ -6,28 +6,30 @@ Two documents link when the Jaccard similarity of their sets reaches ``threshold
 
 The method is a prefix-filtered set join:
 
-1. One pass gives each document's set size and digest, and counts all n-grams of the corpus in a table of fixed
-   size by hash. (count, hash) is a total order of n-grams, rare ones first, whatever collides in the table.
-2. Documents of equal sets form one class; from here on there is one row per class.
+1. One pass gives each document's set size and the hash of its set, and counts all n-grams of the corpus in a table of
+   fixed size by hash. (count, hash) is a total order of n-grams, rare ones first, whatever collides in the table.
+2. Documents of equal sets form one class, named by the set's hash; from here on there is one row per class.
 3. Each class sends its prefix, the rarest ``n - ceil(t * n) + 1`` n-grams. Linked classes share at least one.
 4. First the classes of each n-gram are compared with its two lead classes only, so large groups of near copies
-   come together with a number of pairs in proportion to their size. Connected components follow.
-5. A second round compares neighbours in a random order of each n-gram's classes, where components still differ.
-6. Then every pair of classes that shares a prefix n-gram and lies in *different* components is a candidate.
-   Pairs inside a component need no look: they can't change the result. Length and positional filters and a filter
-   on the whole sets' parities thin the candidates before they are made; those left are counted by shared prefix
-   n-grams, and each is verified once: a suffix filter on bands of hashes comes before the full comparison.
+   come together with a number of pairs in proportion to their size. Connected components follow. Two rounds more compare
+   neighbours in a random order of each n-gram's classes, where components still differ.
+5. Then every pair of classes that shares a prefix n-gram and lies in *different* components is a candidate. A pair is
+   made at the first n-gram that both prefixes share: the positional filter counts nothing before the n-gram at hand,
+   and where both classes have the same shared n-gram just before it, that one has made the pair already. Pairs inside
+   a component need no look: they can't change the result.
+6. Candidates pass a suffix filter, a lower bound of the sets' Hamming distance from the parities of their n-grams by
+   hash; each of those left is verified once, in full.
 7. Where links are asked for, all pairs of classes inside each component are compared, exactly. A component's classes
    are split by size and hash into blocks of bounded size; a task compares two blocks at a time. Linked classes are always
    of one component and of the same or neighbouring size groups, so no link is lost.
 
 Defined cases: null or blank texts have no set, link with nothing and are their own component; rows that repeat
-a document id count as one document; a null id takes part in links, and is nobody's smallest id.
+a document id count as one document: all that any of its rows links with is of its component; a null id takes part in
+links, and is nobody's smallest id. Ids are integers or null.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -37,15 +39,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import materialise, pick
+from .common import materialise, pick, release
 from .components import connected
 
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
-#: Words of 64 parities that pairs are compared by before whole sets are.
+#: Words of 64 parities that pairs are compared by before whole sets are: a bit tells whether an odd number of a set's
+#: n-grams fall to it. Two sets differ in as many n-grams as their parities do, at least.
 _WIDE = 64
-#: Columns of 64 parities each: a bit tells whether an odd number of a set's n-grams fall to it. Two sets differ in as
-#: many n-grams as their parities do, at least.
-SIGNS = [f"sign{i}" for i in range(8)]
+#: Pairs whose texts are verified at once.
+_AT_ONCE = 32
 
 
 def sets_of(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -72,33 +74,53 @@ def sets_of(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarr
         yield lo, np.concatenate(each), np.cumsum([0, *map(len, each)])
 
 
+def set_hashes(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each sorted set; 0 for the empty one."""
+    size = np.diff(at)
+    out = np.zeros(len(size), np.uint64)
+    full = np.flatnonzero(size)
+    if len(full):
+        with np.errstate(over="ignore"):
+            place = np.arange(len(flat)) - np.repeat(at[:-1], size)
+            out[full] = T.mix(np.add.reduceat(T.mix(flat + place.astype(np.uint64) * _STEP), at[:-1][full]) * _STEP + size[full].astype(np.uint64))
+    return out
+
+
+def _nodes(flat: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The classes' names, below zero so that no document's id is one; null for empty sets."""
+    hashes = set_hashes(flat, at)
+    return pa.array((hashes | np.uint64(1 << 63)).view(np.int64), mask=np.diff(at) == 0)
+
+
+_PROFILE = "id long, size long, node long, block int, counts binary"
+
+
 def _profile(n: int, bits: int):
     """Rows of documents, and at each task's end its counts of n-grams by hash, in blocks."""
 
     def run(batches):
         counts = np.zeros(1 << bits, np.int64)
         for batch in batches:
-            ids, sizes, digests, signs, places = batch.column("id"), [], [], [], []
+            sizes, nodes, places = [], [], []
             for _, flat, at in sets_of(batch.column("text"), n):
                 places.append((flat >> np.uint64(64 - bits)).astype(np.int32))
-                signs.append(_parities(flat, at))
-                sizes += np.diff(at).tolist()
-                data = flat.tobytes()
-                digests += [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
-            if places:
-                counts += np.bincount(np.concatenate(places), minlength=1 << bits)
-            signs = np.concatenate(signs) if signs else np.zeros((0, len(SIGNS)), np.int64)
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *(pa.array(signs[:, i].copy()) for i in range(len(SIGNS))), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.binary())], ["id", "size", "digest", *SIGNS, "block", "counts"])
+                sizes.append(np.diff(at))
+                nodes.append(_nodes(flat, at))
+            if not sizes:
+                continue
+            counts += np.bincount(np.concatenate(places), minlength=1 << bits)
+            k = len(batch)
+            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.int64()), pa.array(np.concatenate(sizes), pa.int64()), pa.concat_arrays(nodes), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], ["id", "size", "node", "block", "counts"])
         blocks = counts.reshape(-1, 1 << min(bits, 14)).astype("<i8")
         full = [i for i in range(len(blocks)) if blocks[i].any()]
         if full:
-            k = len(full)
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), *[pa.nulls(k, pa.int64())] * len(SIGNS), pa.array(full, pa.int32()), pa.array([_packed(blocks[i]) for i in full], pa.binary())], ["id", "size", "digest", *SIGNS, "block", "counts"])
+            none = pa.nulls(len(full), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(full, pa.int32()), pa.array([_packed(blocks[i]) for i in full], pa.binary())], ["id", "size", "node", "block", "counts"])
 
     return run
 
 
-def _parities(flat: np.ndarray, at: np.ndarray, words: int = len(SIGNS)) -> np.ndarray:
+def _parities(flat: np.ndarray, at: np.ndarray, words: int = _WIDE) -> np.ndarray:
     bits = 64 * words
     size = np.diff(at)
     place = np.repeat(np.arange(len(size)), size) * bits + (flat % np.uint64(bits)).astype(np.int64)
@@ -130,62 +152,80 @@ def gram_counts(profile: DataFrame, bits: int) -> np.ndarray:
     blocks = max(1, (1 << bits) >> 14)
     parts = profile.where("block is not null").select("block", "counts").repartition("block").mapInArrow(_add_blocks, "block int, counts binary")
     out = np.zeros((blocks, (1 << bits) // blocks), np.int64)
-    for row in parts.collect():  # 2**bits counts at most
+    for row in parts.toLocalIterator():  # 2**bits counts at most, a partition at a time
         out[row["block"]] += _unpacked(bytes(row["counts"]))
-    return out.ravel()
+    out = out.ravel()
+    return out.astype(np.uint32) if out.max() < 1 << 32 else out
 
 
-def _prefixes(n: int, num: int, den: int, bits: int, counts, usual: int, hot: int):
-    """For each class: its prefix n-grams with their places. salt: one of the groups of a frequent n-gram, else -1."""
+def _prefixes(n: int, num: int, den: int, bits: int, counts, usual: int, hot: int, remembered: int = 1 << 16):
+    """For each class: its prefix n-grams with their places. salt: one of the groups of a frequent n-gram, else -1.
+
+    Of rows with equal sets a task sends one, as far as it remembers; the rest are dropped where the n-gram's rows meet.
+    """
 
     def run(batches):
-        table = counts.value
+        table, sent = counts.value, set()
         for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            for lo, flat, at in sets_of(batch.column("text"), n):
-                often = table[(flat >> np.uint64(64 - bits)).astype(np.int64)]
+            for _, flat, at in sets_of(batch.column("text"), n):
+                names = set_hashes(flat, at) | np.uint64(1 << 63)
+                fresh = np.zeros(len(names), bool)
+                for k, name in enumerate(names.tolist()):
+                    if at[k] < at[k + 1] and name not in sent:
+                        fresh[k] = True
+                        sent.add(name)
+                if len(sent) > remembered:
+                    sent.clear()
                 size = np.diff(at)
+                flat = flat[np.repeat(fresh, size)]
+                names, size = names[fresh].view(np.int64), size[fresh]
+                first = np.cumsum(size) - size
+                often = table[(flat >> np.uint64(64 - bits)).astype(np.int64)]
                 doc = np.repeat(np.arange(len(size)), size)
                 order = np.lexsort((flat, often, doc))
-                place = np.arange(len(flat)) - np.repeat(at[:-1], size)
+                place = np.arange(len(flat)) - np.repeat(first, size)
                 keep = place < np.repeat(size - -(-num * size // den) + 1, size)
                 chosen = order[keep]
-                owner = ids[lo + doc[chosen]]
-                deal = np.maximum(0, often[chosen] - usual) // hot
-                salt = np.where(deal > 0, (T.mix(owner.astype(np.uint64)) % (1 + deal).astype(np.uint64)).astype(np.int64), -1)
+                owner = names[doc[chosen]]
+                deal = np.maximum(0, often[chosen].astype(np.int64) - usual) // hot
+                salt = np.where(deal > 0, (T.mix(owner.view(np.uint64)) % (1 + deal).astype(np.uint64)).astype(np.int64), -1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat[chosen].view(np.int64)), pa.array(owner, pa.int64()), pa.array(size[doc[chosen]], pa.int32()), pa.array(place[keep], pa.int32()), pa.array(salt.astype(np.int32))],
+                    [pa.array(flat[chosen].view(np.int64)), pa.array(owner), pa.array(size[doc[chosen]], pa.int32()), pa.array(place[keep], pa.int32()), pa.array(salt.astype(np.int32))],
                     ["gram", "node", "size", "place", "salt"],
                 )
 
     return run
 
 
-def _full_sets(n: int, bands: int):
+def _with_nodes(n: int):
     def run(batches):
         for batch in batches:
-            flats, at_all, hists, wide = [], [np.zeros(1, np.int64)], [], []
+            nodes = [_nodes(flat, at) for _, flat, at in sets_of(batch.column("text"), n)]
+            if nodes:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(nodes), batch.column("text")], ["node", "text"])
+
+    return run
+
+
+def _thin(n: int):
+    """Each class's size and parities."""
+
+    def run(batches):
+        for batch in batches:
+            sizes, wide = [], []
             for _, flat, at in sets_of(batch.column("text"), n):
-                flats.append(flat)
-                at_all.append(at[1:] + at_all[-1][-1])
-                wide += [x.tobytes() for x in _parities(flat, at, _WIDE)]
-                size = np.diff(at)
-                doc = np.repeat(np.arange(len(size)), size)
-                hists.append(np.bincount(doc * bands + (flat % np.uint64(bands)).astype(np.int64), minlength=bands * len(size)).reshape(-1, bands))
-            if not flats:
-                continue
-            rows = len(batch)
-            hist = np.concatenate(hists).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").cast(pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate(at_all), pa.int32()), pa.array(np.concatenate(flats).view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * bands, pa.int32()), pa.array(hist.ravel())), pa.array(np.diff(np.concatenate(at_all))), pa.array(wide, pa.binary())],
-                ["node", "grams", "bands", "size", "wide"],
-            )
+                sizes.append(np.diff(at))
+                for lo in range(0, len(at) - 1, 256):
+                    some = at[lo : lo + 257]
+                    wide += [x.tobytes() for x in _parities(flat[some[0] : some[-1]], some - some[0])]
+            if sizes:
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(np.concatenate(sizes), pa.int64()), pa.array(wide, pa.binary())], ["node", "size", "wide"])
 
     return run
 
 
 def _near(num: int, den: int):
-    """The pairs that their sets' wide parities allow."""
+    """Suffix filter: the pairs that their sets' parities allow."""
 
     def run(batches):
         for batch in batches:
@@ -197,202 +237,229 @@ def _near(num: int, den: int):
     return run
 
 
-def _verify(num: int, den: int):
-    """Exact comparison; what the bands of the hashes rule out is not intersected (suffix filter)."""
+def _sets(nodes: np.ndarray, texts: pa.Array, n: int) -> dict[int, np.ndarray]:
+    """The set of each distinct node."""
+    nodes, first = np.unique(nodes, return_index=True)
+    out = {}
+    for lo, flat, at in sets_of(texts.take(pa.array(first)), n):
+        out |= {int(nodes[lo + k]): flat[at[k] : at[k + 1]] for k in range(len(at) - 1)}
+    return out
+
+
+def _verify(n: int, num: int, den: int):
+    """Exact comparison of the pairs' sets."""
 
     def run(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
-            left, right = batch.column("a_grams"), batch.column("b_grams")
-            a_at, b_at = left.offsets.to_numpy(), right.offsets.to_numpy()
-            a_all, b_all = left.values.to_numpy().view(np.uint64), right.values.to_numpy().view(np.uint64)
-            a_band, b_band = batch.column("a_bands").flatten().to_numpy().reshape(len(batch), -1), batch.column("b_bands").flatten().to_numpy().reshape(len(batch), -1)
-            most = np.minimum(a_band, b_band).sum(axis=1)
-            keep = []
-            for k in range(len(batch)):
-                x, y = a_all[a_at[k] : a_at[k + 1]], b_all[b_at[k] : b_at[k + 1]]
-                both = most[k]
-                if den * both >= num * (len(x) + len(y) - both):
+        for whole in batches:
+            for lo in range(0, len(whole), _AT_ONCE):
+                batch = whole.slice(lo, _AT_ONCE)
+                a, b = (batch.column(c).to_numpy() for c in ("a", "b"))
+                left, right = _sets(a, batch.column("a_text"), n), _sets(b, batch.column("b_text"), n)
+                keep = []
+                for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                    x, y = left[i], right[j]
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                    keep.append(den * both >= num * (len(x) + len(y) - both))
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-class _Join:
-    """The steps of one join over ``classes`` (node, size, text of one member)."""
+class _Groups(NamedTuple):
+    rows: DataFrame  #: id, size, node of each row, and home: the node that names the row's component
+    classes: DataFrame  #: node, size, first (its smallest id that has no other set)
+    parts: DataFrame  #: node, part of the classes that have a link, but those that name their part
+    components: DataFrame  #: node, class_id, component
+
 
-    def __init__(self, classes: DataFrame, n: int, num: int, den: int, bits: int, bands: int, small: int):
-        self.classes, self.n, self.num, self.den, self.bits, self.bands, self.small = classes, n, num, den, bits, bands, small
+class _Join:
+    """The steps of one join over the rows (id, text)."""
+
+    def __init__(self, rows: DataFrame, n: int, num: int, den: int, bits: int, hot: int, small_ids: int, rounds: int = 2):
+        self.rows, self.n, self.num, self.den, self.bits, self.hot, self.small_ids, self.rounds = rows, n, num, den, bits, hot, small_ids, rounds
+
+    def few(self, df: DataFrame, k: int) -> DataFrame:
+        """Marked for a broadcast where its ``k`` rows are within the bound."""
+        return F.broadcast(df) if k <= self.small_ids else df
+
+    def classify(self) -> None:
+        """Reads all texts: rows, the table of counts, ids with several sets, classes."""
+        self.profile = materialise(self.rows.mapInArrow(_profile(self.n, self.bits), _PROFILE), "jaccard-profile")
+        self.counts = gram_counts(self.profile, self.bits)
+        rows = self.profile.where("block is null").select("id", "size", "node")
+        by_id = rows.where("id is not null").groupBy("id").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("node").alias("full"), F.count("*").alias("k"))
+        self.repeats = materialise(by_id.where("lo < hi or full between 1 and k - 1").select("id", "lo"), "jaccard-repeats")
+        k = self.repeats.count()
+        self.several = k > 0
+        self.repeats = self.few(self.repeats, k)
+        if self.several:
+            rows = rows.join(self.repeats, "id", "left").select("id", "size", "node", F.coalesce("node", "lo").alias("home"), "lo")
+        else:
+            rows = rows.select("id", "size", "node", F.col("node").alias("home"), F.lit(None).cast("long").alias("lo"))
+        self.of_row = rows
+        own = F.when(F.col("lo").isNull(), F.col("id"))
+        self.classes = materialise(rows.where("node is not null").groupBy("node").agg(F.max("size").alias("size"), F.min(own).alias("first"), F.min("id").alias("least")), "jaccard-classes")
+        self.unnamed = not self.classes.where("first is null").isEmpty()
+
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """(node, text) of the classes in ``nodes`` (node), once or more often each."""
+        k = nodes.count()
+        wanted = self.classes.join(self.few(nodes, k), "node", "left_semi")
+        named = self.rows.join(self.few(wanted.where("first is not null").select(F.col("first").alias("id"), "node"), k), "id").select("node", "text")
+        if not self.unnamed:
+            return named
+        rest = self.rows.join(self.repeats.select("id"), "id", "left_semi").unionByName(self.rows.where("id is null")) if self.several else self.rows.where("id is null")
+        rest = rest.select("text").mapInArrow(_with_nodes(self.n), "node long, text string").join(self.few(wanted.where("first is null").select("node"), k), "node", "left_semi")
+        return named.unionByName(rest)
+
+    def one_text(self, nodes: DataFrame) -> DataFrame:
+        return self.texts(nodes).groupBy("node").agg(F.first("text").alias("text"))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link; only classes in some pair have their sets built."""
-        pairs = materialise(pairs, "jaccard-pairs")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        if pairs.count() * 2 <= self.small:
-            nodes = F.broadcast(nodes)
-        sets = self.classes.join(nodes, "node", "left_semi").select(F.col("node").alias("id"), "text").mapInArrow(_full_sets(self.n, self.bands), "node long, grams array<long>, bands array<int>, size long, wide binary")
-        sets = materialise(sets, "jaccard-sets")
-        # long sets are told apart by more parities, before whole sets are sent to their pairs
-        thin = lambda s: sets.select(F.col("node").alias(s), F.col("size").alias(f"{s}_size"), F.col("wide").alias(f"{s}_wide"))
-        pairs = pairs.join(thin("a"), "a").join(thin("b"), "b").mapInArrow(_near(self.num, self.den), "a long, b long").distinct()
-        side = lambda s: sets.select(F.col("node").alias(s), F.col("grams").alias(f"{s}_grams"), F.col("bands").alias(f"{s}_bands"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify(self.num, self.den), "a long, b long")
-
-    def possible(self, x: str, y: str):
-        """Length and positional filter of two postings that share an n-gram."""
+        """The pairs (a, b) that link; only the texts of classes in some pair are read."""
+        pairs = materialise(pairs.distinct(), "jaccard-pairs")
+        thin = self.texts(_ends(pairs)).mapInArrow(_thin(self.n), "node long, size long, wide binary").groupBy("node").agg(F.first("size").alias("size"), F.first("wide").alias("wide"))
+        of = lambda s: thin.select(F.col("node").alias(s), F.col("size").alias(f"{s}_size"), F.col("wide").alias(f"{s}_wide"))
+        near = materialise(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_near(self.num, self.den), "a long, b long"), "jaccard-near")
+        text = self.one_text(_ends(near))
+        of = lambda s: text.select(F.col("node").alias(s), F.col("text").alias(f"{s}_text"))
+        out = materialise(near.join(of("a"), "a").join(of("b"), "b").mapInArrow(_verify(self.n, self.num, self.den), "a long, b long"), "jaccard-links")
+        release(pairs, near)
+        return out
+
+    def possible(self, x: str, y: str, ahead):
+        """Length and positional filter of two postings that share an n-gram; ``ahead``: how many they may share before it."""
         c = lambda s, k: F.col(f"{s}.{k}").cast("long")
         need = F.ceil(self.num * (c(x, "size") + c(y, "size")) / (self.num + self.den))
-        rest = F.least(c(x, "place"), c(y, "place")) + 1 + F.least(c(x, "size") - c(x, "place"), c(y, "size") - c(y, "place")) - 1
-        return (self.den * c(x, "size") >= self.num * c(y, "size")) & (self.den * c(y, "size") >= self.num * c(x, "size")) & (rest >= need)
-
-    def alike(self, x: str, y: str):
-        """Whether the parities of the whole sets allow a link."""
-        differ = sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in SIGNS), F.lit(0))
-        both = F.col(f"{x}.size").cast("long") + F.col(f"{y}.size")
-        return differ <= both - 2 * F.ceil(self.num * both / (self.num + self.den))
-
-
-class _Groups(NamedTuple):
-    rows: DataFrame  #: id, size, digest of each row
-    classes: DataFrame  #: digest, node, size
-    members: DataFrame  #: node, text
-    parts: DataFrame  #: node, part of the classes that have a link, but those that name their part
-    components: DataFrame  #: digest, node, component
-
-
-def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int, bits: int, bands: int, hot: int, small_ids: int) -> _Groups:
-    spark = docs.sparkSession
-    rows = pick(docs, id=id_col, text=text_col)
-    profile = materialise(rows.mapInArrow(_profile(n, bits), f"id long, size long, digest binary, {', '.join(f'{x} long' for x in SIGNS)}, block int, counts binary"), "jaccard-profile")
-    counts = gram_counts(profile, bits)
-    of_row = profile.where("block is null").select("id", "size", "digest", *SIGNS)
-    # a class is named by its smallest id; without any, by its digest, below zero
-    named = F.coalesce(F.min("id"), -F.abs(F.xxhash64("digest")) - 1)
-    classes = materialise(of_row.where("size > 0").groupBy("digest").agg(named.alias("node"), F.min("size").alias("size"), F.min("id").alias("first"), *(F.first(x).alias(x) for x in SIGNS)), "jaccard-classes")
-    firsts = classes.where("first is not null").select(F.col("first").alias("id"))
-    if firsts.count() <= small_ids:
-        firsts = F.broadcast(firsts)
-    named = rows.join(firsts, "id", "left_semi").select(F.col("id").alias("node"), "text")
-    unnamed = rows.where("id is null").mapInArrow(_with_digests(n), "digest binary, text string").join(classes.where("first is null").select("digest", "node"), "digest")
-    members = named.unionByName(unnamed.select("node", "text"))
-    join = _Join(members, n, num, den, bits, bands, small_ids)
-
-    table = spark.sparkContext.broadcast(counts)
-    posts = members.select(F.col("node").alias("id"), "text").mapInArrow(_prefixes(n, num, den, bits, table, 2 * int(counts.mean()), hot), "gram long, node long, size int, place int, salt int")
-    group = Window.partitionBy("gram", "salt").orderBy("size", "node")
-    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    me = F.struct("size", "node", "place")
-    posts = posts.withColumn("n_posts", F.count("*").over(whole)).withColumn("lead", F.first(me).over(whole)).withColumn("prev", F.lag(me).over(group))
-    posts = materialise(posts.where("n_posts > 1 or salt >= 0"), "jaccard-postings")
-    # the lead of each group of a frequent n-gram is compared with the n-gram's first lead
-    leads = posts.where("salt >= 0").select("gram", "lead").distinct()
-    top = posts.groupBy("gram").agg(F.min("lead").alias("top"))
-    stars = posts.select(me.alias("x"), F.explode(F.array("lead", "prev")).alias("y")).unionByName(leads.join(top, "gram").select(F.col("lead").alias("x"), F.col("top").alias("y")))
-    pair = lambda df, x, y: df.select(F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(f"{x}.node", f"{y}.node").alias("b")).distinct()
-    stars = pair(stars.where(F.col("x.node") != F.col("y.node")).where(join.possible("x", "y")), "x", "y")
-    sign = lambda s, x: classes.select(F.col("node").alias(s), F.struct("size", *SIGNS).alias(x))
-    stars = stars.join(sign("a", "x"), "a").join(sign("b", "y"), "b").where(join.alike("x", "y")).select("a", "b").distinct()
-    links = materialise(join.verified(stars), "jaccard-links")
-    signs = classes.select("node", *SIGNS)
-
-    def between(postings: DataFrame, parts: DataFrame, name: str) -> DataFrame:
-        """The postings, with their components, of the n-grams that more than one component has."""
-        at = postings.drop("part").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        at = materialise(at, name)
-        split = at.groupBy("gram").agg(F.min("part").alias("_least"), F.max("part").alias("_most")).where("_least < _most").select("gram")
-        return at.join(split, "gram", "left_semi")
-
-    # once more, neighbours in a random order, where components still differ
-    placed = between(posts.select("gram", "salt", "node", "size", "place"), connected(links), "jaccard-placed")
-    whole = placed.join(signs, "node").select("gram", "salt", F.struct("size", "node", "place", "part", *SIGNS).alias("x"))
-    near = whole.withColumn("y", F.lag("x").over(Window.partitionBy("gram", "salt").orderBy(F.xxhash64("x.node"), "x.node")))
-    near = pair(near.where("x.part <> y.part").where(join.possible("x", "y") & join.alike("x", "y")), "x", "y")
-    links = materialise(links.unionByName(join.verified(near)), "jaccard-links")
-
-    # candidates between components, by the components of each n-gram; a component's only posting is known at once
-    placed = materialise(between(placed, connected(links), "jaccard-placed").join(signs, "node"), "jaccard-between")
-    alone = lambda c: F.when(F.count("*") == 1, F.min(c)).alias(c)
-    by_part = placed.groupBy("gram", "part").agg(F.min("size").alias("least"), F.max("size").alias("most"), *map(alone, ["size", "place", *SIGNS]))
-    by_part = materialise(by_part, "jaccard-parts")
-    x, y = by_part.alias("x"), by_part.alias("y")
-    allowed = lambda a, b: F.coalesce(join.possible(a, b) & join.alike(a, b), F.lit(True))
-    near = (F.col("x.part") < F.col("y.part")) & (den * F.col("x.most") >= num * F.col("y.least")) & (den * F.col("y.most") >= num * F.col("x.least"))
-    only = lambda s: F.struct(*[f"{s}.{c}" for c in ("size", "place", *SIGNS)]).alias(f"{s}_only")
-    crossing = x.join(y, (F.col("x.gram") == F.col("y.gram")) & near & allowed("x", "y")).select(F.col("x.gram").alias("gram"), F.col("x.part").alias("x_part"), F.col("y.part").alias("y_part"), only("y"))
-    post = lambda s: placed.select(F.col("gram").alias(f"{s}_gram"), F.col("part").alias(f"{s}_at"), F.struct("node", "size", "place", *SIGNS).alias(s))
-    same = lambda s: (F.col("gram") == F.col(f"{s}_gram")) & (F.col(f"{s}_part") == F.col(f"{s}_at"))
-    shared = crossing.join(post("x"), same("x") & allowed("x", "y_only")).select("gram", "y_part", "x")
-    shared = shared.join(post("y"), same("y") & join.possible("x", "y") & join.alike("x", "y"))
-    # all shared n-grams beyond those of both prefixes lie behind the prefix of the class that ends first
-    met = shared.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.col("x.size").cast("long").alias("x_size"), F.col("y.size").cast("long").alias("y_size"))
-    met = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.min(F.least("x_size", "y_size")).alias("x_size"), F.min(F.greatest("x_size", "y_size")).alias("y_size"), F.max(F.greatest("x_size", "y_size")).alias("most_size"))
-    met = met.where(F.col("met") + F.ceil(num * F.col("most_size") / den) - 1 >= F.ceil(num * (F.col("x_size") + F.col("y_size")) / (num + den)))
-    more = materialise(join.verified(met.select("a", "b")), "jaccard-more")
-    parts = connected(links.unionByName(more))
-
-    of_class = classes.join(parts, "node", "left").select("digest", "node", "first", F.coalesce("part", "node").alias("part"))
-    smallest = of_class.groupBy("part").agg(F.min("first").alias("component"))
-    of_class = materialise(of_class.join(smallest, "part").select("digest", "node", "component"), "jaccard-components")
-    return _Groups(of_row, classes, members, parts, of_class)
-
-
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000) -> DataFrame:
+        rest = F.least(c(x, "size") - c(x, "place"), c(y, "size") - c(y, "place"))
+        return (self.den * c(x, "size") >= self.num * c(y, "size")) & (self.den * c(y, "size") >= self.num * c(x, "size")) & (rest + ahead >= need)
+
+    def shared_postings(self) -> DataFrame:
+        """The postings of n-grams that more than one class has, with the group's lead and the posting before."""
+        table = self.rows.sparkSession.sparkContext.broadcast(self.counts)
+        usual = 2 * int(self.counts.mean())
+        self.counts = None
+        posts = self.rows.select("text").mapInArrow(_prefixes(self.n, self.num, self.den, self.bits, table, usual, self.hot), "gram long, node long, size int, place int, salt int")
+        group = Window.partitionBy("gram", "salt").orderBy("size", "node")
+        posts = posts.withColumn("before", F.lag("node").over(group)).where("before is null or before <> node").drop("before")
+        whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        me = F.struct("size", "node", "place")
+        posts = posts.withColumn("n_posts", F.count("*").over(whole)).withColumn("lead", F.first(me).over(whole)).withColumn("prev", F.lag(me).over(group))
+        return materialise(posts.where("n_posts > 1 or salt >= 0").withColumn("more", F.expr("n_posts > 3 or salt >= 0")).drop("n_posts"), "jaccard-postings")
+
+    def star_pairs(self, posts: DataFrame) -> DataFrame:
+        """Each posting with its group's lead and the one before; a group of a frequent n-gram by its lead with the n-gram's first."""
+        me = F.struct("size", "node", "place")
+        leads = posts.where("salt >= 0").groupBy("gram", "salt").agg(F.min("lead").alias("lead"))
+        top = leads.groupBy("gram").agg(F.min("lead").alias("top"))
+        stars = posts.select(me.alias("x"), F.explode(F.array("lead", "prev")).alias("y")).unionByName(leads.join(top, "gram").select(F.col("lead").alias("x"), F.col("top").alias("y")))
+        return _pair(stars.where(F.col("x.node") != F.col("y.node")).where(self.possible("x", "y", F.least("x.place", "y.place").cast("long"))))
+
+    def neighbour_pairs(self, posts: DataFrame, parts: DataFrame, seed: int) -> DataFrame:
+        """Neighbours in a random order of each n-gram's classes, where their components differ."""
+        me = F.struct("size", "node", "place", "part")
+        near = posts.join(self.few(parts, parts.count()), "node", "left").withColumn("part", F.coalesce("part", "node"))
+        near = near.select(me.alias("x"), F.lag(me).over(Window.partitionBy("gram", "salt").orderBy(F.xxhash64("node", "gram", F.lit(seed)), "node")).alias("y"))
+        return _pair(near.where(F.col("x.part") != F.col("y.part")).where(self.possible("x", "y", F.least("x.place", "y.place").cast("long"))))
+
+    def cross_pairs(self, posts: DataFrame, parts: DataFrame) -> DataFrame:
+        """Pairs of classes in different components, made at the first n-gram that both prefixes share."""
+        at = posts.select("gram", "node", "size", "place").withColumn("pred", F.lag("gram").over(Window.partitionBy("node").orderBy("place")))
+        at = at.join(self.few(parts, parts.count()), "node", "left").withColumn("part", F.coalesce("part", "node"))
+        first = F.coalesce(F.col("x.pred") != F.col("y.pred"), F.lit(True))
+        cross = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.part") < F.col("y.part")) & first & self.possible("x", "y", F.lit(0))
+        return _pair(at.alias("x").join(at.alias("y"), cross))
+
+    def grouped(self) -> _Groups:
+        self.classify()
+        posts = self.shared_postings()
+        links = self.verified(self.star_pairs(posts))
+        if self.several:  # rows of one id are of one component
+            links = links.unionByName(self.of_row.where("lo is not null and node is not null").select(F.col("lo").alias("a"), F.col("node").alias("b")).where("a <> b"))
+        # of n-grams with up to three classes all pairs are compared by now
+        rest = materialise(posts.where("more").select("gram", "node", "size", "place", "salt"), "jaccard-rest")
+        release(posts)
+        parts = connected(links)
+        for seed in range(self.rounds):
+            links = links.unionByName(self.verified(self.neighbour_pairs(rest, parts, seed)))
+            parts = connected(links)
+        parts = connected(links.unionByName(self.verified(self.cross_pairs(rest, parts))))
+        release(rest)
+        of_class = self.classes.join(parts, "node", "left").select("node", "first", "least", F.coalesce("part", "node").alias("part"))
+        smallest = of_class.groupBy("part").agg(F.min("least").alias("component"))
+        of_class = of_class.join(smallest, "part").select("node", F.coalesce("first", "node").alias("class_id"), "component")
+        return _Groups(self.of_row, self.classes, parts, materialise(of_class, "jaccard-components"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _pair(df: DataFrame) -> DataFrame:
+    return df.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, hot: int = 20000, small_ids: int = 200_000) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) of each row; ``num / den`` is the least similarity.
 
-    ``bits``: log2 of the table of counts, which alone is sent to the driver and broadcast (16 MB at 22).
-    ``hot``: counted occurrences of an n-gram per group of its postings. ``small_ids``: most ids to broadcast (16 MB).
+    class_id is the smallest id of the documents with the same set (a number below zero where only null ids, or ids
+    with several sets, have it), null without a set. ``bits``: log2 of the table of counts, which alone is sent to the
+    driver and broadcast (16 MB at 22). ``hot``: counted occurrences of an n-gram per group of its postings.
+    ``small_ids``: most ids to broadcast (3 MB); more are joined by a shuffle.
     """
-    groups = _grouped(docs, id_col, text_col, n, num, den, bits, bands, hot, small_ids)
-    return groups.rows.join(groups.components, "digest", "left").select(*_columns())
+    groups = _Join(pick(docs, id=id_col, text=text_col), n, num, den, bits, hot, small_ids).grouped()
+    return groups.rows.join(groups.components.withColumnRenamed("node", "home"), "home", "left").select(*_columns())
 
 
 def _columns() -> list:
-    return [F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"), F.coalesce("node", "id").alias("class_id")]
+    return [F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("home").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component_id"), F.when(F.col("size") > 0, F.col("class_id")).alias("class_id")]
 
 
-def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000, block: int = 1024) -> DataFrame:
+def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, hot: int = 20000, small_ids: int = 200_000, block: int = 1024) -> DataFrame:
     """The columns of similar_groups and ``n_links``: with how many other documents each one links, of its own class too.
 
     Rows without an id count one by one; an id with several texts counts once for each. ``block``: classes of a component that are compared at a time.
     """
-    groups = _grouped(docs, id_col, text_col, n, num, den, bits, bands, hot, small_ids)
-    weights = materialise(groups.rows.where("size > 0").groupBy("digest").agg((F.count_distinct("id") + F.count_if(F.col("id").isNull())).alias("weight")), "jaccard-weights")
-    two, more = _linked(groups, weights, n, num, den, block, small_ids, False)
-    counts = two.select(F.explode(F.array(F.struct("lo.digest", F.col("hi.weight").alias("n")), F.struct("hi.digest", F.col("lo.weight").alias("n")))).alias("x")).select("x.*").unionByName(more)
-    others = weights.join(counts.groupBy("digest").agg(F.sum("n").alias("n")), "digest", "left").select("digest", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("others"))
-    out = groups.rows.join(groups.components, "digest", "left").join(others, "digest", "left")
-    return out.select(*_columns(), F.coalesce("others", F.lit(0)).cast("long").alias("n_links"))
+    join = _Join(pick(docs, id=id_col, text=text_col), n, num, den, bits, hot, small_ids)
+    groups = join.grouped()
+    weights = materialise(groups.rows.where("size > 0").groupBy("node").agg((F.count_distinct("id") + F.count_if(F.col("id").isNull())).alias("weight")), "jaccard-weights")
+    two, more = _linked(join, groups, weights, block, False)
+    counts = two.select(F.explode(F.array(F.struct("lo.node", F.col("hi.weight").alias("n")), F.struct("hi.node", F.col("lo.weight").alias("n")))).alias("x")).select("x.*").unionByName(more)
+    others = weights.join(counts.groupBy("node").agg(F.sum("n").alias("n")), "node", "left").select(F.col("node").alias("own"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("others"))
+    found = groups.components.join(others, F.col("node") == F.col("own")).select(F.col("node").alias("home"), "class_id", "component", "others")
+    return groups.rows.join(found, "home", "left").select(*_columns(), F.when(F.col("size") > 0, F.col("others")).otherwise(0).cast("long").alias("n_links"))
 
 
-def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, bands: int = 32, hot: int = 20000, small_ids: int = 2_000_000, block: int = 1024) -> DataFrame:
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, hot: int = 20000, small_ids: int = 200_000, block: int = 1024) -> DataFrame:
     """(class_a, class_b): all links between different texts, by the class_id of similar_groups, the smaller first.
 
     Documents of one class link with each other and share their class's links, so these pairs and class_id hold every link.
     """
-    groups = _grouped(docs, id_col, text_col, n, num, den, bits, bands, hot, small_ids)
-    weights = groups.classes.select("digest", F.lit(1).cast("long").alias("weight"))
-    two, more = _linked(groups, weights, n, num, den, block, small_ids, True)
-    two = two.select(F.least("lo.node", "hi.node").alias("a"), F.greatest("lo.node", "hi.node").alias("b"))
-    return two.unionByName(more).distinct().select(F.col("a").alias("class_a"), F.col("b").alias("class_b"))
-
-
-def _linked(groups: _Groups, weights: DataFrame, n: int, num: int, den: int, block: int, small_ids: int, as_pairs: bool) -> tuple[DataFrame, DataFrame]:
-    """(lo, hi) of components of two classes, which are known to link; and of larger ones all pairs (a, b), or each class's sums (digest, n) of linked weights."""
+    join = _Join(pick(docs, id=id_col, text=text_col), n, num, den, bits, hot, small_ids)
+    groups = join.grouped()
+    weights = groups.classes.select("node", F.lit(1).cast("long").alias("weight"))
+    two, more = _linked(join, groups, weights, block, True)
+    pairs = two.select(F.col("lo.node").alias("a"), F.col("hi.node").alias("b")).unionByName(more).distinct()
+    name = lambda s: groups.components.select(F.col("node").alias(s), F.col("class_id").alias(f"{s}_id"))
+    named = pairs.join(name("a"), "a").join(name("b"), "b")
+    return named.select(F.least("a_id", "b_id").alias("class_a"), F.greatest("a_id", "b_id").alias("class_b"))
+
+
+def _linked(join: _Join, groups: _Groups, weights: DataFrame, block: int, as_pairs: bool) -> tuple[DataFrame, DataFrame]:
+    """(lo, hi) of components of two classes, which link unless an id ties them; and of the others all pairs (a, b), or each class's sums (node, n) of linked weights."""
+    num, den = join.num, join.den
     # sizes of linked classes differ by den / num at most, so they fall to the same or neighbouring buckets
     bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num * (1 + 1e-9)))).alias("bucket")
     parts = groups.parts.union(groups.parts.select(F.col("part").alias("node"), "part").distinct())
-    at = parts.join(groups.classes.select("node", "digest", "size"), "node").join(weights, "digest").select("part", "node", "digest", "size", "weight", bucket)
-    at = materialise(at, "jaccard-linked")
-    one = F.struct("digest", "node", "weight")
+    at = materialise(parts.join(groups.classes.select("node", "size"), "node").join(weights, "node").select("part", "node", "size", "weight", bucket), "jaccard-linked")
+    one = F.struct("node", "weight")
     by_part = at.groupBy("part").agg(F.count("*").alias("k"), F.min(one).alias("lo"), F.max(one).alias("hi"))
-    at = at.join(by_part.where("k > 2").select("part"), "part", "left_semi")
+    known = 0 if join.several else 2  # a component of two has their link, unless rows of one id made it
+    at = at.join(by_part.where(F.col("k") > known).select("part"), "part", "left_semi")
     blocks = materialise(at.groupBy("part", "bucket").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / (block << 10))).alias("k")), "jaccard-blocks")
     beside = lambda step, k: blocks.select("part", (F.col("bucket") - step).alias("bucket"), F.col("k").alias(k))
     at = at.join(blocks, ["part", "bucket"]).join(beside(1, "above"), ["part", "bucket"], "left").join(beside(-1, "below"), ["part", "bucket"], "left")
-    own, mine = F.col("bucket"), F.pmod(F.xxhash64("digest"), F.col("k"))
+    own, mine = F.col("bucket"), F.pmod(F.xxhash64("node"), F.col("k"))
     to = lambda low, i, high, j, right: F.struct(low.alias("low"), i.alias("i"), high.alias("high"), j.alias("j"), right.alias("right"))
     each = lambda k, f: F.when(F.col(k).isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col(k) - 1), f)).otherwise(F.array())
     tasks = F.concat(
@@ -400,28 +467,14 @@ def _linked(groups: _Groups, weights: DataFrame, n: int, num: int, den: int, blo
         each("above", lambda j: to(own, mine, own + 1, j, F.lit(False))),
         each("below", lambda j: to(own - 1, j, own, mine, F.lit(True))),
     )
-    nodes = at.select("node").distinct()
-    nodes = F.broadcast(nodes) if groups.parts.count() <= small_ids else nodes
-    sets = groups.members.join(nodes, "node", "left_semi").select("text").mapInArrow(_marked_sets(n), "digest binary, grams array<long>, signs binary")
+    at = materialise(at.select("part", "node", "weight", tasks.alias("tasks")), "jaccard-tasks")
     key = ["part", "low", "i", "high", "j"]
-    sent = at.select("part", "digest", "node", "weight", tasks.alias("tasks")).join(sets, "digest").select("part", "digest", "node", "weight", "grams", "signs", F.explode("tasks").alias("task")).select("part", "task.*", "digest", "node", "weight", "grams", "signs")
-    out = sent.repartition(*key).sortWithinPartitions(*key).mapInArrow(_inside(num, den, as_pairs), "a long, b long" if as_pairs else "digest binary, n long")
-    return by_part.where("k = 2").select("lo", "hi"), out
+    sent = at.join(join.one_text(at.select("node")), "node").select("part", "node", "weight", "text", F.explode("tasks").alias("task")).select("part", "task.*", "node", "weight", "text")
+    out = sent.repartition(*key).sortWithinPartitions(*key).mapInArrow(_inside(join.n, num, den, as_pairs), "a long, b long" if as_pairs else "node long, n long")
+    return by_part.where(F.col("k") == known).select("lo", "hi"), out
 
 
-def _marked_sets(n: int):
-    def run(batches):
-        for batch in batches:
-            for _, flat, at in sets_of(batch.column("text"), n):
-                data = flat.tobytes()
-                digests = [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
-                signs = [x.tobytes() for x in _parities(flat, at)]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat.view(np.int64))), pa.array(signs, pa.binary())], ["digest", "grams", "signs"])
-
-    return run
-
-
-def _inside(num: int, den: int, as_pairs: bool):
+def _inside(n: int, num: int, den: int, as_pairs: bool):
     """Of runs of rows with one key, two blocks of classes each: the pairs that link, or the sums of linked weights."""
 
     def run(batches):
@@ -434,44 +487,45 @@ def _inside(num: int, den: int, as_pairs: bool):
             done = []
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 if key is not None and tuple(keys[lo]) != key:
-                    done.append(_block_links(held, num, den, as_pairs))
+                    done.append(_block_links(held, n, num, den, as_pairs))
                     held = []
                 key = tuple(keys[lo])
                 held.append(batch.slice(lo, hi - lo))
             yield from pa.Table.from_batches(done).combine_chunks().to_batches() if done else []
         if held:
-            yield _block_links(held, num, den, as_pairs)
+            yield _block_links(held, n, num, den, as_pairs)
 
     return run
 
 
-def _block_links(held: list, num: int, den: int, as_pairs: bool) -> pa.RecordBatch:
-    rows = {}  # a class once, however many rows its text has
+def _block_links(held: list, n: int, num: int, den: int, as_pairs: bool) -> pa.RecordBatch:
+    rows = {}
     for batch in held:
-        grams = batch.column("grams")
-        at, flat = grams.offsets.to_numpy(), grams.values.to_numpy().view(np.uint64)
-        cols = [batch.column(c).to_pylist() for c in ("digest", "node", "weight", "signs", "right")]
-        for k, (digest, node, weight, signs, right) in enumerate(zip(*cols, strict=True)):
-            rows.setdefault(digest, (right, node, weight, signs, flat[at[k] : at[k + 1]]))
+        cols = [batch.column(c).to_pylist() for c in ("node", "weight", "right")]
+        for lo, flat, at in sets_of(batch.column("text"), n):
+            signs = _parities(flat, at, 8).view(np.uint64)
+            for k in range(len(at) - 1):
+                node, weight, right = (c[lo + k] for c in cols)
+                rows[node] = (right, node, weight, signs[k], flat[at[k] : at[k + 1]])
     same = batch.column("low")[0] == batch.column("high")[0] and batch.column("i")[0] == batch.column("j")[0]
     left = [d for d, x in rows.items() if not x[0]]
     right = left if same else [d for d, x in rows.items() if x[0]]
     x, y = _linked_pairs([rows[d][1:] for d in left], [rows[d][1:] for d in right], same, num, den)
     if as_pairs:
-        a, b = (np.array([rows[d][1] for d in side], np.int64)[k] for side, k in ((left, x), (right, y)))
+        a, b = (np.array(side, np.int64)[k] for side, k in ((left, x), (right, y)))
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
     wx, wy = (np.array([rows[d][2] for d in side], np.int64) for side in (left, right))
     sums = [np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)]
     np.add.at(sums[0], x, wy[y])
     np.add.at(sums[1], y, wx[x])
-    return pa.RecordBatch.from_arrays([pa.array(left + right, pa.binary()), pa.array(np.concatenate(sums))], ["digest", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(left + right, pa.int64()), pa.array(np.concatenate(sums))], ["node", "n"])
 
 
 def _linked_pairs(left: list, right: list, same: bool, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in ``left`` and ``right`` (node, weight, signs, grams) of the pairs that link; within one block each pair once."""
     if not left or not right:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    nodes, sizes, signs = ([np.array([f(r) for r in side]) for side in (left, right)] for f in (lambda r: r[0], lambda r: len(r[3]), lambda r: np.frombuffer(r[2], np.uint64)))
+    nodes, sizes, signs = ([np.array([f(r) for r in side]) for side in (left, right)] for f in (lambda r: r[0], lambda r: len(r[3]), lambda r: r[2]))
     xs, ys = [], []
     for lo in range(0, len(left), 64):  # the parities of all pairs first
         differ = np.bitwise_count(signs[0][lo : lo + 64, None] ^ signs[1][None]).sum(axis=2, dtype=np.int64)
@@ -515,19 +569,7 @@ def _overlaps(left: list, right: list, same: bool, width: int = 4096) -> np.ndar
     return out
 
 
-def _with_digests(n: int):
-    def run(batches):
-        for batch in batches:
-            digests = []
-            for _, flat, at in sets_of(batch.column("text"), n):
-                data = flat.tobytes()
-                digests += [hashlib.blake2b(data[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column("text")], ["digest", "text"])
-
-    return run
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", small_ids: int = 2_000_000, **how) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", small_ids: int = 200_000, **how) -> DataFrame:
     """The rows of ``docs`` but those whose group has a document of smaller id. Rows without an id stay."""
     groups = similar_groups(docs, id_col, text_col, small_ids=small_ids, **how)
     drop = materialise(groups.where("component_id < doc_id").select(F.col("doc_id").alias("_dropped")).distinct(), "jaccard-dropped")

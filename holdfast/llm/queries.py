@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from . import fingerprint, jaccard, language, language_model, line_dedup, neighbours, packing, segmentation, toxicity, url_filter
 from .common import table
 
-#: Where the public vocabulary files lie on driver and workers, if not at the installed package's place.
-TOKENIZERS = "/opt/tokenizers"
-
 
 def tokenizer_path(name: str) -> str:
-    return f"{TOKENIZERS}/{name}"
+    """Where the public vocabulary files lie, on the driver and the workers alike."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 Query = Callable[[SparkSession, str], DataFrame]
