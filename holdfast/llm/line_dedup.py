@@ -1,21 +1,25 @@
 """Operator 2: lines that many documents share, found through levelled sorted runs of line hashes.
 
 A line's key is the line without ASCII white space at its ends and with A-Z lowered; its hash has 64 bits. ``LineRuns``
-holds how many documents had each key so far, in sorted runs on levels: a batch is counted, merge-anti-joined with the
-keys already known as frequent (they need no more counting), and written as a run of its own. When a level has
-``fanout`` runs they are merged into one run of the next level, so that a key is rewritten a number of times that grows
-with the logarithm of the batches. Runs are Parquet tables, sorted by hash within partitions of a hash of it.
+holds how many documents had each key, in sorted runs on levels; a key is in one run only. A batch is counted into a
+sorted table, which is merge-anti-joined with each run: its new keys become a run of level 0. The counts of keys that
+runs have already are kept beside the runs. When a level has ``fanout`` runs they are merged into one of the next level,
+so that a key is rewritten a number of times that grows with the logarithm of the batches. Runs are Parquet tables in
+buckets by hash, sorted within each, so that neither joining nor merging them takes a shuffle.
 
 Everything is DataFrame functions. Defined cases: a null text is one empty line, as an empty text is; each row counts
-as a document, also where ids repeat or are null; an empty table gives no rows.
+as a document, also where ids repeat or are null; an empty table gives no rows. Ids may be of any type.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, remove, shared_dir
 
 _SPACE = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,82 +40,103 @@ def line_hashes(text: Column, least_length: int = 1) -> Column:
     return F.transform(line_keys(text), lambda key: F.when(F.length(key) >= least_length, F.xxhash64(key)))
 
 
-class LineRuns:
-    """Counts of documents by line hash, in sorted runs on levels."""
-
-    def __init__(self, spark: SparkSession, frequent: int, fanout: int = 4):
-        self.spark, self.frequent, self.fanout = spark, frequent, fanout
-        self.levels: list[list[DataFrame]] = []
-        self.known: DataFrame | None = None
+def _keys(run: DataFrame) -> DataFrame:
+    return run.select("hash").hint("merge")
 
-    def _run(self, counts: DataFrame, level: int) -> DataFrame:
-        return materialise(counts.sortWithinPartitions("hash"), f"line-run-{level}")
 
-    def merged(self) -> DataFrame | None:
-        runs = [r for level in self.levels for r in level]
-        if not runs:
-            return None
-        out = runs[0]
-        for r in runs[1:]:
-            out = out.unionByName(r)
-        return out if len(runs) == 1 else out.groupBy("hash").agg(F.sum("docs").alias("docs"))
+class LineRuns:
+    """Counts of documents by line hash, in sorted runs on levels. ``buckets``: of each run."""
+
+    def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
+        self.spark, self.fanout = spark, fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[DataFrame]] = [[]]
+        self.met: list[DataFrame] = []  # counts of keys that a run had when their batch came
+        self.compacted = 0
+        self._tables: dict[DataFrame, tuple[str, str]] = {}
+
+    @property
+    def runs(self) -> list[DataFrame]:
+        return [r for level in self.levels for r in level]
+
+    def _sorted(self, counts: DataFrame, name: str) -> DataFrame:
+        table, path = f"holdfast_{uuid.uuid4().hex}", shared_dir(self.spark, name)
+        counts.write.bucketBy(self.buckets, "hash").sortBy("hash").option("path", path).saveAsTable(table)
+        out = self.spark.table(table)
+        self._tables[out] = (table, path)
+        return out
+
+    def _drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            table, path = self._tables.pop(df)
+            self.spark.sql(f"DROP TABLE {table}")
+            remove(self.spark, path)
 
     def unseen(self, hashes: DataFrame) -> DataFrame:
         """The rows of ``hashes`` whose hash no run holds."""
-        have = self.merged()
-        return hashes if have is None else hashes.join(have, "hash", "left_anti")
+        return reduce(lambda left, run: left.join(_keys(run), "hash", "left_anti"), self.runs, hashes)
 
     def add(self, hashes: DataFrame) -> None:
         """Take in a batch: one row (hash) for each document and distinct key."""
-        if self.known is not None:
-            hashes = hashes.join(self.known, "hash", "left_anti")
-        counts = hashes.groupBy("hash").agg(F.count("*").alias("docs"))
-        if not self.levels:
-            self.levels.append([])
-        self.levels[0].append(self._run(counts, 0))
+        batch = self._sorted(hashes.groupBy("hash").agg(F.count("*").alias("docs")), "line-batch")
+        if self.runs:
+            self.met.append(self._sorted(reduce(DataFrame.unionByName, [batch.join(_keys(run), "hash", "left_semi") for run in self.runs]), "line-met"))
+            new = self._sorted(self.unseen(batch), "line-run-0")
+            self._drop(batch)
+        else:
+            new = batch
+        self.levels[0].append(new)
         level = 0
         while len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
-            out = runs[0]
-            for r in runs[1:]:
-                out = out.unionByName(r)
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(self._run(out.groupBy("hash").agg(F.sum("docs").alias("docs")), level + 1))
+            self.levels[level + 1].append(self._sorted(reduce(DataFrame.unionByName, runs), f"line-run-{level + 1}"))
+            self._drop(*runs)
+            self.compacted += 1
             level += 1
 
-    def settle(self) -> DataFrame:
-        """The frequent hashes so far, which later batches needn't count."""
-        have = self.merged()
-        empty = self.spark.createDataFrame([], "hash long")
-        found = empty if have is None else have.where(F.col("docs") >= self.frequent).select("hash")
-        self.known = materialise(found, "line-frequent") if self.known is None else materialise(found.unionByName(self.known).distinct(), "line-frequent")
-        return self.known
+    def counts(self) -> DataFrame:
+        """(hash, docs) of all keys so far."""
+        if not self.runs:
+            return self.spark.createDataFrame([], "hash long, docs long")
+        have = reduce(DataFrame.unionByName, self.runs)
+        if not self.met:
+            return have
+        more = reduce(DataFrame.unionByName, self.met).groupBy("hash").agg(F.sum("docs").alias("more"))
+        return have.join(more, "hash", "left").select("hash", (F.col("docs") + F.coalesce("more", F.lit(0))).alias("docs"))
+
+    def close(self) -> None:
+        """Delete all runs."""
+        self._drop(*list(self._tables))
+        self.levels, self.met = [[]], []
 
 
-def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int = 1, batches: int = 2, id_col: str = "doc_id", text_col: str = "text", small: int = 1_000_000) -> DataFrame:
+def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int = 1, batches: int = 5, fanout: int = 4, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000) -> DataFrame:
     """row (a struct of all columns of ``docs``), n_lines, n_dropped, kept (the text left).
 
     Lines whose key at least ``frequent`` documents have are dropped in all of them. At most ``small`` frequent hashes
     (8 MB) are broadcast; more are joined by a shuffle. ``batches`` deals the documents by a hash of their keys.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.struct("*").alias("row"), docs[text_col].alias("text"), F.coalesce(docs[id_col].cast("long"), F.xxhash64(docs[text_col])).alias("key"))
+    text = F.coalesce(F.col("row")[text_col], F.lit(""))
     # ids that repeat do no harm: frequent lines of either row are dropped in both
-    hashed = rows.select("key", F.array_compact(F.array_distinct(line_hashes(F.coalesce("text", F.lit("")), least_length))).alias("hashes"))
-    hashed = materialise(hashed.withColumn("batch", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(batches)).cast("int")), "line-hashes")
-    runs = LineRuns(spark, frequent)
+    own = F.col("row")[id_col]
+    rows = docs.select(F.struct("*").alias("row")).select("row", F.when(own.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(own)).alias("key"))
+    hashed = rows.select("key", F.array_compact(F.array_distinct(line_hashes(text, least_length))).alias("hashes"))
+    hashed = materialise(hashed.withColumn("batch", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(batches)).cast("int")), "line-hashes", "batch")
+    runs = LineRuns(spark, fanout)
     for b in range(batches):
         runs.add(hashed.where(F.col("batch") == b).select(F.explode("hashes").alias("hash")))
-        runs.settle()
-    side = F.broadcast(runs.known) if runs.known.count() <= small else runs.known
+    known = materialise(runs.counts().where(F.col("docs") >= frequent).select("hash"), "line-frequent")
+    runs.close()
+    side = F.broadcast(known) if known.count() <= small else known
     hit = hashed.select("key", F.explode("hashes").alias("hash")).join(side, "hash").groupBy("key").agg(F.collect_set("hash").alias("drop"))
-    return _kept(rows.join(hit, "key", "left"), least_length)
+    return _kept(rows.join(hit, "key", "left"), text, least_length)
 
 
-def _kept(rows: DataFrame, least_length: int) -> DataFrame:
+def _kept(rows: DataFrame, text: Column, least_length: int) -> DataFrame:
     """Only texts with a frequent line are taken apart."""
-    text = F.coalesce("text", F.lit(""))
     newlines = lambda c: (F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))).cast("long")
     lines = F.arrays_zip(F.split(text, "\n", -1).alias("line"), line_hashes(text, least_length).alias("hash"))
     left = F.transform(F.filter(lines, lambda x: ~F.coalesce(F.array_contains("drop", x["hash"]), F.lit(False))), lambda x: x["line"])

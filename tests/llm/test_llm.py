@@ -94,13 +94,32 @@ def test_line_dedup(spark):
 
 
 def test_line_runs_on_levels(spark):
-    runs = line_dedup.LineRuns(spark, frequent=3, fanout=2)
-    for batch in ([1, 2, 3], [1, 2], [1, 5], [1, 2, 6]):
+    runs = line_dedup.LineRuns(spark, fanout=2, buckets=3)
+    seen = Counter()
+    for k, batch in enumerate(([1, 2, 3, 3], [1, 2], [1, 5], [1, 2, 6], [7, 1, 3], [8] * 5)):
         runs.add(spark.createDataFrame([(x,) for x in batch], "hash long"))
-        runs.settle()
-    assert {r["hash"] for r in runs.known.collect()} == {1, 2}
-    assert len([r for level in runs.levels for r in level]) < 4
-    assert {r["hash"] for r in runs.unseen(spark.createDataFrame([(6,), (7,)], "hash long")).collect()} == {7}
+        seen.update(batch)
+        assert {r["hash"]: r["docs"] for r in runs.counts().collect()} == seen
+        assert [len(level) for level in runs.levels] == [int(x) for x in reversed(f"{k + 1:b}")]  # a binary counter
+        held = [r["hash"] for run in runs.runs for r in run.collect()]
+        assert sorted(held) == sorted(seen)  # each key in one run only
+    assert {r["hash"] for r in runs.unseen(spark.createDataFrame([(6,), (7,), (9,)], "hash long")).collect()} == {9}
+    plan = runs.unseen(runs.runs[0])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == len(runs.runs) and "Exchange" not in plan
+    runs.close()
+
+
+def test_line_runs_of_the_query_are_compacted(spark, monkeypatch):
+    made, add = [], line_dedup.LineRuns.add
+
+    def noted(self, hashes):
+        add(self, hashes)
+        made.append(([len(level) for level in self.levels], self.compacted))
+
+    monkeypatch.setattr(line_dedup.LineRuns, "add", noted)
+    rows = [(i, f"line {i % 7}\nown {i}") for i in range(100)]
+    assert line_dedup.drop_frequent_lines(table(spark, rows)).where("n_dropped = 1").count() == 100
+    assert made[-1] == ([1, 1], 1)
 
 
 # 3 n-gram Jaccard -------------------------------------------------------------------------------------------------
