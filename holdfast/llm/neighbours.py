@@ -1,11 +1,12 @@
 """Operator 7: approximate nearest neighbours by a robust-pruned directed graph in each shard.
 
-Vectors are dealt over shards by a hash of their values, so many that a shard holds about ``shard_size``. Equal vectors
-are one node; of its ids only the least ``k + 1`` can be in any result, so no more are kept. Within a shard, nodes enter the graph
-in batches: a greedy search from the middle of the shard proposes neighbours, and pruning keeps the nearest of them
-but drops those that some kept neighbour is nearer to by more than a factor ``alpha``; links back are pruned alike. For the
-inner product, a further component makes all vectors equally long, after which it orders as the distance does. A
-query runs a beam search in every shard, scores what it met exactly in double precision, and the shards' best are merged.
+Vectors are dealt over shards by their length, in steps of ``ratio``, and by a hash of their values, so many that a shard
+holds about ``shard_size``. Equal vectors are one node; of its ids only the least ``k + 1`` can be in any result, so no more
+are kept. A shard's graph is one of directions: nodes enter it in batches; a greedy search from the middle of the shard
+proposes neighbours, and pruning keeps the nearest of them but drops those that some kept neighbour is nearer to by more
+than a factor ``alpha``; links back are pruned alike. As a shard's vectors are about equally long, those of the largest
+inner product are among those of the nearest direction. A query runs a beam search in every shard, scores what it met
+exactly in double precision, and the shards' best are merged.
 
 Defined cases: vectors that are null, empty, zero, of another length than most or hold null or non-finite components
 take no part, nor do null ids; ids that repeat take part with their least vector; with fewer candidates than ``k`` all are returned.
@@ -125,9 +126,10 @@ class Graph:
         return ids, sims
 
 
-def _lengthened(vectors: np.ndarray, longest: float) -> np.ndarray:
-    rest = np.sqrt(np.maximum(longest**2 - (vectors.astype(np.float64) ** 2).sum(axis=1), 0))
-    return np.column_stack([vectors, rest]).astype(np.float32)
+def _directions(vectors: np.ndarray) -> np.ndarray:
+    wide = vectors.astype(np.float64)
+    wide /= np.abs(wide).max(axis=1, keepdims=True)  # squares of very large or small components stay in range
+    return (wide / np.sqrt((wide**2).sum(axis=1, keepdims=True))).astype(np.float32)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -136,31 +138,31 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(data), -1)
 
 
-def _build(longest: float, degree: int, beam: int, alpha: float):
+def _build(degree: int, beam: int, alpha: float):
     def run(key, data):
         vectors = _matrix(data.column("vector"))
-        graph = Graph(_lengthened(vectors, longest), degree, beam, alpha)
+        graph = Graph(_directions(vectors), degree, beam, alpha)
         ids = data.column("ids").combine_chunks()
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "vectors": pa.array([vectors.tobytes()], pa.binary()), "size": pa.array([len(vectors)], pa.int64()), "links": pa.array([graph.links.tobytes()], pa.binary()), "start": pa.array([graph.start], pa.int64()), "ids": pa.array([ids.flatten().to_numpy().astype("<i8").tobytes()], pa.binary()), "id_counts": pa.array([np.diff(ids.offsets.to_numpy()).astype("<i4").tobytes()], pa.binary())})
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "vectors": pa.array([vectors.tobytes()], pa.binary()), "size": pa.array([len(vectors)], pa.int64()), "links": pa.array([graph.links.tobytes()], pa.binary()), "start": pa.array([graph.start], pa.int64()), "ids": pa.array([ids.flatten().to_numpy().astype("<i8").tobytes()], pa.binary()), "id_counts": pa.array([np.diff(ids.offsets.to_numpy()).astype("<i4").tobytes()], pa.binary())})
 
     return run
 
 
-def _search(kind: str, longest: float, degree: int, beam: int, alpha: float, k: int):
+def _search(kind: str, degree: int, beam: int, k: int):
     def run(key, index, queries):
         if not len(index) or not len(queries):
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         row = {c: index.column(c)[0].as_py() for c in ("vectors", "size", "links", "start", "ids", "id_counts")}
         vectors = np.frombuffer(row["vectors"], kind).reshape(row["size"], -1)
         graph = Graph.__new__(Graph)
-        graph.v, graph.links, graph.start = _lengthened(vectors, longest), np.frombuffer(row["links"], np.int32).reshape(-1, degree), row["start"]
+        graph.v, graph.links, graph.start = _directions(vectors), np.frombuffer(row["links"], np.int32).reshape(-1, degree), row["start"]
         counts = np.frombuffer(row["id_counts"], "<i4")
         ids, first = np.frombuffer(row["ids"], "<i8"), np.cumsum(counts) - counts
         names, q = queries.column("id").to_numpy(), _matrix(queries.column("vector"))
         out = []
         for at in range(0, len(q), 256):
             part = q[at : at + 256]
-            found, _ = graph.search(np.column_stack([part, np.zeros(len(part))]).astype(np.float32), beam)
+            found, _ = graph.search(_directions(part), beam)
             for i, near in enumerate(found):
                 near = near[near >= 0]
                 # exact: row by row, the same sum for equal vectors
@@ -178,26 +180,41 @@ def _search(kind: str, longest: float, degree: int, beam: int, alpha: float, k:
     return run
 
 
-def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", shard_size: int = 4000, block: int = 2000, degree: int = 32, beam: int = 100, search_beam: int = 160, alpha: float = 1.2) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` rows of largest inner product of each row that ``is_query`` (on column id) picks."""
+def _length_class(ratio: float) -> Column:
+    """Whole steps of ``ratio`` in a vector's length; length 1 lies in the middle of step 0. The largest component is taken out first, so that squares stay in range."""
+    top = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
+    rest = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x.cast("double") / top) * (x.cast("double") / top))
+    return F.floor((F.log(top) + F.log(rest) / 2) / float(np.log(ratio)) + 0.5).cast("int")
+
+
+def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", shard_size: int = 4000, block: int = 20000, degree: int = 32, beam: int = 100, search_beam: int = 160, alpha: float = 1.2, ratio: float = 1.1) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` rows of largest inner product of each row that ``is_query`` (on column id) picks.
+
+    The counts by steps of length alone come to the driver: some 15,000 at most, as many as double precision has. A
+    shard's index is sent once for each ``block`` queries.
+    """
     spark = rows.sparkSession
     kind = "<f4" if "float" in dict(rows.dtypes)[vector_col] else "<f8"
-    vectors = materialise(usable(pick(rows, id=id_col, vector=vector_col).withColumn("id", F.col("id").cast("long"))), "neighbours-vectors")
-    norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    n, longest = vectors.agg(F.count("*"), F.sqrt(F.max(norm))).first()
-    queries = vectors.where(is_query)
+    vectors = materialise(usable(pick(rows, id=id_col, vector=vector_col).withColumn("id", F.col("id").cast("long"))).withColumn("step", _length_class(ratio)), "neighbours-vectors")
+    counts = {r["step"]: r["n"] for r in vectors.groupBy("step").agg(F.count("*").alias("n")).collect()}
+    queries = vectors.where(is_query).drop("step")
     n_queries = queries.count()
-    if not n or not n_queries:
+    if not counts or not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shards, blocks = -(-n // shard_size), -(-n_queries // block)
+    # a step's shards are numbered on from those of the steps before
+    pieces = [-(-counts[s] // shard_size) for s in sorted(counts)]
+    firsts = np.cumsum([0, *pieces]).tolist()
+    shards, blocks = firsts[-1], -(-n_queries // block)
+    steps = spark.createDataFrame(pa.table({"step": pa.array(sorted(counts), pa.int32()), "first": pa.array(firsts[:-1], pa.int64()), "pieces": pa.array(pieces, pa.int64())}))
     # equal vectors: the least ids of each
     ranked = vectors.withColumn("r", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("r") <= k + 1)
-    nodes = ranked.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
-    schema = "shard int, vectors binary, size long, links binary, start long, ids binary, id_counts binary"
-    index = materialise(nodes.repartition(shards, "shard").groupBy("shard").applyInArrow(_build(longest, degree, beam, alpha), schema), "neighbours-index")
-    every = lambda m, name: F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(name)
+    nodes = ranked.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.first("step").alias("step"))
+    nodes = nodes.join(F.broadcast(steps), "step").select("vector", "ids", (F.col("first") + F.pmod(F.xxhash64("vector"), F.col("pieces"))).alias("shard"))
+    schema = "shard long, vectors binary, size long, links binary, start long, ids binary, id_counts binary"
+    index = materialise(nodes.repartition(shards, "shard").groupBy("shard").applyInArrow(_build(degree, beam, alpha), schema), "neighbours-index")
+    every = lambda m, name: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))).alias(name)
     left = index.select("*", every(blocks, "block"))
-    right = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).select("*", every(shards, "shard"))
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(_search(kind, longest, degree, search_beam, alpha, k), _RESULT)
+    right = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long")).select("*", every(shards, "shard"))
+    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(_search(kind, degree, search_beam, k), _RESULT)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
