@@ -4,7 +4,8 @@ All segmentations of a text into pieces of a SentencePiece vocabulary form a lat
 product of its pieces' probabilities (to the power ``alpha``): a forward pass sums the weight of all ways to each place, a
 backward pass draws the last piece, then the one before it, and so on. No piece has a space behind another character,
 so the lattice falls apart before each run of spaces; the forward pass is made once for each distinct part that a worker
-meets and kept in a table of bounded size. Draws depend on the row's key, the part's place and the place in the part
+meets and kept in a table, which is emptied when it has many parts or arcs. A text's parts are taken up to 256 KB at a time; a
+longer part is gone through in windows, whose forward sums are made again on the way back, so that memory is bounded for any text. Draws depend on the row's key, the part's place and the place in the part
 only, so a row's segmentation doesn't depend on where or in which company it is computed.
 
 The vocabulary's merges have ranks in place of probabilities; piece of rank r gets weight 1 / (r + 10), summing to 1.
@@ -29,6 +30,10 @@ from .common import pick
 from .tokens import HashIndex, hash_pieces
 
 _MARK = "▁"
+#: Arcs (29 bytes each) that a worker keeps before its table is emptied.
+_MOST_ARCS = 1 << 21
+#: Bytes of a window of a long part.
+_WINDOW = 1 << 16
 
 
 class Segmenter:
@@ -53,6 +58,7 @@ class Segmenter:
         self.pieces = {p: (i, (1 / (r + 10) / total) ** alpha) for p, (i, r) in pieces.items()}
         sizes = np.array([len(p) for p in names])
         self.lengths = sorted({*sizes.tolist()})
+        self.chunk = min(T.SLICE_BYTES, (1 << bits) // 4)
         flat = np.frombuffer(b"".join(names), np.uint8)
         self.vocabulary = HashIndex(17)
         at = self.vocabulary.insert(hash_pieces(flat, np.cumsum(sizes) - sizes, np.cumsum(sizes)))
@@ -74,13 +80,11 @@ class Segmenter:
         self.arcs = [np.zeros(1 << 16), np.zeros(1 << 16, np.int32), np.zeros((1 << 16, 4), np.int32), np.zeros(1 << 16, np.int8)]
         self.n_arcs, self.n_states = 0, 0
 
-    def _lattices(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The arcs of all parts, by the place they end at and longer ones first: (first arc of each byte, arcs' columns)."""
+    def _arcs(self, raw: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(last byte, bytes, piece or -1 for bytes, weight) of all arcs; ``offset``: how far back a byte's arcs may begin."""
         n = len(raw)
         power, inverse = T.powers(n)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)])
-        origin = np.repeat(starts, ends - starts)
-        offset = np.arange(n) - origin + 1  # bytes of its part up to and with each
         stop, size, piece, weight = [], [], [], []
         live = np.arange(n)
         for k in self.lengths:
@@ -105,7 +109,14 @@ class Segmenter:
         size.append(wide[bare])
         piece.append(np.full(len(bare), -1, np.int32))
         weight.append(np.full(len(bare), 1e-9))
-        stop, size, piece, weight = map(np.concatenate, (stop, size, piece, weight))
+        return tuple(map(np.concatenate, (stop, size, piece, weight)))
+
+    def _lattices(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The arcs of all parts, by the place they end at and longer ones first: (first arc of each byte, arcs' columns)."""
+        n = len(raw)
+        origin = np.repeat(starts, ends - starts)
+        offset = np.arange(n) - origin + 1  # bytes of its part up to and with each
+        stop, size, piece, weight = self._arcs(raw, offset)
         # forward pass: all parts at once, place by place
         order = np.lexsort((-size, stop, offset[stop]))
         stop, size, piece, weight = stop[order], size[order], piece[order], weight[order]
@@ -166,26 +177,41 @@ class Segmenter:
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], len(raw))
         firsts = np.searchsorted(starts, offsets)
+        # one random stream for each part: by the row's seed and the part's number in the row
+        count = np.diff(firsts)
+        stream = T.mix(np.repeat(seeds, count) + (np.arange(len(starts)) - np.repeat(firsts[:-1], count)).astype(np.uint64))
+        total, out, a = np.zeros(len(starts), np.int64), [], 0
+        while a < len(starts):
+            b = int(np.searchsorted(ends, starts[a] + self.chunk, side="right"))
+            if b > a:
+                ids, total[a:b] = self._sample_parts(raw[starts[a] : ends[b - 1]], starts[a:b] - starts[a], ends[a:b] - starts[a], stream[a:b])
+            else:
+                b = a + 1
+                ids = self._sample_long(raw[starts[a] : ends[a]], stream[a:b])
+                total[a] = len(ids)
+            out.append(ids)
+            a = b
+        return np.concatenate(out), np.concatenate([[0], np.cumsum(total)])[firsts]
+
+    def _sample_parts(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of adjacent parts in a row, how many each has)."""
         keys = hash_pieces(raw, starts, ends)
         slots, found = self.index.find(keys)
         if not found.all():
             where = np.flatnonzero(~found)
             new, first = np.unique(keys[where], return_index=True)
             where = where[first]
-            if self.index.held + len(new) > len(self.index.keys) // 3:
+            if self.index.held + len(new) > len(self.index.keys) // 3 or self.n_arcs > _MOST_ARCS:
                 self.clear()
                 new, where = np.unique(keys, return_index=True)
             self._learn(new, raw, starts[where], ends[where])
             slots, _ = self.index.find(keys)
-        # one random stream for each part: by the row's seed and the part's number in the row
-        count = np.diff(firsts)
-        stream = T.mix(np.repeat(seeds, count) + (np.arange(len(starts)) - np.repeat(firsts[:-1], count)).astype(np.uint64))
         base, place = self.base[slots], self.length[slots].astype(np.int64)
         cdf, back, _, size = (x[: self.n_arcs] for x in self.arcs)
         drawn, live, total = [], np.arange(len(starts)), np.zeros(len(starts), np.int64)
         while len(live):
             state = base[live] + place[live] - 1
-            r = (T.mix(stream[live] + place[live].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)) * 2.0**-53
+            r = _draws(stream[live], place[live])
             arc = self.first[state]
             on = np.flatnonzero(cdf[arc] <= r)
             while len(on):
@@ -204,7 +230,62 @@ class Segmenter:
             for j in range(int(n.max())):
                 some = n > j if j else slice(None)
                 out[at[who[some]] + j] = self.arcs[2][arc[some], j]
-        return out, np.concatenate([[0], stop])[firsts]
+        return out, total
+
+    def _sample_long(self, raw: np.ndarray, stream: np.ndarray) -> np.ndarray:
+        """The ids of one long part. Forward sums are kept where windows begin, for as many places as a piece is long."""
+        reach = self.lengths[-1]
+        marks, ahead = [], [0.0] * (reach - 1) + [1.0]  # of the places up to and with the window's begin
+        for lo in range(0, len(raw), _WINDOW):
+            marks.append(ahead)
+            *_, sums = self._window(raw, lo, ahead)
+            ahead = sums[-reach:]
+        place, out = len(raw), []
+        for lo in range(len(marks) - 1, -1, -1):
+            lo *= _WINDOW
+            first, arcs, sums = self._window(raw, lo, marks.pop())
+            _, size, piece, weight = arcs
+            hi = min(lo + _WINDOW, len(raw))
+            draw = _draws(np.repeat(stream, hi - lo), np.arange(lo + 1, hi + 1)).tolist()
+            ids = []
+            while place > lo:
+                at = place - lo
+                r, arc, end = draw[at - 1] * sums[at + reach - 1], first[at - 1], first[at]
+                so_far = sums[at + reach - 1 - size[arc]] * weight[arc]
+                while so_far <= r and arc + 1 < end:
+                    arc += 1
+                    so_far += sums[at + reach - 1 - size[arc]] * weight[arc]
+                k = size[arc]
+                ids += [piece[arc]] if piece[arc] >= 0 else self.byte_ids[raw[place - k : place]][::-1].tolist()
+                place -= k
+            out.append(np.array(ids, np.int32)[::-1])
+        return np.concatenate(out[::-1])
+
+    def _window(self, raw: np.ndarray, lo: int, ahead: list[float]) -> tuple[list[int], tuple, list[float]]:
+        """Of a window that begins at ``lo``: each place's first arc, the arcs' columns, and the forward sums of ``ahead`` and all places."""
+        hi = min(lo + _WINDOW, len(raw))
+        reach = len(ahead)
+        left = max(0, lo - reach - 4)
+        left += int(np.argmax((raw[left : lo + 1] & 0xC0) != 0x80)) if left else 0
+        right = min(len(raw), hi + 4)
+        stop, size, piece, weight = self._arcs(raw[left:right], np.arange(1, right - left + 1))
+        stop = stop + left - lo
+        order = np.lexsort((-size, stop))
+        order = order[(stop[order] >= 0) & (stop[order] < hi - lo) & (size[order] <= stop[order] + lo + 1)]
+        stop = stop[order]
+        columns = [x[order].tolist() for x in (stop, size, piece, weight)]
+        first = np.searchsorted(stop, np.arange(hi - lo + 1)).tolist()
+        sums = list(ahead)
+        _, size, _, weight = columns
+        for at in range(hi - lo):
+            x = 0.0
+            for arc in range(first[at], first[at + 1]):
+                x += sums[at + reach - size[arc]] * weight[arc]
+            sums.append(x)
+            if 0 < x < 1e-150:  # only ratios of the last places matter
+                for k in range(reach):
+                    sums[at + reach - k] *= 1e150
+        return first, tuple(columns), sums
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The UTF-8 bytes of a row of ids."""
@@ -213,6 +294,10 @@ class Segmenter:
         return self.bytes_pool[np.arange(stop[-1] if len(ids) else 0) + np.repeat(self.bytes_first[ids] - (stop - size), size)]
 
 
+def _draws(stream: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (T.mix(stream + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)) * 2.0**-53
+
+
 @lru_cache(maxsize=4)
 def segmenter(path: str, alpha: float) -> Segmenter:
     return Segmenter(path, alpha)

@@ -144,9 +144,11 @@ class HashIndex:
 class Encoder:
     """Ids of batches of texts by one tokenizer file, with the pieces met so far."""
 
-    def __init__(self, path: str, bits: int = 21):
+    def __init__(self, path: str, bits: int = 21, most_ids: int = 1 << 24):
         from tokenizers import Tokenizer
 
+        self.most_ids = most_ids  # of all pieces that are kept; a piece has as many as it has bytes, at most
+
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [s.content for s in self.tokenizer.get_added_tokens_decoder().values()]
         self.has_special = re.compile("|".join(map(re.escape, self.special)).encode()) if self.special else None
@@ -186,10 +188,11 @@ class Encoder:
         if not found.all():
             new, where = np.unique(keys[~found], return_index=True)
             where = np.flatnonzero(~found)[where]
-            if self.index.held + len(new) > len(self.index.keys) // 2:
+            full = lambda: self.index.held + len(new) > len(self.index.keys) // 2 or self.used + int((ends[where] - starts[where]).sum()) > self.most_ids
+            if full():
                 self.clear()
                 new, where = np.unique(keys, return_index=True)
-                if len(new) > len(self.index.keys) // 2:
+                if full():
                     return self._plainly(raw.tobytes(), offsets)
             raw_bytes = data or raw.tobytes()
             self._learn(new, [raw_bytes[a:b].decode("latin-1") for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)])
