@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bounded(rows: DataFrame, label: str, key: Column, per_label: int) -> tuple[DataFrame, dict]:
-    """At most ``per_label`` rows of each label, by the least hashes of ``key``, and the counts of all labels.
+def bounded(rows: DataFrame, label: str, key: Column, per_label: int, most_labels: int = 1000) -> tuple[DataFrame, dict]:
+    """At most ``per_label`` rows of each label, by the least hashes of ``key``, and the counts of the labels.
 
+    Of more than ``most_labels`` labels the most frequent are taken, so what comes to the driver is bounded.
     A share of the hash range a little above the bound is taken first, so only that many rows meet in the ranking.
     """
     rows = rows.where(F.col(label).isNotNull())
-    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label).limit(most_labels).collect()}
     if not counts:
         return rows, counts
     place = F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 30))

@@ -1,17 +1,19 @@
 """Operator 9: toxic passages, found as maximal scoring segments of token log-odds.
 
-Training, on a bounded sample of labelled rows: in how many toxic and clean texts each word, and each beginning of
-words of four to six bytes, occurs. Its score is the log-odds ratio between the classes under a Dirichlet prior in
-proportion to its overall frequency; features whose ratio is significantly above zero are kept. Words run over letters.
+Training, on a bounded sample of labelled rows, of which a third is held back: in how many toxic and clean texts each
+word, and each beginning of words of four to six bytes, occurs. Its score is the log-odds ratio between the classes under
+a Dirichlet prior in proportion to its overall frequency; features whose ratio is significantly above zero are kept.
+Words run over letters. All that follows is fitted on the third that the odds haven't seen.
 
 Scoring: a word scores as its best feature less a drift, other words the negative drift. One linear scan finds all maximal
 scoring segments of a text, disjoint and none extendable. Scores of segments in clean text follow an extreme-value
-law, P(S >= s) = 1 - exp(-K n exp(-lambda s)); lambda solves the clean words' moment equation, K is fitted on clean
-texts. Segments that would be rare in a clean text of that length are toxic passages, and the evidence of a text is
+law, P(S >= s) = 1 - exp(-K n exp(-lambda s)). lambda solves the clean words' moment equation, that the mean of
+exp(lambda * score) is 1; K is the most likely one for the best segments of clean texts, given lambda. Segments that would be rare in a clean text of that length are toxic passages, and the evidence of a text is
 the sum of theirs, calibrated to a probability by a logistic fit weighted to the classes' true shares.
 
-Defined cases: null and empty texts have no passages; rows without a label don't train; without labelled rows of both classes every
-text scores 0.
+Defined cases: null and empty texts have no passages; rows without a label don't train; an id with both labels counts as
+toxic; of rows that repeat an id one text trains; without labelled rows of both classes every text scores 0. Where a
+class has fewer than 20 rows in either part of the sample, nothing is held back.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import fold, keep_rows, pick
+from .common import fold, keep_rows, materialise, pick
 from .sampling import bounded
 
 #: Bytes that aren't part of words: ASCII but letters.
@@ -121,7 +123,7 @@ def segments(places: list[int], scores: list[float], drift: float) -> list[tuple
 
 
 def _scan(model: Model, texts: pa.Array):
-    """Per text: (evidence, best segment score, words, its passages as (first byte, end byte, score, expected))."""
+    """Per text: (evidence, best segment score, words, its passages as (first byte, end byte, score, expected), scores of words above the drift)."""
     near = model.filter()
     shift = np.uint64(64 - _FILTER_BITS)
     for _, hi, raw, offsets in T.slices(texts):
@@ -139,45 +141,73 @@ def _scan(model: Model, texts: pa.Array):
             own = positive[cuts[k] : cuts[k + 1]]
             n = int(firsts[k + 1] - firsts[k])
             if not len(own):
-                yield 0.0, 0.0, n, []
+                yield 0.0, 0.0, n, [], []
                 continue
             parts = segments(own.tolist(), (odds[own] - model.drift).tolist(), model.drift)
             evidence, passages = 0.0, []
             for a, b, s in parts:
-                expected = model.scale * n * np.exp(-model.rate * s)
-                if expected <= model.cutoff:
-                    evidence -= np.log(expected)
-                    passages.append((int(starts[a] - offsets[k]), int(ends[b] - offsets[k]), float(s), float(expected)))
-            yield evidence, max(s for _, _, s in parts), n, passages
+                rare = model.rate * s - np.log(model.scale * n)  # less the logarithm of the expected number
+                if rare >= -np.log(model.cutoff):
+                    evidence += rare
+                    passages.append((int(starts[a] - offsets[k]), int(ends[b] - offsets[k]), float(s), float(np.exp(-rare))))
+            yield evidence, max(s for _, _, s in parts), n, passages, odds[own] - model.drift
 
 
 def _evidence(model: Model):
+    """Of each text: its class, evidence, best segment, words and the scores of those above the drift."""
+
     def run(batches):
         for batch in batches:
             out = list(_scan(model, batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.int64())], ["toxic", "evidence", "best", "words"])
+            tops = [np.array(x[4], np.float32).tobytes() for x in out]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.float64(), pa.float64(), pa.int64()))), pa.array(tops, pa.binary())], ["toxic", "evidence", "best", "words", "tops"])
 
     return run
 
 
+def moment_rate(scores: np.ndarray, others: int, drift: float) -> float:
+    """The positive lambda at which the mean of exp(lambda * score) is 1, over ``scores`` and ``others`` words of score -drift.
+
+    Without such a root, as no word scores above zero or the mean isn't negative, 1.
+    """
+    n = len(scores) + others
+    if not len(scores) or scores.sum() - drift * others >= 0:
+        return 1.0
+    excess = lambda x: np.exp(x * scores).sum() + others * np.exp(-x * drift) - n
+    low, high = 0.0, 1.0
+    while excess(high) < 0:
+        low, high = high, 2 * high
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if excess(mid) < 0 else (low, mid)
+    return high
+
+
+def law_scale(best: np.ndarray, words: np.ndarray, rate: float) -> float:
+    """The most likely K of P(S < s) = exp(-K n exp(-rate s)), where a text without a segment says S < 0 only."""
+    return max(int((best > 0).sum()), 1) / max(float((words * np.exp(-rate * best)).sum()), 1.0)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 10_000, prior: float = 0.3, least_z: float = 3.5, most_features: int = 100_000, drift: float = 0.5) -> Model | None:
-    """Fit on at most ``per_class`` labelled rows of each class; ``most_features`` and two numbers a row come to the driver.
+    """Fit on at most ``per_class`` labelled rows of each class, written to a table; ``most_features`` and, of each row
+    held back, four numbers and the scores of its toxic words come to the driver.
 
     ``prior`` is the prior's weight as a share of the smaller class.
     """
-    spark = docs.sparkSession
-    named = pick(labels, id=id_col, toxic=label_col).where("id is not null and toxic in (0, 1)").distinct()
+    named = pick(labels, id=id_col, toxic=label_col).where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen, counts = bounded(named, "toxic", F.col("id"), per_class)
     if len(counts) < 2:
         return None
-    rows = pick(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id").select("toxic", "text")
-    held = rows.mapInArrow(_presence, "feature long, in_toxic long, in_clean long").groupBy("feature").agg(F.sum("in_toxic").alias("t"), F.sum("in_clean").alias("c"))
-    n = rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()
-    n = {int(r["toxic"]): r["n"] for r in n}
-    if len(n) < 2:
+    sample = pick(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    sample = materialise(sample.select("toxic", "text", (F.pmod(F.xxhash64("id", F.lit(29)), F.lit(3)) == 0).alias("back")), "toxicity-sample")
+    sizes = {(int(r["toxic"]), r["back"]): r["n"] for r in sample.groupBy("toxic", "back").agg(F.count("*").alias("n")).collect()}
+    if len({k for k, _ in sizes}) < 2:
         return None
+    apart = all(sizes.get((k, back), 0) >= 20 for k in (0, 1) for back in (True, False))
+    seen, unseen = (sample.where("not back"), sample.where("back")) if apart else (sample, sample)
     # texts stand for the words' totals: presence in n texts of either class
-    nt, nc = float(n[1]), float(n[0])
+    nt, nc = (float(sizes.get((k, False), 0) + (0 if apart else sizes.get((k, True), 0))) for k in (1, 0))
+    held = seen.mapInArrow(_presence, "feature long, in_toxic long, in_clean long").groupBy("feature").agg(F.sum("in_toxic").alias("t"), F.sum("in_clean").alias("c"))
     prior = max(1.0, prior * min(nt, nc))
     a = (F.col("t") / nt + F.col("c") / nc) / 2 * prior + 0.01
     t, c = F.col("t") + a, F.col("c") + a
@@ -188,17 +218,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     values = np.array([r["odds"] for r in kept])
     order = np.argsort(keys)
     model = Model(keys[order], values[order], drift, 1.0, 1.0, 1.0, 0.0, cutoff=np.inf)
-    seen = rows.mapInArrow(_evidence(model), "toxic int, evidence double, best double, words long").toPandas()
-    clean = seen[(seen.toxic == 0) & (seen.words > 0)]
-    # the best segments of clean texts: exceedances fall off exponentially with rate lambda
-    best = clean.best.to_numpy()
-    above = best[best > 0]
-    rate = 1 / max(float(above.mean()), 0.25) if len(above) else 1.0
-    scale = max(len(above), 1) / max(float(clean.words.sum()), 1.0)
+    measured = lambda m: unseen.mapInArrow(_evidence(m), "toxic int, evidence double, best double, words long, tops binary")
+    clean = measured(model).where("toxic = 0").select("best", "words", "tops").toPandas()
+    tops = np.frombuffer(b"".join(clean.tops), np.float32).astype(np.float64)
+    rate = moment_rate(tops, int(clean.words.sum()) - len(tops), drift)
+    scale = law_scale(clean.best.to_numpy(), clean.words.to_numpy(), rate)
     model = Model(model.keys, model.odds, drift, rate, scale, 1.0, 0.0)
-    seen = rows.mapInArrow(_evidence(model), "toxic int, evidence double, best double, words long").toPandas()
-    share = {k: counts.get(k, 0) / max(1, (seen.toxic == k).sum()) for k in (0, 1)}
-    slope, offset = _logistic(seen.evidence.to_numpy(), seen.toxic.to_numpy(), np.where(seen.toxic == 1, share[1], share[0]))
+    found = measured(model).select("toxic", "evidence").toPandas()
+    share = {k: counts.get(k, 0) / max(1, (found.toxic == k).sum()) for k in (0, 1)}
+    slope, offset = _logistic(found.evidence.to_numpy(), found.toxic.to_numpy(), np.where(found.toxic == 1, share[1], share[0]))
     return Model(model.keys, model.odds, drift, rate, scale, slope, offset)
 
 
@@ -223,7 +251,7 @@ def _score(model: Model | None):
 
     def run(batches):
         for batch in batches:
-            found = list(_scan(model, batch.column("text"))) if model else [(0.0, 0.0, 0, [])] * len(batch)
+            found = list(_scan(model, batch.column("text"))) if model else [(0.0, 0.0, 0, [], [])] * len(batch)
             p = model.probability(np.minimum([x[0] for x in found], 100.0)) if model else np.zeros(len(batch))
             passages = [[dict(zip(("first_byte", "end_byte", "score", "expected"), y, strict=True)) for y in x[3]] for x in found]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(p, pa.float64()), pa.array(passages, kind)], ["doc_id", "held_out", "score", "passages"])
