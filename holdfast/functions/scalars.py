@@ -19,14 +19,15 @@ FALSE_WORDS = ["N", "NO", "FALSE", "0", "판매완료"]
 UNUSABLE_IDENTIFIERS = ["n/a", "na", "none", "null", "not applicable", "-", "--", ""]
 ISIN_SHAPE = "^[A-Z]{2}[A-Z0-9]{9}[0-9]$"
 
-#: What Python's strip() takes as white space.
+#: What Python's strip() takes as white space: as characters to trim, and as a pattern.
+_BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
 _NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def text(c: Column) -> Column:
     """Without white space at the ends; empty is null."""
-    return F.nullif(F.regexp_replace(c.cast("string"), f"^{_SPACE}+|{_SPACE}+$", ""), F.lit(""))
+    return F.nullif(F.btrim(c.cast("string"), F.lit(_BLANKS)), F.lit(""))
 
 
 def number(c: Column) -> Column:

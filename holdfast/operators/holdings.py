@@ -75,8 +75,11 @@ def contract(rows: DataFrame) -> Column:
     })
 
 
-def to_graph(records: DataFrame) -> dict[str, DataFrame]:
-    """Snapshots, positions and edges of records. A position keeps the published name; product names aren't touched."""
+def to_graph(records: DataFrame, run: Column | None = None) -> dict[str, DataFrame]:
+    """Snapshots, positions and edges of records. A position keeps the published name; product names aren't touched.
+
+    With a ``run``, what it wrote and what artifact each position comes from are edges too.
+    """
     r = records.select(
         "*", S.uri("isin", F.col("fund_isin")).alias("fund_uri"), S.uri("isin", F.col("constituent_isin")).alias("security_uri"),
         S.uri("snapshot", F.col("fund_isin"), F.col("as_of").cast("string"), F.col("source_document_id")).alias("snapshot_uri"),
@@ -86,10 +89,19 @@ def to_graph(records: DataFrame) -> dict[str, DataFrame]:
     edges = e("fund_uri", "HAS_SNAPSHOT", "snapshot_uri").unionByName(e("snapshot_uri", "HAS_POSITION", "position_uri")).unionByName(e("position_uri", "OF_SECURITY", "security_uri")).unionByName(e("fund_uri", "HOLDS", "security_uri"))
     snapshots = r.select(F.col("snapshot_uri").alias("uri"), "fund_uri", "as_of", "source_document_id").distinct()
     positions = r.select(F.col("position_uri").alias("uri"), "snapshot_uri", "security_uri", "constituent_name", "weight", "source_quantity", "source_market_value", "source_currency")
+    if run is not None:
+        own = r.select("snapshot_uri", "position_uri", S.uri("artifact", F.col("source_document_id")).alias("artifact_uri"), S.uri("run", run).alias("run_uri"))
+        o = lambda a, rel, b: own.select(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).alias("dst"))
+        edges = edges.unionByName(o("snapshot_uri", "HAS_HOLDING", "position_uri")).unionByName(o("position_uri", "DERIVED_FROM", "artifact_uri")).unionByName(o("run_uri", "UPSERTED", "snapshot_uri")).unionByName(o("run_uri", "UPSERTED", "position_uri"))
     return {"snapshots": snapshots, "positions": positions.dropDuplicates(["uri"]), "edges": edges.distinct()}
 
 
+def exposures(positions: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """(security_uri, fund_uri, as_of, weight, market_value): who holds each security."""
+    held = positions.select("security_uri", F.col("snapshot_uri").alias("uri"), "weight", "source_market_value")
+    return held.join(snapshots.select("uri", "fund_uri", "as_of"), "uri").groupBy("security_uri", "fund_uri", "as_of").agg(F.sum("weight").alias("weight"), F.sum("source_market_value").alias("market_value"))
+
+
 def exposure(positions: DataFrame, snapshots: DataFrame, security: Column) -> DataFrame:
-    """(fund_uri, as_of, weight): who holds a security."""
-    held = positions.where(F.col("security_uri") == security).select(F.col("snapshot_uri").alias("uri"), "weight")
-    return held.join(snapshots.select("uri", "fund_uri", "as_of"), "uri").groupBy("fund_uri", "as_of").agg(F.sum("weight").alias("weight"))
+    """(fund_uri, as_of, weight, market_value): who holds a security."""
+    return exposures(positions.where(F.col("security_uri") == security), snapshots).drop("security_uri")

@@ -50,14 +50,27 @@ def by_standard_id(rows: DataFrame, standard: str, member: str) -> DataFrame:
     return rows.groupBy(standard).agg(F.count("*").alias("n_rows"), F.array_sort(F.collect_set(member)).alias("members"))
 
 
-def name_only_pairs(rows: DataFrame, name: str, standard: str) -> DataFrame:
-    """(name, id_a, id_b): each unordered pair of different identifiers under one name, whatever its case."""
-    named = rows.select(F.lower(name).alias("name"), F.col(standard).alias("id")).distinct()
-    a, b = named.withColumnRenamed("id", "id_a"), named.withColumnRenamed("id", "id_b")
-    return a.join(b, "name").where("id_a < id_b")
+def name_only_merges(rows: DataFrame, name: str, standard: str) -> DataFrame:
+    """(name, id_a, id_b): the least identifier under a name, whatever its case, with each other one.
+
+    These pairs tie the same identifiers together as all pairs would, and grow with the table, not with a name's square.
+    """
+    named = rows.select(F.lower(name).alias("name"), F.col(standard).alias("id_b")).where("name is not null and id_b is not null").distinct()
+    return named.join(named.groupBy("name").agg(F.min("id_b").alias("id_a")), "name").where("id_a < id_b").select("name", "id_a", "id_b")
+
+
+def upsert_crosswalk(entries: DataFrame, order: Column, run: Column) -> tuple[DataFrame, DataFrame]:
+    """(entries, edges): one entry for each kind, key type and key, the last by ``order``; blank optional fields are null; the run that wrote it as an UPSERTED edge."""
+    keys = ["entity_kind", "local_key_type", "local_key"]
+    rest = [c for c in entries.columns if c not in keys]
+    last = entries.groupBy(*[S.text(F.col(k)).alias(k) for k in keys]).agg(F.max_by(F.struct(*rest, run.alias("_run")), order).alias("x"))
+    last = last.where(" and ".join(f"{k} is not null" for k in keys))
+    uri = S.uri("crosswalk", *[F.col(k) for k in keys]).alias("uri")
+    edges = last.select(S.uri("run", F.col("x._run")).alias("src"), F.lit("UPSERTED").alias("rel"), uri.alias("dst"))
+    return last.select(uri, *keys, *[S.text(F.col(f"x.{c}")).alias(c) for c in rest]), edges
 
 
 def name_groups(rows: DataFrame, name: str, standard: str) -> DataFrame:
-    """(name, id, n_ids): the members of each name that several identifiers have, whatever its case; any two of them are a pair of name_only_pairs."""
+    """(name, id, n_ids): the members of each name that several identifiers have, whatever its case; the same groups as of name_only_merges."""
     named = rows.select(F.lower(name).alias("name"), F.col(standard).alias("id")).where("id is not null").distinct()
     return named.join(named.groupBy("name").agg(F.count("*").alias("n_ids")).where("n_ids > 1"), "name").select("name", "id", "n_ids")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +65,30 @@ def coverage(rows: DataFrame, fields: list[str]) -> DataFrame:
     return out.withColumn("constant_zero", (F.col("populated") > 0) & (F.col("non_zero") == 0))
 
 
+def validation_totals(records: DataFrame, entities: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row of counts: records (uri), rejected ones, entities by kind, units, listings, observations, records that
+    neither describe anything nor are rejected, and identifiers of more than one entity row."""
+    sound = entities.where("issue_code is null")
+    uris = lambda name: F.count_distinct(name).alias({"unit_uri": "n_units", "listing_uri": "n_listings"}[name])
+    of_kind = lambda kind: F.count_distinct(F.when(F.col("kind") == kind, F.col("uri"))).alias(f"n_{kind}s")
+    rejected = entities.where("issue_code is not null").select("source_uri").distinct()
+    described = edges.where("rel = 'DESCRIBES'").select(F.col("src").alias("source_uri")).distinct()
+    rest = records.select(F.col("uri").alias("source_uri")).join(described, "source_uri", "left_anti").join(rejected, "source_uri", "left_anti")
+    one = [
+        records.agg(F.count("*").alias("n_records")), rejected.agg(F.count("*").alias("n_rejected")),
+        sound.agg(of_kind("bond"), of_kind("fund"), of_kind("note"), uris("unit_uri"), uris("listing_uri")),
+        edges.where("rel = 'HAS_OBSERVATION'").agg(F.count_distinct("dst").alias("n_observations")),
+        rest.agg(F.count("*").alias("n_unlinked")), duplicates(sound, "uri").agg(F.count("*").alias("n_duplicate_uris")),
+    ]
+    return reduce(lambda a, b: a.join(F.broadcast(b)), one)
+
+
+def reject_broken_documents(rows: DataFrame, document: str, broken: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows of documents whose records all keep the rules, (document, n_broken) of the others): one broken record fails its document."""
+    bad = rows.where(F.size(broken) > 0).groupBy(document).agg(F.count("*").alias("n_broken"))
+    return rows.join(bad.select(document), document, "left_anti"), bad
+
+
 def link_report(records: DataFrame, linked: DataFrame, rejected: DataFrame, key: str, dataset: str) -> DataFrame:
     """(dataset, n_records, n_linked, n_rejected, n_unlinked)."""
     mark = lambda df, name: df.select(key).distinct().withColumn(name, F.lit(True))

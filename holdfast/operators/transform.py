@@ -4,8 +4,6 @@ observations), which explode into tables and edges. A missing column reads as nu
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,14 +48,15 @@ def metrics(rows: DataFrame, mapping: dict[str, str]) -> Column:
     return F.map_filter(m, lambda _, v: v.isNotNull())
 
 
-def bonds(rows: DataFrame, stamp: Column) -> DataFrame:
-    """One row each: issue_code (null if sound), uri, kind, properties, identifiers, issuer_uri, classifications, listed, as_of, metrics."""
+def bonds(rows: DataFrame, stamp: Column, dataset: str = "bonds") -> DataFrame:
+    """One row each: issue_code (null if sound), uri, source_uri, kind, classes, properties, identifiers, issuer_uri, classifications, listed, as_of, metrics."""
     number = S.text(col(rows, "PD_NO"))
     uri = S.security_uri(number, S.uri("bond", number))
     as_of = F.coalesce(S.parsed_date(col(rows, "PD_STD_INFO_UPDATE")), stamp)
     scheme = [("ISIN", F.when(S.is_isin(number), number)), ("PD_NO", F.when(~S.is_isin(number), number))]
     return rows.select(
         "row_number", F.when(number.isNull(), F.lit("missing_product_number")).alias("issue_code"), uri.alias("uri"), F.lit("bond").alias("kind"),
+        S.source_uri(F.lit(dataset), stamp, rows["row_number"]).alias("source_uri"), F.array(F.lit("Bond")).alias("classes"),
         *properties(rows, M.BOND_PROPERTIES, M.BOND_NUMBERS, dates=M.BOND_DATES), identifier_list(scheme).alias("identifiers"),
         S.organization_uri("name", col(rows, "PD_PBCM")).alias("issuer_uri"), classification_list(rows, M.BOND_CLASSIFICATIONS).alias("classifications"),
         F.coalesce(S.text(col(rows, "PD_EXG_MKT")) == M.LISTED_BOND_MARKET, F.lit(False)).alias("listed"), as_of.alias("as_of"),
@@ -66,7 +65,10 @@ def bonds(rows: DataFrame, stamp: Column) -> DataFrame:
 
 
 def exchange_products(rows: DataFrame, dataset: str, stamp: Column, isin_column: str) -> DataFrame:
-    """One row each of an exchange-product feed; kind is note or fund. A listing needs a ticker and a market."""
+    """One row each of an exchange-product feed; kind is note or fund, and a fund has a unit, which is what is held and traded.
+
+    A listing needs a ticker and a market; it, its market and its observation are those of the dataset.
+    """
     item, ticker = S.text(col(rows, "pd_itm_no")), S.first_of(col(rows, "pd_itm_no_ma"), col(rows, "pd_itm_no"))
     market = S.first_of(col(rows, "pd_exg_mkt_cd"), col(rows, "pd_mkt_id"))
     fallback = S.uri(dataset, F.coalesce(S.text(col(rows, "pd_exg_mkt_cd")), F.lit("unknown-market")), ticker)
@@ -74,17 +76,24 @@ def exchange_products(rows: DataFrame, dataset: str, stamp: Column, isin_column:
     note = (F.upper(S.text(col(rows, "pd_grp_no"))) == "ETN") | S.boolean(col(rows, "cu_etn_yn"))
     market_day = F.coalesce(S.parsed_date(col(rows, "du_clpr_base_dt")), S.parsed_date(col(rows, "du_upt_dt")), stamp)
     fund_day = F.coalesce(S.parsed_date(col(rows, "du_upt_dt")), S.parsed_date(col(rows, "cu_upt_dt")), stamp)
-    listing = F.when(ticker.isNotNull() & market.isNotNull(), S.uri("listing", market, ticker))
+    listing = F.when(ticker.isNotNull() & market.isNotNull(), S.uri("listing", F.lit(dataset), market, ticker))
+    unit = F.when(~F.coalesce(note, F.lit(False)), F.concat(uri, F.lit(":unit")))
+    offered = S.boolean(col(rows, "pd_sale_yn"))
     isin = F.when(S.is_isin(col(rows, isin_column)), col(rows, isin_column))
     return rows.select(
         "row_number", F.when(item.isNull(), F.lit("missing_item_number")).alias("issue_code"), uri.alias("uri"), F.when(F.coalesce(note, F.lit(False)), "note").otherwise("fund").alias("kind"),
+        S.source_uri(F.lit(dataset), stamp, rows["row_number"]).alias("source_uri"), unit.alias("unit_uri"), F.array(F.when(F.coalesce(note, F.lit(False)), "ETN").otherwise("ETF")).alias("classes"),
+        F.when(offered.isNotNull() & item.isNotNull(), S.uri("offering", F.lit(dataset), item)).alias("offering_uri"), F.when(listing.isNotNull(), S.uri("market", F.lit(dataset), market)).alias("market_uri"),
+        F.when(listing.isNotNull(), S.observation_uri(listing, market_day)).alias("market_observation_uri"), F.when(listing.isNotNull(), S.parsed_date(col(rows, "pd_lstg_dt"))).alias("listing_date"),
+        F.when(listing.isNotNull(), S.number(col(rows, "pd_lst_price"))).alias("listing_price"), F.when(listing.isNotNull(), S.number(col(rows, "pd_lst_stk_cnt"))).alias("listed_share_count"),
+        F.when(listing.isNotNull(), S.text(col(rows, "du_clpr_src"))).alias("close_price_source"),
         *properties(rows, M.EXCHANGE_PROPERTIES, M.EXCHANGE_NUMBERS, M.EXCHANGE_FLAGS), S.first_of(col(rows, "pd_curr_cd"), col(rows, "pd_trd_ccy")).alias("currency"),
         F.upper(S.text(col(rows, "pd_grp_no"))).alias("productGroup"), identifier_list([("ISIN", isin), ("SOURCE_ITEM", item), ("LISTING_TICKER", ticker)]).alias("identifiers"),
         S.organization_uri("name", col(rows, "cu_fund_mgmt_co")).alias("organization_uri"), S.benchmark_uri(col(rows, "cu_base_index"), F.lit(None).cast("string")).alias("benchmark_uri"),
         classification_list(rows, M.EXCHANGE_CLASSIFICATIONS).alias("classifications"), listing.alias("listing_uri"), ticker.alias("ticker"), market.alias("market_code"),
         S.first_of(col(rows, "pd_mkt_nm"), col(rows, "pd_mkt_id"), market).alias("market_name"), F.when(listing.isNotNull(), market_day).alias("market_as_of"),
         F.when(listing.isNotNull(), metrics(rows, M.MARKET_METRICS)).alias("market_metrics"), fund_day.alias("as_of"), S.observation_uri(uri, fund_day).alias("observation_uri"),
-        metrics(rows, M.FUND_METRICS).alias("metrics"), S.boolean(col(rows, "pd_sale_yn")).alias("availableForSale"), S.boolean(col(rows, "pd_tr_yn")).alias("tradingHalted"),
+        metrics(rows, M.FUND_METRICS).alias("metrics"), offered.alias("availableForSale"), S.boolean(col(rows, "pd_tr_yn")).alias("tradingHalted"),
     )
 
 
@@ -112,14 +121,25 @@ def unpivot(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
 
 
 def edges(entities: DataFrame) -> DataFrame:
-    """Distinct (src, rel, dst) from entities' lists and links; only sound rows make edges."""
-    sound = entities.where("issue_code is null")
-    parts = []
-    for name, rel in (("identifiers", "HAS_IDENTIFIER"), ("classifications", "CLASSIFIED_AS")):
-        if name in sound.columns:
-            parts.append(sound.select(F.col("uri").alias("src"), F.lit(rel).alias("rel"), F.explode(f"{name}.uri").alias("dst")))
-    for name, rel in (("issuer_uri", "ISSUED_BY"), ("organization_uri", "MANAGED_BY"), ("benchmark_uri", "TRACKS"), ("listing_uri", "LISTED_AS"), ("observation_uri", "HAS_OBSERVATION")):
-        if name in sound.columns:
-            of = F.when((F.col("kind") == "note") & (F.lit(rel) == "MANAGED_BY"), "ISSUED_BY").otherwise(rel)
-            parts.append(sound.select(F.col("uri").alias("src"), of.alias("rel"), F.col(name).alias("dst")))
-    return reduce(DataFrame.unionByName, parts).where("dst is not null").distinct()
+    """Distinct (src, rel, dst) from entities' lists and links, in one pass; only sound rows make edges.
+
+    What is held and traded hangs on a fund's unit where there is one, what is run on the fund itself.
+    """
+    have = set(entities.columns)
+    column = lambda name: F.col(name) if name in have else F.lit(None).cast("string")
+    edge = lambda src, rel, dst: F.struct(src.alias("src"), rel.alias("rel"), dst.alias("dst"))
+    item = F.coalesce(column("unit_uri"), F.col("uri"))
+    of = lambda name, rel, src=item: edge(src, F.lit(rel), column(name))
+    each = lambda name, rel: F.transform(F.col(f"{name}.uri"), lambda u: edge(item, F.lit(rel), u))
+    lists = [each(name, rel) for name, rel in (("identifiers", "HAS_IDENTIFIER"), ("classifications", "CLASSIFIED_AS")) if name in have]
+    if "classes" in have:
+        lists.append(F.transform("classes", lambda x: edge(F.col("uri"), F.lit("INSTANCE_OF"), S.uri("class", x))))
+    runs = F.when(F.col("kind") == "note", "ISSUED_BY").otherwise("MANAGED_BY")
+    links = [
+        of("issuer_uri", "ISSUED_BY"), edge(F.col("uri"), runs, column("organization_uri")), of("benchmark_uri", "TRACKS", F.col("uri")), of("unit_uri", "HAS_UNIT", F.col("uri")),
+        of("observation_uri", "HAS_OBSERVATION"), of("listing_uri", "LISTED_AS"), edge(column("listing_uri"), F.lit("ON_MARKET"), column("market_uri")),
+        edge(column("listing_uri"), F.lit("HAS_OBSERVATION"), column("market_observation_uri")), edge(column("offering_uri"), F.lit("OFFERS"), item),
+        edge(column("source_uri"), F.lit("DESCRIBES"), F.col("uri")), edge(column("source_uri"), F.lit("DESCRIBES"), column("unit_uri")),
+    ]
+    found = entities.where("issue_code is null").select(F.explode(F.concat(*lists, F.array(*links))).alias("e")).select("e.*")
+    return found.where("src is not null and dst is not null").distinct()

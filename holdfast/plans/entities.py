@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
-from holdfast.operators import fold, graph, identity, observe, quality, transform
+from holdfast.operators import fold, graph, holdings, identity, observe, quality, transform
 from holdfast.plans.catalog import query
 from holdfast.sources import ontology
 
@@ -48,31 +48,76 @@ def quarantine_rows(t):
     return quality.route(b, c("issue_code"))[1].select("row_number", "issue_code")
 
 
-@query(f"WITH {BOND} SELECT 'CLASSIFIED_AS' AS rel, count(*) AS n FROM bond WHERE issue_code IS NULL UNION ALL SELECT 'HAS_IDENTIFIER', count(*) FROM bond WHERE issue_code IS NULL UNION ALL SELECT 'HAS_OBSERVATION', count(*) FROM bond WHERE issue_code IS NULL UNION ALL SELECT 'ISSUED_BY', count(*) FROM bond WHERE issue_code IS NULL")
+BOND_EDGES = f"""WITH {BOND}, sound AS (SELECT *, CASE WHEN p_partkey % 3 = 0 THEN '2026-07-11' ELSE '2026-01-01' END AS day FROM bond WHERE issue_code IS NULL)
+SELECT DISTINCT src, rel, dst FROM (
+SELECT uri AS src, 'HAS_IDENTIFIER' AS rel, 'urn:holdfast:identifier:' || CASE WHEN p_partkey % 10 = 1 THEN 'isin:' ELSE 'pd_no:' END || no AS dst FROM sound
+UNION ALL SELECT uri, 'CLASSIFIED_AS', 'urn:holdfast:classification:credit-grade:' || url_encode(p_type) FROM sound
+UNION ALL SELECT uri, 'ISSUED_BY', 'urn:holdfast:organization:name:' || substr(sha256(lower(p_brand)), 1, 24) FROM sound
+UNION ALL SELECT uri, 'INSTANCE_OF', 'urn:holdfast:class:Bond' FROM sound
+UNION ALL SELECT uri, 'HAS_OBSERVATION', 'urn:holdfast:observation:' || url_encode(uri) || ':' || day FROM sound
+UNION ALL SELECT 'urn:holdfast:source-record:bonds:2026-01-01:' || row_number, 'DESCRIBES', uri FROM sound)"""
+
+
+@query(BOND_EDGES)
 def edge_table(t):
-    return transform.edges(transform.bonds(_bond_rows(t), F.lit("2026-01-01").cast("date"))).groupBy("rel").agg(F.count("*").alias("n"))
+    return transform.edges(transform.bonds(_bond_rows(t), F.lit("2026-01-01").cast("date")))
 
 
 def _exchange_rows(t):
     k = c("p_partkey")
-    return t.part.select(k.alias("row_number"), F.when(k % 3 == 0, "etn").otherwise("ETF").alias("pd_grp_no"), F.concat(F.lit("P"), k.cast("string")).alias("pd_itm_no"), F.when(k % 4 == 0, "XK").alias("pd_exg_mkt_cd"), F.when(k % 5 == 0, "y").alias("cu_etn_yn"), c("p_brand").alias("cu_fund_mgmt_co"), c("p_retailprice").cast("string").alias("du_clpr"), c("p_size").cast("string").alias("du_last_aum"), F.when(k % 2 == 0, "2026-07-10").alias("du_upt_dt"))
+    return t.part.select(k.alias("row_number"), F.when(k % 3 == 0, "etn").otherwise("ETF").alias("pd_grp_no"), F.concat(F.lit("P"), k.cast("string")).alias("pd_itm_no"), F.when(k % 4 == 0, "XK").alias("pd_exg_mkt_cd"), F.when(k % 5 == 0, "y").alias("cu_etn_yn"), c("p_brand").alias("cu_fund_mgmt_co"), c("p_retailprice").cast("string").alias("du_clpr"), c("p_size").cast("string").alias("du_last_aum"), F.when(k % 2 == 0, "2026-07-10").alias("du_upt_dt"), F.when(k % 6 == 0, "Y").when(k % 6 == 1, "N").alias("pd_sale_yn"))
+
+
+def _exchange(t):
+    return transform.exchange_products(_exchange_rows(t), "exchange", F.lit("2026-07-11").cast("date"), "pd_isin_cd")
+
+
+EXCHANGE = """e AS (SELECT p_partkey AS k, 'P' || p_partkey AS item, p_partkey % 3 = 0 OR p_partkey % 5 = 0 AS note, CASE WHEN p_partkey % 2 = 0 THEN '2026-07-10' ELSE '2026-07-11' END AS day, p_brand,
+'urn:holdfast:exchange:' || CASE WHEN p_partkey % 4 = 0 THEN 'XK' ELSE 'unknown-market' END || ':P' || p_partkey AS uri, CASE WHEN p_partkey % 4 = 0 THEN 'urn:holdfast:listing:exchange:XK:P' || p_partkey END AS listing FROM part),
+x AS (SELECT *, CASE WHEN NOT note THEN uri || ':unit' END AS unit, coalesce(CASE WHEN NOT note THEN uri || ':unit' END, uri) AS held FROM e)"""
+EXCHANGE_EDGES = f"""WITH {EXCHANGE} SELECT DISTINCT src, rel, dst FROM (
+SELECT held AS src, 'HAS_IDENTIFIER' AS rel, 'urn:holdfast:identifier:source_item:' || item AS dst FROM x UNION ALL SELECT held, 'HAS_IDENTIFIER', 'urn:holdfast:identifier:listing_ticker:' || item FROM x
+UNION ALL SELECT held, 'CLASSIFIED_AS', 'urn:holdfast:classification:product-group:' || CASE WHEN k % 3 = 0 THEN 'etn' ELSE 'ETF' END FROM x
+UNION ALL SELECT uri, 'INSTANCE_OF', 'urn:holdfast:class:' || CASE WHEN note THEN 'ETN' ELSE 'ETF' END FROM x
+UNION ALL SELECT uri, CASE WHEN note THEN 'ISSUED_BY' ELSE 'MANAGED_BY' END, 'urn:holdfast:organization:name:' || substr(sha256(lower(p_brand)), 1, 24) FROM x
+UNION ALL SELECT uri, 'HAS_UNIT', unit FROM x UNION ALL SELECT held, 'LISTED_AS', listing FROM x
+UNION ALL SELECT listing, 'ON_MARKET', 'urn:holdfast:market:exchange:XK' FROM x UNION ALL SELECT listing, 'HAS_OBSERVATION', 'urn:holdfast:observation:' || url_encode(listing) || ':' || day FROM x
+UNION ALL SELECT held, 'HAS_OBSERVATION', 'urn:holdfast:observation:' || url_encode(uri) || ':' || day FROM x
+UNION ALL SELECT CASE WHEN k % 6 < 2 THEN 'urn:holdfast:offering:exchange:' || item END, 'OFFERS', held FROM x
+UNION ALL SELECT 'urn:holdfast:source-record:exchange:2026-07-11:' || k, 'DESCRIBES', d FROM (SELECT k, unnest([uri, unit]) AS d FROM x)) WHERE src IS NOT NULL AND dst IS NOT NULL"""
 
 
-@query("SELECT CASE WHEN p_partkey % 3 = 0 OR p_partkey % 5 = 0 THEN 'note' ELSE 'fund' END AS kind, count(*) AS n, count(*) FILTER (p_partkey % 4 = 0) AS listed FROM part GROUP BY 1")
+@query(EXCHANGE_EDGES)
+def fund_edges(t):
+    return transform.edges(_exchange(t))
+
+
+@query(f"WITH {EXCHANGE} SELECT k AS row_number, CASE WHEN note THEN 'note' ELSE 'fund' END AS kind, uri, unit AS unit_uri, listing AS listing_uri FROM x")
 def kind_split(t):
-    e = transform.exchange_products(_exchange_rows(t), "exchange", F.lit("2026-07-11").cast("date"), "pd_isin_cd")
-    return e.groupBy("kind").agg(F.count("*").alias("n"), F.count("listing_uri").alias("listed"))
+    return _exchange(t).select("row_number", "kind", "uri", "unit_uri", "listing_uri")
+
+
+@query(f"""WITH {BOND}, {EXCHANGE} SELECT 2 * (SELECT count(*) FROM part) AS n_records, (SELECT count(*) FROM bond WHERE issue_code IS NOT NULL) AS n_rejected, (SELECT count(DISTINCT uri) FROM bond WHERE issue_code IS NULL) AS n_bonds,
+(SELECT count(DISTINCT uri) FROM x WHERE NOT note) AS n_funds, (SELECT count(DISTINCT uri) FROM x WHERE note) AS n_notes, (SELECT count(DISTINCT unit) FROM x) AS n_units, (SELECT count(DISTINCT listing) FROM x) AS n_listings,
+(SELECT count(DISTINCT uri) FROM bond WHERE issue_code IS NULL) + (SELECT count(DISTINCT uri) + count(DISTINCT listing) FROM x) AS n_observations, 0 AS n_unlinked, 0 AS n_duplicate_uris""")
+def validation_report(t):
+    """The ten totals of a load, over a bond feed and an exchange-product feed made from all products."""
+    bond, product = transform.bonds(_bond_rows(t), F.lit("2026-01-01").cast("date")), _exchange(t)
+    both = bond.unionByName(product, allowMissingColumns=True)
+    records = both.select(c("source_uri").alias("uri"))
+    out = quality.validation_totals(records, both, transform.edges(bond).unionByName(transform.edges(product)))
+    return out.select(*[c(x).cast("long").alias(x) for x in out.columns])
 
 
 @query("SELECT p_partkey AS row_number, 'P' || p_partkey AS ticker, CASE WHEN p_partkey % 2 = 0 THEN DATE '2026-07-10' ELSE DATE '2026-07-11' END AS as_of, round(p_retailprice, 6) AS close FROM part WHERE p_partkey % 4 = 0")
 def market_observation(t):
-    e = transform.exchange_products(_exchange_rows(t), "exchange", F.lit("2026-07-11").cast("date"), "pd_isin_cd").where("listing_uri is not null")
+    e = _exchange(t).where("listing_uri is not null")
     return e.select("row_number", "ticker", c("market_as_of").alias("as_of"), F.round(F.try_element_at("market_metrics", F.lit("closePrice")), 6).alias("close"))
 
 
 @query("SELECT p_partkey AS row_number, CASE WHEN p_partkey % 2 = 0 THEN DATE '2026-07-10' ELSE DATE '2026-07-11' END AS as_of, CAST(p_size AS DOUBLE) AS aum FROM part")
 def fund_observation(t):
-    e = transform.exchange_products(_exchange_rows(t), "exchange", F.lit("2026-07-11").cast("date"), "pd_isin_cd")
+    e = _exchange(t)
     return e.select("row_number", "as_of", F.try_element_at("metrics", F.lit("assetsUnderManagement")).alias("aum"))
 
 
@@ -142,6 +187,16 @@ def resolve_identity(t):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", c("constituent_isin").alias("isin"), c("identifier_method").alias("method"), c("unresolved_reason").alias("reason"))
 
 
+@query("SELECT 'urn:holdfast:crosswalk:security:krx_code:a' || p_partkey AS uri, p_name AS standard_name, CASE WHEN p_partkey % 2 = 0 THEN 'reviewer' END AS reviewed_by, 'urn:holdfast:run:second' AS run FROM part")
+def crosswalk_upsert(t):
+    """Each entry comes twice; the second one's fields hold, blank ones as null."""
+    own = _crosswalk(t).select(F.lit("security").alias("entity_kind"), "*")
+    first = own.withColumns({"standard_name": F.lit("old"), "run": F.lit("first"), "place": F.lit(1)})
+    second = own.withColumns({"standard_name": c("local_name"), "reviewed_by": F.coalesce("reviewed_by", F.lit(" ")), "run": F.lit("second"), "place": F.lit(2)})
+    entries, edges = identity.upsert_crosswalk(first.unionByName(second), c("place"), c("run"))
+    return entries.join(edges.select(c("dst").alias("uri"), c("src").alias("run_uri")), "uri").select("uri", "standard_name", "reviewed_by", c("run_uri").alias("run"))
+
+
 @query("SELECT lower(p_name) AS name, count(DISTINCT p_partkey) AS n_ids FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) > 1")
 def crosswalk_conflicts(t):
     return identity.conflicts(t.part.withColumn("name", F.lower("p_name")), ["name"], "p_partkey")
@@ -157,11 +212,9 @@ def group_by_standard_id(t):
     return identity.by_standard_id(t.part, "p_brand", "p_type").withColumn("members", F.array_join("members", ","))
 
 
-@query("SELECT DISTINCT lower(a.p_name) AS name, a.p_partkey AS id_a, b.p_partkey AS id_b FROM part a JOIN part b ON lower(a.p_name) = lower(b.p_name) AND a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey")
+@query("SELECT name, id_a, id AS id_b FROM (SELECT name, id, min(id) OVER (PARTITION BY name) AS id_a FROM (SELECT DISTINCT lower(p_name) AS name, p_partkey AS id FROM part WHERE p_name IS NOT NULL AND p_partkey IS NOT NULL)) WHERE id_a < id")
 def name_only_merge(t):
-    """Within one brand and size, as pairs of a name would otherwise grow with its square."""
-    scoped = t.part.select(F.concat_ws("\x00", F.lower("p_name"), "p_brand", c("p_size").cast("string")).alias("scope"), "p_partkey")
-    return identity.name_only_pairs(scoped, "scope", "p_partkey").select(F.substring_index("name", "\x00", 1).alias("name"), "id_a", "id_b")
+    return identity.name_only_merges(t.part, "p_name", "p_partkey")
 
 
 @query("SELECT name, id, n_ids FROM (SELECT name, id, count(*) OVER (PARTITION BY name) AS n_ids FROM (SELECT DISTINCT lower(p_name) AS name, p_partkey AS id FROM part WHERE p_name IS NOT NULL AND p_partkey IS NOT NULL)) WHERE n_ids > 1")
@@ -200,9 +253,9 @@ def optional_projection(t):
     return t.customer.join(t.orders.where("o_orderpriority = '1-URGENT'"), c("c_custkey") == c("o_custkey"), "left").select("c_custkey", "o_orderkey")
 
 
-def _asof(t, events):
-    last = observe.at_or_before(t.orders, "o_custkey", "o_orderdate", "o_orderkey", F.lit("1998-01-01").cast("timestamp_ntz"))
-    return events.select("event_id", "user_id").distinct().join(last, c("user_id") == c("o_custkey")).select("event_id", "o_orderkey")
+def _asof(t, events, *more):
+    last = observe.at_or_before(t.orders.withColumn("day", c("o_orderdate").cast("date")), "o_custkey", "o_orderdate", "o_orderkey", F.lit("1998-01-01").cast("timestamp_ntz"))
+    return events.select("event_id", "user_id").distinct().join(last, c("user_id") == c("o_custkey")).select("event_id", "o_orderkey", *more)
 
 
 def _holders(t, lines):
@@ -210,10 +263,10 @@ def _holders(t, lines):
     return held.groupBy(c("l_partkey").alias("security"), c("o_custkey").alias("fund"), c("o_orderdate").cast("date").alias("as_of")).agg(F.round(F.sum("l_extendedprice"), 4).alias("exposure"))
 
 
-@query("SELECT e.event_id, o.o_orderkey FROM (SELECT DISTINCT event_id, user_id FROM events WHERE event_id % 10 = 0) e JOIN (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS k FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01') o ON e.user_id = o.o_custkey AND k = 1")
+@query("SELECT e.event_id, o.o_orderkey, o.day FROM (SELECT DISTINCT event_id, user_id FROM events) e JOIN (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS day, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS k FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01') o ON e.user_id = o.o_custkey AND k = 1")
 def asof_holdings_aum(t):
-    """Of every tenth event; asof_holdings_aum_all has all of them."""
-    return _asof(t, t.events.where("event_id % 10 = 0"))
+    """With the day of the snapshot that is matched."""
+    return _asof(t, t.events, "day")
 
 
 @query("SELECT e.event_id, o.o_orderkey FROM (SELECT DISTINCT event_id, user_id FROM events) e JOIN (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS k FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01') o ON e.user_id = o.o_custkey AND k = 1")
@@ -221,10 +274,15 @@ def asof_holdings_aum_all(t):
     return _asof(t, t.events)
 
 
-@query("SELECT l_partkey AS security, o_custkey AS fund, CAST(o_orderdate AS DATE) AS as_of, round(sum(l_extendedprice), 4) AS exposure FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 50 = 1 GROUP BY ALL")
+@query("SELECT 'urn:holdfast:isin:US' || l_partkey AS security_uri, 'urn:holdfast:isin:KR' || o_custkey AS fund_uri, CAST(o_orderdate AS DATE) AS as_of, round(sum(l_extendedprice), 4) AS market_value FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
 def holders_of_security(t):
-    """Of every fiftieth security; holders_of_security_all has all of them."""
-    return _holders(t, t.lineitem.where("l_partkey % 50 = 1"))
+    """Through snapshots and positions: each security's holders on each day."""
+    lines = t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey"))
+    snapshot = S.uri("snapshot", c("o_orderkey").cast("string"))
+    isin = lambda country, k: F.concat(F.lit(f"{S.URN}:isin:{country}"), c(k).cast("string"))
+    snapshots = t.orders.select(snapshot.alias("uri"), isin("KR", "o_custkey").alias("fund_uri"), c("o_orderdate").cast("date").alias("as_of"))
+    positions = lines.select(snapshot.alias("snapshot_uri"), isin("US", "l_partkey").alias("security_uri"), c("l_discount").alias("weight"), c("l_extendedprice").alias("source_market_value"))
+    return holdings.exposures(positions, snapshots).select("security_uri", "fund_uri", "as_of", F.round("market_value", 4).alias("market_value"))
 
 
 @query("SELECT l_partkey AS security, o_custkey AS fund, CAST(o_orderdate AS DATE) AS as_of, round(sum(l_extendedprice), 4) AS exposure FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")

@@ -60,10 +60,21 @@ def _edge_counts(line):
     return holdings.to_graph(_records(line))["edges"].groupBy("rel").agg(F.count("*").alias("n"))
 
 
-@query("SELECT CASE WHEN l_partkey % 22 = 0 THEN 'weight,identifier_method' WHEN l_partkey % 11 = 0 THEN 'weight' ELSE '' END AS broken, count(*) AS n FROM lineitem WHERE l_orderkey % 5 = 0 GROUP BY 1")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 22 = 0 THEN 'weight,identifier_method' ELSE 'weight' END AS broken FROM lineitem WHERE l_partkey % 11 = 0")
 def contract_violations(t):
-    """Of the lines of every fifth order; contract_violations_all has all of them."""
-    return _violations(t.lineitem.where("l_orderkey % 5 = 0"))
+    """Every record that breaks a rule, with the rules."""
+    records = _records(t.lineitem)
+    return records.select("l_orderkey", "l_linenumber", "l_partkey", F.array_join(holdings.contract(records), ",").alias("broken")).where("broken <> ''")
+
+
+@query("SELECT l_orderkey, count(*) FILTER (l_partkey % 11 = 0) AS n_broken, count(*) AS n FROM lineitem GROUP BY l_orderkey")
+def contract_documents(t):
+    """A record that breaks a rule fails its whole document: none of that document's records is taken in."""
+    records = _records(t.lineitem)
+    sound, bad = quality.reject_broken_documents(records, "l_orderkey", holdings.contract(records))
+    kept = sound.groupBy("l_orderkey").agg(F.count("*").alias("n")).withColumn("n_broken", F.lit(0).cast("long"))
+    lost = bad.join(records.groupBy("l_orderkey").agg(F.count("*").alias("n")), "l_orderkey")
+    return kept.unionByName(lost).select("l_orderkey", "n_broken", "n")
 
 
 @query("SELECT CASE WHEN l_partkey % 22 = 0 THEN 'weight,identifier_method' WHEN l_partkey % 11 = 0 THEN 'weight' ELSE '' END AS broken, count(*) AS n FROM lineitem GROUP BY 1")
@@ -71,12 +82,13 @@ def contract_violations_all(t):
     return _violations(t.lineitem)
 
 
-@query("""WITH r AS (SELECT l_orderkey AS f, l_partkey AS p, CAST(l_shipdate AS DATE) AS d, l_linenumber || '-' || l_suppkey AS rid FROM lineitem WHERE l_orderkey % 5 = 0)
-SELECT 'HAS_SNAPSHOT' AS rel, count(*) AS n FROM (SELECT DISTINCT f, d FROM r) UNION ALL SELECT 'HAS_POSITION', count(*) FROM (SELECT DISTINCT f, p, d, rid FROM r)
-UNION ALL SELECT 'OF_SECURITY', count(*) FROM (SELECT DISTINCT f, p, d, rid FROM r) UNION ALL SELECT 'HOLDS', count(*) FROM (SELECT DISTINCT f, p FROM r)""")
+@query("""WITH r AS (SELECT l_orderkey AS doc, 'KR' || lpad(CAST(l_orderkey AS VARCHAR), 9, '0') || '0' AS f, 'US' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') || '0' AS s, CAST(l_shipdate AS DATE) AS d, l_linenumber || '-' || l_suppkey AS rid FROM lineitem),
+u AS (SELECT 'urn:holdfast:isin:' || f AS fund, 'urn:holdfast:isin:' || s AS security, 'urn:holdfast:snapshot:' || f || ':' || d || ':' || doc AS snapshot, 'urn:holdfast:position:' || f || ':' || s || ':' || d || ':' || doc || ':' || rid AS position, 'urn:holdfast:artifact:' || doc AS artifact, 'urn:holdfast:run:r1' AS run FROM r)
+SELECT DISTINCT e.src, e.rel, e.dst FROM (SELECT unnest([{'src': fund, 'rel': 'HAS_SNAPSHOT', 'dst': snapshot}, {'src': snapshot, 'rel': 'HAS_POSITION', 'dst': position}, {'src': snapshot, 'rel': 'HAS_HOLDING', 'dst': position}, {'src': position, 'rel': 'OF_SECURITY', 'dst': security}, {'src': fund, 'rel': 'HOLDS', 'dst': security},
+{'src': position, 'rel': 'DERIVED_FROM', 'dst': artifact}, {'src': run, 'rel': 'UPSERTED', 'dst': snapshot}, {'src': run, 'rel': 'UPSERTED', 'dst': position}]) AS e FROM u)""")
 def holdings_to_graph(t):
-    """Of the lines of every fifth order; holdings_to_graph_all has all of them."""
-    return _edge_counts(t.lineitem.where("l_orderkey % 5 = 0"))
+    """Every edge of every record, with the run that wrote it."""
+    return holdings.to_graph(_records(t.lineitem), F.lit("r1"))["edges"]
 
 
 @query("""WITH r AS (SELECT l_orderkey AS f, l_partkey AS p, CAST(l_shipdate AS DATE) AS d, l_linenumber || '-' || l_suppkey AS rid FROM lineitem)

@@ -37,19 +37,18 @@ def skip_loaded(t):
     return I.skip_loaded(log.select("target", "day").distinct(), log, ["target", "day"])
 
 
-@query(f"WITH {LOG}, g AS (SELECT DISTINCT target FROM log), d AS (SELECT DISTINCT day FROM log WHERE day <= (SELECT min(day) + 2 FROM log)) SELECT g.target, d.day FROM g CROSS JOIN d WHERE NOT EXISTS (SELECT 1 FROM log x WHERE x.target = g.target AND x.day = d.day)")
+@query(f"WITH {LOG}, g AS (SELECT DISTINCT target FROM log), d AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM log) SELECT g.target, d.day FROM g CROSS JOIN d WHERE NOT EXISTS (SELECT 1 FROM log x WHERE x.target = g.target AND x.day = d.day)")
 def compute_missing(t):
+    """Gaps on every calendar day from the log's first to its last."""
     log = _log(t)
-    first = log.agg(F.min("day").alias("d"))
-    days = F.explode(F.sequence(c("d"), F.date_add("d", 2))).alias("day")
-    seen = log.join(F.broadcast(log.agg(F.date_add(F.min("day"), 2).alias("last")))).where("day <= last").select("day").distinct()
-    expected = log.select("target").distinct().join(F.broadcast(first)).select("target", days).join(F.broadcast(seen), "day", "left_semi")
+    days = log.agg(F.sequence(F.min("day"), F.max("day")).alias("days"))
+    expected = log.select("target").distinct().join(F.broadcast(days)).select("target", F.explode("days").alias("day"))
     return I.missing(expected, log, ["target", "day"])
 
 
 @query(f"WITH {LOG}, g AS (SELECT DISTINCT target FROM log), d AS (SELECT DISTINCT day FROM log) SELECT g.target, d.day FROM g CROSS JOIN d WHERE NOT EXISTS (SELECT 1 FROM log x WHERE x.target = g.target AND x.day = d.day)")
 def compute_missing_all(t):
-    """Gaps on every day of the log; compute_missing looks at its first three days only."""
+    """Gaps on every day that the log has."""
     log = _log(t)
     expected = log.select("target").distinct().crossJoin(F.broadcast(log.select("day").distinct()))
     return I.missing(expected, log, ["target", "day"])
