@@ -99,19 +99,19 @@ def _profile(n: int, bits: int):
     """Rows of documents, and at each task's end its counts of n-grams by hash, in blocks."""
 
     def run(batches):
-        counts = np.zeros(1 << bits, np.int64)
+        counts = np.zeros(1 << bits, np.uint32)  # a task would need 2**32 n-grams of one place to fill it
         for batch in batches:
-            sizes, nodes, places = [], [], []
+            sizes, nodes = [], []
             for _, flat, at in sets_of(batch.column("text"), n):
-                places.append((flat >> np.uint64(64 - bits)).astype(np.int32))
+                places, times = np.unique((flat >> np.uint64(64 - bits)).astype(np.int32), return_counts=True)
+                counts[places] += times.astype(np.uint32)
                 sizes.append(np.diff(at))
                 nodes.append(_nodes(flat, at))
             if not sizes:
                 continue
-            counts += np.bincount(np.concatenate(places), minlength=1 << bits)
             k = len(batch)
             yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.int64()), pa.array(np.concatenate(sizes), pa.int64()), pa.concat_arrays(nodes), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], ["id", "size", "node", "block", "counts"])
-        blocks = counts.reshape(-1, 1 << min(bits, 14)).astype("<i8")
+        blocks = counts.reshape(-1, 1 << min(bits, 14))
         full = [i for i in range(len(blocks)) if blocks[i].any()]
         if full:
             none = pa.nulls(len(full), pa.int64())
@@ -152,7 +152,7 @@ def gram_counts(profile: DataFrame, bits: int) -> np.ndarray:
     blocks = max(1, (1 << bits) >> 14)
     parts = profile.where("block is not null").select("block", "counts").repartition("block").mapInArrow(_add_blocks, "block int, counts binary")
     out = np.zeros((blocks, (1 << bits) // blocks), np.int64)
-    for row in parts.toLocalIterator():  # 2**bits counts at most, a partition at a time
+    for row in parts.collect():  # 2**bits counts at most
         out[row["block"]] += _unpacked(bytes(row["counts"]))
     out = out.ravel()
     return out.astype(np.uint32) if out.max() < 1 << 32 else out
@@ -415,7 +415,7 @@ def _columns() -> list:
     return [F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("home").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component_id"), F.when(F.col("size") > 0, F.col("class_id")).alias("class_id")]
 
 
-def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, hot: int = 20000, small_ids: int = 200_000, block: int = 1024) -> DataFrame:
+def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, hot: int = 20000, small_ids: int = 200_000, block: int = 512) -> DataFrame:
     """The columns of similar_groups and ``n_links``: with how many other documents each one links, of its own class too.
 
     Rows without an id count one by one; an id with several texts counts once for each. ``block``: classes of a component that are compared at a time.
@@ -430,7 +430,7 @@ def with_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return groups.rows.join(found, "home", "left").select(*_columns(), F.when(F.col("size") > 0, F.col("others")).otherwise(0).cast("long").alias("n_links"))
 
 
-def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, hot: int = 20000, small_ids: int = 200_000, block: int = 1024) -> DataFrame:
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100, bits: int = 22, hot: int = 20000, small_ids: int = 200_000, block: int = 512) -> DataFrame:
     """(class_a, class_b): all links between different texts, by the class_id of similar_groups, the smaller first.
 
     Documents of one class link with each other and share their class's links, so these pairs and class_id hold every link.
@@ -543,7 +543,7 @@ def _linked_pairs(left: list, right: list, same: bool, num: int, den: int) -> tu
     return x[keep], y[keep]
 
 
-def _overlaps(left: list, right: list, same: bool, width: int = 4096) -> np.ndarray:
+def _overlaps(left: list, right: list, same: bool, width: int = 2048) -> np.ndarray:
     """The number of shared n-grams of each pair, by products of matrices over the n-grams that can be shared."""
     if same:
         grams, count = np.unique(np.concatenate(left), return_counts=True)
