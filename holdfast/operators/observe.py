@@ -26,6 +26,11 @@ def between_days(obs: DataFrame, as_of: str, first: Column, last: Column) -> Dat
     return obs.where(F.col(as_of).between(first, last))
 
 
+def visible(rows: DataFrame, published: str, cutoff: Column) -> DataFrame:
+    """Adds visible: evidence that was published after the cutoff stays in the table and out of answers; undated evidence too."""
+    return rows.withColumn("visible", F.coalesce(F.col(published) <= cutoff, F.lit(False)))
+
+
 def every(obs: DataFrame) -> DataFrame:
     """All of them, undated ones too."""
     return obs

@@ -45,18 +45,45 @@ def evidence_summary(results: DataFrame, evidence: DataFrame, key: str, record:
     return out.withColumn("outcome", F.when(F.col("n_evidence") > 0, "ok").otherwise("insufficient_evidence"))
 
 
+def evidence_sources(evidence: DataFrame, key: str, record: str, dataset: str, file: str, snapshot: str, sha: str) -> DataFrame:
+    """(key, dataset, file, snapshot, sha, n_evidence): where each result's evidence comes from, one row for each source."""
+    return evidence.groupBy(F.col(key).alias("key"), F.col(dataset).alias("dataset"), F.col(file).alias("file"), F.col(snapshot).alias("snapshot"), F.col(sha).alias("sha")).agg(F.countDistinct(record).alias("n_evidence"))
+
+
 def evidence_rows(evidence: DataFrame, key: str, order: list[str], most: int) -> DataFrame:
     """At most so many rows of evidence for each result."""
     return evidence.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
 
 
-def find(rows: DataFrame, where: dict | Column, fields: dict[str, tuple[Column, str]], select: dict[str, Column], order: list[tuple[str, str, str]], final: str, limit: int = 20, offset: int = 0, distinct: bool = True) -> DataFrame:
-    """Filter, project, deduplicate, sort, page: in that order."""
+def find_all(rows: DataFrame, key: str, where: dict | Column, fields: dict[str, tuple[Column, str]], select: dict[str, Column], order: list[tuple[str, str, str]], *, search: Callable[[DataFrame], DataFrame] | None = None, observations: DataFrame | None = None, scopes: tuple[DataFrame, ...] = (), evidence: tuple[DataFrame, str] | None = None, required: bool = False, limit: int = 20, offset: int = 0) -> DataFrame:
+    """A whole find: search among ``rows``, join the selected observation of each (one row a key), filter, keep the keys
+    that every scope holds, project, deduplicate, add the evidence (rows, record column) with its outcome, sort, page.
+
+    Time is selected before filters see values, so a filter never reaches for an older observation that fits. With
+    ``required``, results without evidence are left out.
+    """
+    out = search(rows) if search else rows
+    if observations is not None:
+        out = out.join(observations, key, "left")
+    for scope in scopes:
+        out = out.join(scope.select(key).distinct(), key, "left_semi")
+    out = out.where(predicates.tree(where, _column_of(fields))).select(F.col(key), *[c.alias(a) for a, c in select.items() if a != key]).distinct()
+    if evidence is not None:
+        out = evidence_summary(out, evidence[0], key, evidence[1])
+        out = out.where("n_evidence > 0") if required else out
+    return page(ordered(out, order, key), limit, offset)
 
-    def column_of(name: str) -> tuple[Column, str]:
+
+def _column_of(fields: dict[str, tuple[Column, str]]) -> Callable[[str], tuple[Column, str]]:
+    def look(name: str) -> tuple[Column, str]:
         if name not in fields:
             raise ValueError(f"unknown_field: {name}")
         return fields[name]
 
-    out = rows.where(predicates.tree(where, column_of)).select(*[c.alias(a) for a, c in select.items()])
+    return look
+
+
+def find(rows: DataFrame, where: dict | Column, fields: dict[str, tuple[Column, str]], select: dict[str, Column], order: list[tuple[str, str, str]], final: str, limit: int = 20, offset: int = 0, distinct: bool = True) -> DataFrame:
+    """Filter, project, deduplicate, sort, page: in that order."""
+    out = rows.where(predicates.tree(where, _column_of(fields))).select(*[c.alias(a) for a, c in select.items()])
     return page(ordered(out.distinct() if distinct else out, order, final), limit, offset)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
-from holdfast.plans.catalog import query
+from holdfast.plans.catalog import query, shared_place
 from holdfast.sources import landed
 from holdfast.streaming import intake as I
 
@@ -105,8 +103,7 @@ def cutoff_filter(t):
 @query("SELECT user_id, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY user_id")
 def stream_intake(t):
     """Events arrive as files through a file stream, twice; the table holds each once."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='holdfast-')}"
-    place = f"{base.rstrip('/')}/intake-{uuid.uuid4().hex[:12]}"
+    place = shared_place(t.spark, "intake")
     rows = t.events.select("event_id", "user_id", "value")
     rows.repartition(4, "event_id").write.parquet(f"{place}/landed")
     for run in ("a", "b"):  # the second run has a checkpoint of its own, as after a loss, and adds nothing

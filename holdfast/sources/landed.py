@@ -41,6 +41,36 @@ def manifest_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(path)
 
 
+# Fixed values
+CROSSWALK_REQUIRED = ["entity_kind", "local_key_type", "local_key", "standard_id_type", "standard_id"]
+
+
+def crosswalk_problems(rows: DataFrame) -> DataFrame:
+    """The rows that lack a required field, with the first one's name; a crosswalk with any is not taken in."""
+    problem = F.coalesce(*[F.when(S.text(F.col(k)).isNull(), F.lit(f"missing required field: {k}")) for k in CROSSWALK_REQUIRED])
+    return rows.withColumn("problem", problem).where("problem is not null")
+
+
+def target_lists(lists: DataFrame, value: str, keys: list[str], identity: list[str], sources: list[str]) -> DataFrame:
+    """Adds source, targets (maps) and problem to lists of targets, ``{"source": ..., "targets": [...]}`` in column ``value``.
+
+    A list is sound if it has exactly these two members, a known source, and targets of exactly ``keys`` no two of which
+    have one ``identity``.
+    """
+    own = F.array_sort(F.json_object_keys(F.col(value)))
+    parsed = F.from_json(value, "source string, targets array<map<string,string>>")
+    exact = F.array(*map(F.lit, sorted(keys)))
+    ids = F.transform("targets", lambda x: F.concat_ws("\x00", *[x[k] for k in identity]))
+    out = lists.withColumn("_own", own).withColumn("_list", parsed).withColumn("source", F.col("_list.source")).withColumn("targets", F.col("_list.targets"))
+    checks = [
+        (F.col("_own").isNull(), "not an object"), (F.col("_own") != F.array(F.lit("source"), F.lit("targets")), "unexpected or missing keys"),
+        (F.col("source").isNull() | ~F.col("source").isin(sources), "unknown source"), (F.col("targets").isNull(), "targets are not a list"),
+        (F.exists("targets", lambda x: F.array_sort(F.map_keys(x)) != exact), "a target has unexpected or missing keys"),
+        (F.size(F.array_distinct(ids)) < F.size("targets"), "duplicate document"),
+    ]
+    return out.withColumn("problem", F.coalesce(*[F.when(c, F.lit(r)) for c, r in checks])).drop("_own", "_list")
+
+
 def targets_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The targets of one list file, one row each; ``schema`` is that of a target."""
     return spark.read.schema(f"targets array<struct<{schema}>>").json(path, multiLine=True).select(F.explode("targets").alias("t")).select("t.*")

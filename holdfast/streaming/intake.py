@@ -49,15 +49,26 @@ def catch_up(targets: DataFrame, log: DataFrame, target: str, source: str) -> Da
     return j.groupBy(source).agg(F.count("*").alias("n_targets"), F.count(lost).alias("n_missing"), F.array_sort(F.collect_set(lost)).alias("missing"))
 
 
-def audit(entries: DataFrame, artifacts: DataFrame, key: str) -> DataFrame:
-    """(key, problems): manifest entries against the files' recomputed digests, sizes and counts."""
-    a = artifacts.select(F.col(key), *[F.col(c).alias(f"_{c}") for c in ("sha256", "size", "n_records")])
+def audit(entries: DataFrame, artifacts: DataFrame, key: str, identity: tuple[str, ...] = ()) -> DataFrame:
+    """(key, problems): manifest entries against the files' recomputed digests, sizes and counts, and the ``identity`` columns that its records state."""
+    columns = ("sha256", "size", "n_records", *identity)
+    a = artifacts.select(F.col(key), *[F.col(c).alias(f"_{c}") for c in columns])
     j = entries.join(a, key, "left")
     absent = F.col("_sha256").isNull()
-    checks = [(absent, "missing"), *[(~absent & ~F.col(c).eqNullSafe(F.col(f"_{c}")), f"{c} differs") for c in ("sha256", "size", "n_records")]]
+    checks = [(absent, "missing"), *[(~absent & ~F.col(c).eqNullSafe(F.col(f"_{c}")), f"{c} differs") for c in columns]]
     return j.select(key, F.array_compact(F.array(*[F.when(c, F.lit(r)) for c, r in checks])).alias("problems"))
 
 
+def outcomes(rows: DataFrame, target: str, reason: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows of the targets that may be loaded, log (target, phase, message, n_records)).
+
+    A target with any row that has a reason fails, with the least of its reasons as the message; the others go on.
+    """
+    log = rows.groupBy(target).agg(F.min(reason).alias("message"), F.count("*").alias("n_records"))
+    log = log.select(target, F.when(F.col("message").isNull(), "LOADED").otherwise("FAILED").alias("phase"), "message", "n_records")
+    return rows.join(log.where("phase = 'FAILED'").select(target), target, "left_anti"), log
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256, size) of files."""
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
