@@ -232,27 +232,60 @@ def test_language_model(spark):
     train = [t for t, h in zip(toks, held, strict=True) if not h]
     c = Counter(w for t in train for w in t)
     n, v = sum(c.values()), len(c)
-    pairs = Counter(p for t in train for p in zip(["<>", *t], t, strict=False))
+    triples = Counter(x for t in train for x in zip(["<>", "<>", *t], ["<>", *t], t, strict=False))
+    pairs = Counter((v, w) for _, v, w in triples)
     kinds = Counter(w for _, w in pairs)
-    d = (0, *language_model._discounts([sum(x == j for x in pairs.values()) for j in (1, 2, 3, 4)]))
-    e = (0, *language_model._discounts([sum(x == j for x in kinds.values()) for j in (1, 2, 3, 4)]))
+    d3, d2, d1 = ((0, *language_model._discounts([sum(x == j for x in level.values()) for j in (1, 2, 3, 4)])) for level in (triples, pairs, kinds))
     total, gamma = Counter(), Counter()
-    for (h, _), x in pairs.items():
-        total[h] += x
-        gamma[h] += d[min(x, 3)]
-    left = sum(e[min(x, 3)] for x in kinds.values()) / len(pairs)
-
-    def p(h, w):
-        low = (kinds[w] - e[min(kinds[w], 3)]) / len(pairs) + left / (v + 1)
-        x = pairs[h, w]
-        return max(x - d[min(x, 3)], 0) / total[h] + gamma[h] / total[h] * low if h in total else low
-
-    assert abs(sum(p("w1", w) for w in [*c, "new"]) - 1) < 1e-9
-    expected = {(i, len(t), round(sum(math.log10(p(a, b)) for a, b in zip(["<>", *t], t, strict=False)), 6), round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), 6), sum(c[w] > 0 for w in t), h) for (i, _), t, h in zip(rows, toks, held, strict=True)}
+    for level, d in ((triples, d3), (pairs, d2)):
+        for h, x in level.items():
+            total[h[:-1]] += x
+            gamma[h[:-1]] += d[min(x, 3)]
+    left = sum(d1[min(x, 3)] for x in kinds.values()) / len(pairs)
+
+    def p(u, v, w):
+        low = (kinds[w] - d1[min(kinds[w], 3)]) / len(pairs) + left / (len(c) + 1)
+        for level, d, h in ((pairs, d2, (v,)), (triples, d3, (u, v))):
+            if h in total:
+                low = max(level[*h, w] - d[min(level[*h, w], 3)], 0) / total[h] + gamma[h] / total[h] * low
+        return low
+
+    for h in (("w1", "w2"), ("<>", "<>"), ("new", "w1"), ("w3", "new")):
+        assert abs(sum(p(*h, w) for w in [*c, "new"]) - 1) < 1e-9
+    expected = {(i, len(t), round(sum(math.log10(p(*x)) for x in zip(["<>", "<>", *t], ["<>", *t], t, strict=False)), 6), round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), 6), sum(c[w] > 0 for w in t), h) for (i, _), t, h in zip(rows, toks, held, strict=True)}
     assert out == expected
+    # the same from many small chunks and shards, with a first word's pairs over several
+    model = language_model.train(table(spark, [r for r, h in zip(rows, held, strict=True) if not h]), shard_bytes=1000, chunk=50, most=5)
+    again = language_model.score(table(spark, rows), model, F.lit(False)).collect()
+    assert {(r["doc_id"], r["n_tokens"], round(r["score"], 6)) for r in again} == {x[:3] for x in expected}
     assert language_model.train_and_score(table(spark, [])).count() == 0
 
 
+def test_language_model_of_often_repeated_words(spark):
+    """Counts above a byte, contexts of many words."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(["a b", *(f"x{rng.randrange(400)}" if rng.random() < 0.5 else "a b" for _ in range(60))])) for i in range(60)]
+    model = language_model.train(table(spark, rows), shard_bytes=4000)
+    toks = [[*t.split(), "</>"] for _, t in rows]
+    triples = Counter(x for t in toks for x in zip(["<>", "<>", *t], ["<>", *t], t, strict=False))
+    assert max(triples.values()) > 255 and len({w for u, v, w in triples if (u, v) == ("a", "b")}) > 255
+    code = {w: text.text_hash(w) for t in toks for w in t} | {"</>": int(language_model.END)}
+    ids = {w: int(model.dictionary.ids(np.array([h], np.uint64))[0]) for w, h in code.items()} | {"<>": model.dictionary.words}
+    asked = [*triples, ("a", "b", "x399999"), ("x1", "x1", "x1")]
+    context = np.array([ids.get(u, 0) * (model.dictionary.words + 1) + ids.get(v, 0) for u, v, _ in asked], np.uint64)
+    n, sums = model.triple_counts(context, np.array([ids.get(w, -1) for *_, w in asked], np.int64))
+    assert n.tolist() == [triples[x] for x in asked]
+    follow = {}
+    for (u, v, _), x in triples.items():
+        follow.setdefault((u, v), []).append(x)
+    for (u, v, _), own in zip(list(triples), sums.T.tolist(), strict=False):
+        x = follow[u, v]
+        assert own == [sum(x), x.count(1), x.count(2), sum(y > 2 for y in x)]
+    pairs = Counter((v, w) for _, v, w in triples)
+    first, second = (np.array([ids[q[j]] for q in pairs], np.int64) for j in (0, 1))
+    assert model.pair_counts(first, second, model.dictionary.counts(first)).tolist() == list(pairs.values())
+
+
 # 6 fingerprints ---------------------------------------------------------------------------------------------------
 
 
