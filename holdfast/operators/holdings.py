@@ -18,9 +18,9 @@ def _invalid(raw: str, value: str) -> Column:
     return F.col(raw).isNotNull() & F.col(value).isNull()
 
 
-def _sorted_out(rows: DataFrame, total: Column, negative_value: bool) -> DataFrame:
-    """Adds weight, weight_source and reason. ``rows``: unresolved_reason, name and raw / parsed balance, percent, value."""
-    rows = rows.withColumn("total", total)
+def _sorted_out(rows: DataFrame, negative_value: bool) -> DataFrame:
+    """Adds weight, weight_source and reason. ``rows``: unresolved_reason, document_total, name and raw / parsed balance, percent, value."""
+    rows = rows.withColumnRenamed("document_total", "total")
     derived = F.when((F.col("total") > 0) & F.col("market_value").isNotNull(), F.col("market_value") / F.col("total"))
     weight = F.coalesce(F.col("percent") / 100, derived)
     checks = [
@@ -46,7 +46,7 @@ def normalise_filings(positions: DataFrame, mapping: DataFrame) -> DataFrame:
     rows = positions.select("*", S.number(F.col("balance")).alias("quantity"), S.number(F.col("percent")).alias("pct"), S.number(F.col("value")).alias("market_value"), F.lit("cusip").alias("key_type"))
     rows = rows.select("document", "report_date", F.col("position").alias("row"), "name", "isin", "key_type", F.col("cusip").alias("key"), F.col("balance").alias("raw_quantity"), "quantity", F.col("percent").alias("raw_percent"), F.col("pct").alias("percent"), F.col("value").alias("raw_value"), "market_value", "currency")
     rows = identity.resolve(rows, mapping, "isin", "key_type", "key")
-    return _sorted_out(rows, quality.document_total(F.col("market_value"), "document", strict=True), negative_value=False)
+    return _sorted_out(quality.with_document_total(rows, "document", "market_value", strict=True), negative_value=False)
 
 
 def normalise_baskets(rows: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def normalise_baskets(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     out = rows.select("document", S.multi_date(F.col("as_of")).alias("report_date"), F.col("row_number").alias("row"), "name", F.col("source_isin").alias("isin"), F.lit("krx_code").alias("key_type"), F.col("krx_code").alias("key"), F.col("quantity").alias("raw_quantity"), n(F.col("quantity")).alias("quantity"), F.col("weight_pct").alias("raw_percent"), n(F.col("weight_pct")).alias("percent"), F.col("market_value").alias("raw_value"), n(F.col("market_value")).alias("market_value"), F.col("currency").alias("stated_currency"))
     out = out.withColumn("currency", F.coalesce(F.upper("stated_currency"), F.when(F.col("market_value").isNotNull(), "KRW"))).drop("stated_currency")
     out = identity.resolve(out, mapping, "isin", "key_type", "key")
-    return _sorted_out(out, quality.document_total(F.col("market_value"), "document", strict=False), negative_value=True)
+    return _sorted_out(quality.with_document_total(out, "document", "market_value", strict=False), negative_value=True)
 
 
 def reject_other_days(rows: DataFrame, target_day: Column, required: bool) -> DataFrame:

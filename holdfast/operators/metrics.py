@@ -11,7 +11,7 @@ REGISTRY = "family string, metric string, supported boolean, zero_excluded boole
 
 def eligibility(values: DataFrame, registry: DataFrame) -> DataFrame:
     """Adds eligible and exclusion. ``values`` has family, metric, value; the registry has one row for each pair that is known."""
-    j = values.join(F.broadcast(registry), ["family", "metric"], "left")
+    j = values.join(registry, ["family", "metric"], "left")
     reason = F.coalesce(
         F.when(F.col("supported").isNull() | ~F.col("supported"), F.lit("unsupported")),
         F.when(F.col("value").isNull(), F.lit("missing")),
@@ -36,7 +36,7 @@ def scaled(values: DataFrame, scale: DataFrame, code: str, at_least: str) -> Dat
     """Adds meets: whether a code is at least another on a supplied scale (code, place); codes off it are unsupported (null)."""
     least = scale.where(F.col("code") == at_least).select(F.col("place").alias("_least"))
     s = scale.select(F.col("code").alias(code), F.col("place").alias("_place"))
-    return values.join(F.broadcast(s), code, "left").join(F.broadcast(least), how="left").withColumn("meets", F.col("_place") >= F.col("_least")).drop("_place", "_least")
+    return values.join(s, code, "left").join(F.broadcast(least), how="left").withColumn("meets", F.col("_place") >= F.col("_least")).drop("_place", "_least")
 
 
 def outcome(status: Column, required_missing: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def fulltext(rows: DataFrame, key: str, name: str, query: str, k: int) -> DataFr
 
     The score tells relevance only. Words are exploded once; counts combine before the shuffle.
     """
-    terms = sorted({w for w in "".join(ch.lower() if ch.isalnum() else " " for ch in query).split()})
+    terms = sorted({w for w in "".join(ch.lower() if unicodedata.category(ch)[0] in "LN" else " " for ch in query).split()})
     total = rows.agg(F.count("*").alias("n_rows"))
     found = rows.select(key, F.explode(F.array_distinct(F.filter(words(F.col(name)), lambda w: w.isin(terms)))).alias("term"))
     idf = found.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(total)).select("term", F.log(1 + F.col("n_rows") / F.col("df")).alias("idf"))

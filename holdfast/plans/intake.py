@@ -52,11 +52,20 @@ def compute_missing_all(t):
     return I.missing(expected, log, ["target", "day"])
 
 
-@query(f"WITH {LOG}, r AS (SELECT DISTINCT target FROM log WHERE phase = 'READY' AND seq % 3 = 0), a AS (SELECT DISTINCT target, target % 5 AS source FROM log) SELECT a.source, count(*) AS n_targets, count(*) FILTER (r.target IS NULL) AS n_missing, coalesce(string_agg(CAST(CASE WHEN r.target IS NULL THEN a.target END AS VARCHAR), ',' ORDER BY a.target), '') AS missing FROM a LEFT JOIN r ON a.target = r.target GROUP BY a.source")
+READY = "r AS (SELECT DISTINCT target FROM log WHERE phase = 'READY' AND seq % 3 = 0), a AS (SELECT DISTINCT target, target % 5 AS source FROM log)"
+
+
+@query(f"WITH {LOG}, {READY} SELECT a.source, count(*) AS n_targets, count(*) FILTER (r.target IS NULL) AS n_missing FROM a LEFT JOIN r ON a.target = r.target GROUP BY a.source")
 def catch_up_report(t):
     log = _log(t)
     targets = log.select("target", (c("target") % 5).alias("source")).distinct()
-    return I.catch_up(targets, log.where("seq % 3 = 0"), "target", "source").withColumn("missing", F.array_join("missing", ","))
+    return I.catch_up(targets, log.where("seq % 3 = 0"), "target", "source")
+
+
+@query(f"WITH {LOG}, {READY} SELECT a.source, a.target FROM a WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.target = a.target)")
+def catch_up_targets(t):
+    log = _log(t)
+    return I.not_ready(log.select("target", (c("target") % 5).alias("source")).distinct(), log.where("seq % 3 = 0"), "target").select("source", "target")
 
 
 @query(f"WITH {LOG} SELECT day, 0::BIGINT AS discovered, count(*) FILTER (phase = 'FETCHED') AS fetched, 0::BIGINT AS normalized, count(*) FILTER (phase = 'READY') AS ready, count(*) FILTER (phase = 'LOADED') AS loaded, 0::BIGINT AS validated, count(*) FILTER (phase = 'FAILED') AS failed FROM log GROUP BY day")

@@ -42,11 +42,14 @@ def run_summary(log: DataFrame, run: str, phase: str) -> DataFrame:
 
 
 def catch_up(targets: DataFrame, log: DataFrame, target: str, source: str) -> DataFrame:
-    """(source, n_targets, n_missing, missing): targets without a READY entry, listed in order for each source."""
+    """(source, n_targets, n_missing): targets without a READY entry; ``not_ready`` has them as rows."""
     ready = log.where("phase = 'READY'").select(target).distinct().withColumn("_ready", F.lit(True))
-    j = targets.join(ready, target, "left")
-    lost = F.when(F.col("_ready").isNull(), F.col(target))
-    return j.groupBy(source).agg(F.count("*").alias("n_targets"), F.count(lost).alias("n_missing"), F.array_sort(F.collect_set(lost)).alias("missing"))
+    return targets.join(ready, target, "left").groupBy(source).agg(F.count("*").alias("n_targets"), F.count_if(F.col("_ready").isNull()).alias("n_missing"))
+
+
+def not_ready(targets: DataFrame, log: DataFrame, target: str) -> DataFrame:
+    """The targets without a READY entry."""
+    return targets.join(log.where("phase = 'READY'").select(target).distinct(), target, "left_anti")
 
 
 def audit(entries: DataFrame, artifacts: DataFrame, key: str, identity: tuple[str, ...] = ()) -> DataFrame:
