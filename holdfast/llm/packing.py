@@ -112,25 +112,25 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return rows
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, id_col: str = "doc_id", text_col: str = "text", salts: int = 256, most_plan_rows: int = 1_000_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, id_col: str = "doc_id", text_col: str = "text", per_salt: int = 500_000, small: int = 1_000_000) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    The tables that are broadcast hold ``capacity * salts`` rows at most, and the plan, whose runs are as many as pairs of
-    lengths at most, ``most_plan_rows`` (checked).
+    Pieces of a length are numbered in groups of about ``per_salt``. The tables of groups and of the plan, whose runs are
+    as many as pairs of lengths at most, are broadcast up to ``small`` rows, and joined by a shuffle beyond.
     """
     spark = docs.sparkSession
     cut = materialise(pieces(docs, tokenizer, capacity, id_col, text_col), "packing-pieces")
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
-    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    at = Window.partitionBy("length").orderBy("salt")
-    starts = materialise(sizes.withColumn("ahead", F.sum("n").over(at) - F.col("n")), "packing-sizes")
-    counts = {r["length"]: r["n"] for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
+    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     runs = plan(counts, capacity)
-    if len(runs) > most_plan_rows:
-        raise ValueError(f"the plan has {len(runs)} runs")
+    few = lambda df, n: F.broadcast(df) if n <= small else df
+    groups = {k: -(-n // per_salt) for k, n in counts.items()}
+    salts = few(spark.createDataFrame(pa.table({"length": pa.array(list(groups), pa.int64()), "salts": pa.array(list(groups.values()), pa.int64())})), len(groups))
+    salted = cut.join(salts, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("salts")
+    at = Window.partitionBy("length").orderBy("salt")
+    starts = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).withColumn("ahead", F.sum("n").over(at) - F.col("n")).select("length", "salt", "ahead")
     places = spark.createDataFrame(pa.Table.from_arrays([pa.array([r[i] for r in runs], pa.int64()) for i in range(5)], ["length", "first", "n", "bin", "at"]))
     ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")))
-    ranked = ranked.join(F.broadcast(starts.select("length", "salt", "ahead")), ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("ahead") - 1)
+    ranked = ranked.join(few(materialise(starts, "packing-groups"), sum(groups.values())), ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("ahead") - 1)
     inside = (F.col("c.length") == F.col("p.length")) & (F.col("c.rank") >= F.col("p.first")) & (F.col("c.rank") < F.col("p.first") + F.col("p.n"))
-    placed = ranked.alias("c").join(F.broadcast(places).alias("p"), inside)
+    placed = ranked.alias("c").join(few(places, len(runs)).alias("p"), inside)
     return placed.select("c.doc_id", "c.piece", "c.start", F.col("c.length").alias("length"), "c.ids_crc32", (F.col("p.bin") + F.col("c.rank") - F.col("p.first")).alias("sequence_id"), F.col("p.at").alias("offset"))

@@ -243,26 +243,22 @@ class Segmenter:
         place, out = len(raw), []
         for lo in range(len(marks) - 1, -1, -1):
             lo *= _WINDOW
-            first, arcs, sums = self._window(raw, lo, marks.pop())
-            _, size, piece, weight = arcs
+            first, size, piece, share, _ = self._window(raw, lo, marks.pop())
             hi = min(lo + _WINDOW, len(raw))
             draw = _draws(np.repeat(stream, hi - lo), np.arange(lo + 1, hi + 1)).tolist()
             ids = []
             while place > lo:
-                at = place - lo
-                r, arc, end = draw[at - 1] * sums[at + reach - 1], first[at - 1], first[at]
-                so_far = sums[at + reach - 1 - size[arc]] * weight[arc]
-                while so_far <= r and arc + 1 < end:
+                arc = first[place - lo - 1]
+                while share[arc] <= draw[place - lo - 1]:
                     arc += 1
-                    so_far += sums[at + reach - 1 - size[arc]] * weight[arc]
                 k = size[arc]
                 ids += [piece[arc]] if piece[arc] >= 0 else self.byte_ids[raw[place - k : place]][::-1].tolist()
                 place -= k
             out.append(np.array(ids, np.int32)[::-1])
         return np.concatenate(out[::-1])
 
-    def _window(self, raw: np.ndarray, lo: int, ahead: list[float]) -> tuple[list[int], tuple, list[float]]:
-        """Of a window that begins at ``lo``: each place's first arc, the arcs' columns, and the forward sums of ``ahead`` and all places."""
+    def _window(self, raw: np.ndarray, lo: int, ahead: list[float]) -> tuple[list, ...]:
+        """Of a window that begins at ``lo``: each place's first arc, the arcs' bytes, pieces and cumulative shares, and the forward sums of ``ahead`` and all places."""
         hi = min(lo + _WINDOW, len(raw))
         reach = len(ahead)
         left = max(0, lo - reach - 4)
@@ -272,20 +268,21 @@ class Segmenter:
         stop = stop + left - lo
         order = np.lexsort((-size, stop))
         order = order[(stop[order] >= 0) & (stop[order] < hi - lo) & (size[order] <= stop[order] + lo + 1)]
-        stop = stop[order]
-        columns = [x[order].tolist() for x in (stop, size, piece, weight)]
-        first = np.searchsorted(stop, np.arange(hi - lo + 1)).tolist()
-        sums = list(ahead)
-        _, size, _, weight = columns
+        size, piece, weight = (x[order].tolist() for x in (size, piece, weight))
+        first = np.searchsorted(stop[order], np.arange(hi - lo + 1)).tolist()
+        sums, share = list(ahead), []
         for at in range(hi - lo):
-            x = 0.0
+            x, own = 0.0, []
             for arc in range(first[at], first[at + 1]):
                 x += sums[at + reach - size[arc]] * weight[arc]
+                own.append(x)
             sums.append(x)
+            if own:
+                share += [y / x for y in own[:-1]] + [1.0] if x else [1.0] * len(own)
             if 0 < x < 1e-150:  # only ratios of the last places matter
                 for k in range(reach):
                     sums[at + reach - k] *= 1e150
-        return first, tuple(columns), sums
+        return first, size, piece, share, sums
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The UTF-8 bytes of a row of ids."""

@@ -90,14 +90,18 @@ def places(key: Column, bits: int, seed: int) -> list[Column]:
     return [F.pmod(F.shiftrightunsigned(a, 2) + F.lit(i) * F.shiftrightunsigned(b, 4), F.lit(bits)) for i in range(HASHES)]
 
 
+class TooLarge(ValueError):
+    """Of a filter that is larger than an expression should hold."""
+
+
 def build_level(keys: DataFrame, seed: int, bits_per_key: int, most_bits: int) -> Level | None:
-    """A Bloom filter of the keys; None for no keys. Its words alone come to the driver."""
+    """A Bloom filter of the keys; None for no keys. Its words alone come to the driver; a filter that is too large is an error."""
     n = keys.count()
     if not n:
         return None
     words = -(-max(64, n * bits_per_key) // 64)
     if 64 * words > most_bits:
-        raise ValueError(f"a level of {n} keys needs {64 * words} bits; more bits a key in level 1 let fewer pass")
+        raise TooLarge(f"a level of {n} keys needs {64 * words} bits")
     at = keys.select(F.explode(F.array(*places(F.col("key"), 64 * words, seed))).alias("place"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("place", F.lit(64)).cast("int"))
     held = at.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
@@ -119,39 +123,56 @@ class Cascade:
         return out
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 24, later_bits: int = 8, most_bits: int = 1 << 26, most_levels: int = 40) -> Cascade:
-    """``listed`` and ``universe`` have a column key; the universe is all the corpus's distinct keys."""
+def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 24, later_bits: int = 8, most_bits: int = 1 << 26, small: int = 1_000_000) -> Cascade:
+    """``listed`` and ``universe`` have a column key; the universe is all the corpus's distinct keys.
+
+    Each level has fewer keys than the one two before, until none are left to tell apart. Up to ``small`` listed keys are broadcast.
+    """
     levels: list[Level] = []
-    encode, others = listed.select("key").distinct(), universe.join(F.broadcast(listed), "key", "left_anti")
-    while len(levels) < most_levels:
+    encode = materialise(listed.select("key").distinct(), "cascade-listed")
+    others = universe.join(F.broadcast(encode) if encode.count() <= small else encode, "key", "left_anti")
+    while True:
         level = build_level(encode, len(levels), later_bits if levels else bits_per_key, most_bits)
         if level is None:
             return Cascade(tuple(levels))
         levels.append(level)
         encode, others = materialise(others.where(level.passes(F.col("key"))), "cascade-passed"), encode
-    raise RuntimeError(f"{most_levels} levels don't tell all keys apart")
 
 
 def rules_table(spark: SparkSession, rules: list[Rule], action: str) -> DataFrame:
     return spark.createDataFrame([(r.key,) for r in rules if r.action == action], "key string")
 
 
-def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """(page_id, host, path, rule, verdict) of each row. Of the rules that fit, the longest decides."""
+def _with_listed(rows: DataFrame, listed: DataFrame, name: str) -> DataFrame:
+    """Adds the keys of each row that are listed."""
+    numbered = materialise(rows.withColumn("_n", F.monotonically_increasing_id()), "url-rows")
+    met = numbered.select("_n", F.explode("keys.key").alias("key")).join(listed.distinct(), "key").groupBy("_n").agg(F.collect_set("key").alias(name))
+    return numbered.join(met, "_n", "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>"))).drop("_n")
+
+
+def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", most_bits: int = 1 << 26) -> DataFrame:
+    """(page_id, host, path, rule, verdict) of each row. Of the rules that fit, the longest decides.
+
+    Where a cascade's level would be larger than ``most_bits``, the listed keys of each row are found by a join.
+    """
     spark = pages.sparkSession
     shapes = sorted({r.shape for r in rules})
     rows = pick(pages, page_id=id_col, url=url_col).withColumn("url", F.coalesce("url", F.lit("")))
     rows = rows.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).withColumn("keys", keys_of(F.col("host"), F.col("path"), shapes))
     universe = materialise(rows.select(F.explode("keys").alias("k")).select("k.key").distinct(), "url-keys") if shapes else None
 
-    def fit(action: str, cascade: Cascade) -> Column:
-        found = F.filter("keys", lambda k: cascade.lists(k["key"]))
+    def fit(action: str, cascade: Cascade | None) -> Column:
+        found = F.filter("keys", lambda k: cascade.lists(k["key"]) if cascade else F.array_contains(f"listed_{action}", k["key"]))
         return F.transform(found, lambda k: F.struct(F.length(k["key"]).alias("size"), k["labels"].alias("labels"), k["key"].alias("key"), F.lit(action).alias("action")))
 
     fitting = []
     for action in ("allow", "block"):
         if any(r.action == action for r in rules):
-            cascade = build_cascade(rules_table(spark, rules, action), universe)
+            listed = rules_table(spark, rules, action)
+            try:
+                cascade = build_cascade(listed, universe, most_bits=most_bits)
+            except TooLarge:
+                cascade, rows = None, _with_listed(rows, listed, f"listed_{action}")
             fitting.append(fit(action, cascade))
     if not fitting:
         return rows.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
