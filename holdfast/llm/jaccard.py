@@ -318,13 +318,15 @@ class _Join:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link; only the texts of classes in some pair are read."""
         pairs = materialise(pairs.distinct(), "jaccard-pairs")
-        thin = self.texts(_ends(pairs)).mapInArrow(_thin(self.n), "node long, size long, wide binary").groupBy("node").agg(F.first("size").alias("size"), F.first("wide").alias("wide"))
+        ends = materialise(_ends(pairs), "jaccard-ends")
+        thin = self.texts(ends).mapInArrow(_thin(self.n), "node long, size long, wide binary").groupBy("node").agg(F.first("size").alias("size"), F.first("wide").alias("wide"))
         of = lambda s: thin.select(F.col("node").alias(s), F.col("size").alias(f"{s}_size"), F.col("wide").alias(f"{s}_wide"))
         near = materialise(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_near(self.num, self.den), "a long, b long"), "jaccard-near")
-        text = self.one_text(_ends(near))
+        near_ends = materialise(_ends(near), "jaccard-ends")
+        text = self.one_text(near_ends)
         of = lambda s: text.select(F.col("node").alias(s), F.col("text").alias(f"{s}_text"))
         out = materialise(near.join(of("a"), "a").join(of("b"), "b").mapInArrow(_verify(self.n, self.num, self.den), "a long, b long"), "jaccard-links")
-        release(pairs, near)
+        release(pairs, ends, near, near_ends)
         return out
 
     def possible(self, x: str, y: str, ahead):
@@ -392,7 +394,7 @@ class _Join:
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return pairs.select(F.col("a").alias("node")).distinct().union(pairs.select(F.col("b").alias("node")).distinct()).distinct()
 
 
 def _pair(df: DataFrame) -> DataFrame:
