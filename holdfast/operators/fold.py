@@ -29,6 +29,11 @@ def fold(rows: DataFrame, keys: list[str], order: Column, rules: dict[str, str])
     return rows.groupBy(*keys).agg(*[folded(c, order, rule).alias(c) for c, rule in rules.items()])
 
 
+def collected(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """The distinct values of an attribute of each key, in order. Meant for attributes of few values."""
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_set(column)).alias(column))
+
+
 def load_order(dataset: Column, row_number: Column, kind: Column, item: Column, batch: int = 500) -> Column:
     """The order in which a load writes: dataset, batch, kind within the batch, row, item of the row."""
     return F.struct(dataset, F.floor((row_number - 2) / batch), kind, row_number, item)

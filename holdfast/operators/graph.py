@@ -34,6 +34,18 @@ def edge_union(*families: tuple[DataFrame, Column, str, Column]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
+def attached(edges: DataFrame, sources: DataFrame, source: str, key: str) -> DataFrame:
+    """Edges of a source that is there, with what the source row adds; others are not made."""
+    return edges.join(sources, edges[source] == sources[key]).drop(sources[key]) if source != key else edges.join(sources, key)
+
+
+def path_join(rows: DataFrame, *steps: tuple[DataFrame, str, str, bool]) -> DataFrame:
+    """Rows with what each step's table adds: (table, column here, column there, whether the step must be there)."""
+    for table, here, there, must in steps:
+        rows = rows.join(table, rows[here] == table[there], "inner" if must else "left")
+    return rows
+
+
 def logical_edges(edges: DataFrame) -> DataFrame:
     """Edges under their logical relations, reversed where those are; a unit also reaches its fund's manager and benchmark."""
     parts = []

@@ -32,6 +32,11 @@ def ranked(judged: DataFrame, key: str, k: int, cohort: list[str]) -> DataFrame:
     return judged.where("eligible").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def top(judged: DataFrame, key: str, k: int) -> DataFrame:
+    """The k greatest eligible values over all families of a compatible cohort; ties by key."""
+    return judged.where("eligible").orderBy(F.desc("value"), key).limit(k)
+
+
 def scaled(values: DataFrame, scale: DataFrame, code: str, at_least: str) -> DataFrame:
     """Adds meets: whether a code is at least another on a supplied scale (code, place); codes off it are unsupported (null)."""
     least = scale.where(F.col("code") == at_least).select(F.col("place").alias("_least"))

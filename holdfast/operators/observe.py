@@ -44,10 +44,29 @@ def month_grid(spark: SparkSession, start: str, months: int) -> DataFrame:
     return grid.select("i", F.date_add("month", day - 1).alias("day"))
 
 
-def shards(rows: DataFrame, group: list[str], order: list[str], size: int = 500) -> DataFrame:
-    """Adds ``ordinal`` and ``shard``: runs of at most ``size`` rows of each group, in order."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return rows.withColumn("ordinal", F.row_number().over(w)).withColumn("shard", F.floor((F.col("ordinal") - 1) / size))
+def shards(rows: DataFrame, group: list[str], order: list[str], size: int = 500, spread: int = 200) -> DataFrame:
+    """Adds ``ordinal`` and ``shard``: runs of at most ``size`` rows of each group, in order.
+
+    Where the first column of the order is a number, rows are numbered within ``spread`` steps of it, and the steps'
+    counts are added up, so that no group is sorted in one task.
+    """
+    kind, first, step = dict(rows.dtypes)[order[0]], F.col(order[0]), F.lit(0)
+    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        low, high = rows.agg(F.min(first), F.max(first)).first()
+        if low is not None and low < high:
+            step = F.coalesce(F.width_bucket(first.cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(spread)).cast("int"), F.lit(-1))
+    keyed = rows.withColumn("_step", step)
+    counts = keyed.groupBy(*[F.col(g).alias(f"_{g}") for g in group], F.col("_step").alias("_at")).agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_ahead", F.sum("_n").over(Window.partitionBy(*[f"_{g}" for g in group]).orderBy("_at")) - F.col("_n"))
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group] + [F.col("_step") == F.col("_at")]
+    placed = keyed.withColumn("_k", F.row_number().over(Window.partitionBy(*group, "_step").orderBy(*order))).join(counts, same)
+    out = placed.withColumn("ordinal", F.col("_k") + F.col("_ahead")).withColumn("shard", F.floor((F.col("ordinal") - 1) / size))
+    return out.select(*rows.columns, "ordinal", "shard")
+
+
+def in_window(rows: DataFrame, day: Column, first: Column, last: Column, published: Column, cutoff: Column) -> DataFrame:
+    """Rows of days in the window that were published by the cutoff."""
+    return rows.where((day >= first) & (day <= last) & (published <= cutoff))
 
 
 def versions(docs: DataFrame, target: list[str], published: str, identity: str) -> DataFrame:

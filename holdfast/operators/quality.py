@@ -46,6 +46,16 @@ def with_document_total(rows: DataFrame, document: str, value: str, strict: bool
     return rows.join(rows.groupBy(document).agg(total.alias("document_total")), document)
 
 
+def unlinked(records: DataFrame, links: DataFrame, key: str, of: str) -> DataFrame:
+    """The records that no link names."""
+    return records.join(links.select(F.col(of).alias(key)).distinct(), key, "left_anti")
+
+
+def label_counts(rows: DataFrame, labels: Column) -> DataFrame:
+    """(label, n) over rows that each have a list of labels."""
+    return rows.select(F.explode(labels).alias("label")).groupBy("label").agg(F.count("*").alias("n"))
+
+
 def duplicates(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 

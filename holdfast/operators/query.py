@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,6 +46,17 @@ def evidence_summary(results: DataFrame, evidence: DataFrame, key: str, record:
     return out.withColumn("outcome", F.when(F.col("n_evidence") > 0, "ok").otherwise("insufficient_evidence"))
 
 
+def union_kinds(*families: tuple[str, DataFrame, str, str]) -> DataFrame:
+    """(kind, id, name) of several entity tables: (kind, rows, identifier, name)."""
+    parts = [rows.select(F.lit(kind).alias("kind"), F.col(k).alias("id"), F.col(n).alias("name")) for kind, rows, k, n in families]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def related(rows: DataFrame, relation: DataFrame, key: str, of: str, required: bool) -> DataFrame:
+    """Rows with a relation's columns; a row without it stays, with nulls, unless the relation is required."""
+    return rows.join(relation, rows[key] == relation[of], "inner" if required else "left")
+
+
 def evidence_sources(evidence: DataFrame, key: str, record: str, dataset: str, file: str, snapshot: str, sha: str) -> DataFrame:
     """(key, dataset, file, snapshot, sha, n_evidence): where each result's evidence comes from, one row for each source."""
     return evidence.groupBy(F.col(key).alias("key"), F.col(dataset).alias("dataset"), F.col(file).alias("file"), F.col(snapshot).alias("snapshot"), F.col(sha).alias("sha")).agg(F.countDistinct(record).alias("n_evidence"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
 from holdfast.operators import fold, graph, holdings, identity, observe, quality, transform
+from holdfast.operators import query as Q
 from holdfast.plans.catalog import query
 from holdfast.sources import ontology
 
@@ -23,9 +24,9 @@ def scan_source_records(t):
     return r.select("uri", "dataset", "row_number", F.try_element_at("raw", F.lit("event_type")).alias("kind"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice, 6) AS v FROM lineitem WHERE l_quantity > 49")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice, 6) AS v FROM lineitem")
 def scan_holdings(t):
-    return t.lineitem.where("l_quantity > 49").select("l_orderkey", "l_linenumber", "l_partkey", F.round("l_extendedprice", 6).alias("v"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.round("l_extendedprice", 6).alias("v"))
 
 
 def _bond_rows(t):
@@ -228,18 +229,18 @@ def name_only_groups(t):
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def describes_join(t):
-    return t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey")).select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey")
+    return graph.attached(t.lineitem, t.orders, "l_orderkey", "o_orderkey").select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey")
 
 
 @query("SELECT o_orderkey, c_name, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def etf_full_path(t):
-    j = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).join(F.broadcast(t.nation), c("c_nationkey") == c("n_nationkey"), "left").join(F.broadcast(t.region), c("n_regionkey") == c("r_regionkey"), "left")
+    j = graph.path_join(t.orders, (t.customer, "o_custkey", "c_custkey", True), (t.nation, "c_nationkey", "n_nationkey", False), (t.region, "n_regionkey", "r_regionkey", False))
     return j.select("o_orderkey", "c_name", "n_name", "r_name")
 
 
 @query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AND o_orderstatus <> 'P'")
 def unlinked_records(t):
-    return t.orders.join(t.lineitem, c("o_orderkey") == c("l_orderkey"), "left_anti").where("o_orderstatus <> 'P'").select("o_orderkey")
+    return quality.unlinked(t.orders.where("o_orderstatus <> 'P'"), t.lineitem, "o_orderkey", "l_orderkey").select("o_orderkey")
 
 
 @query("WITH l AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_quantity > 45) SELECT o_orderpriority AS dataset, count(*) AS n_records, count(l_orderkey) AS n_linked, count(*) FILTER (o_orderstatus = 'P') AS n_rejected, count(*) FILTER (l_orderkey IS NULL AND o_orderstatus <> 'P') AS n_unlinked FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1")
@@ -250,7 +251,7 @@ def dataset_link_report(t):
 
 @query("SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderpriority = '1-URGENT'")
 def optional_projection(t):
-    return t.customer.join(t.orders.where("o_orderpriority = '1-URGENT'"), c("c_custkey") == c("o_custkey"), "left").select("c_custkey", "o_orderkey")
+    return Q.related(t.customer, t.orders.where("o_orderpriority = '1-URGENT'"), "c_custkey", "o_custkey", required=False).select("c_custkey", "o_orderkey")
 
 
 def _asof(t, events, *more):

@@ -124,11 +124,16 @@ def outcome_mapping(t):
     return t.orders.select("o_orderkey", metrics.outcome(status, c("o_orderkey") % 2 == 0).alias("outcome"))
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE event_type = 'click' AND json_extract(props, '$.k') IS NOT NULL")
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE json_extract(props, '$.k') IS NOT NULL")
 def raw_field_access(t):
     raw = F.from_json("props", "map<string,string>")
-    rows = t.events.where("event_type = 'click'").select("event_id", textsearch.raw_field(raw, "k").alias("k"))
-    return rows.where("k is not null")
+    return t.events.select("event_id", textsearch.raw_field(raw, "k").alias("k")).where("k is not null")
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events ORDER BY k DESC NULLS LAST, event_id LIMIT 100")
+def raw_field_order(t):
+    raw = F.from_json("props", "map<string,string>")
+    return Q.page(Q.ordered(t.events.select("event_id", textsearch.raw_field(raw, "k").alias("k")), [("k", "desc", "last")], "event_id"), 100)
 
 
 # text -------------------------------------------------------------------------------------------------------------
@@ -214,7 +219,7 @@ def rank_metric_topk(t):
 
 @query(f"WITH {VALUES} SELECT family, id, round(value, 6) AS value FROM (SELECT *, row_number() OVER (ORDER BY value DESC, id) AS rank FROM j WHERE exclusion IS NULL) WHERE rank <= 50")
 def cross_family_rank(t):
-    return _judged(t).where("eligible").orderBy(F.desc("value"), "id").limit(50).select("family", "id", F.round("value", 6).alias("value"))
+    return metrics.top(_judged(t), "id", 50).select("family", "id", F.round("value", 6).alias("value"))
 
 
 @query("SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN true WHEN '2-HIGH' THEN true WHEN '3-MEDIUM' THEN false END AS meets FROM orders")
@@ -225,5 +230,4 @@ def scale_comparison(t):
 
 @query("SELECT 'customer' AS kind, c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier UNION ALL SELECT 'part', p_partkey, p_name FROM part")
 def entity_union(t):
-    one = lambda df, kind, k, n: df.select(F.lit(kind).alias("kind"), c(k).alias("id"), c(n).alias("name"))
-    return one(t.customer, "customer", "c_custkey", "c_name").unionByName(one(t.supplier, "supplier", "s_suppkey", "s_name")).unionByName(one(t.part, "part", "p_partkey", "p_name"))
+    return Q.union_kinds(("customer", t.customer, "c_custkey", "c_name"), ("supplier", t.supplier, "s_suppkey", "s_name"), ("part", t.part, "p_partkey", "p_name"))

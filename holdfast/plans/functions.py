@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
-from holdfast.operators import observe, predicates, quality, textsearch
+from holdfast.operators import fold, identity, observe, predicates, quality, textsearch
 from holdfast.operators import query as Q
 from holdfast.plans.catalog import Tables, query
 
@@ -268,17 +268,17 @@ def duplicate_uris(t):
 @query("SELECT label, count(*) AS n FROM (SELECT unnest(CASE WHEN p_size > 25 THEN ['Product', 'Large'] ELSE ['Product'] END) AS label FROM part) GROUP BY label")
 def label_counts(t):
     labels = F.when(c("p_size") > 25, F.array(F.lit("Product"), F.lit("Large"))).otherwise(F.array(F.lit("Product")))
-    return t.part.select(F.explode(labels).alias("label")).groupBy("label").agg(F.count("*").alias("n"))
+    return quality.label_counts(t.part, labels)
 
 
 @query("SELECT p_brand, list_aggregate(list_sort(list(DISTINCT p_type)), 'string_agg', ',') AS types FROM part GROUP BY p_brand")
 def collect_attributes(t):
-    return t.part.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_set("p_type")), ",").alias("types"))
+    return fold.collected(t.part, ["p_brand"], "p_type").select("p_brand", F.array_join("p_type", ",").alias("types"))
 
 
 @query("SELECT l_partkey, count(DISTINCT l_suppkey) AS venues FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) > 1")
 def multi_listing(t):
-    return t.lineitem.groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("venues")).where("venues > 1")
+    return identity.conflicts(t.lineitem, ["l_partkey"], "l_suppkey").withColumnRenamed("n_ids", "venues")
 
 
 @query("SELECT 'quantity' AS field, count(*) AS total, count(l_quantity) AS populated, count(*) FILTER (l_quantity <> 0) AS non_zero, false AS constant_zero FROM lineitem UNION ALL SELECT 'tax', count(*), count(l_tax), count(*) FILTER (l_tax <> 0), false FROM lineitem UNION ALL SELECT 'blank', count(*), count(*) FILTER (l_returnflag = 'R'), 0, true FROM lineitem")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
+from holdfast.operators import observe
 from holdfast.plans.catalog import query, shared_place
 from holdfast.sources import landed
 from holdfast.streaming import intake as I
@@ -26,7 +27,7 @@ def manifest_state(t):
 
 @query(f"WITH {LOG} SELECT phase, count(*) AS n, count(DISTINCT target) AS targets FROM log GROUP BY phase")
 def manifest_replay(t):
-    return _log(t).groupBy("phase").agg(F.count("*").alias("n"), F.countDistinct("target").alias("targets"))
+    return I.replay(_log(t), "phase", "target")
 
 
 @query(f"WITH {LOG} SELECT DISTINCT target, day FROM log l WHERE NOT EXISTS (SELECT 1 FROM log x WHERE x.phase = 'LOADED' AND x.target = l.target AND x.day = l.day)")
@@ -75,8 +76,7 @@ def run_summary(t):
 
 @query("SELECT count(DISTINCT CAST(o_orderdate AS DATE)) AS n_days, count(*) AS n_documents, min(CAST(o_orderdate AS DATE)) AS first_day, max(CAST(o_orderdate AS DATE)) AS last_day FROM orders")
 def target_summary(t):
-    d = c("o_orderdate").cast("date")
-    return t.orders.agg(F.countDistinct(d).alias("n_days"), F.count("*").alias("n_documents"), F.min(d).alias("first_day"), F.max(d).alias("last_day"))
+    return I.target_summary(t.orders, c("o_orderdate").cast("date"))
 
 
 @query("SELECT l_orderkey AS target, count(*) AS n_shards, bool_and(l_linestatus = 'F') AS complete FROM lineitem GROUP BY l_orderkey")
@@ -106,7 +106,8 @@ def artifact_audit(t):
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND o_orderdate + INTERVAL 30 DAY <= DATE '1996-06-30'")
 def cutoff_filter(t):
     d = c("o_orderdate").cast("date")
-    return t.orders.where(d.between("1995-01-01", "1996-12-31") & (F.date_add(d, 30) <= F.lit("1996-06-30").cast("date"))).select("o_orderkey", d.alias("d"))
+    day = lambda x: F.lit(x).cast("date")
+    return observe.in_window(t.orders, d, day("1995-01-01"), day("1996-12-31"), F.date_add(d, 30), day("1996-06-30")).select("o_orderkey", d.alias("d"))
 
 
 @query("SELECT user_id, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY user_id")

@@ -36,6 +36,16 @@ def ready_conflicts(log: DataFrame, identity: list[str], evidence: str) -> DataF
     return log.groupBy(*identity).agg(F.countDistinct(evidence).alias("n_evidence")).where("n_evidence > 1")
 
 
+def replay(log: DataFrame, phase: str, target: str) -> DataFrame:
+    """(phase, n, targets): what a log holds of each phase."""
+    return log.groupBy(phase).agg(F.count("*").alias("n"), F.countDistinct(target).alias("targets"))
+
+
+def target_summary(documents: DataFrame, day: Column) -> DataFrame:
+    """(n_days, n_documents, first_day, last_day) of a list of targets."""
+    return documents.agg(F.countDistinct(day).alias("n_days"), F.count("*").alias("n_documents"), F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+
+
 def run_summary(log: DataFrame, run: str, phase: str) -> DataFrame:
     """(run, and a count of each phase)."""
     return log.groupBy(run).agg(*[F.count_if(F.col(phase) == p).alias(p.lower()) for p in PHASES])
