@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: (family, metric, supported, zero_excluded, negative_excluded, currency)
-REGISTRY = "family string, metric string, supported boolean, zero_excluded boolean, negative_excluded boolean, currency string"
+REGISTRY = "family string, metric string, source_field string, supported boolean, zero_excluded boolean, negative_excluded boolean, denominator string, as_of string, unit string, currency string, cohort string"
+
+
+def registry(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """The known metrics: of each family and metric the field it comes from, what excludes a value, the denominator it is
+    shown with, its date's field, its unit and currency, and the cohort in which it may be ranked. Supported, with nothing excluded, unless told."""
+    usual = {"supported": True, "zero_excluded": False, "negative_excluded": False, "denominator": "populated"}
+    names = [x.split()[0] for x in REGISTRY.split(", ")]
+    return spark.createDataFrame([tuple((usual | r).get(n) for n in names) for r in rows], REGISTRY)
 
 
 def eligibility(values: DataFrame, registry: DataFrame) -> DataFrame:

@@ -188,7 +188,8 @@ def _values(t):
 
 
 def _judged(t):
-    registry = t.spark.createDataFrame([("customer", "balance", True, True, True, None), ("supplier", "balance", True, True, True, None), ("part", "balance", False, False, False, None)], metrics.REGISTRY)
+    usual = {"metric": "balance", "zero_excluded": True, "negative_excluded": True, "unit": "KRW", "cohort": "accounts"}
+    registry = metrics.registry(t.spark, [usual | {"family": "customer", "source_field": "c_acctbal"}, usual | {"family": "supplier", "source_field": "s_acctbal", "denominator": "total"}, {"family": "part", "metric": "balance", "supported": False}])
     return metrics.eligibility(_values(t), registry.drop("currency"))
 
 
@@ -207,9 +208,9 @@ def cohort_denominators(t):
     return metrics.denominators(_judged(t))
 
 
-@query(f"WITH {VALUES} SELECT family, coalesce(exclusion, 'none') AS exclusion, count(*) AS n FROM j GROUP BY ALL")
+@query(f"WITH {VALUES} SELECT family, CASE family WHEN 'customer' THEN 'c_acctbal' WHEN 'supplier' THEN 's_acctbal' END AS source_field, CASE family WHEN 'supplier' THEN 'total' ELSE 'populated' END AS denominator, CASE WHEN family <> 'part' THEN 'KRW' END AS unit, CASE WHEN family <> 'part' THEN 'accounts' END AS cohort, coalesce(exclusion, 'none') AS exclusion, count(*) AS n FROM j GROUP BY ALL")
 def metric_registry(t):
-    return _judged(t).groupBy("family", F.coalesce("exclusion", F.lit("none")).alias("exclusion")).agg(F.count("*").alias("n"))
+    return _judged(t).groupBy("family", "source_field", "denominator", "unit", "cohort", F.coalesce("exclusion", F.lit("none")).alias("exclusion")).agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {VALUES} SELECT currency, id, rank FROM (SELECT currency, id, row_number() OVER (PARTITION BY currency ORDER BY value DESC, id) AS rank FROM j WHERE exclusion IS NULL) WHERE rank <= 5")
