@@ -169,7 +169,7 @@ def _mapped(folder: str, name: str) -> np.ndarray:
             shutil.copyfileobj(src, out)
     if os.path.getsize(path) == 0:
         return np.zeros(0, np.uint8)
-    return np.memmap(path, np.uint8, "r")
+    return np.memmap(path, np.uint8, "r").view(np.ndarray)
 
 
 def _kinds(n: np.ndarray) -> list[int]:
