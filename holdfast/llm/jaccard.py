@@ -151,11 +151,13 @@ def gram_counts(profile: DataFrame, bits: int) -> np.ndarray:
     """The table of counts by hash: 2**bits entries, whatever the size of the corpus."""
     blocks = max(1, (1 << bits) >> 14)
     parts = profile.where("block is not null").select("block", "counts").repartition("block").mapInArrow(_add_blocks, "block int, counts binary")
-    out = np.zeros((blocks, (1 << bits) // blocks), np.int64)
-    for row in parts.collect():  # 2**bits counts at most
-        out[row["block"]] += _unpacked(bytes(row["counts"]))
-    out = out.ravel()
-    return out.astype(np.uint32) if out.max() < 1 << 32 else out
+    out = np.zeros((blocks, (1 << bits) // blocks), np.uint32)
+    for row in parts.collect():  # 2**bits counts at most; each block once
+        counts = _unpacked(bytes(row["counts"]))
+        if out.itemsize == 4 and counts.max() >= 1 << 32:
+            out = out.astype(np.int64)
+        out[row["block"]] = counts
+    return out.ravel()
 
 
 def _prefixes(n: int, num: int, den: int, bits: int, counts, usual: int, hot: int, remembered: int = 1 << 16):

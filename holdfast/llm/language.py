@@ -74,7 +74,7 @@ def _features(bits: int):
 def _train(rows: list, bits: int, size: int, epochs: int, rate: float, seed: int) -> Model:
     languages = tuple(sorted({r["lang"] for r in rows}))
     rng = np.random.default_rng(seed)
-    rows = sorted(rows, key=lambda r: (r["lang"], bytes(r["buckets"]), bytes(r["weights"])))
+    rows = sorted(rows, key=lambda r: (r["lang"], r["buckets"], r["weights"]))
     order = rng.permutation(len(rows))
     labels = np.array([languages.index(rows[i]["lang"]) for i in order])
     buckets = [np.frombuffer(rows[i]["buckets"], "<i4") for i in order]
@@ -123,7 +123,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_l
     """Fit on at most ``per_language`` rows of each language; those rows' subword weights alone come to the driver."""
     rows = pick(docs, text=text_col, lang=lang_col).where("text is not null")
     sample, _ = bounded(rows, "lang", F.xxhash64("text"), per_language)
-    rows = sample.select("lang", "text").mapInArrow(_features(bits), "lang string, buckets binary, weights binary").collect()
+    rows = sample.select("lang", "text").mapInArrow(_features(bits), "lang string, buckets binary, weights binary").toArrow().to_pylist()
     return _train(rows, bits, size, epochs, rate, seed) if rows else None
 
 

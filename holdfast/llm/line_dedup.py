@@ -112,7 +112,7 @@ class LineRuns:
         self.levels, self.met = [[]], []
 
 
-def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int = 1, batches: int = 5, fanout: int = 4, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000) -> DataFrame:
+def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int = 1, batches: int = 3, fanout: int = 2, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000) -> DataFrame:
     """row (a struct of all columns of ``docs``), n_lines, n_dropped, kept (the text left).
 
     Lines whose key at least ``frequent`` documents have are dropped in all of them. At most ``small`` frequent hashes
