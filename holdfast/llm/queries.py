@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, jaccard, language, language_model, line_dedup, neighbours, packing, segmentation, toxicity, url_filter
+from . import compression, fingerprint, jaccard, language, language_model, line_dedup, neighbours, packing, segmentation, token_counts, toxicity, url_filter, whitening
 from .common import table
 
 
@@ -76,6 +76,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.train_and_predict(table(spark, sf_dir, "documents")).drop("accepted")
 
 
+def op11_vector_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
