@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.operators import skew, stages
+
 # Logical relations, the stored relation and whether it is followed backwards
 RELATIONS = {
     "has_unit": ("HAS_UNIT", False),
@@ -91,9 +93,27 @@ def paths(roots: DataFrame, edges: DataFrame, relations: list[str], depth: int)
     return reduce(DataFrame.unionByName, found).select("root", "node", "depth", "path")
 
 
-def neighbours(roots: DataFrame, edges: DataFrame, relations: list[str], depth: int) -> DataFrame:
-    """(root, node, depth): each node once, at its least distance."""
-    return paths(roots, edges, relations, depth).groupBy("root", "node").agg(F.min("depth").alias("depth"))
+def neighbours(roots: DataFrame, edges: DataFrame, relations: list[str], depth: int, per: int = 1_000_000) -> DataFrame:
+    """(root, node, depth): each node once, at its least distance.
+
+    Round by round: only the nodes that a root first saw in the last round go on, and what a root has seen already is
+    left out, so work is bounded by roots times edges and no walks are made. Each round is written. A node with more than
+    ``per`` edges is split over salts.
+    """
+    if not 1 <= depth <= MOST_DEPTH:
+        raise ValueError(f"invalid_request: depth {depth}")
+    own = edges.where(F.col("rel").isin(relations)).select(F.col("src").alias("node"), F.col("dst").alias("next")).distinct()
+    many = skew.hot(own.groupBy("node").agg(F.count("*").alias("n")), ["node"], per)
+    own = stages.written(skew.dealt(own, ["node"], many, F.col("next")), "neighbours-edges")
+    many = stages.written(many, "neighbours-hubs")
+    last = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
+    seen = [last]
+    for i in range(1, depth + 1):
+        step = skew.copied(last.select("root", "node"), ["node"], many).join(own, ["node", "_salt"]).select("root", F.col("next").alias("node")).distinct()
+        known = reduce(DataFrame.unionByName, seen)
+        last = stages.written(step.join(known, ["root", "node"], "left_anti").withColumn("depth", F.lit(i)), "neighbours-round")
+        seen.append(last)
+    return reduce(DataFrame.unionByName, seen[1:])
 
 
 def provenance(roots: DataFrame, describes: DataFrame, in_file: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
-from holdfast.operators import identity, quality
+from holdfast.operators import identity, quality, skew, stages
 
 # Fixed values
 WEIGHT_SOURCES = ["source_published", "derived_from_value"]
@@ -105,3 +107,49 @@ def exposures(positions: DataFrame, snapshots: DataFrame) -> DataFrame:
 def exposure(positions: DataFrame, snapshots: DataFrame, security: Column) -> DataFrame:
     """(fund_uri, as_of, weight, market_value): who holds a security."""
     return exposures(positions.where(F.col("security_uri") == security), snapshots).drop("security_uri")
+
+
+def _on_cycles(inner: DataFrame, rounds: int) -> DataFrame:
+    """(fund): all funds on cycles of fund-in-fund holdings and some between them: ends that nothing goes on from or leads to are taken off."""
+    left, n = inner, None
+    for _ in range(rounds):
+        left = left.join(left.select(F.col("security").alias("fund")).distinct(), "fund", "left_semi")
+        left = left.join(left.select(F.col("fund").alias("security")).distinct(), "security", "left_semi")
+        left = stages.written(left.select("fund", "security"), "look-through-cycles")
+        before, n = n, left.count()
+        if n in (0, before):
+            break
+    return left.select("fund").distinct()
+
+
+def look_through(roots: DataFrame, held: DataFrame, depth: int, per: int = 1_000_000) -> DataFrame:
+    """(root, security, depth, weight, is_fund): what each root holds, through the funds that it holds, in up to ``depth`` steps.
+
+    ``held``: (fund, security, weight), where a security may be a fund itself. Weights multiply along a chain and add up over
+    chains; depth is the least. A chain stops where it would come back to a fund that it went through. Each round carries on
+    the sums of the last one by (root, security) alone; only funds that may lie on a cycle are remembered beside them.
+    A fund with more than ``per`` holdings is split over salts; each round is written.
+    """
+    held = held.where("fund is not null and security is not null and weight is not null").groupBy("fund", "security").agg(F.sum("weight").alias("weight"))
+    held = stages.written(held, "look-through-held")
+    funds = held.select("fund").distinct()
+    inner = held.select("fund", "security").join(funds.select(F.col("fund").alias("security")), "security", "left_semi")
+    on_cycle = stages.written(_on_cycles(inner, depth), "look-through-tracked")
+    many = stages.written(skew.hot(held.groupBy("fund").agg(F.count("*").alias("n")), ["fund"], per), "look-through-large")
+    marks = on_cycle.select(F.col("fund").alias("security"), F.lit(True).alias("_tracked"))
+    steps = skew.dealt(held.join(marks, "security", "left"), ["fund"], many, F.col("security"))
+    steps = stages.written(steps.select("fund", "_salt", "security", F.col("weight").alias("_share"), F.coalesce("_tracked", F.lit(False)).alias("_tracked")), "look-through-steps")
+    start = roots.select("root").where("root is not null").distinct().join(on_cycle.select(F.col("fund").alias("root"), F.lit(True).alias("_tracked")), "root", "left")
+    none = F.array().cast(f"array<{dict(held.dtypes)['fund']}>")
+    now = start.select("root", F.col("root").alias("fund"), F.when(F.col("_tracked"), F.array("root")).otherwise(none).alias("through"), F.lit(1.0).alias("weight"))
+    found = []
+    for i in range(1, depth + 1):
+        j = skew.copied(now, ["fund"], many).join(steps, ["fund", "_salt"]).where(~F.array_contains("through", F.col("security")))
+        through = F.when(F.col("_tracked"), F.array_sort(F.array_append("through", F.col("security")))).otherwise(F.col("through"))
+        j = j.select("root", F.col("security").alias("fund"), through.alias("through"), (F.col("weight") * F.col("_share")).alias("weight"))
+        now = stages.written(j.groupBy("root", "fund", "through").agg(F.sum("weight").alias("weight")), "look-through-round")
+        found.append(now.select("root", F.col("fund").alias("security"), F.lit(i).alias("depth"), "weight"))
+        if now.isEmpty():
+            break
+    out = reduce(DataFrame.unionByName, found).groupBy("root", "security").agg(F.min("depth").alias("depth"), F.sum("weight").alias("weight"))
+    return out.join(funds.select(F.col("fund").alias("security"), F.lit(True).alias("_fund")), "security", "left").select("root", "security", "depth", "weight", F.coalesce("_fund", F.lit(False)).alias("is_fund"))

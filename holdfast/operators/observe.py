@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from holdfast.operators import skew
+
 
 def latest(obs: DataFrame, owner: str, as_of: str, uri: str) -> DataFrame:
     """One row an owner: of the greatest day, ties to the smallest uri; an undated one only if nothing is dated."""
@@ -26,6 +28,34 @@ def between_days(obs: DataFrame, as_of: str, first: Column, last: Column) -> Dat
     return obs.where(F.col(as_of).between(first, last))
 
 
+def as_of(left: DataFrame, right: DataFrame, owner: tuple[str, str], at: tuple[str, str], tie: str, values: dict[str, str], step: str = "month", per: int = 1_000_000) -> DataFrame:
+    """Rows of ``left``, each with ``values`` (column of ``right``, new name) of its owner's latest row of ``right`` at or before its own time.
+
+    ``owner`` and ``at`` name the columns of both sides; rows of one owner and time go by the least ``tie``. Rows without an
+    owner or a time, and those before everything, get nulls. Both sides lie on one timeline, which is cut into steps of the
+    calendar: within a step the last value is carried on, and a step begins with the last value of the steps before it. Steps of more than
+    ``per`` rows are dealt over salts, each of which has all of the step's values, so neither an owner nor a step of many rows loads one task.
+    """
+    value = F.struct(*[F.col(c).alias(n) for c, n in values.items()])
+    own = right.select(F.col(owner[1]).alias("_k"), F.col(at[1]).alias("_at"), F.col(tie).alias("_tie"), value.alias("_v")).where("_k is not null and _at is not null")
+    own = own.groupBy("_k", "_at").agg(F.min_by("_v", "_tie").alias("_v")).withColumn("_step", F.date_trunc(step, "_at"))
+    asked = left.select(F.col(owner[0]).alias("_k"), F.col(at[0]).alias("_at"), F.date_trunc(step, at[0]).alias("_step"), F.struct("*").alias("_row"))
+    placed = asked.where("_k is not null and _at is not null")
+    # what each step begins with
+    counts = placed.groupBy("_k", "_step").agg(F.count("*").alias("n"))
+    ends = own.groupBy("_k", "_step").agg(F.max_by("_v", "_at").alias("_v"))
+    steps = counts.join(ends, ["_k", "_step"], "full")
+    before = F.last("_v", True).over(Window.partitionBy("_k").orderBy("_step").rowsBetween(Window.unboundedPreceding, -1))
+    begins = steps.withColumn("_v", before).where("n is not null and _v is not null").select("_k", F.lit(None).cast(own.schema["_at"].dataType).alias("_at"), "_v", "_step")
+    many = skew.hot(counts, ["_k", "_step"], per)
+    known = skew.copied(own.select("_k", "_at", "_v", "_step").unionByName(begins), ["_k", "_step"], many)
+    line = skew.dealt(placed, ["_k", "_step"], many, F.col("_row")).unionByName(known, allowMissingColumns=True)
+    carried = Window.partitionBy("_k", "_step", "_salt").orderBy(F.col("_at").asc_nulls_first(), F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = line.withColumn("_v", F.last("_v", True).over(carried)).where("_row is not null").select("_row", "_v")
+    rest = asked.where("_k is null or _at is null").select("_row", F.lit(None).cast(found.schema["_v"].dataType).alias("_v"))
+    return found.unionByName(rest).select("_row.*", "_v.*")
+
+
 def visible(rows: DataFrame, published: str, cutoff: Column) -> DataFrame:
     """Adds visible: evidence that was published after the cutoff stays in the table and out of answers; undated evidence too."""
     return rows.withColumn("visible", F.coalesce(F.col(published) <= cutoff, F.lit(False)))

@@ -6,12 +6,12 @@ product; customer a fund, its orders dated snapshots and lineitem their position
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from holdfast.operators.stages import shared_place  # noqa: F401
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
@@ -27,16 +27,6 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def shared_place(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; a temporary one in a local session without the setting."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='holdfast-')}"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def query(sql: str | None = None, name: str | None = None) -> Callable:
     def register(f: Callable[[Tables], DataFrame]) -> Callable:
         key = name or f.__name__

@@ -275,6 +275,48 @@ def asof_holdings_aum_all(t):
     return _asof(t, t.events)
 
 
+@query("SELECT e.event_id, e.user_id, p.event_id AS last_purchase, p.value AS last_value FROM events e LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) AS k FROM events WHERE event_type = 'purchase') p ON p.user_id = e.user_id AND p.k = 1 AND p.ts = (SELECT max(x.ts) FROM events x WHERE x.event_type = 'purchase' AND x.user_id = e.user_id AND x.ts <= e.ts)")
+def asof_own_time(t):
+    """Each event with its user's latest purchase at or before it."""
+    out = observe.as_of(t.events.select("event_id", "user_id", "ts"), t.events.where("event_type = 'purchase'"), ("user_id", "user_id"), ("ts", "ts"), "event_id", {"event_id": "last_purchase", "value": "last_value"}, "week")
+    return out.drop("ts")
+
+
+@query("""WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, min(o_orderkey) AS k FROM orders GROUP BY ALL),
+l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey, CAST(l_shipdate AS DATE) AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, o.k AS last_order FROM l ASOF LEFT JOIN o ON l.o_custkey = o.o_custkey AND l.day >= o.day""")
+def asof_own_day(t):
+    """Each shipped line with its customer's latest order on or before that day; of one day's orders the least key."""
+    lines = t.lineitem.join(t.orders.select(c("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").withColumn("day", c("l_shipdate").cast("date"))
+    out = observe.as_of(lines, t.orders.withColumn("o_day", c("o_orderdate").cast("date")), ("o_custkey", "o_custkey"), ("day", "o_day"), "o_orderkey", {"o_orderkey": "last_order"}, "quarter")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "last_order")
+
+
+LEVELS = """h AS (SELECT 'c' || o_custkey AS fund, 'o' || o_orderkey AS security, o_totalprice / sum(o_totalprice) OVER (PARTITION BY o_custkey) AS weight FROM orders
+UNION ALL SELECT 'o' || l_orderkey, 'p' || l_partkey, sum(l_extendedprice) / sum(sum(l_extendedprice)) OVER (PARTITION BY l_orderkey) FROM lineitem GROUP BY l_orderkey, l_partkey
+UNION ALL SELECT 'p' || l_partkey, 'n' || s_nationkey, sum(l_quantity) / sum(sum(l_quantity)) OVER (PARTITION BY l_partkey) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey, s_nationkey
+UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, 1.0 FROM nation)"""
+
+
+@query(f"""WITH RECURSIVE {LEVELS},
+w AS (SELECT 'c' || c_custkey AS root, 'c' || c_custkey AS node, 0 AS depth, 1.0::DOUBLE AS weight FROM customer
+UNION ALL (SELECT w.root, h.security, w.depth + 1, sum(w.weight * h.weight) FROM w JOIN h ON h.fund = w.node WHERE w.depth < 4 GROUP BY w.root, h.security, w.depth))
+SELECT root, node AS security, min(depth) AS depth, round(sum(weight), 6) AS weight, node IN (SELECT fund FROM h) AS is_fund FROM w WHERE depth > 0 GROUP BY root, node""")
+def look_through(t):
+    """Customers through their orders, the parts in them and the nations that supply those, to regions: shares multiplied and added up."""
+    name = lambda p, k: F.concat(F.lit(p), c(k).cast("string"))
+
+    def shares(rows, fund, security, value):
+        whole = rows.groupBy(fund.alias("fund")).agg(F.sum(value).alias("whole"))
+        own = rows.groupBy(fund.alias("fund"), security.alias("security")).agg(F.sum(value).alias("own"))
+        return own.join(whole, "fund").select("fund", "security", (c("own") / c("whole")).alias("weight"))
+
+    supplied = t.lineitem.join(t.supplier, c("l_suppkey") == c("s_suppkey"))
+    held = shares(t.orders, name("c", "o_custkey"), name("o", "o_orderkey"), "o_totalprice").unionByName(shares(t.lineitem, name("o", "l_orderkey"), name("p", "l_partkey"), "l_extendedprice"))
+    held = held.unionByName(shares(supplied, name("p", "l_partkey"), name("n", "s_nationkey"), "l_quantity")).unionByName(t.nation.select(name("n", "n_nationkey").alias("fund"), name("r", "n_regionkey").alias("security"), F.lit(1.0).alias("weight")))
+    return holdings.look_through(t.customer.select(name("c", "c_custkey").alias("root")), held, 4).withColumn("weight", F.round("weight", 6))
+
+
 @query("SELECT 'urn:holdfast:isin:US' || l_partkey AS security_uri, 'urn:holdfast:isin:KR' || o_custkey AS fund_uri, CAST(o_orderdate AS DATE) AS as_of, round(sum(l_extendedprice), 4) AS market_value FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
 def holders_of_security(t):
     """Through snapshots and positions: each security's holders on each day."""
@@ -345,6 +387,22 @@ def neighbors_nodes(t):
     return graph.neighbours(roots, _edges(t), ["HAS_ORDER", "HAS_PART"], 2)
 
 
+@query("""WITH n AS (SELECT n_nationkey, n_regionkey FROM nation), s AS (SELECT DISTINCT l_orderkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
+SELECT root, node, min(depth) AS depth FROM (
+SELECT 'c' || o_custkey AS root, 'o' || o_orderkey AS node, 1 AS depth FROM orders
+UNION ALL SELECT 'c' || o_custkey, 's' || l_suppkey, 2 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+UNION ALL SELECT 'c' || o_custkey, 'n' || s_nationkey, 3 FROM orders JOIN s ON l_orderkey = o_orderkey
+UNION ALL SELECT 'c' || o_custkey, 'r' || n_regionkey, 4 FROM orders JOIN s ON l_orderkey = o_orderkey JOIN n ON n_nationkey = s_nationkey
+UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, 1 FROM customer UNION ALL SELECT 'c' || c_custkey, 'r' || n_regionkey, 2 FROM customer JOIN n ON n_nationkey = c_nationkey) GROUP BY root, node""")
+def neighbors_depth(t):
+    """From every customer four steps far, through nations and regions that nearly all of them reach."""
+    name = lambda p, k: F.concat(F.lit(p), c(k).cast("string"))
+    edge = lambda df, a, b: df.select(a.alias("src"), F.lit("TO").alias("rel"), b.alias("dst"))
+    edges = edge(t.orders, name("c", "o_custkey"), name("o", "o_orderkey")).unionByName(edge(t.lineitem, name("o", "l_orderkey"), name("s", "l_suppkey")))
+    edges = edges.unionByName(edge(t.supplier, name("s", "s_suppkey"), name("n", "s_nationkey"))).unionByName(edge(t.nation, name("n", "n_nationkey"), name("r", "n_regionkey"))).unionByName(edge(t.customer, name("c", "c_custkey"), name("n", "c_nationkey")))
+    return graph.neighbours(t.customer.select(name("c", "c_custkey").alias("root")), edges, ["TO"], 4)
+
+
 @query("""WITH u AS (SELECT DISTINCT o_custkey AS fund, o_orderkey AS unit FROM orders), m AS (SELECT c_custkey AS fund, c_nationkey AS mgr FROM customer)
 SELECT 'has_unit' AS rel, count(*) AS n FROM u UNION ALL SELECT 'of_fund', count(*) FROM u UNION ALL SELECT 'managed_by', (SELECT count(*) FROM m) + (SELECT count(*) FROM u JOIN m USING (fund))""")
 def relation_catalog(t):
