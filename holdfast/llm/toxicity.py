@@ -9,7 +9,7 @@ Scoring: a word scores as its best feature less a drift, other words the negativ
 scoring segments of a text, disjoint and none extendable. Scores of segments in clean text follow an extreme-value
 law, P(S >= s) = 1 - exp(-K n exp(-lambda s)). lambda solves the clean words' moment equation, that the mean of
 exp(lambda * score) is 1; K is the most likely one for the best segments of clean texts, given lambda. Segments that would be rare in a clean text of that length are toxic passages, and the evidence of a text is
-the sum of theirs, calibrated to a probability by a logistic fit weighted to the classes' true shares.
+the sum of theirs; its logarithm is calibrated to a probability by a logistic fit weighted to the classes' true shares.
 
 Defined cases: null and empty texts have no passages; rows without a label don't train; an id with both labels counts as
 toxic; of rows that repeat an id one text trains; without labelled rows of both classes every text scores 0. Where a
@@ -55,7 +55,7 @@ class Model:
         return out
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -50, 50)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * np.log1p(evidence) + self.offset, -30, 30)))
 
 
 def _words(raw: np.ndarray, offsets: np.ndarray):
@@ -100,26 +100,29 @@ def _presence(batches):
 def segments(places: list[int], scores: list[float], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments, as (first, last, score), by one pass over the positive words.
 
-    ``places`` are the positive words' positions and ``scores`` theirs; all words between score ``-drift``.
+    ``places`` are the positive words' positions and ``scores`` theirs; all words between score ``-drift``. A segment leads
+    straight to the nearest earlier one that it may join, so the pass is linear.
     """
-    found: list[list] = []  # first, last, total before the segment, total after it
+    found: list[list] = []  # first, last, total before the segment, total after it, nearest earlier segment of smaller total before it
     total, after = 0.0, None
     for place, score in zip(places, scores, strict=True):
         if after is not None:
             total -= drift * (place - after - 1)
         after = place
-        new = [place, place, total, total + score]
+        new = [place, place, total, total + score, -1]
         total += score
+        j = len(found) - 1
         while True:
-            j = len(found) - 1
             while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= new[3]:
                 break
-            new[0], new[2] = found[j][0], found[j][2]
+            new[0], new[2], k = found[j][0], found[j][2], found[j][4]
             del found[j:]
+            j = k
+        new[4] = j
         found.append(new)
-    return [(a, b, r - s) for a, b, s, r in found]
+    return [(a, b, r - s) for a, b, s, r, _ in found]
 
 
 def _scan(model: Model, texts: pa.Array):
@@ -188,9 +191,9 @@ def law_scale(best: np.ndarray, words: np.ndarray, rate: float) -> float:
     return max(int((best > 0).sum()), 1) / max(float((words * np.exp(-rate * best)).sum()), 1.0)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 10_000, prior: float = 0.3, least_z: float = 3.5, most_features: int = 100_000, drift: float = 0.5) -> Model | None:
-    """Fit on at most ``per_class`` labelled rows of each class, written to a table; ``most_features`` and, of each row
-    held back, four numbers and the scores of its toxic words come to the driver.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 10_000, prior: float = 0.3, least_z: float = 3.5, drift: float = 0.5) -> Model | None:
+    """Fit on at most ``per_class`` labelled rows of each class, written to a table. The features that this sample shows to be
+    toxic and, of each row held back, four numbers and the scores of its toxic words come to the driver.
 
     ``prior`` is the prior's weight as a share of the smaller class.
     """
@@ -213,9 +216,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     t, c = F.col("t") + a, F.col("c") + a
     odds = F.log(t / (nt + prior - t + 1)) - F.log(c / (nc + prior - c + 1))
     scored = held.where("t >= 3").withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / t + 1 / c)).where(F.col("z") >= least_z)
-    kept = scored.orderBy(F.desc("z"), "feature").limit(most_features).select("feature", "odds").collect()
-    keys = np.array([r["feature"] for r in kept], np.int64).view(np.uint64)
-    values = np.array([r["odds"] for r in kept])
+    kept = scored.select("feature", "odds").toArrow()
+    keys, values = kept.column("feature").to_numpy().view(np.uint64), kept.column("odds").to_numpy()
     order = np.argsort(keys)
     model = Model(keys[order], values[order], drift, 1.0, 1.0, 1.0, 0.0, cutoff=np.inf)
     measured = lambda m: unseen.mapInArrow(_evidence(m), "toxic int, evidence double, best double, words long, tops binary")
@@ -231,8 +233,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Weighted logistic fit of one variable by Newton steps, lightly held towards small slopes; the slope isn't negative."""
-    x, top = np.minimum(x, 100.0) / 10, weight.sum()
+    """Weighted logistic fit of one variable's logarithm by Newton steps, lightly held towards small slopes; the slope isn't negative."""
+    x, top = np.log1p(x), weight.sum()
     design = np.column_stack([x, np.ones(len(x))])
     beta = np.array([1.0, -1.0])
     ridge = np.diag([1e-4, 1e-6]) * top
@@ -243,7 +245,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
         beta = beta - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    return max(float(beta[0]), 0.0) / 10, float(beta[1])
+    return max(float(beta[0]), 0.0), float(beta[1])
 
 
 def _score(model: Model | None):
@@ -252,7 +254,7 @@ def _score(model: Model | None):
     def run(batches):
         for batch in batches:
             found = list(_scan(model, batch.column("text"))) if model else [(0.0, 0.0, 0, [], [])] * len(batch)
-            p = model.probability(np.minimum([x[0] for x in found], 100.0)) if model else np.zeros(len(batch))
+            p = model.probability(np.array([x[0] for x in found])) if model else np.zeros(len(batch))
             passages = [[dict(zip(("first_byte", "end_byte", "score", "expected"), y, strict=True)) for y in x[3]] for x in found]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(p, pa.float64()), pa.array(passages, kind)], ["doc_id", "held_out", "score", "passages"])
 
@@ -272,7 +274,7 @@ def keep_clean(docs: DataFrame, model: Model | None, text_col: str = "text", thr
     def mask(batch: pa.RecordBatch) -> np.ndarray:
         if model is None:
             return np.ones(len(batch), bool)
-        return model.probability(np.array([min(x[0], 100.0) for x in _scan(model, batch.column("text"))])) < threshold
+        return model.probability(np.array([x[0] for x in _scan(model, batch.column("text"))])) < threshold
 
     return keep_rows(docs, docs[text_col], mask)
 

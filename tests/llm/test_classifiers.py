@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,15 @@ def test_segments_are_those_of_the_definition():
         assert [(a, b, round(s, 6)) for a, b, s in got] == maximal_segments(scores, 0, len(scores))
 
 
+def test_segments_of_a_text_of_isolated_hits():
+    """Time grows with the hits, whether each begins below or above all before it."""
+    n = 200_000
+    for gap in (10, 1):
+        began = time.process_time()
+        found = toxicity.segments(list(range(0, n * gap, gap)), [1.0, 0.2] * (n // 2), 0.5)
+        assert time.process_time() - began < 2 and found
+
+
 def test_moment_equation_and_scale():
     rng = np.random.default_rng(3)
     scores, others = rng.uniform(0.1, 3, 50), 950
@@ -74,7 +84,7 @@ def test_scores_against_brute_force(spark, toxic_rows):
         for *_, s in maximal_segments(scores, 0, len(scores)):
             expected = model.scale * len(found) * math.exp(-model.rate * s)
             evidence -= math.log(expected) if expected <= model.cutoff else 0.0
-        return 1 / (1 + math.exp(-(model.slope * min(evidence, 100) + model.offset)))
+        return 1 / (1 + math.exp(-(model.slope * math.log1p(evidence) + model.offset)))
 
     docs = [*rows[:60], (900, None), (901, "!!"), (902, "été idiotic SCUMMY scum")]
     for r in toxicity.score(table(spark, docs), model).collect():
