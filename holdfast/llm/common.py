@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import weakref
 from collections.abc import Callable
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -49,6 +50,12 @@ def release(*tables: DataFrame) -> None:
             remove(df.sparkSession, path)
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of a table of ``materialise``."""
+    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_PLACES[df])
+    return at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).getContentSummary(at).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
@@ -58,6 +65,19 @@ def remove(spark: SparkSession, path: str) -> None:
 BATCH_ROWS = 1000
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str):
+    """Session settings (dots written as two underscores) while a table is planned and written; then what they were before."""
+    before = {k.replace("__", "."): spark.conf.get(k.replace("__", "."), None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k.replace("__", "."), v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers look for this package where the driver found it, and get batches fit for long texts."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":

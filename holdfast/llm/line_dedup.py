@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, remove, shared_dir
+from .common import materialise, release, remove, settings, shared_dir, size_of
 
 _SPACE = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,7 +45,7 @@ def _keys(run: DataFrame) -> DataFrame:
 
 
 class LineRuns:
-    """Counts of documents by line hash, in sorted runs on levels. ``buckets``: of each run."""
+    """Counts of documents by line hash, in sorted runs on levels. ``buckets``: of each run, one sorted file each."""
 
     def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
@@ -59,9 +59,15 @@ class LineRuns:
     def runs(self) -> list[DataFrame]:
         return [r for level in self.levels for r in level]
 
+    def in_order(self):
+        """Settings under which a shuffle deals keys as the buckets do, and a bucket of one file is read in its order."""
+        return settings(self.spark, spark__sql__shuffle__partitions=str(self.buckets), spark__sql__legacy__bucketedTableScan__outputOrdering="true")
+
     def _sorted(self, counts: DataFrame, name: str) -> DataFrame:
+        """A run of rows whose buckets lie in one task each, after a shuffle by hash or from other runs."""
         table, path = f"holdfast_{uuid.uuid4().hex}", shared_dir(self.spark, name)
-        counts.write.bucketBy(self.buckets, "hash").sortBy("hash").option("path", path).saveAsTable(table)
+        with self.in_order():
+            counts.write.bucketBy(self.buckets, "hash").sortBy("hash").option("path", path).saveAsTable(table)
         out = self.spark.table(table)
         self._tables[out] = (table, path)
         return out
@@ -76,11 +82,17 @@ class LineRuns:
         """The rows of ``hashes`` whose hash no run holds."""
         return reduce(lambda left, run: left.join(_keys(run), "hash", "left_anti"), self.runs, hashes)
 
+    def merged(self, runs: list[DataFrame]) -> DataFrame:
+        """Several runs as one, bucket by bucket in order of hash; a key is in one of them only."""
+        both = lambda a, b: a.hint("merge").join(b.withColumnRenamed("docs", "other"), "hash", "full").select("hash", F.coalesce("docs", "other").alias("docs"))
+        return reduce(both, runs)
+
     def add(self, hashes: DataFrame) -> None:
         """Take in a batch: one row (hash) for each document and distinct key."""
         batch = self._sorted(hashes.groupBy("hash").agg(F.count("*").alias("docs")), "line-batch")
         if self.runs:
-            self.met.append(self._sorted(reduce(DataFrame.unionByName, [batch.join(_keys(run), "hash", "left_semi") for run in self.runs]), "line-met"))
+            with self.in_order():
+                self.met.append(materialise(reduce(DataFrame.unionByName, [batch.join(_keys(run), "hash", "left_semi") for run in self.runs]), "line-met"))
             new = self._sorted(self.unseen(batch), "line-run-0")
             self._drop(batch)
         else:
@@ -91,7 +103,7 @@ class LineRuns:
             runs, self.levels[level] = self.levels[level], []
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(self._sorted(reduce(DataFrame.unionByName, runs), f"line-run-{level + 1}"))
+            self.levels[level + 1].append(self._sorted(self.merged(runs), f"line-run-{level + 1}"))
             self._drop(*runs)
             self.compacted += 1
             level += 1
@@ -109,14 +121,23 @@ class LineRuns:
     def close(self) -> None:
         """Delete all runs."""
         self._drop(*list(self._tables))
+        release(*self.met)
         self.levels, self.met = [[]], []
 
 
-def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int = 1, batches: int = 3, fanout: int = 2, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000) -> DataFrame:
+#: Bytes of hashes that make a batch, and a bucket of a batch's run.
+BATCH_BYTES, BUCKET_BYTES = 1 << 36, 1 << 25
+#: Shares that documents are dealt to before their bytes are known, and those that a task writes.
+SHARES, SHARES_EACH = 64, 8
+
+
+def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int = 1, least_batches: int = 5, fanout: int = 4, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000) -> DataFrame:
     """row (a struct of all columns of ``docs``), n_lines, n_dropped, kept (the text left).
 
     Lines whose key at least ``frequent`` documents have are dropped in all of them. At most ``small`` frequent hashes
-    (8 MB) are broadcast; more are joined by a shuffle. ``batches`` deals the documents by a hash of their keys.
+    (8 MB) are broadcast; more are joined by a shuffle. Documents' hashes are written in SHARES shares, SHARES_EACH for a partition; batches
+    take several shares, so that there are ``least_batches`` of them, or more (SHARES at most) where they would exceed
+    BATCH_BYTES. Runs have a bucket for each BUCKET_BYTES of a batch, and one for each core at least.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("row")[text_col], F.lit(""))
@@ -124,10 +145,13 @@ def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int =
     own = F.col("row")[id_col]
     rows = docs.select(F.struct("*").alias("row")).select("row", F.when(own.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(own)).alias("key"))
     hashed = rows.select("key", F.array_compact(F.array_distinct(line_hashes(text, least_length))).alias("hashes"))
-    hashed = materialise(hashed.withColumn("batch", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(batches)).cast("int")), "line-hashes", "batch")
-    runs = LineRuns(spark, fanout)
+    share = F.pmod(F.spark_partition_id() * SHARES_EACH + F.pmod(F.xxhash64("key", F.lit(3)), F.lit(SHARES_EACH)), F.lit(SHARES)).cast("int")
+    hashed = materialise(hashed.withColumn("share", share), "line-hashes", "share")
+    size = size_of(hashed)
+    batches = min(SHARES, max(least_batches, -(-size // BATCH_BYTES)))
+    runs = LineRuns(spark, fanout, max(spark.sparkContext.defaultParallelism, -(-size // (batches * BUCKET_BYTES))))
     for b in range(batches):
-        runs.add(hashed.where(F.col("batch") == b).select(F.explode("hashes").alias("hash")))
+        runs.add(hashed.where(F.col("share").isin(list(range(b, SHARES, batches)))).select(F.explode("hashes").alias("hash")))
     known = materialise(runs.counts().where(F.col("docs") >= frequent).select("hash"), "line-frequent")
     runs.close()
     side = F.broadcast(known) if known.count() <= small else known

@@ -104,8 +104,14 @@ def test_line_runs_on_levels(spark):
         held = [r["hash"] for run in runs.runs for r in run.collect()]
         assert sorted(held) == sorted(seen)  # each key in one run only
     assert {r["hash"] for r in runs.unseen(spark.createDataFrame([(6,), (7,), (9,)], "hash long")).collect()} == {9}
-    plan = runs.unseen(runs.runs[0])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SortMergeJoin") == len(runs.runs) and "Exchange" not in plan
+    assert runs.compacted == 4
+    with runs.in_order():  # runs are read as they lie, and merged as they are read
+        for df in (runs.unseen(runs.runs[0]), runs.merged(runs.runs)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+    for run in runs.runs:
+        names = [f.rsplit("_", 1)[1].split(".")[0] for f in run.inputFiles()]  # the bucket of each file
+        assert len(names) == len(set(names)) <= 3
     runs.close()
 
 
@@ -119,7 +125,7 @@ def test_line_runs_of_the_query_are_compacted(spark, monkeypatch):
     monkeypatch.setattr(line_dedup.LineRuns, "add", noted)
     rows = [(i, f"line {i % 7}\nown {i}") for i in range(100)]
     assert line_dedup.drop_frequent_lines(table(spark, rows)).where("n_dropped = 1").count() == 100
-    assert made[-1] == ([1, 1], 1)
+    assert made == [([1], 0), ([2], 0), ([3], 0), ([0, 1], 1), ([1, 1], 1)]
 
 
 # 3 n-gram Jaccard -------------------------------------------------------------------------------------------------
