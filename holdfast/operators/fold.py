@@ -29,6 +29,30 @@ def fold(rows: DataFrame, keys: list[str], order: Column, rules: dict[str, str])
     return rows.groupBy(*keys).agg(*[folded(c, order, rule).alias(c) for c, rule in rules.items()])
 
 
+def partial(rows: DataFrame, keys: list[str], order: Column, rules: dict[str, str]) -> DataFrame:
+    """One row for each key, where each column is (at, v): the value that the rule takes and its place in the order."""
+
+    def one(c: str, rule: str) -> Column:
+        pair = F.struct(order.alias("at"), F.col(c).alias("v"))
+        if rule == "last_row":
+            return F.max(pair)
+        if rule not in RULES:
+            raise ValueError(f"no such rule: {rule}")
+        return (F.max if rule == "last_value" else F.min)(F.when(F.col(c).isNotNull(), pair))
+
+    return rows.groupBy(*keys).agg(*[one(c, rule).alias(c) for c, rule in rules.items()])
+
+
+def together(partials: DataFrame, keys: list[str], rules: dict[str, str]) -> DataFrame:
+    """Partial folds as one, whatever their order and however often one is there."""
+    return partials.groupBy(*keys).agg(*[(F.min if rule == "first_value" else F.max)(c).alias(c) for c, rule in rules.items()])
+
+
+def finished(partials: DataFrame, keys: list[str], rules: dict[str, str]) -> DataFrame:
+    """The values of partial folds."""
+    return partials.select(*keys, *[F.col(c)["v"].alias(c) for c in rules])
+
+
 def collected(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
     """The distinct values of an attribute of each key, in order. Meant for attributes of few values."""
     return rows.groupBy(*keys).agg(F.array_sort(F.collect_set(column)).alias(column))

@@ -74,6 +74,38 @@ def month_grid(spark: SparkSession, start: str, months: int) -> DataFrame:
     return grid.select("i", F.date_add("month", day - 1).alias("day"))
 
 
+def grid(points: DataFrame, at: str) -> DataFrame:
+    """(i, at): the distinct points of a calendar, numbered in order. Calendars are small, some ten thousand days at most."""
+    return points.select(F.col(at).alias("at")).where("at is not null").distinct().select((F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("at")) - 1).alias("i"), "at")
+
+
+def day_grid(rows: DataFrame, day: str) -> DataFrame:
+    """(i, at): every day from the first to the last of the rows."""
+    return rows.agg(F.sequence(F.min(day), F.max(day)).alias("_days")).select(F.posexplode("_days").alias("i", "at"))
+
+
+def gaps(targets: DataFrame, have: DataFrame, target: str, at: str, points: DataFrame) -> DataFrame:
+    """(target, first, last, n, first_i, last_i): each target's runs of the calendar's points (i, at) that it doesn't have.
+
+    Rows are each target's own points and one for its end, never targets times points; what it has off the calendar doesn't
+    count. A target's points are no more than the calendar's, so none is large.
+    """
+    own = have.select(target, F.col(at).alias("at")).distinct().join(F.broadcast(points), "at").select(target, "i")
+    ends = points.agg(F.max("i").alias("_last"))
+    marks = targets.select(target).distinct().join(F.broadcast(ends)).select(target, (F.col("_last") + 1).alias("i")).unionByName(own.join(targets.select(target).distinct(), target, "left_semi"))
+    before = F.coalesce(F.lag("i").over(Window.partitionBy(target).orderBy("i")), F.lit(-1))
+    runs = marks.withColumn("_before", before).where(F.col("i") > F.col("_before") + 1).select(target, (F.col("_before") + 1).alias("first_i"), (F.col("i") - 1).alias("last_i"))
+    named = lambda name: F.broadcast(points.select(F.col("i").alias(f"{name}_i"), F.col("at").alias(name)))
+    out = runs.join(named("first"), "first_i").join(named("last"), "last_i")
+    return out.select(target, "first", "last", (F.col("last_i") - F.col("first_i") + 1).cast("long").alias("n"), "first_i", "last_i")
+
+
+def gap_days(found: DataFrame, target: str, points: DataFrame) -> DataFrame:
+    """(target, at): the points of gaps one by one."""
+    each = found.select(target, F.explode(F.sequence("first_i", "last_i")).alias("i"))
+    return each.join(F.broadcast(points), "i").select(target, "at")
+
+
 def shards(rows: DataFrame, group: list[str], order: list[str], size: int = 500, spread: int = 200) -> DataFrame:
     """Adds ``ordinal`` and ``shard``: runs of at most ``size`` rows of each group, in order.
 

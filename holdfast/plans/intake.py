@@ -10,6 +10,7 @@ from holdfast.operators import observe
 from holdfast.plans.catalog import query, shared_place
 from holdfast.sources import landed
 from holdfast.streaming import intake as I
+from holdfast.streaming import tables
 
 c = F.col
 LOG = "log AS (SELECT event_id AS seq, user_id AS target, CASE event_type WHEN 'purchase' THEN 'LOADED' WHEN 'click' THEN 'READY' WHEN 'error' THEN 'FAILED' ELSE 'FETCHED' END AS phase, CAST(ts AS DATE) AS day FROM events)"
@@ -40,17 +41,41 @@ def skip_loaded(t):
 def compute_missing(t):
     """Gaps on every calendar day from the log's first to its last."""
     log = _log(t)
-    days = log.agg(F.sequence(F.min("day"), F.max("day")).alias("days"))
-    expected = log.select("target").distinct().join(F.broadcast(days)).select("target", F.explode("days").alias("day"))
-    return I.missing(expected, log, ["target", "day"])
+    gaps = observe.gaps(log.select("target").distinct(), log, "target", "day", observe.day_grid(log, "day"))
+    return observe.gap_days(gaps, "target", observe.day_grid(log, "day")).withColumnRenamed("at", "day")
 
 
 @query(f"WITH {LOG}, g AS (SELECT DISTINCT target FROM log), d AS (SELECT DISTINCT day FROM log) SELECT g.target, d.day FROM g CROSS JOIN d WHERE NOT EXISTS (SELECT 1 FROM log x WHERE x.target = g.target AND x.day = d.day)")
 def compute_missing_all(t):
     """Gaps on every day that the log has."""
     log = _log(t)
-    expected = log.select("target").distinct().crossJoin(F.broadcast(log.select("day").distinct()))
-    return I.missing(expected, log, ["target", "day"])
+    grid = observe.grid(log.select("day").distinct(), "day")
+    return observe.gap_days(observe.gaps(log.select("target").distinct(), log, "target", "day", grid), "target", grid).withColumnRenamed("at", "day")
+
+
+@query(f"""WITH {LOG}, g AS (SELECT DISTINCT target FROM log), d AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM log),
+m AS (SELECT g.target, d.day FROM g CROSS JOIN d WHERE NOT EXISTS (SELECT 1 FROM log x WHERE x.target = g.target AND x.day = d.day AND x.phase = 'LOADED')),
+r AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY target ORDER BY day) AS INTEGER) AS run FROM m)
+SELECT target, min(day) AS first, max(day) AS last, count(*) AS n FROM r GROUP BY target, run""")
+def missing_intervals(t):
+    """Each target's runs of days without a load, from the log's first day to its last."""
+    log = _log(t)
+    return observe.gaps(log.select("target").distinct(), log.where("phase = 'LOADED'"), "target", "day", observe.day_grid(log, "day")).select("target", "first", "last", "n")
+
+
+@query("""WITH g AS (SELECT DISTINCT l_suppkey AS target FROM lineitem), b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders),
+k AS (SELECT CAST(i AS INTEGER) AS i, CAST(DATE '1995-01-01' + to_months(CAST(i AS INTEGER)) AS DATE) AS m FROM range(0, 90) AS u(i)),
+c AS (SELECT i, CASE WHEN i = 0 THEN m + 30 ELSE m + 27 END AS point FROM k),
+h AS (SELECT DISTINCT l_suppkey AS target, (year(l_shipdate) - 1995) * 12 + month(l_shipdate) - 1 AS i FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01'),
+m AS (SELECT g.target, c.i, c.point FROM g CROSS JOIN c WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.target = g.target AND h.i = c.i)),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY target ORDER BY i) AS run FROM m)
+SELECT target, min(point) AS first, max(point) AS last, count(*) AS n FROM r GROUP BY target, run""")
+def missing_months(t):
+    """Each supplier's runs of months without a shipment, against a grid of months from 1995-01-31 whose day is cut once for all by February."""
+    grid = observe.month_grid(t.spark, "1995-01-31", 89).select("i", c("day").alias("at"))
+    month = grid.select("at", F.trunc("at", "month").alias("month"))
+    shipped = t.lineitem.select(c("l_suppkey").alias("target"), F.trunc("l_shipdate", "month").alias("month")).distinct().join(F.broadcast(month), "month")
+    return observe.gaps(t.lineitem.select(c("l_suppkey").alias("target")).distinct(), shipped, "target", "at", grid).select("target", "first", "last", "n")
 
 
 READY = "r AS (SELECT DISTINCT target FROM log WHERE phase = 'READY' AND seq % 3 = 0), a AS (SELECT DISTINCT target, target % 5 AS source FROM log)"
@@ -116,9 +141,33 @@ def stream_intake(t):
     place = shared_place(t.spark, "intake")
     rows = t.events.select("event_id", "user_id", "value")
     rows.repartition(4, "event_id").write.parquet(f"{place}/landed")
+    table = tables.BatchTable(t.spark, f"{place}/table", "event_id long, user_id long, value double", ["event_id"])
     for run in ("a", "b"):  # the second run has a checkpoint of its own, as after a loss, and adds nothing
-        I.stream_intake(t.spark, f"{place}/landed", "event_id long, user_id long, value double", f"{place}/checkpoint-{run}", I.append_new(f"{place}/table", "event_id")).awaitTermination()
-    return t.spark.read.parquet(f"{place}/table").groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_id").alias("last_id"))
+        I.stream_intake(t.spark, f"{place}/landed", "event_id long, user_id long, value double", f"{place}/checkpoint-{run}", tables.append_new(table, run)).awaitTermination()
+    return table.read().groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_id").alias("last_id"))
+
+
+SNAPSHOTS = "s AS (SELECT o_custkey, year(o_orderdate) AS snapshot, o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS priority, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS price, o_orderstatus AS status FROM orders)"
+
+
+@query(f"""WITH {SNAPSHOTS} SELECT o_custkey, count(*) AS observations, arg_max(priority, (snapshot, o_orderkey)) FILTER (priority IS NOT NULL) AS priority,
+arg_min(price, (snapshot, o_orderkey)) FILTER (price IS NOT NULL) AS first_price, arg_max(status, (snapshot, o_orderkey)) AS status FROM s GROUP BY o_custkey""")
+def stream_fold(t):
+    """Yearly snapshots of customers land as files, the latest first and one of them twice: properties are folded in load order, observations add up."""
+    place = shared_place(t.spark, "fold")
+    s = t.orders.select("o_custkey", F.year("o_orderdate").alias("snapshot"), "o_orderkey", F.when(c("o_orderkey") % 3 != 0, c("o_orderpriority")).alias("priority"), F.when(c("o_orderkey") % 5 != 0, c("o_totalprice")).alias("first_price"), c("o_orderstatus").alias("status"))
+    s = s.withColumn("at", F.struct("snapshot", "o_orderkey"))
+    rules = {"priority": "last_value", "first_price": "first_value", "status": "last_row"}
+    entities = tables.FoldedTable(t.spark, f"{place}/entities", s.schema, ["o_custkey"], "at", rules)
+    observed = tables.BatchTable(t.spark, f"{place}/observations", s.select("o_orderkey", "o_custkey", "snapshot").schema, ["o_orderkey"])
+    landing = s.withColumn("landing", F.when(c("snapshot") >= 1998, 0).otherwise(1))
+    for i, wanted in enumerate((0, 1, 0)):
+        landing.where(c("landing") == wanted).drop("landing").write.parquet(f"{place}/landed/{i}")
+        run = I.stream_intake(t.spark, f"{place}/landed/{i}", s.schema, f"{place}/checkpoint-{i}", tables.both(entities.sink(f"run{i}"), tables.append_new(observed, f"run{i}")))
+        run.awaitTermination()
+    entities.merge("merged")
+    n = observed.read().groupBy("o_custkey").agg(F.count("*").alias("observations"))
+    return entities.current().join(n, "o_custkey")
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k, CASE WHEN event_id % 2 = 0 THEN 'unexpected or missing keys' END AS problem FROM events")

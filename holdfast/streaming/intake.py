@@ -96,19 +96,3 @@ def stream_intake(spark: SparkSession, source: str, schema: str, checkpoint: str
     """Take in all files that are new since the checkpoint and stop; ``sink`` gets each batch and must be idempotent."""
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).parquet(source)
     return files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def append_new(target: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A sink that appends the rows whose key the target table doesn't hold: a replayed batch adds nothing."""
-
-    def sink(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.dropDuplicates([key])
-        try:
-            batch = batch.join(spark.read.schema(batch.schema).parquet(target).select(key), key, "left_anti")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        batch.write.mode("append").parquet(target)
-
-    return sink

@@ -116,18 +116,16 @@ def test_query_limits(spark):
         Q.find(df, {"field": "no", "op": "eq", "value": 1}, {}, {"id": F.col("id")}, [], "id")
 
 
-def test_stream_replay_adds_nothing(spark, tmp_path, rows):
-    spark.range(10).write.parquet(str(tmp_path / "in"))
-    sink = intake.append_new(str(tmp_path / "t"), "id")
-    for run in ("a", "a", "b"):
-        intake.stream_intake(spark, str(tmp_path / "in"), "id long", str(tmp_path / run), sink).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 10
-
-
 def test_gaps_and_strict_lines(spark, rows):
     day = lambda m: date(2026, m, 11)
     expected = spark.createDataFrame([("h", day(m)) for m in (1, 2, 3, 4, 5)] + [("c", day(m)) for m in (1, 2, 3)], "s string, d date")
     loaded = spark.createDataFrame([("h", day(1)), ("h", day(5)), ("c", day(1)), ("c", day(2)), ("c", day(3))], "s string, d date")
     assert rows(intake.missing(expected, loaded, ["s", "d"])) == [("h", day(m)) for m in (2, 3, 4)]
+    points = observe.grid(expected, "d")
+    found = observe.gaps(expected, loaded, "s", "d", points)
+    assert rows(found.select("s", "first", "last", "n")) == [("c", day(4), day(5), 2), ("h", day(2), day(4), 3)]
+    assert rows(observe.gap_days(found, "s", points)) == [("c", day(4)), ("c", day(5))] + [("h", day(m)) for m in (2, 3, 4)]
+    off = spark.createDataFrame([("c", date(2026, 1, 12)), ("x", day(1)), (None, day(3))], "s string, d date")  # off the calendar, not asked for, no target
+    assert rows(observe.gaps(expected, off, "s", "d", points).select("s", "first", "last", "n")) == [(s, day(1), day(5), 5) for s in "ch"]
     lines = spark.createDataFrame([('{"a": 1}',), ('{"a": 1, "b": 2}',), ("x",)], "value string")
     assert [r["problem"] for r in landed.strict_json(lines, "value", "a int", ["a"]).collect()] == [None, "unexpected or missing keys", "not an object"]
