@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from holdfast.operators import skew
+from holdfast.operators import skew, stages
 
 
 def latest(obs: DataFrame, owner: str, as_of: str, uri: str) -> DataFrame:
@@ -106,23 +106,23 @@ def gap_days(found: DataFrame, target: str, points: DataFrame) -> DataFrame:
     return each.join(F.broadcast(points), "i").select(target, "at")
 
 
-def shards(rows: DataFrame, group: list[str], order: list[str], size: int = 500, spread: int = 200) -> DataFrame:
-    """Adds ``ordinal`` and ``shard``: runs of at most ``size`` rows of each group, in order.
+def shards(rows: DataFrame, group: list[str], order: list[str], size: int = 500, ranges: int | None = None) -> DataFrame:
+    """Adds ``ordinal`` and ``shard``: runs of at most ``size`` rows of each group, in order, nulls first.
 
-    Where the first column of the order is a number, rows are numbered within ``spread`` steps of it, and the steps'
-    counts are added up, so that no group is sorted in one task.
+    Rows are dealt over ranges of the whole key (group and order, of any types, and a hash of the row where those repeat),
+    whose bounds Spark samples, and written, so that they stay where they are. Rows are numbered within a group and a
+    range; a group that goes on over several ranges adds the counts of those before. A range has one such group at most,
+    so these counts are broadcast, and no group is sorted in one task.
     """
-    kind, first, step = dict(rows.dtypes)[order[0]], F.col(order[0]), F.lit(0)
-    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double"):
-        low, high = rows.agg(F.min(first), F.max(first)).first()
-        if low is not None and low < high:
-            step = F.coalesce(F.width_bucket(first.cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(spread)).cast("int"), F.lit(-1))
-    keyed = rows.withColumn("_step", step)
-    counts = keyed.groupBy(*[F.col(g).alias(f"_{g}") for g in group], F.col("_step").alias("_at")).agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_ahead", F.sum("_n").over(Window.partitionBy(*[f"_{g}" for g in group]).orderBy("_at")) - F.col("_n"))
-    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group] + [F.col("_step") == F.col("_at")]
-    placed = keyed.withColumn("_k", F.row_number().over(Window.partitionBy(*group, "_step").orderBy(*order))).join(counts, same)
-    out = placed.withColumn("ordinal", F.col("_k") + F.col("_ahead")).withColumn("shard", F.floor((F.col("ordinal") - 1) / size))
+    ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = rows.withColumn("_tie", F.xxhash64(*rows.columns)).repartitionByRange(ranges, *group, *order, "_tie").withColumn("_range", F.spark_partition_id())
+    keyed = stages.written(keyed, "shards")
+    counts = keyed.groupBy(*[F.col(g).alias(f"_{g}") for g in group], F.col("_range").alias("_at")).agg(F.count("*").alias("_n"))
+    ahead = counts.withColumn("_ahead", F.sum("_n").over(Window.partitionBy(*[f"_{g}" for g in group]).orderBy("_at")) - F.col("_n")).where("_ahead > 0")
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group] + [F.col("_range") == F.col("_at")]
+    place = F.row_number().over(Window.partitionBy(*group, "_range").orderBy(*order, "_tie"))
+    placed = keyed.withColumn("_k", place).join(F.broadcast(ahead), same, "left")
+    out = placed.withColumn("ordinal", F.col("_k") + F.coalesce("_ahead", F.lit(0))).withColumn("shard", F.floor((F.col("ordinal") - 1) / size))
     return out.select(*rows.columns, "ordinal", "shard")
 
 

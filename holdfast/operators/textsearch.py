@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import regex
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
+from holdfast.operators import stages
 
 
 def exact(c: Column, query: str) -> Column:
@@ -43,6 +49,109 @@ def near_matches(names: DataFrame, name: str, query: str, most: int) -> DataFram
     return d.select("name", "distance", (F.col("distance") > 0).alias("is_suggestion"))
 
 
+def _shortened(c: Column, most: int) -> Column:
+    """Hashes of all strings that up to ``most`` deletions of a character leave of a string, itself included."""
+    without = lambda s: F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))
+    forms = F.array(c)
+    for _ in range(most):
+        forms = F.array_distinct(F.concat(forms, F.flatten(F.transform(F.filter(forms, lambda s: s != ""), without))))
+    return F.transform(forms, lambda s: F.xxhash64(s))
+
+
+def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: str, most: int = 1) -> DataFrame:
+    """(left, right, distance): all pairs of distinct names within an edit distance, case aside.
+
+    Two names within ``most`` edits leave a common string after as many deletions on either side, so names are joined by
+    what deletions leave of them; each candidate is compared once. Only so many distinct names leave one string as there are
+    ways to put characters into it, so no join key is large.
+    """
+    side = lambda df, c, n: df.select(F.lower(c).alias(n)).where(F.col(n).isNotNull()).distinct()
+    a = side(left, left_name, "l").withColumn("form", F.explode(_shortened(F.col("l"), most)))
+    b = side(right, right_name, "r").withColumn("form", F.explode(_shortened(F.col("r"), most)))
+    pairs = a.join(b, "form").where(F.abs(F.length("l") - F.length("r")) <= most).select("l", "r").distinct()
+    found = pairs.withColumn("distance", F.levenshtein("l", "r", most)).where(F.col("distance").between(0, most))
+    spelt = lambda df, c, n, key: df.select(F.col(c).alias(n), F.lower(c).alias(key)).where(F.col(key).isNotNull()).distinct()
+    return found.join(spelt(left, left_name, "left", "l"), "l").join(spelt(right, right_name, "right", "r"), "r").select("left", "right", "distance")
+
+
+def near_matches_of(queries: DataFrame, names: DataFrame, query: str, name: str, most: int = 1) -> DataFrame:
+    """(query, name, distance, is_suggestion): for each query its exact matches, or else names within an edit distance, which are suggestions only."""
+    found = near_pairs(queries, names, query, name, most).select(F.col("left").alias("query"), F.col("right").alias("name"), "distance")
+    exact = found.where("distance = 0").select("query").distinct().withColumn("_exact", F.lit(True))
+    kept = found.join(exact, "query", "left").where("_exact is null or distance = 0")
+    return kept.select("query", "name", "distance", (F.col("distance") > 0).alias("is_suggestion"))
+
+
+_WORD = regex.compile(r"[\p{L}\p{N}]+")
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _rolling(text: str) -> tuple[list[str], list[int], np.ndarray, np.ndarray]:
+    """A text's words in lower case, their offsets, and what gives the hash of any run of them: sums of hashes times powers, and inverse powers."""
+    found = list(_WORD.finditer(text))
+    folded = [m.group().lower() for m in found]
+    h = hash_array(np.array(folded, object)) if folded else np.zeros(0, np.uint64)
+    power, inverse = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(h), base, np.uint64)]), dtype=np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64)))
+    return folded, [m.start() for m in found], np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power[:-1], dtype=np.uint64)]), inverse
+
+
+def _phrases(batches):
+    """Of each name: its words as one string, their number and hash."""
+    for batch in batches:
+        rows = [(" ".join(w), len(w), int((sums[-1:] * inverse[:1]).view(np.int64)[0])) for w, _, sums, inverse in (_rolling(t or "") for t in batch.column("name").to_pylist())]
+        cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column("name"), *cols], ["name", "phrase", "n_words", "hash"])
+
+
+def _hits(known: dict[int, np.ndarray]):
+    """Of each text: the runs of words whose hash a name of as many words has."""
+
+    def run(batches):
+        for batch in batches:
+            row, word, size, start, phrase = [], [], [], [], []
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                folded, offsets, sums, inverse = _rolling(text or "")
+                for n, hashes in known.items():
+                    if n > len(folded):
+                        continue
+                    h = ((sums[n:] - sums[:-n]) * inverse[: len(sums) - n]).view(np.int64)
+                    for i in np.flatnonzero(hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h).tolist():
+                        row.append(k)
+                        word.append(i)
+                        size.append(n)
+                        start.append(offsets[i])
+                        phrase.append(" ".join(folded[i : i + n]))
+            cols = [pa.array(x, pa.int32()) for x in (word, size, start)]
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(row, pa.int64())), *cols, pa.array(phrase, pa.string())], ["row", "word", "n_words", "start", "phrase"])
+
+    return run
+
+
+def mentions(rows: DataFrame, keys: list[str], text: str, names: DataFrame, name: str, at_once: int = 2_000_000) -> DataFrame:
+    """(keys, name, word, n_words, start): where texts hold names, word by word, case and signs aside; of nested places the longest.
+
+    ``word`` is the first word's number from 0, ``start`` its offset in code points. Names are grouped by their number of words; a
+    text has one rolling hash, from which that of any run of words follows, so each number of words is one pass of array operations.
+    Runs whose hash a name has are compared with names word by word, by a join. ``at_once`` names' hashes (16 MB) go to
+    the tasks at a time; more take further passes. ``keys`` tell rows apart.
+    """
+    named = names.select(F.col(name).alias("name")).where("name is not null").distinct().mapInArrow(_phrases, "name string, phrase string, n_words int, hash long").where("n_words > 0")
+    named = stages.written(named, "mentions-names")
+    passes = max(1, -(-named.count() // at_once))
+    own = rows.select(F.struct(*keys).alias("row"), F.col(text).alias("text"))
+    found = []
+    for i in range(passes):
+        part = named.where(F.pmod("hash", F.lit(passes)) == i).select("n_words", "hash").distinct().toArrow()
+        sizes, hashes = part.column("n_words").to_numpy(), part.column("hash").to_numpy()
+        known = {int(n): np.sort(hashes[sizes == n]) for n in np.unique(sizes)}
+        found.append(own.mapInArrow(_hits(known), f"row {own.schema['row'].dataType.simpleString()}, word int, n_words int, start int, phrase string"))
+    hits = reduce(DataFrame.unionByName, found).join(named.select("phrase").distinct(), "phrase", "left_semi")
+    end = F.col("word") + F.col("n_words")
+    earlier = Window.partitionBy("row").orderBy("word", F.desc("n_words")).rowsBetween(Window.unboundedPreceding, -1)
+    hits = hits.withColumn("_reach", F.max(end).over(earlier)).where(F.col("_reach").isNull() | (F.col("_reach") < end))
+    return hits.join(named.select("phrase", "name"), "phrase").select("row.*", "name", "word", "n_words", "start")
+
+
 def passages(docs: DataFrame, key: str, text: str, separator: str = "\n") -> DataFrame:
     """(key, passage, start, passage_text): non-empty parts between separators with their offsets in the text."""
     parts = docs.select(key, F.split(text, separator, -1).alias("parts")).select(key, F.posexplode("parts").alias("passage", "passage_text"))

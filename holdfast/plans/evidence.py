@@ -177,6 +177,33 @@ def vector_topk(t):
     return textsearch.vector_topk(t.embeddings, "vec_id", "embedding", given, 20).select("vec_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query("SELECT a.c_name AS \"left\", b.c_name AS \"right\", levenshtein(lower(a.c_name), lower(b.c_name)) AS distance FROM customer a JOIN customer b ON levenshtein(lower(a.c_name), lower(b.c_name)) <= 1")
+def near_name_pairs(t):
+    """All pairs of customers' names within one edit."""
+    return textsearch.near_pairs(t.customer, t.customer, "c_name", "c_name", 1)
+
+
+@query("""WITH q AS (SELECT DISTINCT CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE substr(c_name, 1, 11) || substr(c_name, 13) END AS query FROM customer),
+n AS (SELECT c_name AS name FROM customer UNION SELECT p_name FROM part), d AS (SELECT query, name, levenshtein(lower(query), lower(name)) AS distance FROM q JOIN n ON levenshtein(lower(query), lower(name)) <= 1)
+SELECT query, name, distance, distance > 0 AS is_suggestion FROM d WHERE distance = 0 OR query NOT IN (SELECT query FROM d WHERE distance = 0)""")
+def near_names_each(t):
+    """Customers' names, two thirds of them short of a digit, against all names of customers and parts: exact or else near ones."""
+    typed = t.customer.select(F.when(c("c_custkey") % 3 == 0, c("c_name")).otherwise(F.concat(F.substring("c_name", 1, 11), F.substring("c_name", 13, 99))).alias("query"))
+    return textsearch.near_matches_of(typed, t.customer.select(c("c_name").alias("name")).unionByName(t.part.select(c("p_name").alias("name"))), "query", "name", 1)
+
+
+@query(r"""WITH names AS (SELECT p_name AS name FROM part UNION SELECT text FROM benchmark),
+n AS (SELECT name, regexp_extract_all(lower(name), '[\p{L}\p{N}]+') AS w FROM names), d AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+p AS (SELECT doc_id, text, w, CAST(i AS INTEGER) AS i FROM d, unnest(range(1, len(w) + 1)) AS u(i)),
+m AS (SELECT DISTINCT doc_id, n.name, i - 1 AS word, len(n.w) AS n_words, n.w FROM p JOIN n ON p.w[i] = n.w[1] AND p.w[i:i + len(n.w) - 1] = n.w),
+k AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM m x WHERE x.doc_id = m.doc_id AND x.word <= m.word AND x.word + x.n_words >= m.word + m.n_words AND x.n_words > m.n_words))
+SELECT doc_id, k.name, k.word, CAST(k.n_words AS INTEGER) AS n_words FROM k""")
+def product_mentions(t):
+    """Where documents name a product, whose names are those of parts and, as titles of many words, the benchmark's texts."""
+    names = t.part.select(c("p_name").alias("name")).unionByName(t.benchmark.select(c("text").alias("name"))).distinct()
+    return textsearch.mentions(t.documents.select("doc_id", "text"), ["doc_id"], "text", names, "name").drop("start")
+
+
 # metrics and unions -----------------------------------------------------------------------------------------------
 
 
