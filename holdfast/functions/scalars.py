@@ -32,9 +32,13 @@ def text(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """A finite double, else null."""
-    t = text(c)
-    value = F.when(t.rlike(_NUMBER), t.try_cast("double"))
-    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return number_of(text(c))
+
+
+def number_of(t: Column) -> Column:
+    """``number`` of a cleaned text. What has its shape is a number, but may be too large."""
+    value = t.try_cast("double")
+    return F.when(t.rlike(_NUMBER) & (F.abs(value) < float("inf")), value)
 
 
 def integer(c: Column) -> Column:
@@ -45,13 +49,21 @@ def integer(c: Column) -> Column:
 
 def boolean(c: Column) -> Column:
     """True, false or null for any other word."""
-    t = F.upper(text(c))
+    return boolean_of(text(c))
+
+
+def boolean_of(t: Column) -> Column:
+    t = F.upper(t)
     return F.when(t.isin(TRUE_WORDS), True).when(t.isin(FALSE_WORDS), False)
 
 
 def parsed_date(c: Column) -> Column:
     """Eight digits with or without hyphens; days that don't exist are null."""
-    t = F.replace(text(c), F.lit("-"), F.lit(""))
+    return date_of(text(c))
+
+
+def date_of(t: Column) -> Column:
+    t = F.replace(t, F.lit("-"), F.lit(""))
     return F.when(t.rlike(r"^[0-9]{8}$"), F.try_to_timestamp(t, F.lit("yyyyMMdd")).cast("date"))
 
 
@@ -65,17 +77,28 @@ def multi_date(c: Column) -> Column:
 
 def is_isin(c: Column) -> Column:
     """Whether it has the shape of an ISIN; no check digit."""
-    return F.coalesce(F.upper(text(c)).rlike(ISIN_SHAPE), F.lit(False))
+    return is_isin_of(text(c))
+
+
+def is_isin_of(t: Column) -> Column:
+    return F.coalesce(F.upper(t).rlike(ISIN_SHAPE), F.lit(False))
 
 
 def is_source_key(c: Column) -> Column:
     """Twelve letters or digits that begin with KR."""
-    return F.coalesce(text(c).rlike(r"^[Kk][Rr][\p{L}\p{N}]{10}$"), F.lit(False))
+    return is_source_key_of(text(c))
+
+
+def is_source_key_of(t: Column) -> Column:
+    return F.coalesce(t.rlike(r"^[Kk][Rr][\p{L}\p{N}]{10}$"), F.lit(False))
 
 
 def is_placeholder(c: Column) -> Column:
     """Null or nothing but zeros."""
-    t = text(c)
+    return is_placeholder_of(text(c))
+
+
+def is_placeholder_of(t: Column) -> Column:
     return t.isNull() | t.rlike("^0+$")
 
 
@@ -84,7 +107,7 @@ def uri_component(c: Column) -> Column:
     e = F.url_encode(c)
     for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
         e = F.replace(e, F.lit(a), F.lit(b))
-    return e
+    return F.when(c.rlike(r"^[A-Za-z0-9_.~-]*$"), c).otherwise(e)
 
 
 def hash_id(c: Column) -> Column:
@@ -143,26 +166,47 @@ def uri(kind: str, *parts: Column) -> Column:
 
 
 def security_uri(isin: Column, fallback: Column) -> Column:
-    return F.when(is_isin(isin), F.concat(F.lit(f"{URN}:isin:"), F.upper(text(isin)))).otherwise(fallback)
+    return security_uri_of(text(isin), fallback)
+
+
+def security_uri_of(t: Column, fallback: Column) -> Column:
+    return F.when(is_isin_of(t), F.concat(F.lit(f"{URN}:isin:"), F.upper(t))).otherwise(fallback)
 
 
 def organization_uri(scheme: str, name: Column) -> Column:
-    return F.when(~is_placeholder(name), F.concat(F.lit(f"{URN}:organization:{scheme}:"), hash_id(text(name))))
+    return organization_uri_of(scheme, text(name))
+
+
+def organization_uri_of(scheme: str, t: Column) -> Column:
+    return F.when(~is_placeholder_of(t), F.concat(F.lit(f"{URN}:organization:{scheme}:"), hash_id(t)))
 
 
 def identifier_uri(scheme: Column, value: Column) -> Column:
-    shown = F.when(F.upper(scheme) == "ISIN", F.upper(text(value))).otherwise(text(value))
-    return F.when(~is_placeholder(value), F.concat(F.lit(f"{URN}:identifier:"), F.lower(scheme), F.lit(":"), uri_component(shown)))
+    t = text(value)
+    shown = F.when(F.upper(scheme) == "ISIN", F.upper(t)).otherwise(t)
+    return F.when(~is_placeholder_of(t), F.concat(F.lit(f"{URN}:identifier:"), F.lower(scheme), F.lit(":"), uri_component(shown)))
+
+
+def identifier_uri_of(scheme: str, t: Column) -> Column:
+    return F.when(~is_placeholder_of(t), F.concat(F.lit(f"{URN}:identifier:{scheme.lower()}:"), uri_component(F.upper(t) if scheme == "ISIN" else t)))
 
 
 def benchmark_uri(name: Column, english: Column) -> Column:
-    return F.concat(F.lit(f"{URN}:benchmark:"), hash_id(first_of(name, english)))
+    return benchmark_uri_of(text(name), text(english))
+
+
+def benchmark_uri_of(name: Column, english: Column) -> Column:
+    return F.concat(F.lit(f"{URN}:benchmark:"), hash_id(F.coalesce(name, english)))
 
 
 def classification_uri(scheme: Column, value: Column) -> Column:
     return F.concat(F.lit(f"{URN}:classification:"), scheme, F.lit(":"), uri_component(text(value)))
 
 
+def classification_uri_of(scheme: str, t: Column) -> Column:
+    return F.concat(F.lit(f"{URN}:classification:{scheme}:"), uri_component(t))
+
+
 def source_uri(dataset: Column, stamp: Column, row_number: Column) -> Column:
     return F.concat_ws(":", F.lit(f"{URN}:source-record"), dataset, F.coalesce(stamp.cast("string"), F.lit("undated")), row_number.cast("string"))
 

@@ -87,14 +87,14 @@ def to_graph(records: DataFrame, run: Column | None = None) -> dict[str, DataFra
         S.uri("snapshot", F.col("fund_isin"), F.col("as_of").cast("string"), F.col("source_document_id")).alias("snapshot_uri"),
         S.uri("position", F.col("fund_isin"), F.col("constituent_isin"), F.col("as_of").cast("string"), F.col("source_document_id"), F.col("source_row_id")).alias("position_uri"),
     )
-    e = lambda a, rel, b: r.select(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).alias("dst"))
-    edges = e("fund_uri", "HAS_SNAPSHOT", "snapshot_uri").unionByName(e("snapshot_uri", "HAS_POSITION", "position_uri")).unionByName(e("position_uri", "OF_SECURITY", "security_uri")).unionByName(e("fund_uri", "HOLDS", "security_uri"))
+    ties = [("fund_uri", "HAS_SNAPSHOT", "snapshot_uri"), ("snapshot_uri", "HAS_POSITION", "position_uri"), ("position_uri", "OF_SECURITY", "security_uri"), ("fund_uri", "HOLDS", "security_uri")]
     snapshots = r.select(F.col("snapshot_uri").alias("uri"), "fund_uri", "as_of", "source_document_id").distinct()
     positions = r.select(F.col("position_uri").alias("uri"), "snapshot_uri", "security_uri", "constituent_name", "weight", "source_quantity", "source_market_value", "source_currency")
     if run is not None:
-        own = r.select("snapshot_uri", "position_uri", S.uri("artifact", F.col("source_document_id")).alias("artifact_uri"), S.uri("run", run).alias("run_uri"))
-        o = lambda a, rel, b: own.select(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).alias("dst"))
-        edges = edges.unionByName(o("snapshot_uri", "HAS_HOLDING", "position_uri")).unionByName(o("position_uri", "DERIVED_FROM", "artifact_uri")).unionByName(o("run_uri", "UPSERTED", "snapshot_uri")).unionByName(o("run_uri", "UPSERTED", "position_uri"))
+        r = r.withColumns({"_artifact_uri": S.uri("artifact", F.col("source_document_id")), "_run_uri": S.uri("run", run)})
+        ties += [("snapshot_uri", "HAS_HOLDING", "position_uri"), ("position_uri", "DERIVED_FROM", "_artifact_uri"), ("_run_uri", "UPSERTED", "snapshot_uri"), ("_run_uri", "UPSERTED", "position_uri")]
+    # one pass: a record's edges as a list
+    edges = r.select(F.explode(F.array(*[F.struct(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).alias("dst")) for a, rel, b in ties])).alias("e")).select("e.*")
     return {"snapshots": snapshots, "positions": positions.dropDuplicates(["uri"]), "edges": edges.distinct()}
 
 

@@ -37,13 +37,15 @@ def resolve(rows: DataFrame, mapping: DataFrame, isin: str, kind: str, key: str)
     """
     small = mapping.limit(SMALL_CROSSWALK + 1).count() <= SMALL_CROSSWALK
     side = mapping.select(F.col("kind").alias("_kind"), F.col("key").alias("_key"), F.col("isin").alias("_isin"))
-    joined = rows.join(F.broadcast(side) if small else side, (F.lower(rows[kind]) == F.col("_kind")) & (F.upper(S.text(rows[key])) == F.col("_key")), "left")
-    stated = S.usable_identifier(F.col(isin))
-    good = S.is_isin(stated)
-    found = F.when(stated.isNotNull(), F.when(good, F.upper(stated))).otherwise(F.col("_isin"))
-    method = F.when(stated.isNotNull() & good, "source_isin").when(stated.isNull() & F.col("_isin").isNotNull(), "crosswalk").otherwise("unresolved")
-    reason = F.when(found.isNull(), F.when(stated.isNotNull(), "malformed source ISIN").when(F.col(key).isNull(), "no identifier").otherwise("no reviewed ISIN crosswalk entry"))
-    return joined.withColumn("constituent_isin", found).withColumn("identifier_method", method).withColumn("unresolved_reason", reason).drop("_kind", "_key", "_isin")
+    # each cell is read once, below the join; above it all is decided from what was read
+    read = rows.withColumns({"_stated": S.usable_identifier(rows[isin]), "_k": F.lower(rows[kind]), "_v": F.upper(S.text(rows[key]))})
+    read = read.withColumns({"_stated": F.upper("_stated"), "_good": F.upper("_stated").rlike(S.ISIN_SHAPE)})
+    j = read.join(F.broadcast(side) if small else side, (F.col("_k") == F.col("_kind")) & (F.col("_v") == F.col("_key")), "left")
+    stated, good = F.col("_stated").isNotNull(), F.coalesce("_good", F.lit(False))
+    found = F.when(good, F.col("_stated")).when(~stated, F.col("_isin"))
+    method = F.when(good, "source_isin").when(~stated & F.col("_isin").isNotNull(), "crosswalk").otherwise("unresolved")
+    reason = F.when(~good & (stated | F.col("_isin").isNull()), F.when(stated, "malformed source ISIN").when(F.col(key).isNull(), "no identifier").otherwise("no reviewed ISIN crosswalk entry"))
+    return j.withColumns({"constituent_isin": found, "identifier_method": method, "unresolved_reason": reason}).drop("_kind", "_key", "_isin", "_stated", "_good", "_k", "_v")
 
 
 def by_standard_id(rows: DataFrame, standard: str, member: str) -> DataFrame:

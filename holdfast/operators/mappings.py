@@ -49,3 +49,7 @@ PUBLIC_CLASSIFICATIONS = {
 }
 NAME_HEURISTIC = ["상장지수", "ETF"]
 LISTED_BOND_MARKET = "장내"
+BOND_MARKET = ("KRX_BOND", "Korean exchange-traded bond market")
+UNKNOWN_VENUE = ("KRX_UNSPECIFIED", "Korea Exchange (venue not supplied)")
+EXCHANGE_UNIT_CLASSES = ["TradableFundUnit", "ListedSecurity"]
+PUBLIC_UNIT_CLASSES = {True: ["TradableFundUnit", "ListedSecurity", "PublicFundUnit"], False: ["NonTradableFundUnit", "PublicFundUnit"]}

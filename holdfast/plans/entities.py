@@ -56,6 +56,8 @@ UNION ALL SELECT uri, 'CLASSIFIED_AS', 'urn:holdfast:classification:credit-grade
 UNION ALL SELECT uri, 'ISSUED_BY', 'urn:holdfast:organization:name:' || substr(sha256(lower(p_brand)), 1, 24) FROM sound
 UNION ALL SELECT uri, 'INSTANCE_OF', 'urn:holdfast:class:Bond' FROM sound
 UNION ALL SELECT uri, 'HAS_OBSERVATION', 'urn:holdfast:observation:' || url_encode(uri) || ':' || day FROM sound
+UNION ALL SELECT uri, 'LISTED_AS', 'urn:holdfast:listing:bonds:krx-bond:' || no FROM sound WHERE p_partkey % 2 = 0
+UNION ALL SELECT 'urn:holdfast:listing:bonds:krx-bond:' || no, 'ON_MARKET', 'urn:holdfast:market:krx-bond' FROM sound WHERE p_partkey % 2 = 0
 UNION ALL SELECT 'urn:holdfast:source-record:bonds:2026-01-01:' || row_number, 'DESCRIBES', uri FROM sound)"""
 
 
@@ -80,6 +82,7 @@ EXCHANGE_EDGES = f"""WITH {EXCHANGE} SELECT DISTINCT src, rel, dst FROM (
 SELECT held AS src, 'HAS_IDENTIFIER' AS rel, 'urn:holdfast:identifier:source_item:' || item AS dst FROM x UNION ALL SELECT held, 'HAS_IDENTIFIER', 'urn:holdfast:identifier:listing_ticker:' || item FROM x
 UNION ALL SELECT held, 'CLASSIFIED_AS', 'urn:holdfast:classification:product-group:' || CASE WHEN k % 3 = 0 THEN 'etn' ELSE 'ETF' END FROM x
 UNION ALL SELECT uri, 'INSTANCE_OF', 'urn:holdfast:class:' || CASE WHEN note THEN 'ETN' ELSE 'ETF' END FROM x
+UNION ALL SELECT unit, 'INSTANCE_OF', 'urn:holdfast:class:' || unnest(['TradableFundUnit', 'ListedSecurity']) FROM x
 UNION ALL SELECT uri, CASE WHEN note THEN 'ISSUED_BY' ELSE 'MANAGED_BY' END, 'urn:holdfast:organization:name:' || substr(sha256(lower(p_brand)), 1, 24) FROM x
 UNION ALL SELECT uri, 'HAS_UNIT', unit FROM x UNION ALL SELECT held, 'LISTED_AS', listing FROM x
 UNION ALL SELECT listing, 'ON_MARKET', 'urn:holdfast:market:exchange:XK' FROM x UNION ALL SELECT listing, 'HAS_OBSERVATION', 'urn:holdfast:observation:' || url_encode(listing) || ':' || day FROM x
@@ -98,15 +101,57 @@ def kind_split(t):
     return _exchange(t).select("row_number", "kind", "uri", "unit_uri", "listing_uri")
 
 
-@query(f"""WITH {BOND}, {EXCHANGE} SELECT 2 * (SELECT count(*) FROM part) AS n_records, (SELECT count(*) FROM bond WHERE issue_code IS NOT NULL) AS n_rejected, (SELECT count(DISTINCT uri) FROM bond WHERE issue_code IS NULL) AS n_bonds,
-(SELECT count(DISTINCT uri) FROM x WHERE NOT note) AS n_funds, (SELECT count(DISTINCT uri) FROM x WHERE note) AS n_notes, (SELECT count(DISTINCT unit) FROM x) AS n_units, (SELECT count(DISTINCT listing) FROM x) AS n_listings,
-(SELECT count(DISTINCT uri) FROM bond WHERE issue_code IS NULL) + (SELECT count(DISTINCT uri) + count(DISTINCT listing) FROM x) AS n_observations, 0 AS n_unlinked, 0 AS n_duplicate_uris""")
+def _public_rows(t):
+    k = c("p_partkey")
+    name = F.when(k % 6 == 0, "가나 상장지수").when(k % 5 == 0, c("p_name"))
+    short = F.when(k % 7 == 0, F.concat("p_name", F.lit(" etf"))).otherwise(c("p_name"))
+    item = F.when(k % 4 == 0, F.concat(F.lit("ABC"), k.cast("string"))).otherwise(F.concat(F.lit("KR"), F.lpad(k.cast("string"), 10, "0")))
+    return t.part.select(k.alias("row_number"), item.alias("itm_no"), name.alias("itm_nm"), short.alias("itm_abrv_nm"), F.concat(F.lit("00"), (k % 9).cast("string")).alias("or_co_xtn_itt_cd"), c("p_brand").alias("bmrk_nm"), c("p_type").alias("prfd_attr_cd"), F.concat(F.lit("M"), k.cast("string")).alias("own_no"), F.when(k % 3 == 0, "0").otherwise(F.concat(F.lit("S"), k.cast("string"))).alias("std_itm_no"), c("p_retailprice").cast("string").alias("fd_nast_suma"), F.when(k % 2 == 0, "판매중").alias("sale_yn"))
+
+
+def _public(t):
+    return transform.public_funds(_public_rows(t), F.lit("2026-07-11").cast("date"), firm_item="own_no")
+
+
+PUBLIC = """p AS (SELECT p_partkey AS k, 'KR' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS item, p_partkey % 6 = 0 OR p_partkey % 7 = 0 AS etf, * FROM part WHERE p_partkey % 4 <> 0),
+f AS (SELECT *, 'urn:holdfast:public-fund:' || item AS uri, 'urn:holdfast:public-fund:' || item || ':unit' AS unit, CASE WHEN etf THEN 'urn:holdfast:listing:public-funds:krx-unspecified:' || item END AS listing FROM p)"""
+PUBLIC_EDGES = f"""WITH {PUBLIC} SELECT DISTINCT src, rel, dst FROM (
+SELECT unit AS src, 'HAS_IDENTIFIER' AS rel, 'urn:holdfast:identifier:source_item:' || item AS dst FROM f UNION ALL SELECT unit, 'HAS_IDENTIFIER', 'urn:holdfast:identifier:firm_item:M' || k FROM f
+UNION ALL SELECT unit, 'HAS_IDENTIFIER', 'urn:holdfast:identifier:std_item:S' || k FROM f WHERE k % 3 <> 0
+UNION ALL SELECT unit, 'CLASSIFIED_AS', 'urn:holdfast:classification:product-attribute:' || url_encode(p_type) FROM f
+UNION ALL SELECT uri, 'INSTANCE_OF', 'urn:holdfast:class:' || unnest(CASE WHEN etf THEN ['ETF', 'PublicFund'] ELSE ['MutualFund', 'PublicFund'] END) FROM f
+UNION ALL SELECT unit, 'INSTANCE_OF', 'urn:holdfast:class:' || unnest(CASE WHEN etf THEN ['TradableFundUnit', 'ListedSecurity', 'PublicFundUnit'] ELSE ['NonTradableFundUnit', 'PublicFundUnit'] END) FROM f
+UNION ALL SELECT uri, 'MANAGED_BY', 'urn:holdfast:organization:source-code:' || substr(sha256('00' || k % 9), 1, 24) FROM f WHERE k % 9 <> 0
+UNION ALL SELECT uri, 'TRACKS', 'urn:holdfast:benchmark:' || substr(sha256(lower(p_brand)), 1, 24) FROM f
+UNION ALL SELECT uri, 'HAS_UNIT', unit FROM f UNION ALL SELECT unit, 'LISTED_AS', listing FROM f UNION ALL SELECT listing, 'ON_MARKET', 'urn:holdfast:market:krx-unspecified' FROM f
+UNION ALL SELECT listing, 'HAS_OBSERVATION', 'urn:holdfast:observation:' || url_encode(listing) || ':2026-07-11' FROM f UNION ALL SELECT unit, 'HAS_OBSERVATION', 'urn:holdfast:observation:' || url_encode(uri) || ':2026-07-11' FROM f
+UNION ALL SELECT 'urn:holdfast:offering:public-funds:' || item, 'OFFERS', unit FROM f
+UNION ALL SELECT 'urn:holdfast:source-record:public-funds:2026-07-11:' || k, 'DESCRIBES', unnest([uri, unit]) FROM f) WHERE src IS NOT NULL AND dst IS NOT NULL"""
+
+
+@query(PUBLIC_EDGES)
+def public_fund_edges(t):
+    return transform.edges(_public(t))
+
+
+@query("""SELECT p_partkey AS row_number, CASE WHEN p_partkey % 4 = 0 THEN 'malformed_item_number' END AS issue_code, CASE WHEN p_partkey % 6 = 0 THEN '가나 상장지수' WHEN p_partkey % 5 = 0 THEN p_name WHEN p_partkey % 4 = 0 THEN 'ABC' || p_partkey ELSE 'KR' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') END AS name,
+CASE WHEN p_partkey % 6 = 0 OR p_partkey % 7 = 0 THEN 'KRX_UNSPECIFIED' END AS market_code, CASE WHEN p_partkey % 2 = 0 THEN true END AS for_sale, CASE WHEN p_partkey % 2 = 0 THEN '판매중' END AS sale_status, round(p_retailprice, 6) AS net_assets FROM part""")
+def public_fund_projection(t):
+    f = _public(t)
+    return f.select("row_number", "issue_code", "name", "market_code", c("availableForSale").alias("for_sale"), c("saleStatus").alias("sale_status"), F.round(F.try_element_at("metrics", F.lit("netAssetTotal")), 6).alias("net_assets"))
+
+
+@query(f"""WITH {BOND}, {EXCHANGE}, {PUBLIC} SELECT 3 * (SELECT count(*) FROM part) AS n_records, (SELECT count(*) FROM bond WHERE issue_code IS NOT NULL) + (SELECT count(*) FROM part WHERE p_partkey % 4 = 0) AS n_rejected, (SELECT count(DISTINCT uri) FROM bond WHERE issue_code IS NULL) AS n_bonds,
+(SELECT count(DISTINCT uri) FROM x WHERE NOT note) + (SELECT count(*) FROM f) AS n_funds, (SELECT count(DISTINCT uri) FROM x WHERE note) AS n_notes, (SELECT count(DISTINCT unit) FROM x) + (SELECT count(*) FROM f) AS n_units,
+(SELECT count(DISTINCT listing) FROM x) + (SELECT count(listing) FROM f) + (SELECT count(DISTINCT no) FROM bond WHERE issue_code IS NULL AND p_partkey % 2 = 0) AS n_listings,
+(SELECT count(DISTINCT uri) FROM bond WHERE issue_code IS NULL) + (SELECT count(DISTINCT uri) + count(DISTINCT listing) FROM x) + (SELECT count(*) + count(listing) FROM f) AS n_observations, 0 AS n_unlinked, 0 AS n_duplicate_uris""")
 def validation_report(t):
-    """The ten totals of a load, over a bond feed and an exchange-product feed made from all products."""
-    bond, product = transform.bonds(_bond_rows(t), F.lit("2026-01-01").cast("date")), _exchange(t)
-    both = bond.unionByName(product, allowMissingColumns=True)
-    records = both.select(c("source_uri").alias("uri"))
-    out = quality.validation_totals(records, both, transform.edges(bond).unionByName(transform.edges(product)))
+    """The ten totals of a load, over a bond, an exchange-product and a public-fund feed made from all products."""
+    feeds = [transform.bonds(_bond_rows(t), F.lit("2026-01-01").cast("date")), _exchange(t), _public(t)]
+    every = feeds[0].unionByName(feeds[1], allowMissingColumns=True).unionByName(feeds[2], allowMissingColumns=True)
+    records = every.select(c("source_uri").alias("uri"))
+    edges = [transform.edges(f) for f in feeds]
+    out = quality.validation_totals(records, every, edges[0].unionByName(edges[1]).unionByName(edges[2]))
     return out.select(*[c(x).cast("long").alias(x) for x in out.columns])
 
 
@@ -125,7 +170,7 @@ def fund_observation(t):
 @query("SELECT p_partkey AS row_number, CASE WHEN p_partkey % 4 = 0 THEN 'malformed_item_number' END AS issue_code, CASE WHEN p_partkey % 3 = 0 THEN 'ETF,PublicFund' ELSE 'MutualFund,PublicFund' END AS classes FROM part")
 def name_heuristic_class(t):
     k = c("p_partkey")
-    rows = t.part.select(k.alias("row_number"), F.when(k % 4 == 0, '"').otherwise(F.concat(F.lit("F"), k.cast("string"))).alias("itm_no"), F.when(k % 6 == 0, "가나 상장지수").when(k % 3 == 0, F.concat("p_name", F.lit(" etf"))).otherwise(F.lit("fund")).alias("itm_nm"))
+    rows = t.part.select(k.alias("row_number"), F.when(k % 4 == 0, '"').otherwise(F.concat(F.lit("KR"), F.lpad(k.cast("string"), 10, "0"))).alias("itm_no"), F.when(k % 6 == 0, "가나 상장지수").when(k % 3 == 0, F.concat("p_name", F.lit(" etf"))).otherwise(F.lit("fund")).alias("itm_nm"))
     return transform.public_funds(rows, F.lit("2026-07-11").cast("date")).select("row_number", "issue_code", F.array_join("classes", ",").alias("classes"))
 
 
@@ -320,11 +365,10 @@ def look_through(t):
 @query("SELECT 'urn:holdfast:isin:US' || l_partkey AS security_uri, 'urn:holdfast:isin:KR' || o_custkey AS fund_uri, CAST(o_orderdate AS DATE) AS as_of, round(sum(l_extendedprice), 4) AS market_value FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")
 def holders_of_security(t):
     """Through snapshots and positions: each security's holders on each day."""
-    lines = t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey"))
-    snapshot = S.uri("snapshot", c("o_orderkey").cast("string"))
+    snapshot = lambda k: S.uri("snapshot", c(k).cast("string"))
     isin = lambda country, k: F.concat(F.lit(f"{S.URN}:isin:{country}"), c(k).cast("string"))
-    snapshots = t.orders.select(snapshot.alias("uri"), isin("KR", "o_custkey").alias("fund_uri"), c("o_orderdate").cast("date").alias("as_of"))
-    positions = lines.select(snapshot.alias("snapshot_uri"), isin("US", "l_partkey").alias("security_uri"), c("l_discount").alias("weight"), c("l_extendedprice").alias("source_market_value"))
+    snapshots = t.orders.select(snapshot("o_orderkey").alias("uri"), isin("KR", "o_custkey").alias("fund_uri"), c("o_orderdate").cast("date").alias("as_of"))
+    positions = t.lineitem.select(snapshot("l_orderkey").alias("snapshot_uri"), isin("US", "l_partkey").alias("security_uri"), c("l_discount").alias("weight"), c("l_extendedprice").alias("source_market_value"))
     return holdings.exposures(positions, snapshots).select("security_uri", "fund_uri", "as_of", F.round("market_value", 4).alias("market_value"))
 
 

@@ -88,10 +88,26 @@ def test_routing_and_totals(spark, rows):
 
 
 def test_public_fund_rows(spark):
-    df = spark.createDataFrame([(2, "KR1M", "가 ETF", "01", "Y"), (3, '"', "x", None, None)], "row_number int, itm_no string, itm_nm string, prfd_attr_cd string, sale_yn string")
-    a, b = transform.public_funds(df, F.lit("2026-07-11").cast("date")).orderBy("row_number").collect()
-    assert a["classes"] == ["ETF", "PublicFund"] and a["issue_code"] is None and [x["scheme"] for x in a["identifiers"]] == ["SOURCE_ITEM"] and a["listing_uri"]
-    assert b["issue_code"] == "malformed_item_number" and b["listing_uri"] is None
+    data = [(2, " KR123456789a ", "가 ETF", None, "01", "Y", "7"), (3, '"', "x", None, None, None, None), (4, "ABC", "ETF", None, None, None, None), (5, "KR0000000001", None, "x etf", None, "N", "000"), (6, "KR0000000002", None, None, None, None, None)]
+    df = spark.createDataFrame(data, "row_number int, itm_no string, itm_nm string, itm_abrv_nm string, prfd_attr_cd string, sale_yn string, own_no string")
+    out = transform.public_funds(df, F.lit("2026-07-11").cast("date"), firm_item="own_no")
+    a, b, c, d, e = out.orderBy("row_number").collect()
+    assert a["classes"] == ["ETF", "PublicFund"] and a["issue_code"] is None and [x["scheme"] for x in a["identifiers"]] == ["SOURCE_ITEM", "FIRM_ITEM"]
+    assert a["listing_uri"] == "urn:holdfast:listing:public-funds:krx-unspecified:KR123456789a" and a["market_code"] == "KRX_UNSPECIFIED" and a["listingInferredFromName"]
+    assert b["issue_code"] == c["issue_code"] == "malformed_item_number"  # three letters aren't a key
+    assert d["unit_classes"] == ["TradableFundUnit", "ListedSecurity", "PublicFundUnit"] and d["name"] == "KR0000000001" and [x["scheme"] for x in d["identifiers"]] == ["SOURCE_ITEM"]
+    assert e["unit_classes"] == ["NonTradableFundUnit", "PublicFundUnit"] and e["listing_uri"] is None and e["availableForSale"] is None
+    kinds = {r["rel"] for r in transform.edges(out).collect()}
+    assert kinds == {"HAS_IDENTIFIER", "CLASSIFIED_AS", "INSTANCE_OF", "HAS_UNIT", "LISTED_AS", "ON_MARKET", "HAS_OBSERVATION", "OFFERS", "DESCRIBES"}
+
+
+def test_listed_bonds(spark, rows):
+    df = spark.createDataFrame([(2, "KR6000000001", "장내"), (3, "B/1", " 장내 "), (4, "B2", "장외"), (5, None, "장내")], "row_number int, PD_NO string, PD_EXG_MKT string")
+    out = transform.edges(transform.bonds(df, F.lit(None).cast("date")))
+    assert rows(out.where("rel in ('LISTED_AS', 'ON_MARKET')")) == [
+        ("urn:holdfast:bond:B%2F1", "LISTED_AS", "urn:holdfast:listing:bonds:krx-bond:B%2F1"), ("urn:holdfast:isin:KR6000000001", "LISTED_AS", "urn:holdfast:listing:bonds:krx-bond:KR6000000001"),
+        ("urn:holdfast:listing:bonds:krx-bond:B%2F1", "ON_MARKET", "urn:holdfast:market:krx-bond"), ("urn:holdfast:listing:bonds:krx-bond:KR6000000001", "ON_MARKET", "urn:holdfast:market:krx-bond"),
+    ]
 
 
 def test_text_and_metrics(spark, rows):
