@@ -37,7 +37,7 @@ def classification_list(rows: DataFrame, schemes: dict[str, list[str]]) -> Colum
     def one(scheme: str, columns: list[str]) -> Column:
         code = F.coalesce(*[col(rows, c) for c in columns])
         return F.when(code.isNotNull(), F.struct(S.classification_uri_of(scheme, code).alias("uri"), F.lit(scheme).alias("scheme"), code.alias("code")))
-    return F.array_compact(F.array(*[one(s, c) for s, c in schemes.items() if any(x in rows.columns for x in c)]))
+    return F.array_compact(F.array(*[one(s, c) for s, c in schemes.items() if any(x in rows.columns for x in c)])).cast("array<struct<uri: string, scheme: string, code: string>>")
 
 
 def identifier_list(pairs: list[tuple[str, Column]]) -> Column:
