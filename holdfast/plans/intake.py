@@ -128,6 +128,27 @@ def artifact_audit(t):
     return I.audit(n, files, "o_orderkey").withColumn("problems", F.array_join("problems", ","))
 
 
+@query("""WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS m, '{"target": "' || strftime(o_orderdate, '%Y-%m') || '", "order": ' || o_orderkey || '}' || chr(10) AS line, o_orderkey FROM orders),
+e AS (SELECT m, CAST(m[6:7] AS INTEGER) AS k, string_agg(line, '' ORDER BY o_orderkey) AS data, count(*) AS n FROM o GROUP BY m)
+SELECT m AS target, n AS n_records, sha256(data) AS sha256, CASE k WHEN 1 THEN 'missing' WHEN 2 THEN 'sha256 differs,size differs,n_records differs,stated differs' WHEN 3 THEN 'sha256 differs,size differs' WHEN 4 THEN 'sha256 differs,stated differs' ELSE '' END AS problems FROM e""")
+def artifact_audit_files(t):
+    """Orders land as a file of JSON lines for each month, some of them altered; entries made from the table are audited against what the files hold."""
+    place = shared_place(t.spark, "artifacts")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    line = lambda stated: F.concat(F.lit('{"target": "'), stated, F.lit('", "order": '), c("o_orderkey").cast("string"), F.lit("}"))
+    own = t.orders.select(month.alias("target"), F.month("o_orderdate").alias("k"), "o_orderkey", line(month).alias("value"), line(F.concat(F.substring(month, 1, 6), F.lit("x"))).alias("other"))
+    text = lambda rows, c: F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", c))), lambda x: x[c]), "\n"), F.lit("\n"))
+    months = own.groupBy("target", "k").agg(text(own, "value").alias("data"), text(own, "other").alias("other"), F.count("*").alias("n_records"))
+    entries = months.select("target", c("target").alias("stated"), F.sha2(c("data").cast("binary"), 256).alias("sha256"), F.octet_length("data").cast("long").alias("size"), "n_records")
+    # an extra record, a blank line at the end, records of another month; the text writer ends each file with a line break
+    landed_as = F.when(c("k") == 2, F.concat("data", F.lit("{}"))).when(c("k") == 3, F.concat("data", F.lit(" "))).when(c("k") == 4, F.regexp_replace("other", "\n$", "")).otherwise(F.regexp_replace("data", "\n$", ""))
+    months.where("k <> 1").select(c("target").alias("m"), landed_as.alias("value")).repartition("m").write.partitionBy("m").text(place)
+    found = landed.artifacts(t.spark, place, {"target": "string"})
+    found = found.select(F.regexp_extract("path", "m=([0-9-]+)", 1).alias("target"), c("target").alias("stated"), "sha256", "size", "n_records")
+    problems = I.audit(entries, found, "target", ("stated",))
+    return entries.join(problems, "target").select("target", "n_records", "sha256", F.array_join("problems", ",").alias("problems"))
+
+
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND o_orderdate + INTERVAL 30 DAY <= DATE '1996-06-30'")
 def cutoff_filter(t):
     d = c("o_orderdate").cast("date")

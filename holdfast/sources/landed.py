@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from urllib.parse import quote
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,24 +87,104 @@ def strict_json(lines: DataFrame, value: str, schema: str, keys: list[str]) -> D
     return lines.withColumn("record", F.from_json(value, schema)).withColumn("problem", problem)
 
 
-def basket_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+#: A cell at the place at hand, in quotes if it begins with one; and a record, which ends at a line break outside quotes.
+_CELL = r'(?:"[^"]*+(?:""[^"]*+)*+(?:"[^,\r\n]*+|\z)|[^,\r\n"][^,\r\n]*+|)'
+_RECORD = f"{_CELL}(?:,{_CELL})*+"
+
+
+def _decoded(files: DataFrame, fallback: str) -> DataFrame:
+    """(document, value, problem): contents as text, each file in UTF-8 or else in the fallback encoding, told by its bytes."""
+    as_utf8 = F.col("content").cast("string")
+    sound = files.where(F.is_valid_utf8(as_utf8)).select("document", F.regexp_replace(as_utf8, "^\ufeff", "").alias("value"), F.lit(None).cast("string").alias("problem"))
+
+    def decode(batches):
+        for batch in batches:
+            texts, problems = [], []
+            for content in batch.column("content").to_pylist():
+                try:
+                    texts.append(content.decode(fallback))
+                    problems.append(None)
+                except UnicodeDecodeError:
+                    texts.append(None)
+                    problems.append(f"neither UTF-8 nor {fallback}")
+            yield pa.RecordBatch.from_arrays([batch.column("document"), pa.array(texts, pa.string()), pa.array(problems, pa.string())], ["document", "value", "problem"])
+
+    return sound.unionByName(files.where(~F.is_valid_utf8(as_utf8)).mapInArrow(decode, "document string, value string, problem string"))
+
+
+def _baskets(spark: SparkSession, path: str, fallback: str) -> DataFrame:
+    """(document, header, rows, problem): each file's records as lists of cells, blank ones left out, under what its header means."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("document"), "content")
+    unquoted = lambda c: F.when(F.startswith(c, F.lit('"')), F.replace(F.regexp_replace(c, r'^"|"[^"]*$', ""), F.lit('""'), F.lit('"'))).otherwise(c)
+    cells = lambda record: F.transform(F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({_CELL})"), F.lit(1)), unquoted)
+    rows = F.filter(F.transform(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0)), cells), lambda r: F.exists(r, lambda c: S.text(c).isNotNull()))
+    names = F.create_map(*[F.lit(x) for kv in BASKET_HEADERS.items() for x in kv])
+    docs = _decoded(files, fallback).select("document", "problem", rows.alias("rows"))
+    docs = docs.withColumn("header", F.transform(F.get("rows", F.lit(0)), lambda c: names[S.header_key(c)]))
+    has = lambda *names: F.arrays_overlap(F.array_compact("header"), F.array(*map(F.lit, names)))
+    checks = [(F.size("rows") < 1, "no header row"), (~has("name"), "no column of names"), (~has("source_isin", "krx_code"), "neither a column of ISINs nor of codes")]
+    return docs.withColumn("problem", F.coalesce("problem", *[F.when(c, F.lit(r)) for c, r in checks]))
+
+
+def basket_problems(spark: SparkSession, path: str, fallback: str = "cp949") -> DataFrame:
+    """(document, problem): the baskets that ``basket_csv`` refuses."""
+    return _baskets(spark, path, fallback).where("problem is not null").select("document", "problem")
+
+
+def basket_csv(spark: SparkSession, path: str, fallback: str = "cp949") -> DataFrame:
     """(document, row_number, the eight columns as text) of baskets under any known headers; others are left out.
 
-    One header is read for each file, so files of different headers may lie together. Row numbers start at 2. For
-    ``MS949`` the session needs spark.sql.legacy.javaCharsets.
+    Files of different headers and encodings may lie together: each is UTF-8 or else in the ``fallback`` encoding. Cells in
+    quotes may hold commas, quotes and line breaks. Row numbers start at 2, over rows that aren't blank. Refused files (see
+    ``basket_problems``) have no rows.
     """
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("document"), F.decode("content", encoding).alias("value"))
-    lines = files.select("document", F.split(F.regexp_replace("value", "^\ufeff", ""), "\r?\n").alias("lines"))
-    rows = lines.select("document", F.posexplode(F.filter("lines", lambda x: F.trim(x) != "")).alias("i", "line"))
-    cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), F.col("line")), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1)), lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"')))
-    rows = rows.withColumn("cells", cells)
-    names = F.create_map(*[F.lit(x) for kv in BASKET_HEADERS.items() for x in kv])
-    header = rows.where("i = 0").select("document", F.transform("cells", lambda c: names[S.header_key(c)]).alias("header"))
-    data = rows.where("i > 0").join(header, "document")
+    docs = _baskets(spark, path, fallback).where("problem is null")
+    data = docs.select("document", "header", F.posexplode("rows").alias("i", "cells")).where("i > 0")
     cell = lambda name: S.text(F.when(F.array_position("header", name) > 0, F.get("cells", (F.array_position("header", name) - 1).cast("int")))).alias(name)
     return data.select("document", (F.col("i") + 1).alias("row_number"), *[cell(n) for n in BASKET])
 
 
+def artifacts(spark: SparkSession, root: str, stated: dict[str, str], large: int = 1 << 27, piece: int = 1 << 23) -> DataFrame:
+    """(path, sha256, size, n_records, and the fields that ``stated`` names with their types) of the files of JSON lines below ``root``.
+
+    Lines that aren't blank are records. A field is what all records of a file say, or null where they differ or any lacks
+    it. Lines are read in splits, so a large file is several tasks' work. A digest needs its whole file: files up to ``large``
+    bytes are digested as they are read, larger ones by one task each in pieces of ``piece`` bytes, in bounded memory.
+    """
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    small = read.load(root).where(F.col("length") <= large).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    names = read.load(root).where(F.col("length") > large).select("path", F.col("length").alias("size"))
+
+    def digest(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                where, name = fs.FileSystem.from_uri(quote(path.replace(":/", ":///", 1) if path.startswith("file:/") and "://" not in path else path, safe=":/@"))
+                sha = hashlib.sha256()
+                with where.open_input_stream(name, buffer_size=piece) as stream:
+                    while data := stream.read(piece):
+                        sha.update(data)
+                found.append(sha.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(found, pa.string()), batch.column("size")], ["path", "sha256", "size"])
+
+    digests = small.unionByName(names.repartition("path").mapInArrow(digest, "path string, sha256 string, size long"))
+    lines = spark.read.option("recursiveFileLookup", True).text(root).select(F.col("_metadata.file_path").alias("path"), "value").where(S.text(F.col("value")).isNotNull())
+    record = F.from_json("value", ", ".join(f"{k} {t}" for k, t in stated.items()))
+    # a line's file is given as a URL, a file's path as it is
+    lines = lines.select(_plain_path(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("_path"), record.alias("r"))
+    same = [F.when((F.min(f"r.{k}") == F.max(f"r.{k}")) & (F.count(f"r.{k}") == F.count("*")), F.min(f"r.{k}")).alias(k) for k in stated]
+    counts = lines.groupBy("_path").agg(F.count("*").alias("n_records"), *same)
+    out = digests.withColumn("_path", _plain_path(F.col("path"))).join(counts, "_path", "left")
+    return out.select("path", "sha256", "size", F.coalesce("n_records", F.lit(0)).alias("n_records"), *stated)
+
+
+def _plain_path(c: Column) -> Column:
+    """A file's address however many slashes follow its scheme."""
+    return F.regexp_replace(c, "^([a-z0-9]+:)/+", "$1/")
+
+
 def filings_xml(spark: SparkSession, path: str) -> DataFrame:
     """(document, position, report_date, name, cusip, isin, balance, value, percent, currency): every position, all text."""
     docs = spark.read.format("xml").option("rowTag", "edgarSubmission").option("ignoreNamespace", True).schema(FILING).load(path)

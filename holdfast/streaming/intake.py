@@ -82,11 +82,6 @@ def outcomes(rows: DataFrame, target: str, reason: Column) -> tuple[DataFrame, D
     return rows.join(log.where("phase = 'FAILED'").select(target), target, "left_anti"), log
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256, size) of files."""
-    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
-
-
 def dedupe_batches(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key, as a rerun of the same input would load it."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
