@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
@@ -30,6 +30,17 @@ def conflicts(rows: DataFrame, keys: list[str], standard: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.countDistinct(standard).alias("n_ids")).where("n_ids > 1")
 
 
+def listings(rows: DataFrame, security: str, venue: str, most: int = 50) -> DataFrame:
+    """(security, n_venues, venues): securities on more than one venue, with the first ``most`` venues in order.
+
+    Distinct pairs are ranked by a window of a security's venues only, so no list grows beyond ``most``; n_venues counts all.
+    """
+    pairs = rows.select(security, venue).where(F.col(venue).isNotNull()).distinct()
+    many = pairs.groupBy(security).agg(F.count("*").alias("n_venues")).where("n_venues > 1")
+    shown = pairs.withColumn("_k", F.row_number().over(Window.partitionBy(security).orderBy(venue))).where(F.col("_k") <= most)
+    return many.join(shown.groupBy(security).agg(F.array_sort(F.collect_list(venue)).alias("venues")), security)
+
+
 def resolve(rows: DataFrame, mapping: DataFrame, isin: str, kind: str, key: str) -> DataFrame:
     """Adds constituent_isin, identifier_method and unresolved_reason.
 

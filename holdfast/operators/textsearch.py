@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
-from holdfast.operators import stages
+from holdfast.operators import graph, stages
 
 
 def exact(c: Column, query: str) -> Column:
@@ -172,3 +172,11 @@ def vector_topk(rows: DataFrame, key: str, vector: str, given: list[float], k: i
     own = F.sqrt(dot(F.col(vector), F.col(vector)))
     scored = rows.where(F.size(vector) == len(given)).select(key, F.try_divide(dot(F.col(vector), q), own * F.sqrt(dot(q, q))).alias("similarity"))
     return scored.where("similarity is not null").orderBy(F.desc("similarity"), key).limit(k)
+
+
+def vector_expanded(rows: DataFrame, key: str, vector: str, given: list[float], k: int, edges: DataFrame, relations: list[str], depth: int = 1) -> DataFrame:
+    """(root, similarity, node, depth): the k nearest rows of ``vector_topk`` (depth 0), and what each reaches along the relations in up to ``depth`` steps."""
+    found = stages.written(vector_topk(rows, key, vector, given, k).select(F.col(key).cast("string").alias("root"), "similarity"), "vector-top")
+    near = graph.neighbours(found.select("root"), edges, relations, depth)
+    reached = found.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).unionByName(near)
+    return reached.join(found, "root").select("root", "similarity", "node", "depth")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
-from holdfast.operators import fold, graph, holdings, identity, observe, quality, transform
+from holdfast.operators import fold, graph, holdings, identity, lineage, observe, quality, transform
 from holdfast.operators import query as Q
 from holdfast.plans.catalog import query
 from holdfast.sources import ontology
@@ -155,6 +155,39 @@ def validation_report(t):
     return out.select(*[c(x).cast("long").alias(x) for x in out.columns])
 
 
+@query("""SELECT 'urn:holdfast:source-record:public-funds:2026-07-11:' || p_partkey || ':issue:malformed-item-number' AS uri, 'malformed_item_number' AS code, 'public-funds' AS dataset, p_partkey AS row_number FROM part WHERE p_partkey % 4 = 0
+UNION ALL SELECT 'urn:holdfast:source-record:bonds:2026-01-01:' || p_partkey || ':issue:missing-product-number', 'missing_product_number', 'bonds', p_partkey FROM part WHERE p_partkey % 10 = 0""")
+def issue_entities(t):
+    found = lineage.issues(_public(t), "public-funds").unionByName(lineage.issues(transform.bonds(_bond_rows(t), F.lit("2026-01-01").cast("date")), "bonds"))
+    return found.select("uri", "code", "dataset", "row_number")
+
+
+@query("""SELECT DISTINCT src, rel, dst FROM (SELECT 'urn:holdfast:source-record:public-funds:2026-07-11:' || p_partkey AS src, 'IN_FILE' AS rel, 'urn:holdfast:file:public-funds:2026-07-11' AS dst FROM part
+UNION ALL SELECT 'urn:holdfast:file:public-funds:2026-07-11', 'EXTRACT_OF', 'urn:holdfast:dataset:public-funds' FROM part UNION ALL SELECT 'urn:holdfast:dataset:public-funds', 'HAS_FIELD', 'urn:holdfast:field:public-funds:' || replace(p_name, ' ', '%20') FROM part
+UNION ALL SELECT 'urn:holdfast:source-record:public-funds:2026-07-11:' || p_partkey, 'HAS_ISSUE', 'urn:holdfast:source-record:public-funds:2026-07-11:' || p_partkey || ':issue:malformed-item-number' FROM part WHERE p_partkey % 4 = 0)""")
+def lineage_edges(t):
+    records = transform.source_records(_public_rows(t), "public-funds", F.lit("2026-07-11").cast("date"))
+    fields = t.part.select(F.lit("public-funds").alias("dataset"), c("p_name").alias("field"))
+    return lineage.edges(records, fields, lineage.issues(_public(t), "public-funds"))
+
+
+CLASS_PAIRS = ", ".join(f"('{a}', '{b}')" for a, b in ontology.SUBCLASSES if b)
+
+
+@query(f"""WITH RECURSIVE pairs(child, parent) AS (VALUES {CLASS_PAIRS}), up(node, class) AS (SELECT child, child FROM pairs UNION SELECT parent, parent FROM pairs UNION SELECT up.node, parent FROM up JOIN pairs ON child = class),
+{BOND}, {EXCHANGE}, {PUBLIC}, own(entity, node) AS (SELECT uri, 'Bond' FROM bond WHERE issue_code IS NULL UNION SELECT uri, CASE WHEN note THEN 'ETN' ELSE 'ETF' END FROM x UNION SELECT unit, unnest(['TradableFundUnit', 'ListedSecurity']) FROM x WHERE unit IS NOT NULL
+UNION SELECT uri, unnest(CASE WHEN etf THEN ['ETF', 'PublicFund'] ELSE ['MutualFund', 'PublicFund'] END) FROM f UNION SELECT unit, unnest(CASE WHEN etf THEN ['TradableFundUnit', 'ListedSecurity', 'PublicFundUnit'] ELSE ['NonTradableFundUnit', 'PublicFundUnit'] END) FROM f)
+SELECT class, count(DISTINCT entity) AS n FROM own JOIN up USING (node) GROUP BY class""")
+def instances_by_class(t):
+    """How many entities of the three feeds each class of the class table has, those of narrower classes included."""
+    feeds = [transform.bonds(_bond_rows(t), F.lit("2026-01-01").cast("date")), _exchange(t), _public(t)]
+    every = feeds[0].unionByName(feeds[1], allowMissingColumns=True).unionByName(feeds[2], allowMissingColumns=True)
+    of = transform.edges(every).where("rel = 'INSTANCE_OF'").select("src", F.substring_index("dst", ":", -1).alias("node"))
+    closed = graph.closure(ontology.subclass_of(t.spark)).select("node", c("ancestor").alias("class")).distinct()
+    closed = closed.unionByName(ontology.classes(t.spark).select(c("class").alias("node"), "class"))
+    return of.join(F.broadcast(closed), "node").select("src", "class").distinct().groupBy("class").agg(F.count("*").alias("n"))
+
+
 @query("SELECT p_partkey AS row_number, 'P' || p_partkey AS ticker, CASE WHEN p_partkey % 2 = 0 THEN DATE '2026-07-10' ELSE DATE '2026-07-11' END AS as_of, round(p_retailprice, 6) AS close FROM part WHERE p_partkey % 4 = 0")
 def market_observation(t):
     e = _exchange(t).where("listing_uri is not null")

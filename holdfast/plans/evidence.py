@@ -40,6 +40,48 @@ def weights_positive_total(t):
     return total.select("l_orderkey", "l_linenumber", "l_partkey", F.round(c("v") / c("document_total"), 6).alias("weight"))
 
 
+# documents and positions as they land: lines of an order are the positions of a filing or the rows of a basket
+_ISIN = "CASE WHEN l_linenumber = 1 THEN 'US' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') || '0' WHEN l_linenumber = 2 AND l_partkey % 4 = 0 THEN 'bad' END"
+_NORMAL = f"""p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_ISIN} AS isin, CASE WHEN l_suppkey % 9 <> 0 THEN 'n' END AS name, CASE WHEN l_quantity > 48 THEN -l_quantity ELSE l_quantity END AS quantity,
+CASE WHEN l_linenumber % 2 = 0 THEN l_discount * 2000 END AS percent, l_discount = 0.04 AS garbled, CASE WHEN l_tax > 0.07 THEN NULL WHEN l_tax = 0.07 AND l_suppkey % 2 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS value FROM lineitem),
+m AS (SELECT *, CASE WHEN isin IS NOT NULL THEN CASE WHEN isin = 'bad' THEN 'malformed source ISIN' END WHEN l_partkey % 2 = 1 THEN 'no reviewed ISIN crosswalk entry' END AS unresolved, CASE WHEN garbled AND percent IS NOT NULL THEN NULL ELSE percent END AS pct FROM p)"""
+
+
+def _landed(t, country):
+    isin = F.when(c("l_linenumber") == 1, F.concat(F.lit(country), F.lpad(c("l_partkey").cast("string"), 9, "0"), F.lit("0"))).when((c("l_linenumber") == 2) & (c("l_partkey") % 4 == 0), "bad")
+    percent = F.when(c("l_linenumber") % 2 == 0, F.when(c("l_discount") == 0.04, "4 of 100").otherwise((c("l_discount") * 2000).cast("string")))
+    value = F.when(c("l_tax") > 0.07, None).when((c("l_tax") == 0.07) & (c("l_suppkey") % 2 == 0), -c("l_extendedprice")).otherwise(c("l_extendedprice")).cast("string")
+    return t.lineitem.select(c("l_orderkey").cast("string").alias("document"), "l_linenumber", "l_partkey", "l_suppkey", isin.alias("isin"), F.when(c("l_suppkey") % 9 != 0, "n").alias("name"), F.when(c("l_quantity") > 48, -c("l_quantity")).otherwise(c("l_quantity")).cast("string").alias("quantity"), percent.alias("percent"), value.alias("value"))
+
+
+def _mapping(t, kind):
+    return t.part.where("p_partkey % 2 = 0").select(F.lit(kind).alias("kind"), F.concat(F.lit("K"), c("p_partkey").cast("string")).alias("key"), F.concat(F.lit("US"), F.lpad(c("p_partkey").cast("string"), 9, "0"), F.lit("0")).alias("isin"))
+
+
+_REASON = """CASE WHEN unresolved IS NOT NULL THEN unresolved WHEN name IS NULL THEN 'missing name' WHEN garbled AND percent IS NOT NULL THEN 'invalid weight' WHEN quantity < 0 THEN 'quantity is negative: ' || quantity {more}
+WHEN pct > 100 THEN 'weight exceeds 1.0' WHEN pct IS NULL AND value IS NULL THEN 'neither weight nor market value' WHEN pct IS NULL AND total IS NULL THEN 'document total unknown' WHEN pct IS NULL AND total <= 0 THEN 'document total is not positive' END"""
+
+
+@query(f"""WITH {_NORMAL}, w AS (SELECT *, CASE WHEN count(*) FILTER (value IS NULL OR value < 0) OVER d = 0 THEN sum(value) OVER d END AS total FROM m WINDOW d AS (PARTITION BY l_orderkey))
+SELECT l_orderkey, l_linenumber, l_partkey, {_REASON.format(more="")} AS reason, CASE WHEN {_REASON.format(more="")} IS NULL THEN round(coalesce(pct / 100, value / total), 6) END AS weight FROM w""")
+def filings_normalised(t):
+    """Each line through the whole normalisation of filings: resolved, weighed against its document's strict total, or its first reason."""
+    rows = _landed(t, "US").select("document", F.lit("2026-06-30").cast("date").alias("report_date"), F.struct("l_linenumber", "l_partkey").alias("position"), "name", "isin", F.concat(F.lit("k"), c("l_partkey").cast("string")).alias("cusip"), c("quantity").alias("balance"), "percent", "value", F.lit("USD").alias("currency"))
+    out = holdings.normalise_filings(rows, _mapping(t, "cusip"))
+    return out.select(c("document").cast("long").alias("l_orderkey"), "row.l_linenumber", "row.l_partkey", "reason", F.when(c("reason").isNull(), F.round("weight", 6)).alias("weight"))
+
+
+@query(f"""WITH {_NORMAL}, w AS (SELECT *, sum(CASE WHEN value > 0 THEN value END) OVER (PARTITION BY l_orderkey) AS total FROM m), o AS (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) FILTER (year(l_shipdate) % 3 = 0) > 0)
+SELECT l_orderkey, l_linenumber, l_partkey, {_REASON.format(more="WHEN value < 0 THEN 'market value is negative'")} AS reason, CASE WHEN {_REASON.format(more="WHEN value < 0 THEN 'market value is negative'")} IS NULL THEN round(coalesce(pct / 100, value / total), 6) END AS weight FROM w WHERE l_orderkey NOT IN (SELECT l_orderkey FROM o)""")
+def baskets_normalised(t):
+    """Each line through the whole normalisation of baskets, of the documents that state no other day than their target's."""
+    stated = t.lineitem.select(c("l_orderkey").cast("string").alias("_d"), c("l_linenumber").alias("_l"), c("l_partkey").alias("_p"), c("l_suppkey").alias("_s"), F.when(F.year("l_shipdate") % 3 == 0, "2026.06.29").otherwise("2026-06-30").alias("as_of"))
+    rows = _landed(t, "US").join(stated, (c("document") == c("_d")) & (c("l_linenumber") == c("_l")) & (c("l_partkey") == c("_p")) & (c("l_suppkey") == c("_s")))
+    rows = rows.select("document", F.struct("l_linenumber", "l_partkey").alias("row_number"), "as_of", "name", c("isin").alias("source_isin"), F.concat(F.lit("k"), c("l_partkey").cast("string")).alias("krx_code"), c("percent").alias("weight_pct"), "quantity", c("value").alias("market_value"), F.lit("krw").alias("currency"))
+    out = holdings.reject_other_days(holdings.normalise_baskets(rows, _mapping(t, "krx_code")), F.lit("2026-06-30").cast("date"), required=True)
+    return out.select(c("document").cast("long").alias("l_orderkey"), "row.l_linenumber", "row.l_partkey", "reason", F.when(c("reason").isNull(), F.round("weight", 6)).alias("weight"))
+
+
 def _records(line):
     """Lines as holdings records; every eleventh breaks a rule."""
     isin = lambda k, p: F.concat(F.lit(p), F.lpad(k.cast("string"), 9, "0"), F.lit("0"))
@@ -204,6 +246,16 @@ def product_mentions(t):
     return textsearch.mentions(t.documents.select("doc_id", "text"), ["doc_id"], "text", names, "name").drop("start")
 
 
+@query("""WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings ORDER BY vec_id LIMIT 1), k AS (SELECT CAST(vec_id AS VARCHAR) AS root, list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) AS s, label FROM embeddings, q ORDER BY s DESC, vec_id LIMIT 5)
+SELECT root, root AS node, 0 AS depth FROM k UNION ALL SELECT root, 'l' || label, 1 FROM k UNION ALL SELECT k.root, CAST(e.vec_id AS VARCHAR), 2 FROM k JOIN embeddings e USING (label) WHERE CAST(e.vec_id AS VARCHAR) <> k.root""")
+def vector_neighbourhood(t):
+    """The nearest five vectors, their labels, and all vectors of those labels."""
+    given = t.embeddings.orderBy("vec_id").select("embedding").first()[0]
+    label, own = F.concat(F.lit("l"), c("label").cast("string")), c("vec_id").cast("string")
+    edges = graph.edge_union((t.embeddings, own, "OF", label), (t.embeddings, label, "HAS", own))
+    return textsearch.vector_expanded(t.embeddings, "vec_id", "embedding", given, 5, edges, ["OF", "HAS"], 2).select("root", "node", "depth")
+
+
 # metrics and unions -----------------------------------------------------------------------------------------------
 
 

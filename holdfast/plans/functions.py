@@ -281,6 +281,11 @@ def multi_listing(t):
     return identity.conflicts(t.lineitem, ["l_partkey"], "l_suppkey").withColumnRenamed("n_ids", "venues")
 
 
+@query("SELECT l_partkey, count(DISTINCT l_suppkey) AS n_venues, array_to_string(list_sort(list(DISTINCT l_suppkey))[1:50], ',') AS venues FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) > 1")
+def listing_venues(t):
+    return identity.listings(t.lineitem, "l_partkey", "l_suppkey").withColumn("venues", F.array_join(F.transform("venues", lambda v: v.cast("string")), ","))
+
+
 @query("SELECT 'quantity' AS field, count(*) AS total, count(l_quantity) AS populated, count(*) FILTER (l_quantity <> 0) AS non_zero, false AS constant_zero FROM lineitem UNION ALL SELECT 'tax', count(*), count(l_tax), count(*) FILTER (l_tax <> 0), false FROM lineitem UNION ALL SELECT 'blank', count(*), count(*) FILTER (l_returnflag = 'R'), 0, true FROM lineitem")
 def field_coverage(t):
     return quality.coverage(t.lineitem.select(c("l_quantity").alias("quantity"), c("l_tax").alias("tax"), F.when(c("l_returnflag") == "R", 0.0).alias("blank")), ["quantity", "tax", "blank"])

@@ -203,3 +203,17 @@ def baseline_gate(t):
     last = t.events.agg(F.max(day).alias("last"))
     files = t.events.select("event_id", day.alias("day"), F.concat(F.lit("feed_"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv")).alias("file")).join(F.broadcast(last))
     return landed.off_baseline(files, "file", c("last")).select("event_id", "day")
+
+
+@query("WITH f AS (SELECT event_id, user_id, CAST(ts AS DATE) < last - CAST(user_id % 30 AS INTEGER) AND user_id % 2 = 1 AS off FROM events, (SELECT max(CAST(ts AS DATE)) AS last FROM events)) SELECT user_id, count(*) AS n_files, count(*) FILTER (off) AS n_off FROM f GROUP BY user_id")
+def feed_gate(t):
+    """Each user's events as a feed of files: odd users' early ones carry another day than the baseline, which refuses the whole feed."""
+    day = c("ts").cast("date")
+    last = t.events.agg(F.max(day).alias("last"))
+    off = (c("user_id") % 2 == 1) & (day < F.date_sub("last", (c("user_id") % 30).cast("int")))
+    files = t.events.join(F.broadcast(last)).select("event_id", "user_id", "last", F.concat(F.lit("feed_"), F.date_format(F.when(off, F.date_sub("last", 40)).otherwise(c("last")), "yyyyMMdd")).alias("file"))
+    kept, refused = landed.refused_feeds(files, "user_id", "file", c("last"))
+    n = files.groupBy("user_id").agg(F.count("*").alias("n_files"))
+    taken = kept.groupBy("user_id").agg(F.count("*").alias("n_kept"))
+    out = n.join(refused, "user_id", "left").join(taken, "user_id", "left")
+    return out.where("coalesce(n_kept, 0) = if(n_off is null, n_files, 0)").select("user_id", "n_files", F.coalesce("n_off", F.lit(0)).alias("n_off"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
@@ -172,3 +173,15 @@ def find_whole(t):
         search=lambda rows: rows.where(F.contains(F.lower("c_name"), F.lit("customer"))), observations=last, scopes=(scope,), evidence=(proof, "o_orderkey"), required=True, limit=50,
     )
     return found.select("c_custkey", "name", "total", "n_evidence", "outcome")
+
+
+@query("""SELECT p_brand AS dataset, p_name AS field, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS ordinal, p_type AS type, CASE WHEN p_size > 25 THEN 'PK' END AS key_role FROM part
+QUALIFY p_partkey % 7 <> 0 AND p_brand <> 'Brand#3'""")
+def field_sheet_rows(t):
+    """A sheet of field definitions for each brand: two title rows, a header, a row for each part; one brand's has no header and is refused."""
+    k = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) + 3
+    body = t.part.select(c("p_brand").alias("dataset"), k.alias("row_number"), F.array(F.when(c("p_partkey") % 7 == 0, " ").otherwise(c("p_name")), F.when(c("p_size") > 25, "PK"), c("p_type")).alias("cells"))
+    head = lambda i, cell: t.part.select(c("p_brand").alias("dataset"), F.lit(i).alias("row_number"), F.array(cell).alias("cells")).distinct()
+    header = F.when(c("p_brand") != "Brand#3", f" {landed.FIELD_HEADER} ").otherwise("title")
+    sheets = body.unionByName(head(1, F.lit("title"))).unionByName(head(2, F.lit(None).cast("string"))).unionByName(head(3, header))
+    return landed.field_sheets(sheets)[0].select("dataset", "field", c("ordinal").cast("long").alias("ordinal"), "type", "key_role")

@@ -198,6 +198,30 @@ def field_definitions(rows: DataFrame) -> DataFrame:
     return rows.where(S.text(F.col("field")).isNotNull()).select("dataset", S.text(F.col("field")).alias("field"), F.col("row_number").alias("ordinal"), "key_role", "type", "local_name", "example")
 
 
+# The cell that begins the header of a sheet of field definitions, and the cells after a field's name
+FIELD_HEADER = "컬럼명"
+FIELD_CELLS = ["key_role", "type", "local_name", "example"]
+
+
+def field_sheets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(definitions as of ``field_definitions``, problems) of sheets' rows (dataset, row_number, cells).
+
+    A sheet's first row that begins with the header's cell is its header; ordinals count from there, over blank names too. Sheets
+    without one are refused.
+    """
+    cell = lambda i: S.text(F.get("cells", F.lit(i)))
+    header = rows.groupBy("dataset").agg(F.min(F.when(cell(0) == FIELD_HEADER, F.col("row_number"))).alias("_header"))
+    below = rows.join(header, "dataset").where("row_number > _header")
+    below = below.select("dataset", cell(0).alias("field"), (F.col("row_number") - F.col("_header")).alias("row_number"), *[cell(i + 1).alias(n) for i, n in enumerate(FIELD_CELLS)])
+    return field_definitions(below), header.where("_header is null").select("dataset", F.lit("no schema header").alias("problem"))
+
+
+def refused_feeds(files: DataFrame, feed: str, name: str, baseline: Column) -> tuple[DataFrame, DataFrame]:
+    """(files of the feeds that may be taken in, problems (feed, n_off, first_off)): one file off the baseline refuses its whole feed."""
+    off = off_baseline(files, name, baseline).groupBy(feed).agg(F.count("*").alias("n_off"), F.min(name).alias("first_off"))
+    return files.join(off.select(feed), feed, "left_anti"), off
+
+
 def off_baseline(files: DataFrame, name: str, baseline: Column) -> DataFrame:
     """Files whose name doesn't carry the baseline's day (yyyyMMdd); a feed with any is not taken in."""
     stamp = F.try_to_timestamp(F.regexp_extract(name, r"([0-9]{8})", 1), F.lit("yyyyMMdd")).cast("date")
