@@ -1,9 +1,9 @@
 """Operator 2: lines that many documents share, found through levelled sorted runs of line hashes.
 
 A line's key is the line without ASCII white space at its ends and with A-Z lowered; its hash has 64 bits. ``LineRuns``
-holds how many documents had each key, in sorted runs on levels; a key is in one run only. A batch is counted into a
-sorted table, which is merge-anti-joined with each run: its new keys become a run of level 0. The counts of keys that
-runs have already are kept beside the runs. When a level has ``fanout`` runs they are merged into one of the next level,
+holds how many documents had each key, in sorted runs on levels; a key is in one run only. A batch is counted and
+merge-anti-joined with each run: its new keys become a run of level 0. The counts of keys that runs have already are
+kept beside it. When a level has ``fanout`` runs they are merged into one of the next level,
 so that a key is rewritten a number of times that grows with the logarithm of the batches. Runs are Parquet tables in
 buckets by hash, sorted within each, so that neither joining nor merging them takes a shuffle.
 
@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, release, remove, settings, shared_dir, size_of
+from .common import materialise, remove, settings, shared_dir, size_of
 
 _SPACE = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -53,7 +53,7 @@ class LineRuns:
         self.levels: list[list[DataFrame]] = [[]]
         self.met: list[DataFrame] = []  # counts of keys that a run had when their batch came
         self.compacted = 0
-        self._tables: dict[DataFrame, tuple[str, str]] = {}
+        self._tables: list[tuple[str, str]] = []  # what was merged stays until the end, for what its batches met
 
     @property
     def runs(self) -> list[DataFrame]:
@@ -68,15 +68,8 @@ class LineRuns:
         table, path = f"holdfast_{uuid.uuid4().hex}", shared_dir(self.spark, name)
         with self.in_order():
             counts.write.bucketBy(self.buckets, "hash").sortBy("hash").option("path", path).saveAsTable(table)
-        out = self.spark.table(table)
-        self._tables[out] = (table, path)
-        return out
-
-    def _drop(self, *tables: DataFrame) -> None:
-        for df in tables:
-            table, path = self._tables.pop(df)
-            self.spark.sql(f"DROP TABLE {table}")
-            remove(self.spark, path)
+        self._tables.append((table, path))
+        return self.spark.table(table)
 
     def unseen(self, hashes: DataFrame) -> DataFrame:
         """The rows of ``hashes`` whose hash no run holds."""
@@ -88,23 +81,25 @@ class LineRuns:
         return reduce(both, runs)
 
     def add(self, hashes: DataFrame) -> None:
-        """Take in a batch: one row (hash) for each document and distinct key."""
-        batch = self._sorted(hashes.groupBy("hash").agg(F.count("*").alias("docs")), "line-batch")
-        if self.runs:
-            with self.in_order():
-                self.met.append(materialise(reduce(DataFrame.unionByName, [batch.join(_keys(run), "hash", "left_semi") for run in self.runs]), "line-met"))
-            new = self._sorted(self.unseen(batch), "line-run-0")
-            self._drop(batch)
-        else:
-            new = batch
-        self.levels[0].append(new)
+        """Take in a batch: one row (hash) for each document and distinct key.
+
+        Its counts go by the runs in one merge join, which leaves both sides of the anti-join: keys that no run holds are the
+        new run, the others are kept beside the runs.
+        """
+        batch, marks = hashes.groupBy("hash").agg(F.count("*").alias("docs")), []
+        for i, run in enumerate(self.runs):
+            marks.append(F.col(f"in_{i}"))
+            batch = batch.join(_keys(run).select("hash", F.lit(True).alias(f"in_{i}")).hint("merge"), "hash", "left")
+        table = self._sorted(batch.select("hash", "docs", F.coalesce(*marks, F.lit(False)).alias("seen")), "line-run-0")
+        if marks:
+            self.met.append(table.where("seen").select("hash", "docs"))
+        self.levels[0].append(table.where("not seen").select("hash", "docs"))
         level = 0
         while len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
             if level + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[level + 1].append(self._sorted(self.merged(runs), f"line-run-{level + 1}"))
-            self._drop(*runs)
             self.compacted += 1
             level += 1
 
@@ -120,24 +115,26 @@ class LineRuns:
 
     def close(self) -> None:
         """Delete all runs."""
-        self._drop(*list(self._tables))
-        release(*self.met)
-        self.levels, self.met = [[]], []
+        for table, path in self._tables:
+            self.spark.sql(f"DROP TABLE {table}")
+            remove(self.spark, path)
+        self._tables, self.levels, self.met = [], [[]], []
 
 
 #: Bytes of hashes that make a batch, and a bucket of a batch's run.
 BATCH_BYTES, BUCKET_BYTES = 1 << 36, 1 << 25
-#: Shares that documents are dealt to before their bytes are known, and those that a task writes.
-SHARES, SHARES_EACH = 64, 8
+#: Shares that documents are dealt to, by the partition that they are read in, before their bytes are known.
+SHARES = 64
 
 
 def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int = 1, least_batches: int = 5, fanout: int = 4, text_col: str = "text", id_col: str = "doc_id", small: int = 1_000_000) -> DataFrame:
     """row (a struct of all columns of ``docs``), n_lines, n_dropped, kept (the text left).
 
     Lines whose key at least ``frequent`` documents have are dropped in all of them. At most ``small`` frequent hashes
-    (8 MB) are broadcast; more are joined by a shuffle. Documents' hashes are written in SHARES shares, SHARES_EACH for a partition; batches
-    take several shares, so that there are ``least_batches`` of them, or more (SHARES at most) where they would exceed
-    BATCH_BYTES. Runs have a bucket for each BUCKET_BYTES of a batch, and one for each core at least.
+    (8 MB) are broadcast; more are joined by a shuffle. Documents' hashes are written in SHARES shares, a task's in one of them, so
+    each writes one file; batches take several shares, so that there are ``least_batches`` of them, or more (SHARES at most)
+    where they would exceed BATCH_BYTES. Tables of fewer partitions leave some batches empty. Runs have a bucket for each
+    BUCKET_BYTES of a batch, and one for each core at least.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("row")[text_col], F.lit(""))
@@ -145,8 +142,7 @@ def drop_frequent_lines(docs: DataFrame, frequent: int = 10, least_length: int =
     own = F.col("row")[id_col]
     rows = docs.select(F.struct("*").alias("row")).select("row", F.when(own.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(own)).alias("key"))
     hashed = rows.select("key", F.array_compact(F.array_distinct(line_hashes(text, least_length))).alias("hashes"))
-    share = F.pmod(F.spark_partition_id() * SHARES_EACH + F.pmod(F.xxhash64("key", F.lit(3)), F.lit(SHARES_EACH)), F.lit(SHARES)).cast("int")
-    hashed = materialise(hashed.withColumn("share", share), "line-hashes", "share")
+    hashed = materialise(hashed.withColumn("share", F.pmod(F.spark_partition_id(), F.lit(SHARES)).cast("int")), "line-hashes", "share")
     size = size_of(hashed)
     batches = min(SHARES, max(least_batches, -(-size // BATCH_BYTES)))
     runs = LineRuns(spark, fanout, max(spark.sparkContext.defaultParallelism, -(-size // (batches * BUCKET_BYTES))))
