@@ -122,3 +122,33 @@ def test_language_features_and_softmax(spark):
     best, p, _ = language._judge(model, pa.array(texts), np.ones(len(texts), bool))
     for t, k, x in zip(texts, best, p, strict=True):
         assert by_hand(t)[k] == pytest.approx(x, abs=1e-4) and x == pytest.approx(by_hand(t).max(), abs=1e-4)
+
+
+ENDINGS = {"aa": ["tion", "the", "ing", "ment", "ous"], "bb": ["schen", "über", "keit", "ung", "lich"], "cc": ["ción", "ando", "idad", "ños", "que"], "dd": ["eaux", "ère", "ouille", "ais", "çon"]}
+
+
+def prose(rng, lang, n):
+    return " ".join("".join(rng.choice(ENDINGS[lang]) + rng.choice("aeiou") for _ in range(rng.randrange(1, 4))) for _ in range(n))
+
+
+def test_rejection_of_junk_and_of_languages_left_out(spark):
+    rng = random.Random(12)
+    texts = {x: [prose(rng, x, rng.choice([4, 12, 40, 150])) for _ in range(300)] for x in ENDINGS}
+    fit = lambda langs: language.train(spark.createDataFrame([(t, x) for x in langs for t in texts[x][:150]], "text string, lang string"))
+    judged = lambda model, some: language._judge(model, pa.array(some), np.ones(len(some), bool))[2].mean()
+    model = fit(ENDINGS)
+    clean = [t for x in ENDINGS for t in texts[x][150:]]
+    assert judged(model, clean) >= 0.99
+    consonants = [" ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randrange(2, 9))) for _ in range(30)) for _ in range(100)]
+    shuffled = ["".join(rng.sample(t, len(t))) for t in clean if len(t) > 100]
+    greek = ["Η γλώσσα είναι ένα σύστημα επικοινωνίας που χρησιμοποιούν οι άνθρωποι"] * 3
+    for junk in (consonants, shuffled, greek, ["日本語は主に日本で使われている言語である。" * 3]):
+        assert judged(model, junk) <= 0.1
+    for out in ENDINGS:
+        assert judged(fit([x for x in ENDINGS if x != out]), [t for t in texts[out] if len(t) > 100]) <= 0.1
+
+
+def test_rejection_learnt_from_few_rows(spark):
+    few = spark.createDataFrame([("the tion", "aa"), ("schen über", "bb"), ("", "aa"), ("!", "bb")], "text string, lang string")
+    best, _, accepted = language._judge(language.train(few), pa.array(["the tion", "the", "x" * 50000]), np.ones(3, bool))
+    assert accepted[0] and best[0] == 0
