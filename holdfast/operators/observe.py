@@ -9,9 +9,12 @@ from holdfast.operators import skew, stages
 
 
 def latest(obs: DataFrame, owner: str, as_of: str, uri: str) -> DataFrame:
-    """One row an owner: of the greatest day, ties to the smallest uri; an undated one only if nothing is dated."""
-    w = Window.partitionBy(owner).orderBy(F.col(as_of).desc_nulls_last(), F.col(uri).asc())
-    return obs.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """One row an owner: of the greatest day, ties to the smallest uri; an undated one only if nothing is dated.
+
+    Both steps combine before their shuffle, and the first is by owner and day, so an owner of many rows doesn't load one task.
+    """
+    days = obs.groupBy(F.col(owner).alias("_owner"), F.col(as_of).alias("_day")).agg(F.min_by(F.struct("*"), F.struct(uri)).alias("_row"))
+    return days.groupBy("_owner").agg(F.max_by("_row", F.struct("_day")).alias("_row")).select("_row.*")
 
 
 def at_or_before(obs: DataFrame, owner: str, as_of: str, uri: str, day: Column) -> DataFrame:

@@ -40,6 +40,28 @@ def leaf(column: Column, op: str, value: Any = None, kind: str = "string") -> Co
     raise ValueError(f"unsupported_operator: {op}")
 
 
+# Fixed values
+OPERATORS = ["eq", "neq", "gt", "gte", "lt", "lte", "between", "in", "not_in", "contains", "starts_with", "ends_with", "exists", "not_exists"]
+
+
+def answers(rows: DataFrame, kinds: dict[str, str], values: dict[str, Any]) -> DataFrame:
+    """(field, op, n, problem): how many rows each operator holds for with each field's value, or why it can't be asked. One pass over the rows.
+
+    ``kinds`` gives the fields' kinds, ``values`` what they are compared with; ``between`` and lists take it as both ends and only member.
+    """
+    found = []
+    for field, kind in kinds.items():
+        for op in OPERATORS:
+            value = values[field]
+            operand = (value, value) if op == "between" else [value] if op in ("in", "not_in") else value
+            try:
+                n, problem = F.count_if(leaf(F.col(field), op, operand, kind)), F.lit(None).cast("string")
+            except ValueError as e:
+                n, problem = F.lit(None).cast("long"), F.lit(str(e).split(":")[0])
+            found.append(F.struct(F.lit(field).alias("field"), F.lit(op).alias("op"), n.alias("n"), problem.alias("problem")))
+    return rows.agg(F.array(*found).alias("a")).select(F.explode("a").alias("x")).select("x.*")
+
+
 def tree(node: dict | Column, column_of: Callable[[str], tuple[Column, str]]) -> Column:
     """A nested predicate: {"all": [..]}, {"any": [..]}, {"not": ..} or {"field", "op", "value"}.
 

@@ -30,7 +30,8 @@ def reject_reason_first_match(t):
 @query("SELECT l_orderkey, l_linenumber, l_partkey, round(CASE WHEN count(*) FILTER (v IS NULL) OVER w = 0 THEN l_extendedprice / sum(v) OVER w END, 6) AS weight FROM (SELECT *, CASE WHEN l_quantity < 49 THEN l_extendedprice END AS v FROM lineitem) WINDOW w AS (PARTITION BY l_orderkey)")
 def weights_strict_total(t):
     rows = t.lineitem.withColumn("v", F.when(c("l_quantity") < 49, c("l_extendedprice")))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.round(c("l_extendedprice") / quality.document_total(c("v"), "l_orderkey", strict=True), 6).alias("weight"))
+    total = quality.with_document_total(rows, "l_orderkey", "v", strict=True)
+    return total.select("l_orderkey", "l_linenumber", "l_partkey", F.round(c("l_extendedprice") / c("document_total"), 6).alias("weight"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, round(v / sum(CASE WHEN v > 0 THEN v END) OVER (PARTITION BY l_orderkey), 6) AS weight FROM (SELECT *, CASE WHEN l_quantity > 45 THEN -l_extendedprice ELSE l_extendedprice END AS v FROM lineitem)")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -192,6 +194,18 @@ def pred_comparison(t):
     return t.part.select("p_partkey", p("p_size", "gte", 10).alias("gte"), p("p_size", "lt", 40).alias("lt"), p("p_size", "between", (10, 20)).alias("btw"), p("p_brand", "eq", "Brand#11").alias("eq"), p("p_brand", "neq", "Brand#11").alias("neq"), p("p_size", "in", [1, 2, 3]).alias("inn"), p("p_size", "not_in", [1, 2, 3]).alias("nin"))
 
 
+_NUMERIC = " UNION ALL ".join(f"SELECT '{f}' AS field, '{op}' AS op, count(*) FILTER ({f} {sql}) AS n, NULL AS problem FROM lineitem" for f, v in (("l_quantity", "25"), ("l_shipdate", "TIMESTAMP '1998-06-01'")) for op, sql in (("eq", f"= {v}"), ("neq", f"<> {v}"), ("gt", f"> {v}"), ("gte", f">= {v}"), ("lt", f"< {v}"), ("lte", f"<= {v}"), ("between", f"BETWEEN {v} AND {v}"), ("in", f"IN ({v})"), ("not_in", f"NOT IN ({v})"), ("exists", "IS NOT NULL"), ("not_exists", "IS NULL")))
+_STRINGS = " UNION ALL ".join(f"SELECT 'l_returnflag', '{op}', count(*) FILTER ({sql}), NULL FROM lineitem" for op, sql in (("eq", "l_returnflag = 'R'"), ("neq", "l_returnflag <> 'R'"), ("in", "l_returnflag IN ('R')"), ("not_in", "l_returnflag NOT IN ('R')"), ("contains", "contains(lower(l_returnflag), 'r')"), ("starts_with", "starts_with(lower(l_returnflag), 'r')"), ("ends_with", "ends_with(lower(l_returnflag), 'r')"), ("exists", "l_returnflag IS NOT NULL"), ("not_exists", "l_returnflag IS NULL")))
+_REFUSED = "SELECT field, op, NULL, 'unsupported_operator' FROM (VALUES ('l_quantity', ['contains', 'starts_with', 'ends_with']), ('l_shipdate', ['contains', 'starts_with', 'ends_with']), ('l_returnflag', ['gt', 'gte', 'lt', 'lte', 'between'])) v(field, ops), unnest(ops) AS u(op)"
+
+
+@query(f"{_NUMERIC} UNION ALL {_STRINGS} UNION ALL {_REFUSED}")
+def pred_domain(t):
+    """All fourteen operators on a number, a time and a string: rows that each holds for, or that it doesn't fit the field's kind."""
+    kinds = {"l_quantity": "number", "l_shipdate": "datetime", "l_returnflag": "string"}
+    return predicates.answers(t.lineitem, kinds, {"l_quantity": 25, "l_shipdate": datetime.datetime(1998, 6, 1), "l_returnflag": "R"})
+
+
 @query("SELECT p_partkey, contains(lower(p_name), 'e') AS con, starts_with(lower(p_type), 'st') AS sta, ends_with(lower(p_type), 'el') AS en FROM part")
 def pred_string(t):
     p = lambda col, op, v: predicates.leaf(c(col), op, v)

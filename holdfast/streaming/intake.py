@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -84,7 +84,8 @@ def outcomes(rows: DataFrame, target: str, reason: Column) -> tuple[DataFrame, D
 
 def dedupe_batches(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key, as a rerun of the same input would load it."""
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
+    first = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("_row"))
+    return first.select("_row.*")
 
 
 def stream_intake(spark: SparkSession, source: str, schema: str, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> StreamingQuery:
