@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _OWN_DIR: list[str] = []
 
@@ -27,3 +27,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     place = shared_place(df.sparkSession, name)
     df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
+def spread(df: DataFrame, *by: str | Column) -> DataFrame:
+    """``df`` dealt by ``by`` over all the session's shuffle partitions, however few bytes it has: for rows that become many, or large, in the same task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)

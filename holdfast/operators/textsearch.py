@@ -62,24 +62,27 @@ def near_pairs(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     """(left, right, distance): all pairs of distinct names within an edit distance, case aside.
 
     Two names within ``most`` edits leave a common string after as many deletions on either side, so names are joined by
-    what deletions leave of them; each candidate is compared once. Only so many distinct names leave one string as there are
-    ways to put characters into it, so no join key is large.
+    what deletions leave of them, and a candidate is compared where it is met. Only so many distinct names leave one string as
+    there are ways to put characters into it, so no join key is large. The strings are many times the names, which a plan's
+    sizes don't show: neither side may be broadcast.
     """
-    side = lambda df, c, n: df.select(F.lower(c).alias(n)).where(F.col(n).isNotNull()).distinct()
-    a = side(left, left_name, "l").withColumn("form", F.explode(_shortened(F.col("l"), most)))
-    b = side(right, right_name, "r").withColumn("form", F.explode(_shortened(F.col("r"), most)))
-    pairs = a.join(b, "form").where(F.abs(F.length("l") - F.length("r")) <= most).select("l", "r").distinct()
-    found = pairs.withColumn("distance", F.levenshtein("l", "r", most)).where(F.col("distance").between(0, most))
-    spelt = lambda df, c, n, key: df.select(F.col(c).alias(n), F.lower(c).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return found.join(spelt(left, left_name, "left", "l"), "l").join(spelt(right, right_name, "right", "r"), "r").select("left", "right", "distance")
+
+    def side(df, c, n):
+        own = stages.spread(df.select(F.col(c).alias(n)).where(F.col(n).isNotNull()), n).distinct()
+        return own.withColumn("form", F.explode(_shortened(F.lower(n), most))).hint("merge")
+
+    l, r = F.lower("left"), F.lower("right")
+    met = side(left, left_name, "left").join(side(right, right_name, "right"), "form").where(F.abs(F.length(l) - F.length(r)) <= most)
+    # equal names meet at all their strings and count at the whole one only
+    found = met.where((l != r) | (F.col("form") == F.xxhash64(l))).select("left", "right", F.levenshtein(l, r, most).alias("distance"))
+    return found.where(F.col("distance").between(0, most)).distinct()
 
 
 def near_matches_of(queries: DataFrame, names: DataFrame, query: str, name: str, most: int = 1) -> DataFrame:
     """(query, name, distance, is_suggestion): for each query its exact matches, or else names within an edit distance, which are suggestions only."""
     found = near_pairs(queries, names, query, name, most).select(F.col("left").alias("query"), F.col("right").alias("name"), "distance")
-    exact = found.where("distance = 0").select("query").distinct().withColumn("_exact", F.lit(True))
-    kept = found.join(exact, "query", "left").where("_exact is null or distance = 0")
-    return kept.select("query", "name", "distance", (F.col("distance") > 0).alias("is_suggestion"))
+    best = F.min("distance").over(Window.partitionBy("query"))
+    return found.withColumn("_best", best).where("distance = 0 or _best > 0").select("query", "name", "distance", (F.col("distance") > 0).alias("is_suggestion"))
 
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")

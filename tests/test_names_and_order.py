@@ -38,6 +38,15 @@ def test_near_pairs(spark, most):
     assert sorted(map(tuple, each.collect())) == sorted((x, y, d, d > 0) for (x, y), d in pairs.items() if d <= most and (d == 0 or x not in exact))
 
 
+def test_near_names_of_files_are_not_broadcast(spark, tmp_path):
+    spark.range(40).selectExpr("concat('Name#', lpad(id, 3, '0')) as n").write.parquet(f"{tmp_path}/n")
+    names = spark.read.parquet(f"{tmp_path}/n")
+    for out in (textsearch.near_pairs(names, names, "n", "n"), textsearch.near_matches_of(names, names, "n", "n")):
+        assert "Broadcast" not in plan_of(out)
+        # few bytes, yet the strings are made by all tasks
+        assert out.count() and plan_of(out).count("REPARTITION_BY_NUM") == 2
+
+
 def mentions_by_hand(text, names):
     at = [(m.start(), m.group().lower()) for m in re.finditer(r"[^\W_]+", text or "")]
     found = set()
