@@ -31,13 +31,15 @@ def words(c: Column) -> Column:
 def fulltext(rows: DataFrame, key: str, name: str, query: str, k: int) -> DataFrame:
     """(key, score): rows that share words with the query, by the sum of ln(1 + rows / rows with the word); ties by key.
 
-    The score tells relevance only. Words are exploded once; counts combine before the shuffle.
+    The score tells relevance only. A word counts once for a key, however many rows the key has. Weights are summed in ascending
+    order, so that the same words give the same score to the last bit and ties are by key wherever rows lie.
     """
     terms = sorted({w for w in "".join(ch.lower() if unicodedata.category(ch)[0] in "LN" else " " for ch in query).split()})
     total = rows.agg(F.count("*").alias("n_rows"))
-    found = rows.select(key, F.explode(F.array_distinct(F.filter(words(F.col(name)), lambda w: w.isin(terms)))).alias("term"))
+    found = rows.select(key, F.explode(F.array_distinct(F.filter(words(F.col(name)), lambda w: w.isin(terms)))).alias("term")).distinct()
     idf = found.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(total)).select("term", F.log(1 + F.col("n_rows") / F.col("df")).alias("idf"))
-    return found.join(F.broadcast(idf), "term").groupBy(key).agg(F.sum("idf").alias("score")).orderBy(F.desc("score"), key).limit(k)
+    score = F.aggregate(F.array_sort(F.collect_list("idf")), F.lit(0.0), lambda x, y: x + y)
+    return found.join(F.broadcast(idf), "term").groupBy(key).agg(score.alias("score")).orderBy(F.desc("score"), key).limit(k)
 
 
 def near_matches(names: DataFrame, name: str, query: str, most: int) -> DataFrame:

@@ -1,5 +1,6 @@
 """Near names, names in texts, and ordinals over any key, against plain versions."""
 
+import math
 import random
 import re
 from datetime import date, timedelta
@@ -47,6 +48,19 @@ def test_near_names_of_files_are_not_broadcast(spark, tmp_path):
         assert out.count() and plan_of(out).count("REPARTITION_BY_NUM") == 2
 
 
+def test_fulltext_with_repeated_keys_and_any_order_of_words(spark):
+    words = ["red", "old", "new", "big", "low"]
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.sample(words, 5))) for k in range(60)] + [(k, rng.choice(words)) for k in range(100, 140)] + [(50, "red Old"), (139, "red"), (139, "red"), (7, None)]
+    df = spark.createDataFrame(rows, "k int, t string").repartition(5)
+    held = {(k, w.lower()) for k, t in rows for w in (t or "").split()}
+    idf = {w: math.log(1 + len(rows) / sum(x == w for _, x in held)) for w in words}
+    score = {k: sum(sorted(idf[w] for i, w in held if i == k)) for k, _ in held}
+    out = [tuple(r) for r in textsearch.fulltext(df, "k", "t", "red old, NEW big low", 90).collect()]
+    assert [k for k, _ in out] == sorted(score, key=lambda k: (-score[k], k))[:90]
+    assert all(abs(s - score[k]) < 1e-12 for k, s in out)
+
+
 def mentions_by_hand(text, names):
     at = [(m.start(), m.group().lower()) for m in re.finditer(r"[^\W_]+", text or "")]
     found = set()
