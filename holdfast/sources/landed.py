@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
+from holdfast.operators import stages
 
 HOLDINGS = "fund_isin string, constituent_isin string, constituent_name string, weight double, as_of date, source_quantity double, source_currency string, source_market_value double, weight_source string, identifier_method string, published_at timestamp, source_document_id string, source_url string, evidence_basis string, source_row_id string"
 CROSSWALK = "entity_kind string, local_key_type string, local_key string, local_name string, standard_id_type string, standard_id string, standard_name string, source_url string, reviewed_by string, reviewed_at string"
@@ -92,56 +94,165 @@ _CELL = r'(?:"[^"]*+(?:""[^"]*+)*+(?:"[^,\r\n]*+|\z)|[^,\r\n"][^,\r\n]*+|)'
 _RECORD = f"{_CELL}(?:,{_CELL})*+"
 
 
-def _decoded(files: DataFrame, fallback: str) -> DataFrame:
-    """(document, value, problem): contents as text, each file in UTF-8 or else in the fallback encoding, told by its bytes."""
-    as_utf8 = F.col("content").cast("string")
-    sound = files.where(F.is_valid_utf8(as_utf8)).select("document", F.regexp_replace(as_utf8, "^\ufeff", "").alias("value"), F.lit(None).cast("string").alias("problem"))
+#: The same in bytes of any encoding that leaves ASCII's to themselves: whole records with their ends.
+_SHUT = rb'(?:"[^"]*+(?:""[^"]*+)*+"[^,\r\n]*+|[^,\r\n"][^,\r\n]*+|)'
+_ONE = re.compile(rb"%s(?:,%s)*+[\r\n]" % (_SHUT, _SHUT))
+_WHOLE = re.compile(rb"(?:%s(?:,%s)*+[\r\n])*+" % (_SHUT, _SHUT))
+_MARK = b"\xef\xbb\xbf"
 
-    def decode(batches):
-        for batch in batches:
-            texts, problems = [], []
-            for content in batch.column("content").to_pylist():
-                try:
-                    texts.append(content.decode(fallback))
-                    problems.append(None)
-                except UnicodeDecodeError:
-                    texts.append(None)
-                    problems.append(f"neither UTF-8 nor {fallback}")
-            yield pa.RecordBatch.from_arrays([batch.column("document"), pa.array(texts, pa.string()), pa.array(problems, pa.string())], ["document", "value", "problem"])
-
-    return sound.unionByName(files.where(~F.is_valid_utf8(as_utf8)).mapInArrow(decode, "document string, value string, problem string"))
-
-
-def _baskets(spark: SparkSession, path: str, fallback: str) -> DataFrame:
-    """(document, header, rows, problem): each file's records as lists of cells, blank ones left out, under what its header means."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("document"), "content")
+
+def _basket_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(document, block, line): lines in the splits that they are read in, as they are in the files."""
+    name = F.regexp_replace(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    return spark.read.option("lineSep", "\n").text(path).select(name.alias("document"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
+
+
+def _runs(batches):
+    """Of batches in reading order: (row that tells the split, the split's next lines with their ends)."""
+    for batch in batches:
+        names, blocks, lines = (batch.column(c).to_pylist() for c in ("document", "block", "line"))
+        at = 0
+        for i in range(1, len(lines) + 1):
+            if i == len(lines) or blocks[i] != blocks[at] or names[i] != names[at]:
+                yield batch.slice(at, 1).to_pylist()[0], b"\n".join(lines[at:i]) + b"\n"
+                at = i
+
+
+def _decodes(data: bytes, encoding: str) -> bool:
+    try:
+        data.decode(encoding)
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def _ends_inside(data: bytes, inside: bool) -> bool:
+    """Whether lines end inside quotes, if they begin inside or outside."""
+    if b'"' not in data:
+        return inside
+    data = b'"' + data if inside else data
+    return _WHOLE.match(data).end() < len(data)
+
+
+def _basket_states(fallback: str):
+    """Of each split: whether it ends inside quotes if it begins outside (out0) or inside (out1), and what encodings fit."""
+
+    def run(batches):
+        key, state = None, None
+        for row, data in _runs(batches):
+            if (own := (row["document"], row["block"])) != key:
+                if key is not None:
+                    yield pa.RecordBatch.from_pylist([state], schema)
+                key, state = own, {"document": own[0], "block": own[1], "out0": False, "out1": True, "utf8": True, "other": True}
+                data = data.removeprefix(_MARK) if own[1] == 0 else data
+            o0 = _ends_inside(data, state["out0"])
+            state |= {"out1": o0 if state["out0"] == state["out1"] else _ends_inside(data, state["out1"]), "out0": o0}
+            state["utf8"] = state["utf8"] and _decodes(data, "utf-8")
+            state["other"] = state["other"] and _decodes(data, fallback)
+        if key is not None:
+            yield pa.RecordBatch.from_pylist([state], schema)
+
+    schema = pa.schema([("document", pa.string()), ("block", pa.int64()), *[(n, pa.bool_()) for n in ("out0", "out1", "utf8", "other")]])
+    return run
+
+
+def _basket_pieces(fallback: str):
+    """Of each split: texts of whole records, some thousand lines each (whole), and what it has of records that lie over its ends (tail, head).
+
+    ``early``: no piece of the split before it surely has a record that isn't blank.
+    """
+
+    def run(batches):
+        key, n, pend, skip, early, row = None, 0, [], False, True, {}
+
+        def piece(kind, data):
+            nonlocal n, early
+            n += 1
+            value = data.decode("utf-8" if row["utf8"] else fallback)
+            out = {"document": row["document"], "block": row["block"], "i": n, "kind": kind, "early": early or kind != "whole", "value": value}
+            early = early and not re.search(r"\w", value)
+            return pa.RecordBatch.from_pylist([out], schema)
+
+        for next_row, data in _runs(batches):
+            if (own := (next_row["document"], next_row["block"])) != key:
+                if pend:
+                    yield piece("head", b"".join(pend))
+                key, n, pend, skip, early, row = own, 0, [], next_row["inside"], True, next_row
+                data = data.removeprefix(_MARK) if own[1] == 0 and row["utf8"] else data
+            if skip:
+                ended = _ONE.match(b'"' + data) if b'"' in data else None
+                yield piece("tail", data[: ended.end() - 1] if ended else data)
+                if ended is None:
+                    continue
+                skip, data = False, data[ended.end() - 1 :]
+            # what is pending is inside quotes, so lines without any go on with it
+            if pend and b'"' not in data:
+                pend.append(data)
+                continue
+            data = b"".join([*pend, data])
+            end = _WHOLE.match(data).end()
+            pend = [data[end:]] if end < len(data) else []
+            if end:
+                yield piece("whole", data[:end])
+        if pend:
+            yield piece("head", b"".join(pend))
+
+    schema = pa.schema([("document", pa.string()), ("block", pa.int64()), ("i", pa.int64()), ("kind", pa.string()), ("early", pa.bool_()), ("value", pa.string())])
+    return run
+
+
+def _baskets(spark: SparkSession, path: str, fallback: str) -> tuple[DataFrame, DataFrame]:
+    """(documents (document, header, first, problem), units (document, at, rows)): records as lists of cells, blank ones left out.
+
+    Files are read by lines in splits, so that a task's memory doesn't grow with them. One reading tells of each split whether
+    it ends inside quotes, from which follows how the next one begins; then records are made in the splits, and only those over
+    an end of a split are put together by a shuffle. Splits and files have a small row each, as in Spark's own listing of them.
+    """
+    if '",\r\n'.encode(fallback) != b'",\r\n':
+        raise ValueError(f"{fallback} doesn't leave ASCII to itself")
+    lines = _basket_lines(spark, path)
+    read = lines.mapInArrow(_basket_states(fallback), "document string, block long, out0 boolean, out1 boolean, utf8 boolean, other boolean")
+    splits = F.sort_array(F.collect_list(F.struct("block", "out0", "out1")))
+    states = stages.written(read.groupBy("document").agg(splits.alias("s"), F.min("utf8").alias("utf8"), F.min("other").alias("other")), "basket-states")
+    inside = lambda i: F.aggregate(F.slice("s", F.lit(1), i), F.lit(False), lambda was, x: F.when(was, x.out1).otherwise(x.out0))
+    begins = states.where("utf8 or other").select("document", "utf8", F.explode(F.transform("s", lambda x, i: F.struct(x.block.alias("block"), inside(i).alias("inside")))).alias("b")).select("document", "b.*", "utf8")
+    pieces = lines.join(F.broadcast(begins), ["document", "block"]).mapInArrow(_basket_pieces(fallback), "document string, block long, i long, kind string, early boolean, value string")
+    order = Window.partitionBy("document").orderBy("block", "i")
+    over = pieces.where("kind <> 'whole'").withColumn("unit", F.count(F.when(F.col("kind") == "head", 1)).over(order)).groupBy("document", "unit").agg(F.sort_array(F.collect_list(F.struct("block", "i", "value"))).alias("p"))
+    over = over.select("document", F.struct(F.col("p")[0].block.alias("block"), F.col("p")[0].i.alias("i")).alias("at"), F.lit(True).alias("early"), F.array_join("p.value", "").alias("value"))
+    texts = pieces.where("kind = 'whole'").select("document", F.struct("block", "i").alias("at"), "early", "value").unionByName(over)
     unquoted = lambda c: F.when(F.startswith(c, F.lit('"')), F.replace(F.regexp_replace(c, r'^"|"[^"]*$', ""), F.lit('""'), F.lit('"'))).otherwise(c)
     cells = lambda record: F.transform(F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({_CELL})"), F.lit(1)), unquoted)
     rows = F.filter(F.transform(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0)), cells), lambda r: F.exists(r, lambda c: S.text(c).isNotNull()))
+    units = texts.select("document", "at", "early", rows.alias("rows"))
     names = F.create_map(*[F.lit(x) for kv in BASKET_HEADERS.items() for x in kv])
-    docs = _decoded(files, fallback).select("document", "problem", rows.alias("rows"))
-    docs = docs.withColumn("header", F.transform(F.get("rows", F.lit(0)), lambda c: names[S.header_key(c)]))
+    first = units.where("early and size(rows) > 0").groupBy("document").agg(F.min("at").alias("first"), F.min_by(F.get("rows", F.lit(0)), "at").alias("header"))
+    docs = states.select("document", F.when(~F.col("utf8") & ~F.col("other"), f"neither UTF-8 nor {fallback}").alias("problem")).join(first, "document", "left")
+    docs = docs.withColumn("header", F.transform("header", lambda c: names[S.header_key(c)]))
     has = lambda *names: F.arrays_overlap(F.array_compact("header"), F.array(*map(F.lit, names)))
-    checks = [(F.size("rows") < 1, "no header row"), (~has("name"), "no column of names"), (~has("source_isin", "krx_code"), "neither a column of ISINs nor of codes")]
-    return docs.withColumn("problem", F.coalesce("problem", *[F.when(c, F.lit(r)) for c, r in checks]))
+    checks = [(F.col("header").isNull(), "no header row"), (~has("name"), "no column of names"), (~has("source_isin", "krx_code"), "neither a column of ISINs nor of codes")]
+    docs = docs.withColumn("problem", F.coalesce("problem", *[F.when(c, F.lit(r)) for c, r in checks]))
+    return stages.written(docs, "basket-documents"), units
 
 
 def basket_problems(spark: SparkSession, path: str, fallback: str = "cp949") -> DataFrame:
     """(document, problem): the baskets that ``basket_csv`` refuses."""
-    return _baskets(spark, path, fallback).where("problem is not null").select("document", "problem")
+    return _baskets(spark, path, fallback)[0].where("problem is not null").select("document", "problem")
 
 
 def basket_csv(spark: SparkSession, path: str, fallback: str = "cp949") -> DataFrame:
     """(document, row_number, the eight columns as text) of baskets under any known headers; others are left out.
 
     Files of different headers and encodings may lie together: each is UTF-8 or else in the ``fallback`` encoding. Cells in
-    quotes may hold commas, quotes and line breaks. Row numbers start at 2, over rows that aren't blank. Refused files (see
+    quotes may hold commas, quotes and line breaks. A large file is several tasks' work. Row numbers start at 2, over rows that aren't blank. Refused files (see
     ``basket_problems``) have no rows.
     """
-    docs = _baskets(spark, path, fallback).where("problem is null")
-    data = docs.select("document", "header", F.posexplode("rows").alias("i", "cells")).where("i > 0")
+    docs, units = _baskets(spark, path, fallback)
+    docs = docs.where("problem is null").select("document", "header", "first")
+    before = F.coalesce(F.sum(F.size("rows")).over(Window.partitionBy("document").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    data = units.withColumn("before", before).join(F.broadcast(docs), "document").select("document", "header", "first", "at", "before", F.posexplode("rows").alias("i", "cells")).where("i > 0 or at > first")
     cell = lambda name: S.text(F.when(F.array_position("header", name) > 0, F.get("cells", (F.array_position("header", name) - 1).cast("int")))).alias(name)
-    return data.select("document", (F.col("i") + 1).alias("row_number"), *[cell(n) for n in BASKET])
+    return data.select("document", (F.col("before") + F.col("i") + 1).cast("int").alias("row_number"), *[cell(n) for n in BASKET])
 
 
 def artifacts(spark: SparkSession, root: str, stated: dict[str, str], large: int = 1 << 27, piece: int = 1 << 23) -> DataFrame:

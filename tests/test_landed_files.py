@@ -50,6 +50,35 @@ def test_baskets_of_any_quoting_and_encoding(spark, tmp_path):
     assert {r["document"].rsplit("/", 1)[1]: r["problem"] for r in landed.basket_problems(spark, str(tmp_path)).collect()} == {k: p for k, (_, p) in refused.items()}
 
 
+@pytest.mark.parametrize("size", [400, 3000])
+def test_baskets_in_splits(spark, tmp_path, size):
+    rng = random.Random(size)
+    names = ["삼성전자", 'a "b" c', "one, two", "line\nbreak", "cr\r\nlf", "", '5" pipe', "x", "long\n,\"" * 30]
+    files = {}
+    for k in range(4):
+        buffer = io.StringIO(newline="")
+        writer = csv.writer(buffer, lineterminator=rng.choice(["\n", "\r\n"]), quoting=rng.choice([csv.QUOTE_ALL, csv.QUOTE_MINIMAL]))
+        writer.writerows([[" "]] * 30 * (k % 2) + [["종목 명", "종목코드", "note"]])
+        writer.writerows([rng.choice(names) for _ in range(4)] for _ in range(40))
+        files[f"b {k}+.csv"] = (buffer.getvalue() + ("x,1" if k else '"open,\nend')).encode(rng.choice(["utf-8", "utf-8-sig", "cp949"]))
+    for name, content in (files | {"blank.csv": b" \n" * 400}).items():
+        (tmp_path / name).write_bytes(content)
+    set_, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    try:
+        spark.conf.set(set_, size)
+        spark.conf.set(cost, 0)
+        assert landed._basket_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 8
+        got = {}
+        for r in landed.basket_csv(spark, str(tmp_path)).collect():
+            got.setdefault(r["document"].rsplit("/", 1)[1], []).append(tuple(r)[1:])
+        problems = [r["problem"] for r in landed.basket_problems(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset(set_)
+        spark.conf.unset(cost)
+    assert {k: sorted(v) for k, v in got.items()} == {k: by_hand(v) for k, v in files.items()}
+    assert problems == ["no header row"]
+
+
 @pytest.mark.parametrize("large", [1 << 27, 100])
 def test_artifacts(spark, tmp_path, large):
     rng = random.Random(8)
