@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
 from holdfast.operators import mappings as M
+from holdfast.operators import stages
 
 
 def col(rows: DataFrame, name: str) -> Column:
@@ -171,4 +172,5 @@ def edges(entities: DataFrame) -> DataFrame:
         edge(column("source_uri"), F.lit("DESCRIBES"), F.col("uri")), edge(column("source_uri"), F.lit("DESCRIBES"), column("unit_uri")),
     ]
     found = entities.where("issue_code is null").select(F.explode(F.concat(*lists, F.array(*links))).alias("e")).select("e.*")
-    return found.where("src is not null and dst is not null").distinct()
+    # edges are many times their feed and hardly ever repeat: none are gathered in the task that reads the feed
+    return stages.spread(found.where("src is not null and dst is not null"), "src", "rel", "dst").distinct()

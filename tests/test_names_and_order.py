@@ -8,7 +8,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.operators import observe, textsearch
+from holdfast.operators import observe, textsearch, transform
 
 
 def distance(a, b):
@@ -61,6 +61,16 @@ def test_fulltext_with_repeated_keys_and_any_order_of_words(spark):
     assert all(abs(s - score[k]) < 1e-12 for k, s in out)
 
 
+def test_edges_are_not_gathered_where_a_feed_is_read(spark):
+    rows = [(i % 7, "fund", f"u{i % 7}", f"s{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "row_number int, kind string, uri string, source_uri string").withColumn("issue_code", F.lit(None).cast("string"))
+    out = transform.edges(df)
+    plan = plan_of(out)
+    assert sorted(map(tuple, out.collect())) == sorted((f"s{i}", "DESCRIBES", f"u{i % 7}") for i in range(20))
+    # both halves of the aggregation lie above the exchange
+    assert "HashAggregate" in plan and "HashAggregate" not in plan.split("REPARTITION_BY_NUM")[1]
+
+
 def mentions_by_hand(text, names):
     at = [(m.start(), m.group().lower()) for m in re.finditer(r"[^\W_]+", text or "")]
     found = set()
