@@ -80,22 +80,39 @@ def contract(rows: DataFrame) -> Column:
 def to_graph(records: DataFrame, run: Column | None = None) -> dict[str, DataFrame]:
     """Snapshots, positions and edges of records. A position keeps the published name; product names aren't touched.
 
-    With a ``run``, what it wrote and what artifact each position comes from are edges too.
+    With a ``run``, the same for all records, what it wrote and what artifact each position comes from are edges too.
+    Edges are many and long, and each follows from a few columns of its record, so these are made distinct, and the edges from
+    them. Only edges that lack an end are made distinct as they are.
     """
-    r = records.select(
-        "*", S.uri("isin", F.col("fund_isin")).alias("fund_uri"), S.uri("isin", F.col("constituent_isin")).alias("security_uri"),
-        S.uri("snapshot", F.col("fund_isin"), F.col("as_of").cast("string"), F.col("source_document_id")).alias("snapshot_uri"),
-        S.uri("position", F.col("fund_isin"), F.col("constituent_isin"), F.col("as_of").cast("string"), F.col("source_document_id"), F.col("source_row_id")).alias("position_uri"),
-    )
-    ties = [("fund_uri", "HAS_SNAPSHOT", "snapshot_uri"), ("snapshot_uri", "HAS_POSITION", "position_uri"), ("position_uri", "OF_SECURITY", "security_uri"), ("fund_uri", "HOLDS", "security_uri")]
+    uris = {
+        "fund_uri": S.uri("isin", F.col("fund_isin")), "security_uri": S.uri("isin", F.col("constituent_isin")),
+        "snapshot_uri": S.uri("snapshot", F.col("fund_isin"), F.col("as_of").cast("string"), F.col("source_document_id")),
+        "position_uri": S.uri("position", F.col("fund_isin"), F.col("constituent_isin"), F.col("as_of").cast("string"), F.col("source_document_id"), F.col("source_row_id")),
+    }
+    r = records.withColumns(uris)
+    holds, dated = ["fund_isin", "constituent_isin"], ["fund_isin", "as_of", "source_document_id"]
+    placed = ["fund_isin", "constituent_isin", "as_of", "source_document_id", "source_row_id"]
+    ties = [(holds, "fund_uri", "HOLDS", "security_uri"), (dated, "fund_uri", "HAS_SNAPSHOT", "snapshot_uri"), (placed, "snapshot_uri", "HAS_POSITION", "position_uri"), (placed, "position_uri", "OF_SECURITY", "security_uri")]
     snapshots = r.select(F.col("snapshot_uri").alias("uri"), "fund_uri", "as_of", "source_document_id").distinct()
     positions = r.select(F.col("position_uri").alias("uri"), "snapshot_uri", "security_uri", "constituent_name", "weight", "source_quantity", "source_market_value", "source_currency")
     if run is not None:
-        r = r.withColumns({"_artifact_uri": S.uri("artifact", F.col("source_document_id")), "_run_uri": S.uri("run", run)})
-        ties += [("snapshot_uri", "HAS_HOLDING", "position_uri"), ("position_uri", "DERIVED_FROM", "_artifact_uri"), ("_run_uri", "UPSERTED", "snapshot_uri"), ("_run_uri", "UPSERTED", "position_uri")]
-    # one pass: a record's edges as a list
-    edges = r.select(F.explode(F.array(*[F.struct(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).alias("dst")) for a, rel, b in ties])).alias("e")).select("e.*")
-    return {"snapshots": snapshots, "positions": positions.dropDuplicates(["uri"]), "edges": edges.distinct()}
+        uris |= {"_artifact_uri": S.uri("artifact", F.col("source_document_id")), "_run_uri": S.uri("run", F.col("_run"))}
+        records = records.withColumn("_run", run)
+        holds, dated, placed = (keys + ["_run"] for keys in (holds, dated, placed))
+        ties = [(keys + ["_run"], *tie) for keys, *tie in ties]
+        ties += [(placed, "snapshot_uri", "HAS_HOLDING", "position_uri"), (placed, "position_uri", "DERIVED_FROM", "_artifact_uri"), (dated, "_run_uri", "UPSERTED", "snapshot_uri"), (placed, "_run_uri", "UPSERTED", "position_uri")]
+
+    def made(rows: DataFrame, own: list) -> DataFrame:
+        rows = rows.withColumns({u: uris[u] for u in dict.fromkeys(x for _, a, _, b in own for x in (a, b))})
+        return rows.select(F.explode(F.array(*[F.struct(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).alias("dst")) for _, a, rel, b in own])).alias("e")).select("e.*")
+
+    parts = []
+    for keys in (holds, dated, placed):
+        whole = records.select(*keys).where(" and ".join(f"{k} is not null" for k in keys if k != "_run"))
+        parts.append(made(stages.spread(whole, *keys).distinct(), [tie for tie in ties if tie[0] == keys]).where("src is not null and dst is not null"))
+    lacking = records.where(" or ".join(f"{k} is null" for k in placed))
+    parts.append(made(lacking, ties).where("src is null or dst is null").distinct())
+    return {"snapshots": snapshots, "positions": positions.dropDuplicates(["uri"]), "edges": reduce(DataFrame.unionByName, parts)}
 
 
 def exposures(positions: DataFrame, snapshots: DataFrame) -> DataFrame:
