@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.operators import predicates
+from holdfast.operators import predicates, stages
 
 MOST_ROWS, MOST_OFFSET = 100, 10_000
 _AGGREGATES: dict[str, Callable[[str], Column]] = {"count": F.count, "count_distinct": F.countDistinct, "min": F.min, "max": F.max, "avg": F.avg, "sum": F.sum}
@@ -58,8 +58,13 @@ def related(rows: DataFrame, relation: DataFrame, key: str, of: str, required: b
 
 
 def evidence_sources(evidence: DataFrame, key: str, record: str, dataset: str, file: str, snapshot: str, sha: str) -> DataFrame:
-    """(key, dataset, file, snapshot, sha, n_evidence): where each result's evidence comes from, one row for each source."""
-    return evidence.groupBy(F.col(key).alias("key"), F.col(dataset).alias("dataset"), F.col(file).alias("file"), F.col(snapshot).alias("snapshot"), F.col(sha).alias("sha")).agg(F.countDistinct(record).alias("n_evidence"))
+    """(key, dataset, file, snapshot, sha, n_evidence): where each result's evidence comes from, one row for each source.
+
+    Records are dealt by source and record before they are made distinct, so neither the reading tasks nor a result of many records gathers them.
+    """
+    source = {"key": key, "dataset": dataset, "file": file, "snapshot": snapshot, "sha": sha}
+    once = stages.spread(evidence.select(*[F.col(c).alias(n) for n, c in source.items()], F.col(record).alias("_record")), *source, "_record").distinct()
+    return once.groupBy(*source).agg(F.count("_record").alias("n_evidence"))
 
 
 def evidence_rows(evidence: DataFrame, key: str, order: list[str], most: int) -> DataFrame:
