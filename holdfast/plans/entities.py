@@ -365,7 +365,7 @@ l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey, CAST(l_s
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, o.k AS last_order FROM l ASOF LEFT JOIN o ON l.o_custkey = o.o_custkey AND l.day >= o.day""")
 def asof_own_day(t):
     """Each shipped line with its customer's latest order on or before that day; of one day's orders the least key."""
-    lines = t.lineitem.join(t.orders.select(c("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").withColumn("day", c("l_shipdate").cast("date"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", c("l_shipdate").cast("date").alias("day")).join(t.orders.select(c("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     out = observe.as_of(lines, t.orders.withColumn("o_day", c("o_orderdate").cast("date")), ("o_custkey", "o_custkey"), ("day", "o_day"), "o_orderkey", {"o_orderkey": "last_order"}, "quarter")
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "last_order")
 
