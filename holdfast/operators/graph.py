@@ -31,9 +31,12 @@ MOST_DEPTH = 4
 
 
 def edge_union(*families: tuple[DataFrame, Column, str, Column]) -> DataFrame:
-    """Distinct (src, rel, dst) of edge families (rows, source, relation, target); missing ends make no edge."""
+    """Distinct (src, rel, dst) of edge families (rows, source, relation, target); missing ends make no edge.
+
+    Edges are dealt by their ends before they are made distinct, so the reading tasks gather none.
+    """
     parts = [df.select(s.alias("src"), F.lit(rel).alias("rel"), d.alias("dst")).where("src is not null and dst is not null") for df, s, rel, d in families]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return stages.spread(reduce(DataFrame.unionByName, parts), "src", "rel", "dst").distinct()
 
 
 def attached(edges: DataFrame, sources: DataFrame, source: str, key: str) -> DataFrame:
@@ -58,7 +61,7 @@ def logical_edges(edges: DataFrame) -> DataFrame:
     for name in ("managed_by", "tracks"):
         own = edges.where(F.col("rel") == RELATIONS[name][0]).select(F.col("src").alias("fund"), "dst")
         parts.append(units.join(own, "fund").select(F.col("unit").alias("src"), F.lit(name).alias("rel"), "dst"))
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return stages.spread(reduce(DataFrame.unionByName, parts), "src", "rel", "dst").distinct()
 
 
 def closure(child_parent: DataFrame, depth: int = MOST_DEPTH) -> DataFrame:
