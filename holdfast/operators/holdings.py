@@ -47,8 +47,8 @@ def normalise_filings(positions: DataFrame, mapping: DataFrame) -> DataFrame:
     """Positions of filings (see ``landed.filings_xml``), resolved and weighed against the strict total of their document."""
     rows = positions.select("*", S.number(F.col("balance")).alias("quantity"), S.number(F.col("percent")).alias("pct"), S.number(F.col("value")).alias("market_value"), F.lit("cusip").alias("key_type"))
     rows = rows.select("document", "report_date", F.col("position").alias("row"), "name", "isin", "key_type", F.col("cusip").alias("key"), F.col("balance").alias("raw_quantity"), "quantity", F.col("percent").alias("raw_percent"), F.col("pct").alias("percent"), F.col("value").alias("raw_value"), "market_value", "currency")
-    rows = identity.resolve(rows, mapping, "isin", "key_type", "key")
-    return _sorted_out(quality.with_document_total(rows, "document", "market_value", strict=True), negative_value=False)
+    total = quality.document_totals(rows, "document", "market_value", strict=True)
+    return _sorted_out(identity.resolve(rows, mapping, "isin", "key_type", "key").join(total, "document"), negative_value=False)
 
 
 def normalise_baskets(rows: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -56,13 +56,16 @@ def normalise_baskets(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     n = S.percent_number
     out = rows.select("document", S.multi_date(F.col("as_of")).alias("report_date"), F.col("row_number").alias("row"), "name", F.col("source_isin").alias("isin"), F.lit("krx_code").alias("key_type"), F.col("krx_code").alias("key"), F.col("quantity").alias("raw_quantity"), n(F.col("quantity")).alias("quantity"), F.col("weight_pct").alias("raw_percent"), n(F.col("weight_pct")).alias("percent"), F.col("market_value").alias("raw_value"), n(F.col("market_value")).alias("market_value"), F.col("currency").alias("stated_currency"))
     out = out.withColumn("currency", F.coalesce(F.upper("stated_currency"), F.when(F.col("market_value").isNotNull(), "KRW"))).drop("stated_currency")
-    out = identity.resolve(out, mapping, "isin", "key_type", "key")
-    return _sorted_out(quality.with_document_total(out, "document", "market_value", strict=False), negative_value=True)
+    total = quality.document_totals(out, "document", "market_value", strict=False)
+    return _sorted_out(identity.resolve(out, mapping, "isin", "key_type", "key").join(total, "document"), negative_value=True)
 
 
-def reject_other_days(rows: DataFrame, target_day: Column, required: bool) -> DataFrame:
-    """Rows of the documents that state no other day than their target's; if ``required``, a day must be stated."""
-    other = F.col("report_date") != target_day
+def reject_other_days(rows: DataFrame, target_day: Column, required: bool, day: Column | None = None) -> DataFrame:
+    """Rows of the documents that state no other day than their target's; if ``required``, a day must be stated.
+
+    ``day`` is what a row states, its report_date by default: rows are best rejected as they are read, before they are normalised.
+    """
+    other = (F.col("report_date") if day is None else day) != target_day
     return quality.reject_documents(rows, "document", F.coalesce(other, F.lit(required)))
 
 

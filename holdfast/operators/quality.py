@@ -43,9 +43,14 @@ def document_total(value: Column, document: str, strict: bool) -> Column:
 
 def with_document_total(rows: DataFrame, document: str, value: str, strict: bool) -> DataFrame:
     """The same total by an aggregation and a join, for documents too large for a window."""
+    return rows.join(document_totals(rows, document, value, strict), document)
+
+
+def document_totals(rows: DataFrame, document: str, value: str, strict: bool) -> DataFrame:
+    """(document, document_total): to be made of rows as they are read, so that what is joined to them isn't done twice."""
     v = F.col(value)
     total = F.when(F.sum(F.when(v.isNull() | (v < 0), 1).otherwise(0)) == 0, F.sum(v)) if strict else F.sum(F.when(v > 0, v))
-    return rows.join(rows.groupBy(document).agg(total.alias("document_total")), document)
+    return rows.groupBy(document).agg(total.alias("document_total"))
 
 
 def unlinked(records: DataFrame, links: DataFrame, key: str, of: str) -> DataFrame:
