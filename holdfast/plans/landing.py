@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
-from holdfast.operators import graph, observe
+from holdfast.operators import graph, observe, stages
 from holdfast.operators import query as Q
 from holdfast.plans.catalog import query, shared_place
 from holdfast.sources import landed
@@ -97,15 +97,17 @@ def landed_filings(t):
     tag = lambda name, x: F.concat(F.lit(f"<n:{name}>"), x.cast("string"), F.lit(f"</n:{name}>"))
     isin = F.when(c("l_linenumber") == 2, "N/A").otherwise(F.concat(F.lit("US"), F.lpad(c("l_partkey").cast("string"), 9, "0"), F.lit("0")))
     position = tag("invstOrSec", F.concat(tag("name", F.concat(F.lit("o"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))), tag("isin", isin), tag("valUSD", c("l_extendedprice")), tag("curCd", F.lit("USD"))))
-    filing = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.collect_list(position), "").alias("p"))
-    body = tag("formData", F.concat(tag("genInfo", tag("repPdDate", F.lit("2026-06-30"))), tag("fundInfo", tag("invstOrSecs", c("p")))))
-    filing = filing.select("l_orderkey", F.concat(F.lit("<n:edgarSubmission>"), body, F.lit("</n:edgarSubmission>")).alias("x"))
-    files = filing.groupBy(F.pmod(F.xxhash64("l_orderkey"), F.lit(-(-filing.count() // 1000) or 1)).alias("file")).agg(F.concat(F.lit('<n:all xmlns:n="u">'), F.array_join(F.collect_list("x"), ""), F.lit("</n:all>")).alias("value"))
-    files.write.partitionBy("file").text(place)
-    rows = landed.filings_xml(t.spark, place)
-    order = F.split_part("name", F.lit("-"), F.lit(1))
-    n = rows.groupBy(order.alias("of")).agg((F.max("position") + 1).cast("long").alias("n_positions"))
-    return rows.withColumn("of", order).join(n, "of").select("name", "report_date", "isin", F.round(S.number(c("value")), 4).alias("value"), "n_positions")
+    body = tag("formData", F.concat(tag("genInfo", tag("repPdDate", F.lit("2026-06-30"))), tag("fundInfo", tag("invstOrSecs", F.array_join(F.collect_list(position), "")))))
+    filing = F.concat(F.lit("<n:edgarSubmission>"), body, F.lit("</n:edgarSubmission>")).alias("x")
+    n_files = -(-t.orders.count() // 1000) or 1
+    # one shuffle: lines are dealt by their file, so filings and files come together where they are; a row is a file
+    lines = stages.spread(t.lineitem.withColumn("file", F.pmod(F.xxhash64("l_orderkey"), F.lit(n_files))), "file")
+    files = lines.groupBy("file", "l_orderkey").agg(filing).groupBy("file").agg(F.concat(F.lit('<n:all xmlns:n="u">'), F.array_join(F.collect_list("x"), ""), F.lit("</n:all>")).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(place)
+    rows = landed.filings_xml(t.spark, place).withColumn("of", F.split_part("name", F.lit("-"), F.lit(1)))
+    # files are parsed once: a window, not a join with a second reading
+    n_positions = (F.max("position").over(Window.partitionBy("of")) + 1).cast("long")
+    return rows.select("name", "report_date", "isin", F.round(S.number(c("value")), 4).alias("value"), n_positions.alias("n_positions"))
 
 
 @query("SELECT p_brand AS dataset, p_name AS field, p_partkey AS ordinal FROM part WHERE p_partkey % 7 <> 0")
