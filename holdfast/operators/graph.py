@@ -105,16 +105,17 @@ def neighbours(roots: DataFrame, edges: DataFrame, relations: list[str], depth:
     """
     if not 1 <= depth <= MOST_DEPTH:
         raise ValueError(f"invalid_request: depth {depth}")
-    own = edges.where(F.col("rel").isin(relations)).select(F.col("src").alias("node"), F.col("dst").alias("next")).distinct()
-    many = skew.hot(own.groupBy("node").agg(F.count("*").alias("n")), ["node"], per)
-    own = stages.written(skew.dealt(own, ["node"], many, F.col("next")), "neighbours-edges")
-    many = stages.written(many, "neighbours-hubs")
+    own = edges.where(F.col("rel").isin(relations)).select(F.col("src").alias("node"), F.col("dst").alias("next"))
+    own = stages.written(stages.spread(own, "node", "next").distinct(), "neighbours-edges")
+    many = stages.written(skew.hot(own.groupBy("node").agg(F.count("*").alias("n")), ["node"], per), "neighbours-hubs")
+    own = skew.dealt(own, ["node"], many, F.col("next"))
     last = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
     seen = [last]
     for i in range(1, depth + 1):
-        step = skew.copied(last.select("root", "node"), ["node"], many).join(own, ["node", "_salt"]).select("root", F.col("next").alias("node")).distinct()
-        known = reduce(DataFrame.unionByName, seen)
-        last = stages.written(step.join(known, ["root", "node"], "left_anti").withColumn("depth", F.lit(i)), "neighbours-round")
+        step = skew.copied(last.select("root", "node"), ["node"], many).join(own, ["node", "_salt"]).select("root", F.col("next").alias("node"), F.lit(i).alias("depth"))
+        # one aggregation makes a round distinct and tells what is new in it
+        met = reduce(DataFrame.unionByName, [step, *seen]).groupBy("root", "node").agg(F.min("depth").alias("depth"))
+        last = stages.written(met.where(F.col("depth") == i), "neighbours-round")
         seen.append(last)
     return reduce(DataFrame.unionByName, seen[1:])
 
