@@ -89,6 +89,8 @@ def near_matches_of(queries: DataFrame, names: DataFrame, query: str, name: str,
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 _BASE = 0x9E3779B97F4A7C15
+#: Names of more words are looked for by the first so many.
+_HEAD = 4
 
 
 def _rolling(text: str) -> tuple[list[str], list[int], np.ndarray, np.ndarray]:
@@ -101,26 +103,54 @@ def _rolling(text: str) -> tuple[list[str], list[int], np.ndarray, np.ndarray]:
 
 
 def _phrases(batches):
-    """Of each name: its words as one string, their number and hash."""
+    """Of each name: its words as one string, their number and hash, and that of the first few."""
     for batch in batches:
-        rows = [(" ".join(w), len(w), int((sums[-1:] * inverse[:1]).view(np.int64)[0])) for w, _, sums, inverse in (_rolling(t or "") for t in batch.column("name").to_pylist())]
-        cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column("name"), *cols], ["name", "phrase", "n_words", "hash"])
+        rolled = [_rolling(t or "") for t in batch.column("name").to_pylist()]
+        rows = [(" ".join(w), len(w), *(int((sums[[n]] * inverse[:1]).view(np.int64)[0]) for n in (len(w), min(len(w), _HEAD)))) for w, _, sums, inverse in rolled]
+        cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.int64(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column("name"), *cols], ["name", "phrase", "n_words", "hash", "head"])
 
 
-def _hits(known: dict[int, np.ndarray]):
-    """Of each text: the runs of words whose hash a name of as many words has."""
+def _among(known: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in a sorted array that isn't empty."""
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
+def _hits(sizes: np.ndarray, hashes: np.ndarray, heads: np.ndarray):
+    """Of each text: the runs of words whose hash a name of as many words has.
+
+    Short names are looked for everywhere; longer ones, of however many lengths, only where a text has the first words of one.
+    """
+    short = {int(n): np.sort(hashes[sizes == n]) for n in np.unique(sizes) if n <= _HEAD}
+    long = {int(n): np.sort(hashes[sizes == n]) for n in np.unique(sizes) if n > _HEAD}
+    pairs = np.unique(np.stack([heads[sizes > _HEAD], sizes[sizes > _HEAD].astype(np.int64)], 1), axis=0)
+
+    def found(sums, inverse):
+        def of(at, n):
+            return ((sums[at + n] - sums[at]) * inverse[at]).view(np.int64)
+
+        for n, known in short.items():
+            at = np.arange(max(0, len(sums) - n))
+            yield n, at[_among(known, of(at, n))]
+        at = np.arange(max(0, len(sums) - _HEAD))
+        if len(pairs) and len(at):
+            head = of(at, _HEAD)
+            here = _among(pairs[:, 0], head)
+            at, head = at[here], head[here]
+            low, high = (np.searchsorted(pairs[:, 0], head, side) for side in ("left", "right"))
+            which = np.repeat(low - np.cumsum(high - low) + (high - low), high - low) + np.arange((high - low).sum())
+            at, n_words = np.repeat(at, high - low), pairs[which, 1]
+            for n in np.unique(n_words).tolist():
+                own = at[(n_words == n) & (at + n_words < len(sums))]
+                yield n, own[_among(long[n], of(own, n))]
 
     def run(batches):
         for batch in batches:
             row, word, size, start, phrase = [], [], [], [], []
             for k, text in enumerate(batch.column("text").to_pylist()):
                 folded, offsets, sums, inverse = _rolling(text or "")
-                for n, hashes in known.items():
-                    if n > len(folded):
-                        continue
-                    h = ((sums[n:] - sums[:-n]) * inverse[: len(sums) - n]).view(np.int64)
-                    for i in np.flatnonzero(hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h).tolist():
+                for n, places in found(sums, inverse):
+                    for i in places.tolist():
                         row.append(k)
                         word.append(i)
                         size.append(n)
@@ -136,20 +166,19 @@ def mentions(rows: DataFrame, keys: list[str], text: str, names: DataFrame, name
     """(keys, name, word, n_words, start): where texts hold names, word by word, case and signs aside; of nested places the longest.
 
     ``word`` is the first word's number from 0, ``start`` its offset in code points. Names are grouped by their number of words; a
-    text has one rolling hash, from which that of any run of words follows, so each number of words is one pass of array operations.
+    text has one rolling hash, from which that of any run of words follows, so each number of words up to four is one pass of array
+    operations, and longer names are looked for where their first four words are.
     Runs whose hash a name has are compared with names word by word, by a join. ``at_once`` names' hashes (16 MB) go to
     the tasks at a time; more take further passes. ``keys`` tell rows apart.
     """
-    named = names.select(F.col(name).alias("name")).where("name is not null").distinct().mapInArrow(_phrases, "name string, phrase string, n_words int, hash long").where("n_words > 0")
+    named = names.select(F.col(name).alias("name")).where("name is not null").distinct().mapInArrow(_phrases, "name string, phrase string, n_words int, hash long, head long").where("n_words > 0")
     named = stages.written(named, "mentions-names")
     passes = max(1, -(-named.count() // at_once))
     own = rows.select(F.struct(*keys).alias("row"), F.col(text).alias("text"))
     found = []
     for i in range(passes):
-        part = named.where(F.pmod("hash", F.lit(passes)) == i).select("n_words", "hash").distinct().toArrow()
-        sizes, hashes = part.column("n_words").to_numpy(), part.column("hash").to_numpy()
-        known = {int(n): np.sort(hashes[sizes == n]) for n in np.unique(sizes)}
-        found.append(own.mapInArrow(_hits(known), f"row {own.schema['row'].dataType.simpleString()}, word int, n_words int, start int, phrase string"))
+        part = named.where(F.pmod("hash", F.lit(passes)) == i).select("n_words", "hash", "head").distinct().toArrow()
+        found.append(own.mapInArrow(_hits(*(part.column(c).to_numpy() for c in ("n_words", "hash", "head"))), f"row {own.schema['row'].dataType.simpleString()}, word int, n_words int, start int, phrase string"))
     hits = reduce(DataFrame.unionByName, found).join(named.select("phrase").distinct(), "phrase", "left_semi")
     end = F.col("word") + F.col("n_words")
     earlier = Window.partitionBy("row").orderBy("word", F.desc("n_words")).rowsBetween(Window.unboundedPreceding, -1)
