@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions import scalars as S
@@ -129,6 +129,12 @@ def exposure(positions: DataFrame, snapshots: DataFrame, security: Column) -> Da
     return exposures(positions.where(F.col("security_uri") == security), snapshots).drop("security_uri")
 
 
+def shares(rows: DataFrame, value: str) -> DataFrame:
+    """(fund, security, weight): each security's share in what its fund holds, by one shuffle of the rows."""
+    own = stages.spread(rows.select("fund", "security", value), "fund").groupBy("fund", "security").agg(F.sum(value).alias("_own"))
+    return own.select("fund", "security", (F.col("_own") / F.sum("_own").over(Window.partitionBy("fund"))).alias("weight"))
+
+
 def _on_cycles(inner: DataFrame, rounds: int) -> DataFrame:
     """(fund): all funds on cycles of fund-in-fund holdings and some between them: ends that nothing goes on from or leads to are taken off."""
     left, n = inner, None
@@ -147,7 +153,8 @@ def look_through(roots: DataFrame, held: DataFrame, depth: int, per: int = 1_000
 
     ``held``: (fund, security, weight), where a security may be a fund itself. Weights multiply along a chain and add up over
     chains; depth is the least. A chain stops where it would come back to a fund that it went through. Each round carries on
-    the sums of the last one by (root, security) alone; only funds that may lie on a cycle are remembered beside them.
+    the sums of the last one by (root, security) alone; only funds that may lie on a cycle are remembered beside them, and nothing is
+    where no fund may. Products are dealt by their sum before they are added, as few of a task's are of one sum.
     A fund with more than ``per`` holdings is split over salts; each round is written.
     """
     held = held.where("fund is not null and security is not null and weight is not null").groupBy("fund", "security").agg(F.sum("weight").alias("weight"))
@@ -161,13 +168,16 @@ def look_through(roots: DataFrame, held: DataFrame, depth: int, per: int = 1_000
     steps = stages.written(steps.select("fund", "_salt", "security", F.col("weight").alias("_share"), F.coalesce("_tracked", F.lit(False)).alias("_tracked")), "look-through-steps")
     start = roots.select("root").where("root is not null").distinct().join(on_cycle.select(F.col("fund").alias("root"), F.lit(True).alias("_tracked")), "root", "left")
     none = F.array().cast(f"array<{dict(held.dtypes)['fund']}>")
-    now = start.select("root", F.col("root").alias("fund"), F.when(F.col("_tracked"), F.array("root")).otherwise(none).alias("through"), F.lit(1.0).alias("weight"))
+    passed = [] if on_cycle.isEmpty() else ["through"]
+    now = start.select("root", F.col("root").alias("fund"), F.when(F.col("_tracked"), F.array("root")).otherwise(none).alias("through"), F.lit(1.0).alias("weight")).select("root", "fund", *passed, "weight")
     found = []
     for i in range(1, depth + 1):
-        j = skew.copied(now, ["fund"], many).join(steps, ["fund", "_salt"]).where(~F.array_contains("through", F.col("security")))
-        through = F.when(F.col("_tracked"), F.array_sort(F.array_append("through", F.col("security")))).otherwise(F.col("through"))
-        j = j.select("root", F.col("security").alias("fund"), through.alias("through"), (F.col("weight") * F.col("_share")).alias("weight"))
-        now = stages.written(j.groupBy("root", "fund", "through").agg(F.sum("weight").alias("weight")), "look-through-round")
+        j = skew.copied(now, ["fund"], many).join(steps, ["fund", "_salt"])
+        if passed:
+            through = F.when(F.col("_tracked"), F.array_sort(F.array_append("through", F.col("security")))).otherwise(F.col("through"))
+            j = j.where(~F.array_contains("through", F.col("security"))).withColumn("through", through)
+        j = j.select("root", F.col("security").alias("fund"), *passed, (F.col("weight") * F.col("_share")).alias("weight"))
+        now = stages.written(stages.spread(j, "root", "fund").groupBy("root", "fund", *passed).agg(F.sum("weight").alias("weight")), "look-through-round")
         found.append(now.select("root", F.col("fund").alias("security"), F.lit(i).alias("depth"), "weight"))
         if now.isEmpty():
             break

@@ -382,17 +382,16 @@ UNION ALL (SELECT w.root, h.security, w.depth + 1, sum(w.weight * h.weight) FROM
 SELECT root, node AS security, min(depth) AS depth, round(sum(weight), 6) AS weight, node IN (SELECT fund FROM h) AS is_fund FROM w WHERE depth > 0 GROUP BY root, node""")
 def look_through(t):
     """Customers through their orders, the parts in them and the nations that supply those, to regions: shares multiplied and added up."""
-    name = lambda p, k: F.concat(F.lit(p), c(k).cast("string"))
-
-    def shares(rows, fund, security, value):
-        whole = rows.groupBy(fund.alias("fund")).agg(F.sum(value).alias("whole"))
-        own = rows.groupBy(fund.alias("fund"), security.alias("security")).agg(F.sum(value).alias("own"))
-        return own.join(whole, "fund").select("fund", "security", (c("own") / c("whole")).alias("weight"))
-
+    # a key and its kind are one number until the end
+    kinds = "copnr"
+    code = lambda p, k: F.shiftleft(c(k).cast("long"), 3).bitwiseOR(F.lit(kinds.index(p)))
+    name = lambda k: F.concat(F.substring(F.lit(kinds), (c(k).bitwiseAND(F.lit(7)) + 1).cast("int"), F.lit(1)), F.shiftright(k, 3).cast("string")).alias(k)
+    held = lambda rows, fund, security, value: rows.select(fund.alias("fund"), security.alias("security"), value.cast("double").alias("value"))
     supplied = t.lineitem.join(t.supplier, c("l_suppkey") == c("s_suppkey"))
-    held = shares(t.orders, name("c", "o_custkey"), name("o", "o_orderkey"), "o_totalprice").unionByName(shares(t.lineitem, name("o", "l_orderkey"), name("p", "l_partkey"), "l_extendedprice"))
-    held = held.unionByName(shares(supplied, name("p", "l_partkey"), name("n", "s_nationkey"), "l_quantity")).unionByName(t.nation.select(name("n", "n_nationkey").alias("fund"), name("r", "n_regionkey").alias("security"), F.lit(1.0).alias("weight")))
-    return holdings.look_through(t.customer.select(name("c", "c_custkey").alias("root")), held, 4).withColumn("weight", F.round("weight", 6))
+    rows = held(t.orders, code("c", "o_custkey"), code("o", "o_orderkey"), c("o_totalprice")).unionByName(held(t.lineitem, code("o", "l_orderkey"), code("p", "l_partkey"), c("l_extendedprice")))
+    rows = rows.unionByName(held(supplied, code("p", "l_partkey"), code("n", "s_nationkey"), c("l_quantity"))).unionByName(held(t.nation, code("n", "n_nationkey"), code("r", "n_regionkey"), F.lit(1.0)))
+    out = holdings.look_through(t.customer.select(code("c", "c_custkey").alias("root")), holdings.shares(rows, "value"), 4)
+    return out.select(name("root"), name("security"), "depth", F.round("weight", 6).alias("weight"), "is_fund")
 
 
 @query("SELECT 'urn:holdfast:isin:US' || l_partkey AS security_uri, 'urn:holdfast:isin:KR' || o_custkey AS fund_uri, CAST(o_orderdate AS DATE) AS as_of, round(sum(l_extendedprice), 4) AS market_value FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL")

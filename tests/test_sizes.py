@@ -3,10 +3,12 @@
 import os
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.operators import holdings, quality, query
+from holdfast.operators import graph, holdings, quality, query, stages, textsearch
 from holdfast.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -68,3 +70,43 @@ def test_a_timeline_has_only_the_columns_in_use(plan):
 
 def test_edges_are_dealt_before_they_are_distinct(plan):
     assert "RepartitionByExpression" in plan("relation_catalog")
+
+
+def written_plans(monkeypatch):
+    plans, was = [], stages.written
+    monkeypatch.setattr(stages, "written", lambda df, name: (plans.append(plan_of(df)), was(df, name))[1])
+    return plans
+
+
+def test_filings_are_parsed_once(plan):
+    assert plan("landed_filings").count("Relation [formData") == 1
+
+
+def test_a_round_of_neighbours_is_one_aggregation(spark, rows, monkeypatch):
+    plans = written_plans(monkeypatch)
+    edges = spark.createDataFrame([("a", "r", "b"), ("a", "r", "b"), ("b", "r", "a"), ("b", "r", "c"), ("a", "r", "c")], "src string, rel string, dst string")
+    found = graph.neighbours(spark.createDataFrame([("a",)], "root string"), edges, ["r"], 3)
+    assert rows(found) == [("a", "b", 1), ("a", "c", 1)]
+    assert not any("LeftAnti" in p for p in plans)
+
+
+def test_long_names_are_looked_for_by_their_heads(spark, rows, monkeypatch):
+    names = ["a b c d " + " ".join("x" * i) for i in range(1, 40)] + ["a b", "q b c d e"]
+    text = "z a b c d x x x a b c d x q b c d e"
+    docs = spark.createDataFrame([(1, text), (2, "nothing of these is in here at all"), (3, "a b c d"), (4, None)], "k int, body string")
+    found = textsearch.mentions(docs, ["k"], "body", spark.createDataFrame([(n,) for n in names], "name string"), "name")
+    assert rows(found.drop("start")) == sorted([(1, names[0], 8, 5), (1, names[2], 1, 7), (1, "q b c d e", 13, 5), (3, "a b", 0, 2)], key=str)
+    calls, was = [], textsearch._among
+    monkeypatch.setattr(textsearch, "_among", lambda known, x: (calls.append(1), was(known, x))[1])
+    n = np.arange(1, 60)
+    list(textsearch._hits(n, n * 7919, n * 104729)([pa.RecordBatch.from_pydict({"row": [1], "text": ["nothing of these is in here at all"]})]))
+    assert len(calls) == 5
+
+
+def test_nothing_is_remembered_without_cycles(spark, rows, monkeypatch):
+    plans = written_plans(monkeypatch)
+    held = holdings.shares(spark.createDataFrame([("a", "b", 1.0), ("a", "c", 2.0), ("a", "c", 1.0), ("b", "d", 4.0), ("c", "d", 2.0)], "fund string, security string, v double"), "v")
+    assert rows(held) == [("a", "b", 0.25), ("a", "c", 0.75), ("b", "d", 1.0), ("c", "d", 1.0)]
+    found = holdings.look_through(spark.createDataFrame([("a",)], "root string"), held, 3)
+    assert rows(found) == [("a", "b", 1, 0.25, True), ("a", "c", 1, 0.75, True), ("a", "d", 2, 1.0, False)]
+    assert not any("through" in p for p in plans)
