@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import text as T
 from .common import materialise, pick, release
-from .components import connected
+from .components import connected, extended
 
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Words of 64 parities that pairs are compared by before whole sets are: a bit tells whether an odd number of a set's
@@ -303,9 +303,8 @@ class _Join:
         self.classes = materialise(rows.where("node is not null").groupBy("node").agg(F.max("size").alias("size"), F.min(own).alias("first"), F.min("id").alias("least")), "jaccard-classes")
         self.unnamed = not self.classes.where("first is null").isEmpty()
 
-    def texts(self, nodes: DataFrame) -> DataFrame:
-        """(node, text) of the classes in ``nodes`` (node), once or more often each."""
-        k = nodes.count()
+    def texts(self, nodes: DataFrame, k: int) -> DataFrame:
+        """(node, text) of the ``k`` classes in ``nodes`` (node), once or more often each."""
         wanted = self.classes.join(self.few(nodes, k), "node", "left_semi")
         named = self.rows.join(self.few(wanted.where("first is not null").select(F.col("first").alias("id"), "node"), k), "id").select("node", "text")
         if not self.unnamed:
@@ -314,22 +313,26 @@ class _Join:
         rest = rest.select("text").mapInArrow(_with_nodes(self.n), "node long, text string").join(self.few(wanted.where("first is null").select("node"), k), "node", "left_semi")
         return named.unionByName(rest)
 
-    def one_text(self, nodes: DataFrame) -> DataFrame:
-        return self.texts(nodes).groupBy("node").agg(F.first("text").alias("text"))
+    def one_text(self, nodes: DataFrame, k: int) -> DataFrame:
+        return self.texts(nodes, k).groupBy("node").agg(F.first("text").alias("text"))
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link; only the texts of classes in some pair are read."""
+    def verified(self, pairs: DataFrame) -> DataFrame | None:
+        """The pairs (a, b) that link, None where none does; only the texts of classes in some pair are read."""
         pairs = materialise(pairs.distinct(), "jaccard-pairs")
         ends = materialise(_ends(pairs), "jaccard-ends")
-        thin = self.texts(ends).mapInArrow(_thin(self.n), "node long, size long, wide binary").groupBy("node").agg(F.first("size").alias("size"), F.first("wide").alias("wide"))
-        of = lambda s: thin.select(F.col("node").alias(s), F.col("size").alias(f"{s}_size"), F.col("wide").alias(f"{s}_wide"))
-        near = materialise(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_near(self.num, self.den), "a long, b long"), "jaccard-near")
-        near_ends = materialise(_ends(near), "jaccard-ends")
-        text = self.one_text(near_ends)
-        of = lambda s: text.select(F.col("node").alias(s), F.col("text").alias(f"{s}_text"))
-        out = materialise(near.join(of("a"), "a").join(of("b"), "b").mapInArrow(_verify(self.n, self.num, self.den), "a long, b long"), "jaccard-links")
-        release(pairs, ends, near, near_ends)
-        return out
+        held, out = [pairs, ends], None
+        if k := ends.count():
+            thin = self.texts(ends, k).mapInArrow(_thin(self.n), "node long, size long, wide binary").groupBy("node").agg(F.first("size").alias("size"), F.first("wide").alias("wide"))
+            of = lambda s: thin.select(F.col("node").alias(s), F.col("size").alias(f"{s}_size"), F.col("wide").alias(f"{s}_wide"))
+            near = materialise(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_near(self.num, self.den), "a long, b long"), "jaccard-near")
+            near_ends = materialise(_ends(near), "jaccard-ends")
+            held += [near, near_ends]
+            if k := near_ends.count():
+                text = self.one_text(near_ends, k)
+                of = lambda s: text.select(F.col("node").alias(s), F.col("text").alias(f"{s}_text"))
+                out = materialise(near.join(of("a"), "a").join(of("b"), "b").mapInArrow(_verify(self.n, self.num, self.den), "a long, b long"), "jaccard-links")
+        release(*held)
+        return None if out is None or out.isEmpty() else out
 
     def possible(self, x: str, y: str, ahead):
         """Length and positional filter of two postings that share an n-gram; ``ahead``: how many they may share before it."""
@@ -349,7 +352,9 @@ class _Join:
         whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         me = F.struct("size", "node", "place")
         posts = posts.withColumn("n_posts", F.count("*").over(whole)).withColumn("lead", F.first(me).over(whole)).withColumn("prev", F.lag(me).over(group))
-        return materialise(posts.where("n_posts > 1 or salt >= 0").withColumn("more", F.expr("n_posts > 3 or salt >= 0")).drop("n_posts"), "jaccard-postings")
+        out = materialise(posts.where("n_posts > 1 or salt >= 0").withColumn("more", F.expr("n_posts > 3 or salt >= 0")).drop("n_posts"), "jaccard-postings")
+        table.destroy()
+        return out
 
     def star_pairs(self, posts: DataFrame) -> DataFrame:
         """Each posting with its group's lead and the one before; a group of a frequent n-gram by its lead with the n-gram's first."""
@@ -379,15 +384,17 @@ class _Join:
         posts = self.shared_postings()
         links = self.verified(self.star_pairs(posts))
         if self.several:  # rows of one id are of one component
-            links = links.unionByName(self.of_row.where("lo is not null and node is not null").select(F.col("lo").alias("a"), F.col("node").alias("b")).where("a <> b"))
+            same = self.of_row.where("lo is not null and node is not null").select(F.col("lo").alias("a"), F.col("node").alias("b")).where("a <> b")
+            links = same if links is None else links.unionByName(same)
         # of n-grams with up to three classes all pairs are compared by now
         rest = materialise(posts.where("more").select("gram", "node", "size", "place", "salt"), "jaccard-rest")
         release(posts)
-        parts = connected(links)
+        parts = connected(self.rows.sparkSession.createDataFrame([], "a long, b long") if links is None else links)
         for seed in range(self.rounds):
-            links = links.unionByName(self.verified(self.neighbour_pairs(rest, parts, seed)))
-            parts = connected(links)
-        parts = connected(links.unionByName(self.verified(self.cross_pairs(rest, parts))))
+            if (more := self.verified(self.neighbour_pairs(rest, parts, seed))) is not None:
+                parts = extended(parts, more)
+        if (more := self.verified(self.cross_pairs(rest, parts))) is not None:
+            parts = extended(parts, more)
         release(rest)
         of_class = self.classes.join(parts, "node", "left").select("node", "first", "least", F.coalesce("part", "node").alias("part"))
         smallest = of_class.groupBy("part").agg(F.min("least").alias("component"))
@@ -396,7 +403,7 @@ class _Join:
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).distinct().union(pairs.select(F.col("b").alias("node")).distinct()).distinct()
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
 def _pair(df: DataFrame) -> DataFrame:
@@ -473,7 +480,7 @@ def _linked(join: _Join, groups: _Groups, weights: DataFrame, block: int, as_pai
     )
     at = materialise(at.select("part", "node", "weight", tasks.alias("tasks")), "jaccard-tasks")
     key = ["part", "low", "i", "high", "j"]
-    sent = at.join(join.one_text(at.select("node")), "node").select("part", "node", "weight", "text", F.explode("tasks").alias("task")).select("part", "task.*", "node", "weight", "text")
+    sent = at.join(join.one_text(at.select("node"), at.count()), "node").select("part", "node", "weight", "text", F.explode("tasks").alias("task")).select("part", "task.*", "node", "weight", "text")
     out = sent.repartition(*key).sortWithinPartitions(*key).mapInArrow(_inside(join.n, num, den, as_pairs), "a long, b long" if as_pairs else "node long, n long")
     return by_part.where(F.col("k") == known).select("lo", "hi"), out
 
