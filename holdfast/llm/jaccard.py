@@ -16,7 +16,9 @@ The method is a prefix-filtered set join:
 5. Then every pair of classes that shares a prefix n-gram and lies in *different* components is a candidate. A pair is
    made at the first n-gram that both prefixes share: the positional filter counts nothing before the n-gram at hand,
    and where both classes have the same shared n-gram just before it, that one has made the pair already. Pairs inside
-   a component need no look: they can't change the result.
+   a component need no look: they can't change the result. So only n-grams of several components are joined, and there
+   the classes outside the largest component with all others; the join itself holds the suffix filter, so that a large
+   group and the texts beside it that don't link with it make no rows.
 6. Candidates pass a suffix filter, a lower bound of the sets' Hamming distance from the parities of their n-grams by
    hash; each of those left is verified once, in full.
 7. Where links are asked for, all pairs of classes inside each component are compared, exactly. A component's classes
@@ -31,6 +33,8 @@ links, and is nobody's smallest id. Ids are integers or null.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 from typing import NamedTuple
 
 import numpy as np
@@ -46,6 +50,8 @@ _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Words of 64 parities that pairs are compared by before whole sets are: a bit tells whether an odd number of a set's
 #: n-grams fall to it. Two sets differ in as many n-grams as their parities do, at least.
 _WIDE = 64
+#: Words that the parities are folded to where they travel with postings.
+_NARROW = 16
 #: Pairs whose texts are verified at once.
 _AT_ONCE = 32
 
@@ -210,18 +216,20 @@ def _with_nodes(n: int):
 
 
 def _thin(n: int):
-    """Each class's size and parities."""
+    """Each class's size and parities, whole and folded."""
 
     def run(batches):
         for batch in batches:
-            sizes, wide = [], []
+            sizes, wide, narrow = [], [], []
             for _, flat, at in sets_of(batch.column("text"), n):
                 sizes.append(np.diff(at))
                 for lo in range(0, len(at) - 1, 256):
                     some = at[lo : lo + 257]
-                    wide += [x.tobytes() for x in _parities(flat[some[0] : some[-1]], some - some[0])]
+                    odd = _parities(flat[some[0] : some[-1]], some - some[0])
+                    wide += [x.tobytes() for x in odd]
+                    narrow += np.bitwise_xor.reduce(odd.reshape(len(odd), -1, _NARROW), axis=1).tolist()
             if sizes:
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(np.concatenate(sizes), pa.int64()), pa.array(wide, pa.binary())], ["node", "size", "wide"])
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(np.concatenate(sizes), pa.int64()), pa.array(wide, pa.binary()), pa.array(narrow, pa.list_(pa.int64()))], ["node", "size", "wide", "narrow"])
 
     return run
 
@@ -316,13 +324,18 @@ class _Join:
     def one_text(self, nodes: DataFrame, k: int) -> DataFrame:
         return self.texts(nodes, k).groupBy("node").agg(F.first("text").alias("text"))
 
-    def verified(self, pairs: DataFrame) -> DataFrame | None:
-        """The pairs (a, b) that link, None where none does; only the texts of classes in some pair are read."""
+    def thin(self, nodes: DataFrame, k: int) -> DataFrame:
+        """(node, size, wide, narrow) of the ``k`` classes in ``nodes`` (node)."""
+        each = self.texts(nodes, k).mapInArrow(_thin(self.n), "node long, size long, wide binary, narrow array<long>")
+        return each.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "wide", "narrow")])
+
+    def verified(self, pairs: DataFrame, thin: DataFrame | None = None) -> DataFrame | None:
+        """The pairs (a, b) that link, None where none does; only the texts of classes in some pair are read. ``thin``: of their classes, where known."""
         pairs = materialise(pairs.distinct(), "jaccard-pairs")
         ends = materialise(_ends(pairs), "jaccard-ends")
         held, out = [pairs, ends], None
         if k := ends.count():
-            thin = self.texts(ends, k).mapInArrow(_thin(self.n), "node long, size long, wide binary").groupBy("node").agg(F.first("size").alias("size"), F.first("wide").alias("wide"))
+            thin = self.thin(ends, k) if thin is None else thin
             of = lambda s: thin.select(F.col("node").alias(s), F.col("size").alias(f"{s}_size"), F.col("wide").alias(f"{s}_wide"))
             near = materialise(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(_near(self.num, self.den), "a long, b long"), "jaccard-near")
             near_ends = materialise(_ends(near), "jaccard-ends")
@@ -371,13 +384,35 @@ class _Join:
         near = near.select(me.alias("x"), F.lag(me).over(Window.partitionBy("gram", "salt").orderBy(F.xxhash64("node", "gram", F.lit(seed)), "node")).alias("y"))
         return _pair(near.where(F.col("x.part") != F.col("y.part")).where(self.possible("x", "y", F.least("x.place", "y.place").cast("long"))))
 
-    def cross_pairs(self, posts: DataFrame, parts: DataFrame) -> DataFrame:
-        """Pairs of classes in different components, made at the first n-gram that both prefixes share."""
+    def open_postings(self, posts: DataFrame, parts: DataFrame) -> DataFrame:
+        """The postings of n-grams whose classes are of several components, with the class's (part), the n-gram's largest (main) and the class's n-gram before."""
         at = posts.select("gram", "node", "size", "place").withColumn("pred", F.lag("gram").over(Window.partitionBy("node").orderBy("place")))
         at = at.join(self.few(parts, parts.count()), "node", "left").withColumn("part", F.coalesce("part", "node"))
+        mains = at.groupBy("gram", "part").agg(F.count("*").alias("k")).groupBy("gram").agg(F.sum("k").alias("k"), F.max(F.struct("k", "part")).alias("main"))
+        return materialise(at.join(mains.where("k > main.k").select("gram", F.col("main.part").alias("main")), "gram"), "jaccard-open")
+
+    def cross_pairs(self, at: DataFrame, thin: DataFrame) -> DataFrame:
+        """Pairs of classes in different components that parities allow, made at the first n-gram that both prefixes share."""
+        at = at.join(thin.select("node", "narrow"), "node")
         first = F.coalesce(F.col("x.pred") != F.col("y.pred"), F.lit(True))
-        cross = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.part") < F.col("y.part")) & first & self.possible("x", "y", F.lit(0))
-        return _pair(at.alias("x").join(at.alias("y"), cross))
+        once = (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.main")) | (F.col("x.part") < F.col("y.part")))
+        differ = reduce(add, [F.bit_count(F.col("x.narrow")[i].bitwiseXOR(F.col("y.narrow")[i])) for i in range(_NARROW)])
+        both = F.col("x.size").cast("long") + F.col("y.size")
+        near = differ <= both - 2 * F.ceil(self.num * both / (self.num + self.den))
+        cross = (F.col("x.gram") == F.col("y.gram")) & once & first & self.possible("x", "y", F.lit(0)) & near
+        return _pair(at.where("part <> main").alias("x").join(at.alias("y"), cross))
+
+    def crossed(self, posts: DataFrame, parts: DataFrame) -> DataFrame | None:
+        """The links between components."""
+        at = self.open_postings(posts, parts)
+        nodes = materialise(at.select("node").distinct(), "jaccard-open-nodes")
+        held, out = [at, nodes], None
+        if k := nodes.count():
+            thin = materialise(self.thin(nodes, k), "jaccard-thin")
+            held.append(thin)
+            out = self.verified(self.cross_pairs(at, thin), thin)
+        release(*held)
+        return out
 
     def grouped(self) -> _Groups:
         self.classify()
@@ -393,7 +428,7 @@ class _Join:
         for seed in range(self.rounds):
             if (more := self.verified(self.neighbour_pairs(rest, parts, seed))) is not None:
                 parts = extended(parts, more)
-        if (more := self.verified(self.cross_pairs(rest, parts))) is not None:
+        if (more := self.crossed(rest, parts)) is not None:
             parts = extended(parts, more)
         release(rest)
         of_class = self.classes.join(parts, "node", "left").select("node", "first", "least", F.coalesce("part", "node").alias("part"))

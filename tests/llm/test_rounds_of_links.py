@@ -37,3 +37,23 @@ def test_rounds_without_a_link_are_few_jobs(spark):
     kept, jobs = jobs_of(spark, "few-rounds", lambda: sorted(r["doc_id"] for r in jaccard.keep_one(table(spark, rows)).collect()))
     assert kept == list(range(0, 60, 2))
     assert jobs <= 110
+
+
+def test_pairs_beside_a_large_group_grow_no_faster_than_it(spark, monkeypatch):
+    def compared(k):
+        """A group of k near copies and k texts that share n-grams with each of them and link with none: pairs that are made."""
+        rng = random.Random(10)
+        base, rows, made = words(rng, 120, 10**6).split(), [], []
+        for i in range(2 * k):
+            own = base[:]
+            for at in rng.sample(range(0, 120, 5), 1 if i < k else 5):
+                own[at] = f"x{i}x{at}"
+            rows.append((i, " ".join(own)))
+        ends = jaccard._ends
+        monkeypatch.setattr(jaccard, "_ends", lambda pairs: made.append(pairs.count()) or ends(pairs))
+        parts = {r["doc_id"]: r["component_id"] for r in jaccard.similar_groups(table(spark, rows), bits=16).collect()}
+        monkeypatch.undo()
+        assert parts == {i: 0 if i < k else i for i in range(2 * k)}
+        return sum(made)
+
+    assert compared(200) <= 3 * compared(100)
