@@ -105,14 +105,23 @@ def to_graph(records: DataFrame, run: Column | None = None) -> dict[str, DataFra
         ties = [(keys + ["_run"], *tie) for keys, *tie in ties]
         ties += [(placed, "snapshot_uri", "HAS_HOLDING", "position_uri"), (placed, "position_uri", "DERIVED_FROM", "_artifact_uri"), (dated, "_run_uri", "UPSERTED", "snapshot_uri"), (placed, "_run_uri", "UPSERTED", "position_uri")]
 
-    def made(rows: DataFrame, own: list) -> DataFrame:
-        rows = rows.withColumns({u: uris[u] for u in dict.fromkeys(x for _, a, _, b in own for x in (a, b))})
-        return rows.select(F.explode(F.array(*[F.struct(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).alias("dst")) for _, a, rel, b in own])).alias("e")).select("e.*")
-
-    parts = []
-    for keys in (holds, dated, placed):
-        whole = records.select(*keys).where(" and ".join(f"{k} is not null" for k in keys if k != "_run"))
-        parts.append(made(stages.spread(whole, *keys).distinct(), [tie for tie in ties if tie[0] == keys]).where("src is not null and dst is not null"))
+    def made(rows: DataFrame, own: list, more: list | None = None) -> DataFrame:
+        """The edges ``own`` of each row, and ``more`` of the rows marked ``_first``."""
+        rows = rows.withColumns({u: uris[u] for u in dict.fromkeys(x for _, a, _, b in own + (more or []) for x in (a, b))})
+        of = lambda ties: F.array(*[F.struct(F.col(a).alias("src"), F.lit(rel).alias("rel"), F.col(b).alias("dst")) for _, a, rel, b in ties])
+        found = F.concat(of(own), F.when(F.col("_first"), of(more)).otherwise(F.array())) if more else of(own)
+        return rows.select(F.explode(found).alias("e")).select("e.*")
+
+    def whole(keys: list) -> DataFrame:
+        return records.where(" and ".join(f"{k} is not null" for k in keys if k != "_run"))
+
+    # dealt without the run: a constant among the keys of a shuffle isn't known again in those of an aggregation, which then shuffles anew.
+    # A snapshot's records come together, so one shuffle does for its own edges, made at its first record, and for those of its positions
+    tied = stages.spread(whole(holds).select(*holds), "fund_isin", "constituent_isin").distinct()
+    day = ["fund_isin", "as_of", "source_document_id"]
+    first = F.row_number().over(Window.partitionBy(*day).orderBy("constituent_isin")) == 1
+    laid = stages.spread(whole(dated).select(*placed), *day).distinct().withColumn("_first", first)
+    parts = [made(rows, own, more).where("src is not null and dst is not null") for rows, own, more in ((tied, [t for t in ties if t[0] == holds], None), (laid, [t for t in ties if t[0] == placed], [t for t in ties if t[0] == dated]))]
     lacking = records.where(" or ".join(f"{k} is null" for k in placed))
     parts.append(made(lacking, ties).where("src is null or dst is null").distinct())
     return {"snapshots": snapshots, "positions": positions.dropDuplicates(["uri"]), "edges": reduce(DataFrame.unionByName, parts)}
