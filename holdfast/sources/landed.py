@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import csv
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -99,23 +103,35 @@ _SHUT = rb'(?:"[^"]*+(?:""[^"]*+)*+"[^,\r\n]*+|[^,\r\n"][^,\r\n]*+|)'
 _ONE = re.compile(rb"%s(?:,%s)*+[\r\n]" % (_SHUT, _SHUT))
 _WHOLE = re.compile(rb"(?:%s(?:,%s)*+[\r\n])*+" % (_SHUT, _SHUT))
 _MARK = b"\xef\xbb\xbf"
+#: The same of records whose quotes have nothing after them in their cells, which other readers take alike.
+_PLAIN = rb'(?:"[^"]*+(?:""[^"]*+)*+"|[^,\r\n"][^,\r\n]*+|)'
+_REGULAR = re.compile(rb"(?:%s(?:,%s)*+[\r\n])*+" % (_PLAIN, _PLAIN))
+_RECORDS, _CELLS = (re.compile(x.replace(r"\z", r"\Z")) for x in (_RECORD, f",({_CELL})"))
 
 
 def _basket_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(document, block, line): lines in the splits that they are read in, as they are in the files."""
-    name = F.regexp_replace(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
-    return spark.read.option("lineSep", "\n").text(path).select(name.alias("document"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
+    """(path, block, line): lines in the splits that they are read in, as they are in the files."""
+    return spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
+
+
+def _document(path: str) -> Column:
+    """A file's address as documents are named by."""
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
 
 
 def _runs(batches):
     """Of batches in reading order: (row that tells the split, the split's next lines with their ends)."""
     for batch in batches:
-        names, blocks, lines = (batch.column(c).to_pylist() for c in ("document", "block", "line"))
-        at = 0
-        for i in range(1, len(lines) + 1):
-            if i == len(lines) or blocks[i] != blocks[at] or names[i] != names[at]:
-                yield batch.slice(at, 1).to_pylist()[0], b"\n".join(lines[at:i]) + b"\n"
-                at = i
+        names, blocks, lines = (batch.column(c) for c in ("path", "block", "line"))
+        n = batch.num_rows
+        if not n:
+            continue
+        other = pc.or_(pc.not_equal(names[1:], names[:-1]), pc.not_equal(blocks[1:], blocks[:-1])).to_numpy(zero_copy_only=False)
+        at = [0, *(other.nonzero()[0] + 1).tolist(), n]
+        told = batch.drop_columns(["line"])
+        for i, j in zip(at, at[1:]):
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), lines[i:j]), b"\n")
+            yield told.slice(i, 1).to_pylist()[0], joined[0].as_py() + b"\n"
 
 
 def _decodes(data: bytes, encoding: str) -> bool:
@@ -134,25 +150,120 @@ def _ends_inside(data: bytes, inside: bool) -> bool:
     return _WHOLE.match(data).end() < len(data)
 
 
+def _filled(text: str) -> Iterator[list[str]]:
+    """The records of a text of whole ones as lists of cells, blank ones left out."""
+
+    def unquoted(c):
+        if not c.startswith('"'):
+            return c
+        own, shut, _ = c[1:].rpartition('"')
+        return (own if shut else c[1:]).replace('""', '"')
+
+    for record in _RECORDS.finditer(text):
+        cells = [unquoted(c) for c in _CELLS.findall("," + record.group())]
+        if any(c.strip() for c in cells):
+            yield cells
+
+
 def _basket_states(fallback: str):
-    """Of each split: whether it ends inside quotes if it begins outside (out0) or inside (out1), and what encodings fit."""
+    """Of each split: whether it ends inside quotes if it begins outside (out0) or inside (out1), and what encodings fit.
+
+    Of a file's first split also its first record that isn't blank, in either encoding (head8, other_head), if it ends there.
+    """
 
     def run(batches):
-        key, state = None, None
+        key, state, pend, heads = None, None, b"", {}
         for row, data in _runs(batches):
-            if (own := (row["document"], row["block"])) != key:
+            if (own := (row["path"], row["block"])) != key:
                 if key is not None:
                     yield pa.RecordBatch.from_pylist([state], schema)
-                key, state = own, {"document": own[0], "block": own[1], "out0": False, "out1": True, "utf8": True, "other": True}
-                data = data.removeprefix(_MARK) if own[1] == 0 else data
+                key, state = own, {"path": own[0], "block": own[1], "out0": False, "out1": True, "utf8": True, "other": True, "head8": None, "other_head": None}
+                pend, heads = b"", {"head8": "utf-8"} if own[1] == 0 else {}
+                if own[1] == 0 and data.startswith(_MARK):
+                    data = data.removeprefix(_MARK)
+                elif own[1] == 0:
+                    heads["other_head"] = fallback
             o0 = _ends_inside(data, state["out0"])
             state |= {"out1": o0 if state["out0"] == state["out1"] else _ends_inside(data, state["out1"]), "out0": o0}
-            state["utf8"] = state["utf8"] and _decodes(data, "utf-8")
-            state["other"] = state["other"] and _decodes(data, fallback)
+            if not data.isascii():
+                state["utf8"] = state["utf8"] and _decodes(data, "utf-8")
+                state["other"] = state["other"] and _decodes(data, fallback)
+            if heads:
+                pend += data
+                if end := _WHOLE.match(pend).end():
+                    for name, encoding in list(heads.items()):
+                        if _decodes(pend[:end], encoding) and (first := next(_filled(pend[:end].decode(encoding)), None)):
+                            state[name] = first
+                            heads.pop(name)
+                    pend = pend[end:]
         if key is not None:
             yield pa.RecordBatch.from_pylist([state], schema)
 
-    schema = pa.schema([("document", pa.string()), ("block", pa.int64()), *[(n, pa.bool_()) for n in ("out0", "out1", "utf8", "other")]])
+    schema = pa.schema([("path", pa.string()), ("block", pa.int64()), *[(n, pa.bool_()) for n in ("out0", "out1", "utf8", "other")], *[(n, pa.list_(pa.string())) for n in ("head8", "other_head")]])
+    return run
+
+
+def _parsed(data: bytes, n_cells: int) -> list[pa.Array] | None:
+    """The columns of regular records by Arrow's reader, or none where they aren't of so many cells each."""
+    reading = csv.ReadOptions(autogenerate_column_names=True, use_threads=False, block_size=len(data) + 1)
+    kinds = csv.ConvertOptions(column_types={f"f{i}": pa.string() for i in range(n_cells)})
+    try:
+        found = csv.read_csv(pa.BufferReader(data), reading, csv.ParseOptions(newlines_in_values=True), kinds).combine_chunks()
+    except pa.ArrowInvalid:
+        return None
+    return [c.chunk(0) for c in found.columns] if found.num_columns == n_cells and found.num_rows else None
+
+
+def _basket_rows(fallback: str):
+    """Of files none of whose splits begins or ends inside quotes: rows below the header, in the eight columns, without white space at their ends.
+
+    Regular records of as many cells as the header are parsed by Arrow's reader, others one by one. ``k`` numbers a split's rows.
+    """
+
+    def columns(data, regular, row):
+        encoding = "utf-8" if row["utf8"] else fallback
+        places = [int(x) for x in row["places"].split(",")]
+        known = [x for x in places if x >= 0]
+        found = _parsed(data if row["utf8"] or data.isascii() else data.decode(encoding).encode(), row["n_cells"]) if regular else None
+        if found is None:
+            rows = list(_filled(data.decode(encoding)))
+            own = {x: pc.utf8_trim(pa.array([r[x] if x < len(r) else None for r in rows], pa.string()), S._BLANKS) for x in known}
+            filled, n = None, len(rows)
+        else:
+            own = {x: pc.utf8_trim(found[x], S._BLANKS) for x in known}
+            filled, n = pc.not_equal(own[known[0]], ""), len(found[0])
+            # a row of blank cells alone is left out
+            for x in range(row["n_cells"]) if not pc.all(filled).as_py() else []:
+                filled = pc.or_(filled, pc.not_equal(pc.utf8_trim(found[x], S._BLANKS), ""))
+            own = {x: c.filter(filled) for x, c in own.items()} if not pc.all(filled).as_py() else own
+            n = len(own[known[0]])
+        return [pc.if_else(pc.equal(own[x], ""), None, own[x]) if x >= 0 else pa.nulls(n, pa.string()) for x in places]
+
+    def run(batches):
+        key, n, pend, header = None, 0, [], False
+        for row, data in _runs(batches):
+            if (own := (row["d"], row["block"])) != key:
+                key, n, pend, header = own, 0, [], own[1] == 0
+                data = data.removeprefix(_MARK) if own[1] == 0 and row["utf8"] else data
+            # what is pending is inside quotes, so lines without any go on with it
+            if pend and b'"' not in data:
+                pend.append(data)
+                continue
+            data = b"".join([*pend, data]) if pend else data
+            regular = _REGULAR.match(data).end() == len(data)
+            end = len(data) if regular else _WHOLE.match(data).end()
+            pend = [data[end:]] if end < len(data) else []
+            if not end:
+                continue
+            found = columns(data[:end] if pend else data, regular, row)
+            if header and len(found[0]):
+                found, header = [c[1:] for c in found], False
+            if size := len(found[0]):
+                at = [pa.repeat(pa.scalar(x, pa.int64()), size) for x in own]
+                yield pa.RecordBatch.from_arrays([*at, pa.array(np.arange(n, n + size)), *found], schema=schema)
+                n += size
+
+    schema = pa.schema([*[(x, pa.int64()) for x in ("d", "block", "k")], *[(x, pa.string()) for x in BASKET]])
     return run
 
 
@@ -201,22 +312,47 @@ def _basket_pieces(fallback: str):
     return run
 
 
-def _baskets(spark: SparkSession, path: str, fallback: str) -> tuple[DataFrame, DataFrame]:
-    """(documents (document, header, first, problem), units (document, at, rows)): records as lists of cells, blank ones left out.
+def _baskets(spark: SparkSession, path: str, fallback: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(documents (d, path, document, utf8, header, places, plain, first, problem), lines, units (document, at, rows) of those that aren't plain).
 
     Files are read by lines in splits, so that a task's memory doesn't grow with them. One reading tells of each split whether
-    it ends inside quotes, from which follows how the next one begins; then records are made in the splits, and only those over
+    it ends inside quotes, from which follows how the next one begins, and of each file its header. Where no split begins or ends inside
+    quotes, files are plain. For others, if any, records are made in the splits, and only those over
     an end of a split are put together by a shuffle. Splits and files have a small row each, as in Spark's own listing of them.
     """
     if '",\r\n'.encode(fallback) != b'",\r\n':
         raise ValueError(f"{fallback} doesn't leave ASCII to itself")
     lines = _basket_lines(spark, path)
-    read = lines.mapInArrow(_basket_states(fallback), "document string, block long, out0 boolean, out1 boolean, utf8 boolean, other boolean")
+    read = lines.mapInArrow(_basket_states(fallback), "path string, block long, out0 boolean, out1 boolean, utf8 boolean, other boolean, head8 array<string>, other_head array<string>")
     splits = F.sort_array(F.collect_list(F.struct("block", "out0", "out1")))
-    states = stages.written(read.groupBy("document").agg(splits.alias("s"), F.min("utf8").alias("utf8"), F.min("other").alias("other")), "basket-states")
+    head = lambda c: F.first(c, ignorenulls=True).alias(c)
+    states = read.groupBy("path").agg(splits.alias("s"), F.min("utf8").alias("utf8"), F.min("other").alias("other"), head("head8"), head("other_head"))
+    header = F.when(F.col("utf8"), F.col("head8")).when(F.col("other"), F.col("other_head"))
+    plain = header.isNotNull() & ~F.exists("s", lambda x: x.out0)
+    states = stages.written(states.select(F.monotonically_increasing_id().alias("d"), "path", _document("path").alias("document"), "s", "utf8", "other", header.alias("cells"), plain.alias("plain")), "basket-states")
+    docs, units = states.select("d", "path", "document", "utf8", "plain", F.when(F.col("plain"), F.col("cells")).alias("cells"), F.when(~F.col("utf8") & ~F.col("other"), f"neither UTF-8 nor {fallback}").alias("problem")), None
+    odd = states.where("not plain and (utf8 or other)")
+    if odd.isEmpty():
+        docs = docs.withColumn("first", F.lit(None).cast("struct<block: long, i: long>"))
+    else:
+        units = _units(lines, odd, fallback)
+        first = units.where("early and size(rows) > 0").groupBy("document").agg(F.min("at").alias("first"), F.min_by(F.get("rows", F.lit(0)), "at").alias("found"))
+        docs = docs.join(first, "document", "left").withColumn("cells", F.coalesce("cells", "found")).drop("found")
+    names = F.create_map(*[F.lit(x) for kv in BASKET_HEADERS.items() for x in kv])
+    docs = docs.withColumn("n_cells", F.size("cells")).withColumn("header", F.transform("cells", lambda c: names[S.header_key(c)])).drop("cells")
+    # the first column of each meaning, by its number from 0, or -1
+    docs = docs.withColumn("places", F.concat_ws(",", *[F.array_position("header", n) - 1 for n in BASKET]))
+    has = lambda *names: F.arrays_overlap(F.array_compact("header"), F.array(*map(F.lit, names)))
+    checks = [(F.col("header").isNull(), "no header row"), (~has("name"), "no column of names"), (~has("source_isin", "krx_code"), "neither a column of ISINs nor of codes")]
+    docs = docs.withColumn("problem", F.coalesce("problem", *[F.when(c, F.lit(r)) for c, r in checks]))
+    return stages.written(docs, "basket-documents"), lines, units
+
+
+def _units(lines: DataFrame, states: DataFrame, fallback: str) -> DataFrame:
+    """(document, at, early, rows): records as lists of cells, blank ones left out, of files whose records may lie over ends of splits."""
     inside = lambda i: F.aggregate(F.slice("s", F.lit(1), i), F.lit(False), lambda was, x: F.when(was, x.out1).otherwise(x.out0))
-    begins = states.where("utf8 or other").select("document", "utf8", F.explode(F.transform("s", lambda x, i: F.struct(x.block.alias("block"), inside(i).alias("inside")))).alias("b")).select("document", "b.*", "utf8")
-    pieces = lines.join(F.broadcast(begins), ["document", "block"]).mapInArrow(_basket_pieces(fallback), "document string, block long, i long, kind string, early boolean, value string")
+    begins = states.select("path", "document", "utf8", F.explode(F.transform("s", lambda x, i: F.struct(x.block.alias("block"), inside(i).alias("inside")))).alias("b")).select("path", "document", "b.*", "utf8")
+    pieces = lines.join(F.broadcast(begins), ["path", "block"]).mapInArrow(_basket_pieces(fallback), "document string, block long, i long, kind string, early boolean, value string")
     order = Window.partitionBy("document").orderBy("block", "i")
     over = pieces.where("kind <> 'whole'").withColumn("unit", F.count(F.when(F.col("kind") == "head", 1)).over(order)).groupBy("document", "unit").agg(F.sort_array(F.collect_list(F.struct("block", "i", "value"))).alias("p"))
     over = over.select("document", F.struct(F.col("p")[0].block.alias("block"), F.col("p")[0].i.alias("i")).alias("at"), F.lit(True).alias("early"), F.array_join("p.value", "").alias("value"))
@@ -224,15 +360,7 @@ def _baskets(spark: SparkSession, path: str, fallback: str) -> tuple[DataFrame,
     unquoted = lambda c: F.when(F.startswith(c, F.lit('"')), F.replace(F.regexp_replace(c, r'^"|"[^"]*$', ""), F.lit('""'), F.lit('"'))).otherwise(c)
     cells = lambda record: F.transform(F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(f",({_CELL})"), F.lit(1)), unquoted)
     rows = F.filter(F.transform(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0)), cells), lambda r: F.exists(r, lambda c: S.text(c).isNotNull()))
-    units = texts.select("document", "at", "early", rows.alias("rows"))
-    names = F.create_map(*[F.lit(x) for kv in BASKET_HEADERS.items() for x in kv])
-    first = units.where("early and size(rows) > 0").groupBy("document").agg(F.min("at").alias("first"), F.min_by(F.get("rows", F.lit(0)), "at").alias("header"))
-    docs = states.select("document", F.when(~F.col("utf8") & ~F.col("other"), f"neither UTF-8 nor {fallback}").alias("problem")).join(first, "document", "left")
-    docs = docs.withColumn("header", F.transform("header", lambda c: names[S.header_key(c)]))
-    has = lambda *names: F.arrays_overlap(F.array_compact("header"), F.array(*map(F.lit, names)))
-    checks = [(F.col("header").isNull(), "no header row"), (~has("name"), "no column of names"), (~has("source_isin", "krx_code"), "neither a column of ISINs nor of codes")]
-    docs = docs.withColumn("problem", F.coalesce("problem", *[F.when(c, F.lit(r)) for c, r in checks]))
-    return stages.written(docs, "basket-documents"), units
+    return texts.select("document", "at", "early", rows.alias("rows"))
 
 
 def basket_problems(spark: SparkSession, path: str, fallback: str = "cp949") -> DataFrame:
@@ -247,12 +375,18 @@ def basket_csv(spark: SparkSession, path: str, fallback: str = "cp949") -> DataF
     quotes may hold commas, quotes and line breaks. A large file is several tasks' work. Row numbers start at 2, over rows that aren't blank. Refused files (see
     ``basket_problems``) have no rows.
     """
-    docs, units = _baskets(spark, path, fallback)
-    docs = docs.where("problem is null").select("document", "header", "first")
+    docs, lines, units = _baskets(spark, path, fallback)
+    docs = docs.where("problem is null")
+    plain = docs.where("plain")
+    read = lines.join(F.broadcast(plain.select("path", "d", "utf8", "n_cells", "places")), "path").mapInArrow(_basket_rows(fallback), f"d long, block long, k long, {', '.join(f'{n} string' for n in BASKET)}")
+    number = F.row_number().over(Window.partitionBy("d").orderBy("block", "k")) + 1
+    out = read.withColumn("row_number", number).join(F.broadcast(plain.select("d", "document")), "d").select("document", "row_number", *BASKET)
+    if units is None:
+        return out
     before = F.coalesce(F.sum(F.size("rows")).over(Window.partitionBy("document").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    data = units.withColumn("before", before).join(F.broadcast(docs), "document").select("document", "header", "first", "at", "before", F.posexplode("rows").alias("i", "cells")).where("i > 0 or at > first")
+    data = units.withColumn("before", before).join(F.broadcast(docs.where("not plain").select("document", "header", "first")), "document").select("document", "header", "first", "at", "before", F.posexplode("rows").alias("i", "cells")).where("i > 0 or at > first")
     cell = lambda name: S.text(F.when(F.array_position("header", name) > 0, F.get("cells", (F.array_position("header", name) - 1).cast("int")))).alias(name)
-    return data.select("document", (F.col("before") + F.col("i") + 1).cast("int").alias("row_number"), *[cell(n) for n in BASKET])
+    return out.unionByName(data.select("document", (F.col("before") + F.col("i") + 1).cast("int").alias("row_number"), *[cell(n) for n in BASKET]))
 
 
 def artifacts(spark: SparkSession, root: str, stated: dict[str, str], large: int = 1 << 27, piece: int = 1 << 23) -> DataFrame:

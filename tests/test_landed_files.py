@@ -79,6 +79,32 @@ def test_baskets_in_splits(spark, tmp_path, size):
     assert problems == ["no header row"]
 
 
+def test_plain_baskets_are_parsed_once(spark, tmp_path):
+    """Files without line breaks in quotes over ends of splits: one pass, regular records by columns, whatever lies between them."""
+    header, line = "종목명,note,종목코드,종목 명,비중(%)\n", "삼성전자,x,005930,no,1%\n"
+    odd = [",,,,\n", ",only a note,,,\n", ",,,,,beyond\n", "short,x\n", '"one, ""two""",x,1,no,\n', ' a"b ,x,"line\nbreak",no,\n', "\n", "\u3000,\t,,,\n", '"",x,"","",\n']
+    texts = {"regular.csv": header + line * 3, "blank.csv": header + line + ",,,,\n \n\r\n" + line, "odd.csv": "\n,\n" + header + line.join(odd), "none.csv": header}
+    files = {f"{e}-{k}": t.encode(e) for k, t in texts.items() for e in ("utf-8", "utf-8-sig", "cp949")}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    out = landed.basket_csv(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "regexp_extract_all" not in plan
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["document"].rsplit("/", 1)[1], []).append(tuple(r)[1:])
+    for name, content in files.items():
+        assert sorted(got.pop(name, [])) == by_hand(content), name
+    assert got == {}
+    numbers = landed.basket_csv(spark, str(tmp_path)).select("name")
+    assert "Window" not in numbers._jdf.queryExecution().executedPlan().toString()
+
+
+def test_text_behind_a_closing_quote(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('name,code\n"ab"c,1\n"d""e"f" ,2\nx"y"z,3\n')
+    assert [r["name"] for r in landed.basket_csv(spark, str(tmp_path)).orderBy("row_number").collect()] == ["ab", 'd"e"f', 'x"y"z']
+
+
 @pytest.mark.parametrize("large", [1 << 27, 100])
 def test_artifacts(spark, tmp_path, large):
     rng = random.Random(8)
