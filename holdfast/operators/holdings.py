@@ -144,9 +144,22 @@ def shares(rows: DataFrame, value: str) -> DataFrame:
     return own.select("fund", "security", (F.col("_own") / F.sum("_own").over(Window.partitionBy("fund"))).alias("weight"))
 
 
-def _on_cycles(inner: DataFrame, rounds: int) -> DataFrame:
-    """(fund): all funds on cycles of fund-in-fund holdings and some between them: ends that nothing goes on from or leads to are taken off."""
-    left, n = inner, None
+def _on_cycles(held: DataFrame, funds: DataFrame, rounds: int) -> DataFrame:
+    """(fund): all funds on cycles of fund-in-fund holdings and some between them: ends that nothing goes on from or leads to are taken off.
+
+    At first only those that nothing leads to, as that shuffles no holdings but the funds that are reached; where these rounds
+    leave none, there is no cycle.
+    """
+    left, n = funds, None
+    for _ in range(rounds):
+        reached = held.join(left, "fund", "left_semi").select(F.col("security").alias("fund")).distinct()
+        left = stages.bucketed(left.join(reached, "fund", "left_semi"), "look-through-reached", "fund")
+        before, n = n, left.count()
+        if n in (0, before):
+            break
+    if n == 0:
+        return left
+    left, n = held.join(left, "fund", "left_semi").join(left.select(F.col("fund").alias("security")), "security", "left_semi"), None
     for _ in range(rounds):
         left = left.join(left.select(F.col("security").alias("fund")).distinct(), "fund", "left_semi")
         left = left.join(left.select(F.col("fund").alias("security")).distinct(), "security", "left_semi")
@@ -157,38 +170,125 @@ def _on_cycles(inner: DataFrame, rounds: int) -> DataFrame:
     return left.select("fund").distinct()
 
 
-def look_through(roots: DataFrame, held: DataFrame, depth: int, per: int = 1_000_000) -> DataFrame:
+#: So many rows of holdings are broadcast at most.
+_FEW = 200_000
+
+
+class _Rounds:
+    """What the rounds of ``look_through`` have in common: holdings in buckets by fund, and how a round's sums meet them.
+
+    A round's sums are two tables: ``even``, in buckets by fund, and ``wide``, those of the securities that more than ``per`` products
+    add up to, which lie anyhow.
+    """
+
+    def __init__(self, held: DataFrame, depth: int, per: int):
+        self.per, self.spark = per, held.sparkSession
+        self.held = stages.bucketed(held, "look-through-held", "fund")
+        self.funds = stages.bucketed(self.held.select("fund").distinct(), "look-through-funds", "fund")
+        self.on_cycle = stages.written(_on_cycles(self.held, self.funds, depth), "look-through-tracked")
+        self.passed = [] if self.on_cycle.isEmpty() else ["through"]
+        self.steps = self.held.withColumnRenamed("weight", "_share")
+        self.marks = ["_tracked"] if self.passed else []
+        if self.passed:
+            marks = self.on_cycle.select(F.col("fund").alias("security"), F.lit(True).alias("_tracked"))
+            steps = self.steps.join(marks, "security", "left").select("fund", "security", "_share", F.coalesce("_tracked", F.lit(False)).alias("_tracked"))
+            self.steps = stages.bucketed(stages.spread(steps, "fund"), "look-through-steps", "fund")
+        many = stages.written(skew.hot(self.held.groupBy("fund").agg(F.count("*").alias("n")), ["fund"], per), "look-through-large")
+        self.many = None if many.isEmpty() else many
+        self.even = self.wide = None
+
+    def start(self, roots: DataFrame) -> None:
+        start = roots.select("root").where("root is not null").distinct().join(self.on_cycle.select(F.col("fund").alias("root"), F.lit(True).alias("_on")), "root", "left")
+        none = F.array().cast(f"array<{dict(self.held.dtypes)['fund']}>")
+        through = F.when(F.col("_on"), F.array("root")).otherwise(none).alias("through")
+        start = start.select("root", F.col("root").alias("fund"), through, F.lit(1.0).alias("weight")).select("root", "fund", *self.passed, "weight")
+        self.even = stages.bucketed(stages.spread(start, "fund"), "look-through-round", "fund")
+        # the work of few roots is dealt by what they hold too
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.deals = 1 if self.even.count() >= 10 * n else n
+
+    def _met(self, steps: DataFrame, large: bool, only: Column | None = None) -> DataFrame:
+        """The last sums beside the holdings of their funds; ``large``: those of funds with more than ``per`` holdings are dealt over salts."""
+        def own(df):
+            return df.where(only) if only is not None else df
+
+        many = F.broadcast(self.many) if large and self.many is not None else None
+        few = steps.join(many, "fund", "left_anti") if many is not None else steps
+        met = [own(self.even).join(few, "fund")]
+        if self.wide is not None:
+            beside = steps.join(F.broadcast(self.wide.select("fund").distinct()), "fund", "left_semi")
+            beside = stages.written(beside, "look-through-beside")
+            met.append(own(self.wide).join(F.broadcast(beside) if beside.count() <= _FEW else beside, "fund").select(*met[0].columns))
+        if many is not None:
+            dealt = skew.dealt(steps.join(many, "fund", "left_semi"), ["fund"], self.many, F.col("security"))
+            met.append(skew.copied(own(self.even).join(many, "fund", "left_semi"), ["fund"], self.many).join(dealt, ["fund", "_salt"]).select(*met[0].columns))
+        return reduce(DataFrame.unionByName, met)
+
+    def _products(self, met: DataFrame, *more: str) -> DataFrame:
+        if self.passed:
+            through = F.when(F.col("_tracked"), F.array_sort(F.array_append("through", F.col("security")))).otherwise(F.col("through"))
+            met = met.where(~F.array_contains("through", F.col("security"))).withColumn("through", through)
+        return met.select("root", F.col("security").alias("fund"), *self.passed, *more, (F.col("weight") * F.col("_share")).alias("weight"))
+
+    def go_on(self) -> None:
+        keys = ["root", "fund", *self.passed]
+        counts = [df.groupBy("fund").agg(F.count("*").alias("n")) for df in (self.even, self.wide) if df is not None]
+        counts = counts[0] if len(counts) == 1 else counts[0].unionByName(counts[1]).groupBy("fund").agg(F.sum("n").alias("n"))
+        hot = stages.written(skew.hot(counts.join(self.steps, "fund").groupBy("security").agg(F.sum("n").alias("n")), ["security"], self.per), "look-through-hot")
+        n_hot = hot.agg(F.sum("salts")).first()[0] or 0
+        apart = F.broadcast(hot.select("security"))
+        mark = self.funds.withColumn("is_fund", F.lit(True))
+        wide = None
+        if n_hot:
+            wide = []
+            cols = ["security", "_share", *self.marks]
+            lists = self.steps.join(apart, "security").groupBy("fund").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("l"))
+            # one row for each sum and fund is shuffled, not one for each product
+            lists = stages.bucketed(lists.select("fund", *[F.col(f"l.{x}").alias(x) for x in cols]), "look-through-lists", "fund")
+            known = stages.written(hot.select(F.col("security").alias("fund")).join(mark, "fund", "left"), "look-through-known")
+            slices = -(-n_hot * self.per // _AT_ONCE)
+            for k in range(slices):
+                met = self._met(lists, False, F.pmod(F.xxhash64("root"), F.lit(slices)) == k if slices > 1 else None)
+                met = stages.spread(met.select("root", *self.passed, "weight", *cols, F.pmod(F.xxhash64("fund"), F.lit(self.deals)).alias("_deal")), "root", "_deal")
+                met = met.select("root", *self.passed, "weight", "_deal", F.inline(F.arrays_zip(*cols)))
+                sums = self._products(met, "_deal").groupBy(*keys, "_deal").agg(F.sum("weight").alias("weight"))
+                sums = sums.drop("_deal") if self.deals == 1 else sums.groupBy(*keys).agg(F.sum("weight").alias("weight"))
+                wide.append(stages.written(sums.join(F.broadcast(known), "fund"), "look-through-wide"))
+            wide = reduce(DataFrame.unionByName, wide)
+        steps = self.steps.join(apart, "security", "left_anti") if n_hot else self.steps
+        sums = stages.spread(self._products(self._met(steps, True)), "fund").groupBy(*keys).agg(F.sum("weight").alias("weight"))
+        self.even, self.wide = stages.bucketed(sums.join(mark, "fund", "left"), "look-through-round", "fund"), wide
+
+    def sums(self) -> list[DataFrame]:
+        return [df.select("root", F.col("fund").alias("security"), "weight", F.coalesce("is_fund", F.lit(False)).alias("is_fund")) for df in (self.even, self.wide) if df is not None]
+
+
+#: So many products to large securities are on their way at once; more take turns by their roots.
+_AT_ONCE = 500_000_000
+
+
+def look_through(roots: DataFrame, held: DataFrame, depth: int, per: int = 1_000_000, value: str | None = None) -> DataFrame:
     """(root, security, depth, weight, is_fund): what each root holds, through the funds that it holds, in up to ``depth`` steps.
 
-    ``held``: (fund, security, weight), where a security may be a fund itself. Weights multiply along a chain and add up over
+    ``held``: (fund, security, weight), where a security may be a fund itself; with ``value``, a weight is the ``shares`` of that column. Weights multiply along a chain and add up over
     chains; depth is the least. A chain stops where it would come back to a fund that it went through. Each round carries on
     the sums of the last one by (root, security) alone; only funds that may lie on a cycle are remembered beside them, and nothing is
-    where no fund may. Products are dealt by their sum before they are added, as few of a task's are of one sum.
-    A fund with more than ``per`` holdings is split over salts; each round is written.
+    where no fund may. Holdings are written in buckets by fund, and so are a round's sums, which the next one reads without a
+    shuffle. Of securities that more than ``per`` products add up to, all of a fund's are shuffled as one row, dealt by their root, some of the roots at a time, so that the disk
+    doesn't hold all products. A fund with more than ``per`` holdings is split over salts. Shuffles are freed as each round is written.
     """
-    held = held.where("fund is not null and security is not null and weight is not null").groupBy("fund", "security").agg(F.sum("weight").alias("weight"))
-    held = stages.written(held, "look-through-held")
-    funds = held.select("fund").distinct()
-    inner = held.select("fund", "security").join(funds.select(F.col("fund").alias("security")), "security", "left_semi")
-    on_cycle = stages.written(_on_cycles(inner, depth), "look-through-tracked")
-    many = stages.written(skew.hot(held.groupBy("fund").agg(F.count("*").alias("n")), ["fund"], per), "look-through-large")
-    marks = on_cycle.select(F.col("fund").alias("security"), F.lit(True).alias("_tracked"))
-    steps = skew.dealt(held.join(marks, "security", "left"), ["fund"], many, F.col("security"))
-    steps = stages.written(steps.select("fund", "_salt", "security", F.col("weight").alias("_share"), F.coalesce("_tracked", F.lit(False)).alias("_tracked")), "look-through-steps")
-    start = roots.select("root").where("root is not null").distinct().join(on_cycle.select(F.col("fund").alias("root"), F.lit(True).alias("_tracked")), "root", "left")
-    none = F.array().cast(f"array<{dict(held.dtypes)['fund']}>")
-    passed = [] if on_cycle.isEmpty() else ["through"]
-    now = start.select("root", F.col("root").alias("fund"), F.when(F.col("_tracked"), F.array("root")).otherwise(none).alias("through"), F.lit(1.0).alias("weight")).select("root", "fund", *passed, "weight")
+    whole = held.where("fund is not null and security is not null and weight is not null") if value is None else held.where("fund is not null")
+    if value is None:
+        whole = stages.spread(whole.select("fund", "security", "weight"), "fund").groupBy("fund", "security").agg(F.sum("weight").alias("weight"))
+    else:
+        whole = shares(whole, value).where("security is not null and weight is not null")
     found = []
-    for i in range(1, depth + 1):
-        j = skew.copied(now, ["fund"], many).join(steps, ["fund", "_salt"])
-        if passed:
-            through = F.when(F.col("_tracked"), F.array_sort(F.array_append("through", F.col("security")))).otherwise(F.col("through"))
-            j = j.where(~F.array_contains("through", F.col("security"))).withColumn("through", through)
-        j = j.select("root", F.col("security").alias("fund"), *passed, (F.col("weight") * F.col("_share")).alias("weight"))
-        now = stages.written(stages.spread(j, "root", "fund").groupBy("root", "fund", *passed).agg(F.sum("weight").alias("weight")), "look-through-round")
-        found.append(now.select("root", F.col("fund").alias("security"), F.lit(i).alias("depth"), "weight"))
-        if now.isEmpty():
-            break
-    out = reduce(DataFrame.unionByName, found).groupBy("root", "security").agg(F.min("depth").alias("depth"), F.sum("weight").alias("weight"))
-    return out.join(funds.select(F.col("fund").alias("security"), F.lit(True).alias("_fund")), "security", "left").select("root", "security", "depth", "weight", F.coalesce("_fund", F.lit(False)).alias("is_fund"))
+    with stages.shuffles_freed(held.sparkSession):
+        rounds = _Rounds(whole, depth, per)
+        rounds.start(roots)
+        for i in range(1, depth + 1):
+            rounds.go_on()
+            found += [df.withColumn("depth", F.lit(i)) for df in rounds.sums()]
+            if rounds.wide is None and rounds.even.isEmpty():
+                break
+    return reduce(DataFrame.unionByName, found).groupBy("root", "security").agg(F.min("depth").alias("depth"), F.sum("weight").alias("weight"), F.max("is_fund").alias("is_fund"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -29,6 +30,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+def bucketed(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` as a table of the shared folder in as many buckets as the session has shuffle partitions: joins and aggregations by ``by`` read it without a shuffle.
+
+    Rows are best dealt by ``by`` already (see ``spread``), so that a task writes one file.
+    """
+    spark, table = df.sparkSession, f"holdfast_{uuid.uuid4().hex}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortBy(*by).option("path", shared_place(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """In it, a query's shuffle files are deleted as soon as it has ended: for rounds that are written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def spread(df: DataFrame, *by: str | Column) -> DataFrame:
     """``df`` dealt by ``by`` over all the session's shuffle partitions, however few bytes it has: for rows that become many, or large, in the same task."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)

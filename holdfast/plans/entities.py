@@ -390,7 +390,7 @@ def look_through(t):
     supplied = t.lineitem.join(t.supplier, c("l_suppkey") == c("s_suppkey"))
     rows = held(t.orders, code("c", "o_custkey"), code("o", "o_orderkey"), c("o_totalprice")).unionByName(held(t.lineitem, code("o", "l_orderkey"), code("p", "l_partkey"), c("l_extendedprice")))
     rows = rows.unionByName(held(supplied, code("p", "l_partkey"), code("n", "s_nationkey"), c("l_quantity"))).unionByName(held(t.nation, code("n", "n_nationkey"), code("r", "n_regionkey"), F.lit(1.0)))
-    out = holdings.look_through(t.customer.select(code("c", "c_custkey").alias("root")), holdings.shares(rows, "value"), 4)
+    out = holdings.look_through(t.customer.select(code("c", "c_custkey").alias("root")), rows, 4, value="value")
     return out.select(name("root"), name("security"), "depth", F.round("weight", 6).alias("weight"), "is_fund")
 
 

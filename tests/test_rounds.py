@@ -1,13 +1,15 @@
 """As-of joins, look-through holdings and neighbours by rounds, against plain versions."""
 
 import random
+import time
 from collections import defaultdict
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.operators import graph, holdings, observe
+from holdfast.operators import graph, holdings, observe, stages
 
 
 def plan_of(df):
@@ -83,6 +85,44 @@ def test_look_through_remembers_only_cycles(spark):
     assert out["a10"] == (20, 1.0, False) and out["b9"] == (19, 0.5, True)
 
 
+@pytest.mark.parametrize("n_roots, cycle", [(50, False), (3, False), (50, True)])
+def test_products_to_large_securities_take_turns(spark, monkeypatch, n_roots, cycle):
+    """Many products add up to few securities: dealt by root (of few roots by what they hold too), some roots at a time."""
+    monkeypatch.setattr(holdings, "_AT_ONCE", 100, raising=False)
+    rng = random.Random(4)
+    lines = [(f"r{i}", f"p{p}", 0.125) for i in range(50) for p in rng.sample(range(20), 8)] + [(f"p{p}", f"h{h}", 0.25) for p in range(20) for h in rng.sample(range(5), 4)]
+    lines += [(f"h{h}", f"t{h % 2}", 0.5) for h in range(5)] + [("h0", "p0", 0.5)] * cycle
+    held = defaultdict(dict)
+    for a, b, w in lines:
+        held[a][b] = w
+    tables, was = [], stages.written
+    monkeypatch.setattr(stages, "written", lambda df, name: (tables.append(name), was(df, name))[1])
+    roots = [f"r{i}" for i in range(n_roots)]
+    out = holdings.look_through(spark.createDataFrame([(r,) for r in roots], "root string"), spark.createDataFrame(lines, "fund string, security string, weight double"), 4, 30 if n_roots > 3 else 10)
+    every = dict(held) | {"t0": {}, "t1": {}}
+    expected = {(r, s): (d, pytest.approx(w), s in held) for r in roots for s, (d, w) in through_by_hand(r, every, 4).items()}
+    assert {(r["root"], r["security"]): (r["depth"], r["weight"], r["is_fund"]) for r in out.collect()} == expected
+    assert tables.count("look-through-wide") > (2 if n_roots > 3 else 0)
+
+
+def test_look_through_frees_its_shuffles(spark):
+    """Once the rounds are written, their shuffle files are gone."""
+    place = Path(spark.conf.get("spark.local.dir"))
+    lasting = lambda: {p.name.split("_")[1] for p in place.rglob("shuffle_*.data")}
+    before = lasting()
+    lines = [(f"a{i}", f"b{i % 7}", 0.5) for i in range(40)] + [(f"b{i}", f"c{i % 3}", 1.0) for i in range(7)]
+    held, roots = spark.createDataFrame(lines, "fund string, security string, weight double"), spark.createDataFrame([(f"a{i}",) for i in range(40)], "root string")
+    out = holdings.look_through(roots, held, 3)
+    for _ in range(50):
+        if not lasting() - before:
+            break
+        time.sleep(0.1)
+    # a stage that a query no longer needs may end after it
+    assert len(lasting() - before) <= 3
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert out.count() == 80
+
+
 def distances(root, links, depth):
     found, last = {root: 0}, {root}
     for i in range(1, depth + 1):
