@@ -105,8 +105,11 @@ def test_products_to_large_securities_take_turns(spark, monkeypatch, n_roots, cy
     assert tables.count("look-through-wide") > (2 if n_roots > 3 else 0)
 
 
-def test_look_through_frees_its_shuffles(spark):
-    """Once the rounds are written, their shuffle files are gone."""
+def test_look_through_frees_its_shuffles(spark, monkeypatch):
+    """Once the rounds are written, their shuffle files are gone, without waiting for the driver's garbage collection."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    freed, was = [], stages.written
+    monkeypatch.setattr(stages, "written", lambda df, table: (freed.append(spark.conf.get(name)), was(df, table))[1])
     place = Path(spark.conf.get("spark.local.dir"))
     lasting = lambda: {p.name.split("_")[1] for p in place.rglob("shuffle_*.data")}
     before = lasting()
@@ -119,7 +122,7 @@ def test_look_through_frees_its_shuffles(spark):
         time.sleep(0.1)
     # a stage that a query no longer needs may end after it
     assert len(lasting() - before) <= 3
-    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert set(freed) == {"true"} and spark.conf.get(name) == "false"
     assert out.count() == 80
 
 
